@@ -22,6 +22,8 @@ import os
 import random
 import zlib
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,9 +42,25 @@ POPULATION = 4
 GENERATIONS = 6
 VOCABULARY = "word_bpe_49k.json"
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+_POINT = np.isin(np.arange(256), list(b".,;:!?"))
+_ALNUM = np.isin(np.arange(256), [*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)])
+
 _ITEMS = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
 
 
+def _without_points(t: tk.Texts) -> tk.Texts:
+    """A point behind an ASCII letter or digit at a word's end becomes a word: the pre-tokenizer parts them too."""
+    last = t.end - 1
+    cut = (last > t.start) & _POINT[t.bytes[last]] & _ALNUM[t.bytes[np.maximum(last - 1, 0)]]
+    at = np.flatnonzero(cut)
+    end = np.where(cut, last, t.end)
+    return tk.Texts(
+        t.bytes, t.offsets, np.insert(t.start, at + 1, last[at]), np.insert(end, at + 1, t.end[at]), t.first + np.concatenate([[0], np.cumsum(cut)])[t.first]
+    )
+
+
 class WordIds:
     """Token ids of words, each distinct word encoded once; forgets all beyond ``limit`` words."""
 
@@ -60,11 +78,25 @@ class WordIds:
         self.known = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+
+    def _store(self, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        length = np.array([len(x) for x in found], np.int64)
+        at = self.used + np.cumsum(length) - length
+        end = self.used + int(length.sum())
+        if end > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(2 * end - self.used, np.uint32)])
+        self.ids[self.used : end] = np.fromiter(chain.from_iterable(found), np.uint32, end - self.used)
+        self.used = end
+        return at, length
 
     def of(self, t: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts' words one after the other, and the number of ids of each word."""
-        words, first, inverse = np.unique(t.hashes(), return_index=True, return_inverse=True)
+        """All ids of the texts one after the other, and the number of ids of each text."""
+        # the vocabulary knows lower case only, so words that differ in A-Z against a-z have the same ids
+        t = _without_points(t)
+        hashes = tk.segment_hashes(_LOWER[t.bytes], t.start, t.end, 0)
+        words, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) > self.limit:
             self.clear()
         slot = np.searchsorted(self.known, words)
@@ -74,30 +106,32 @@ class WordIds:
         if new.any():
             data = t.bytes.tobytes()
             texts = [data[a:b].decode() for a, b in zip(t.start[first[new]].tolist(), t.end[first[new]].tolist())]
-            found = []
-            for a in range(0, len(texts), 4096):
-                found += [e.ids for e in self.encode(texts[a : a + 4096], add_special_tokens=False)]
-            length = np.array([len(x) for x in found], np.int64)
-            at = len(self.ids) + np.cumsum(length) - length
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(length.sum()))])
-            known = np.concatenate([self.known, words[new]])
-            order = np.argsort(known)
-            self.known, self.at, self.length = known[order], np.concatenate([self.at, at])[order], np.concatenate([self.length, length])[order]
+            found = [e.ids for a in range(0, len(texts), 4096) for e in self.encode(texts[a : a + 4096], add_special_tokens=False)]
+            at, length = self._store(found)
+            self.at = np.insert(self.at, slot[new], at)
+            self.length = np.insert(self.length, slot[new], length)
+            self.known = np.insert(self.known, slot[new], words[new])
             slot = np.searchsorted(self.known, words)
-        length, at = self.length[slot][inverse], self.at[slot][inverse]
+        length = self.length[slot]
+        at, length = self.at[slot][inverse], length[inverse]
         source = np.arange(int(length.sum())) + np.repeat(at - (np.cumsum(length) - length), length)
-        return self.ids[source], length
+        return self.ids[source], np.diff(np.concatenate([[0], np.cumsum(length)])[t.first])
+
+
+@cache
+def _word_ids(path: str) -> WordIds:
+    """One for each worker process, kept between its tasks."""
+    return WordIds(path)
 
 
 def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(path)
+        known = _word_ids(path)
         rows = 0
         for batch in tk.gathered(batches):
             t = tk.read_texts(batch.column("text"))
             ids, length = known.of(t)
-            total = np.concatenate([[0], np.cumsum(length)])
-            cuts = total[t.first]  # ids before each text
+            cuts = np.concatenate([[0], np.cumsum(length)])  # ids before each text
             texts = len(cuts) - 1
             out = np.zeros(len(ids) + texts, "<u4")
             out[np.arange(len(ids)) + np.repeat(np.arange(texts), np.diff(cuts))] = ids
