@@ -37,8 +37,9 @@ from tidemark.llm.workspace import materialize
 WINDOW = 20
 PERIOD, COVER = 13, (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
+GRAM = 4
 NO_KEY = -(1 << 63)
-BUCKET_BYTES = 48 << 20
+BUCKET_BYTES = 32 << 20
 
 _HITS = "key long, starts array<int>"
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
@@ -75,6 +76,22 @@ def _group_starts(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def _least_gram(t: tk.Texts, at: np.ndarray, size: int) -> np.ndarray:
+    """Of the windows of ``size`` words that start at words ``at`` the least hash of their runs of GRAM words.
+
+    Equal windows have equal ones, and so do most neighbours, so that a repeated passage meets its
+    copies in a few buckets: the answers are runs of starts and not one row for each window.
+    """
+    grams = np.full(len(t.start), np.iinfo(np.uint64).max)
+    begin, (h,) = tk.windows(t, GRAM)
+    grams[begin] = tk.mix(h)
+    width, n = 1, size - GRAM + 1
+    while width * 2 <= n:
+        grams[:-width] = np.minimum(grams[:-width], grams[width:])
+        width *= 2
+    return np.minimum(grams[at], grams[at + n - width])
+
+
 def _anchor_blocks(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tk.gathered(batches):
@@ -85,13 +102,14 @@ def _anchor_blocks(n: int):
             at, h = at[keep], h[keep]
             key = batch.column("key").to_numpy()[t.doc[at]]
             start = position[at].astype(np.int32)
+            route = _least_gram(t, at, ANCHOR)
             order = np.argsort(h, kind="stable")
-            h, key, start = h[order], key[order], start[order]
+            h, key, start, route = h[order], key[order], start[order], route[order]
             new = _group_starts(h) if len(h) else np.zeros(0, bool)
             head = np.flatnonzero(new)
             size = np.diff(np.append(head, len(h)))
             # a hash that repeats inside the slice needs no answer: all of its members are hits
-            yield _blocks((h[head] % np.uint64(n)).astype(np.int32), [h[head], key[head], np.where(size > 1, -1, start[head]).astype(np.int32)])
+            yield _blocks((route[head] % np.uint64(n)).astype(np.int32), [h[head], key[head], np.where(size > 1, -1, start[head]).astype(np.int32)])
             many = np.repeat(size > 1, size)
             if many.any():
                 hits = _hit_rows(key[many], start[many])
@@ -176,10 +194,11 @@ def _window_blocks(n: int):
             at, h, g = at[keep], h[keep], g[keep]
             key = batch.column("key").to_numpy()[t.doc[at]]
             start = t.position()[at].astype(np.int32)
+            route = _least_gram(t, at, WINDOW)
             order = np.lexsort((start, key, g, h))
-            h, g, key, start = h[order], g[order], key[order], start[order]
+            h, g, key, start, route = h[order], g[order], key[order], start[order], route[order]
             head = np.flatnonzero(_group_starts(h, g)) if len(h) else np.zeros(0, int)
-            blocks = _blocks((h[head] % np.uint64(n)).astype(np.int32), [h[head], g[head], key[head], start[head]])
+            blocks = _blocks((route[head] % np.uint64(n)).astype(np.int32), [h[head], g[head], key[head], start[head]])
             yield pa.RecordBatch.from_arrays([*blocks.columns, pa.nulls(len(blocks), pa.int64()), pa.nulls(len(blocks), pa.list_(pa.int32()))], ["bucket", "c0", "c1", "c2", "c3", "key", "starts"])
             size = np.diff(np.append(head, len(h)))
             later = (key != np.repeat(key[head], size)) | (start != np.repeat(start[head], size))
