@@ -1,18 +1,19 @@
 """Benchmark decontamination with spaced seeds; DataFrame functions only.
 
 A seed is a fixed mask over ``SPAN`` consecutive tokens; the hash of a window covers the positions
-that the mask keeps, so a substituted token at an ignored position doesn't hide a match. The masks
-of ``SEEDS`` differ in what they ignore. Hashes of all windows of the documents are joined with
+that the mask keeps, so a substituted token at an ignored position doesn't hide a match. The two masks
+differ in what they ignore. Hashes of all windows of the documents are joined with
 those of the benchmark; around each hit the item is laid along the document and the aligned tokens
 are compared. A document is contaminated by an item if the best alignment agrees in at least
 ``MIN_MATCHES`` tokens and in ``MIN_SHARE`` of the aligned stretch (ends without agreement cut off).
 
 Items shorter than ``SPAN`` tokens are no evidence of leakage and never match.
 
-Scale: documents are scanned once and stay in place; only windows that hit carry tokens on, and only
-one row per document and item is shuffled. The benchmark side is broadcast if its number of
-windows, which is counted, is under ``BROADCAST_WINDOWS``; beyond that it is a shuffled hash join on
-window hashes in which Spark splits skewed keys.
+Scale: windows carry a document's id and a hash, nothing else, and are joined where they are made; only
+the places of hits are shuffled, once each. Texts with hits are then read a second time to verify. The
+benchmark side is broadcast if its number of windows, which is counted, is at most
+``BROADCAST_WINDOWS``, and so are the places up to ``BROADCAST_PLACES``; beyond that both are joined by
+shuffle.
 
 Edge cases: null or empty texts have no tokens and match nothing; null ids are kept as they are and
 rows with equal doc_id count as one document in the result of :func:`contaminated`; repeated
@@ -27,89 +28,106 @@ from pyspark.sql import functions as F
 from tidemark.llm.workspace import materialize
 
 SPAN = 10
-# 1: the position counts, 0: it is ignored
-# Together they meet any regular spacing of substitutions that MIN_SHARE allows: one in 5 by the second
-# mask (ignored places 5 apart), one in 6 or rarer by a window with a single substitution at place 2, 4 or 7.
-SEEDS = ("1111011011", "1101111011")
+# Masks, 1: the position counts, 0: it is ignored: 1111011011 and 1101111011. Together they meet any regular
+# spacing of substitutions that MIN_SHARE allows: one in 5 by the second mask (ignored places 5 apart), one in
+# 6 or rarer by a window with a single substitution at place 2, 4 or 7. Both are four pairs of neighbours; three
+# of the pairs are common to them, so their hash is made once.
+COMMON_PAIRS, OWN_PAIR = (0, 5, 8), (2, 3)
 MIN_MATCHES = 10
 MIN_SHARE = 0.8
 BROADCAST_WINDOWS = 500_000
-PUNCTUATION = ".,;:!?\"'()[]{}"
-BLANK = r"[\x20\x09-\x0D]+"
+BROADCAST_PLACES = 200_000
+SEPARATORS = r"[\x20\x09-\x0D.,;:!?\"'()\[\]{}]+"
 
 
 def token_hashes(text: Column) -> Column:
-    """64-bit hashes of the lower-cased words without ASCII punctuation."""
-    clean = F.translate(F.lower(F.coalesce(text, F.lit(""))), PUNCTUATION, "")
-    return F.transform(F.filter(F.split(clean, BLANK), lambda w: w != ""), lambda w: F.xxhash64(w))
+    """64-bit hashes of the lower-cased words; ASCII punctuation separates like blanks."""
+    words = F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS)
+    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seed_hash(tokens: Column, at: Column, seed: str) -> Column:
-    picked = [F.get(tokens, at + i) for i, bit in enumerate(seed) if bit == "1"]
-    return F.xxhash64(*picked)
+def _starts(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def _windows(tokens: Column, seeds: tuple[str, ...] = SEEDS) -> Column:
-    """An array of the hashes of all windows; the seed's number is kept in its order: i * seeds + k."""
-    last = F.size(tokens) - SPAN
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+def pair_hashes(tokens: Column) -> Column:
+    return F.transform(_starts(F.size(tokens) - 1), lambda i: F.xxhash64(F.get(tokens, i), F.get(tokens, i + 1)))
 
-    def all_of(seed: str) -> Column:
-        return F.transform(starts, lambda i: _seed_hash(tokens, i, seed))
 
-    return F.flatten(F.array(*(all_of(s) for s in seeds)))
+def common_hashes(pairs: Column) -> Column:
+    """Of each window the hash of the pairs that the masks share."""
+    return F.transform(_starts(F.size(pairs) - SPAN + 2), lambda i: F.xxhash64(*(F.get(pairs, i + p) for p in COMMON_PAIRS)))
+
+
+def seed_hashes(pairs: Column, common: Column) -> Column:
+    """Of each window the hashes under the masks."""
+    return F.flatten(F.transform(common, lambda h, i: F.array(*(F.xxhash64(h, F.get(pairs, i + p), F.lit(p)) for p in OWN_PAIR))))
+
+
+def windows(rows: DataFrame, tokens: str, *keep: str) -> DataFrame:
+    """A row for each window and mask of the column ``tokens``: ``keep``, its start ``at`` and the hash ``h``.
+
+    The outer form of explode: for the inner one Spark infers a filter on the array's size and moves
+    it, with all that the array is made of, down to the scan, so that every hash would be made again.
+    """
+    paired = rows.withColumn("__pairs", pair_hashes(F.col(tokens)))
+    shared = paired.withColumn("__common", common_hashes(F.col("__pairs")))
+    hashed = shared.select(*keep, seed_hashes(F.col("__pairs"), F.col("__common")).alias("__h"))
+    placed = hashed.select(*keep, F.posexplode_outer("__h").alias("__p", "h")).where(F.col("h").isNotNull())
+    return placed.select(*keep, F.floor(F.col("__p") / len(OWN_PAIR)).cast("int").alias("at"), "h")
 
 
 def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(item_id, item, at, h): token hashes of each item and every seed hash with its start."""
     items = benchmark.select(F.col(item_id).alias("item_id"), token_hashes(F.col(text)).alias("item")).where(F.size("item") >= SPAN)
-    hashed = items.select("item_id", "item", F.posexplode(_windows(F.col("item"))).alias("p", "h"))
-    return hashed.select("item_id", "item", F.pmod("p", F.size("item") - SPAN + 1).cast("int").alias("at"), "h")
+    return windows(items, "item", "item_id", "item")
 
 
-def _aligned(context: Column, item: Column, shift: Column) -> Column:
-    """Of each item token whether the document's token in the same place equals it."""
-    return F.transform(item, lambda t, i: F.coalesce(F.get(context, shift + i) == t, F.lit(False)))
+def alignments(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(doc_id, item_id, item, begin): where items lie in documents according to a hit; ``docs`` has doc_id and text."""
+    small = seeds.count() <= BROADCAST_WINDOWS
+    hashes = seeds.select("item_id", F.col("at").alias("item_at"), "h")
+    tokens = docs.select("doc_id", token_hashes(F.col("text")).alias("tokens"))
+    hits = windows(tokens, "tokens", "doc_id").join(F.broadcast(hashes) if small else hashes.hint("shuffle_hash"), "h")
+    places = hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("begin")).distinct()
+    items = seeds.select("item_id", "item").distinct()
+    return places.join(F.broadcast(items) if small else items, places["item_id"].eqNullSafe(items["item_id"])).drop(items["item_id"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
     """(doc_id, item_id, matches, share): items whose text is found in a document, substitutions allowed."""
-    windows = materialize(benchmark_windows(benchmark, item_id))
-    slim = docs.select(F.col(doc_id).alias("doc_id"), token_hashes(F.col(text)).alias("tokens"))
-    hashed = slim.select("doc_id", "tokens", F.posexplode(_windows(F.col("tokens"))).alias("p", "h"))
-    small = windows.count() <= BROADCAST_WINDOWS
-    right = F.broadcast(windows) if small else windows.hint("shuffle_hash")
-    hits = hashed.join(right, "h")
-    place = F.pmod("p", F.size("tokens") - SPAN + 1).cast("int")
-    begin = place - F.col("at")
-    context = F.slice("tokens", F.greatest(begin, F.lit(0)) + 1, F.size("item"))
-    near = hits.select("doc_id", "item_id", "item", F.least(begin, F.lit(0)).alias("shift"), begin.alias("begin"), context.alias("context"))
-    near = near.withColumn("same", _aligned(F.col("context"), F.col("item"), F.col("shift")))
-    scored = near.select("doc_id", "item_id", *_best_stretch(F.col("same")))
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    seeds = materialize(benchmark_windows(benchmark, item_id))
+    found = materialize(alignments(slim, seeds))
+    found = F.broadcast(found) if found.count() <= BROADCAST_PLACES else found
+    near = slim.join(found.withColumnRenamed("doc_id", "__doc"), F.col("doc_id").eqNullSafe(F.col("__doc")))
+    begin, n = F.col("begin"), F.size("item")
+    tokens = token_hashes(F.col("text"))
+    # the tokens in the item's place; outside of the document there are none
+    beside = F.concat(F.array_repeat(F.lit(None).cast("long"), F.greatest(-begin, F.lit(0))), F.slice(tokens, F.greatest(begin, F.lit(0)) + 1, n))
+    same = F.zip_with(F.col("item"), F.slice(beside, F.lit(1), n), lambda a, b: F.coalesce(a == b, F.lit(False)))
+    scored = near.select("doc_id", "item_id", _best_stretch(same).alias("best"))
+    share = F.col("best.matches") / F.nullif(F.col("best.long"), F.lit(0))
+    scored = scored.select("doc_id", "item_id", F.col("best.matches").cast("long").alias("matches"), share.alias("share"))
     strong = scored.where((F.col("matches") >= MIN_MATCHES) & (F.col("share") >= MIN_SHARE))
     return strong.groupBy("doc_id", "item_id").agg(F.max("matches").alias("matches"), F.max("share").alias("share"))
 
 
-def _best_stretch(same: Column) -> list[Column]:
-    """Matches and share of the best stretch: +1 for an equal token, -4 for another (0.8 breaks even)."""
-    start = F.struct(F.lit(0).alias("score"), F.lit(0).alias("hit"), F.lit(0).alias("n"), F.lit(0).alias("best"), F.lit(0).alias("matches"), F.lit(0).alias("long"))
+def _best_stretch(same: Column) -> Column:
+    """Matches and length of the best stretch: +1 for an equal token, -4 for another (0.8 breaks even)."""
+    names = ("score", "hit", "n", "best", "matches", "long")
+    start = F.struct(*(F.lit(0).alias(x) for x in names))
 
     def step(acc: Column, equal: Column) -> Column:
         gain = acc["score"] + F.when(equal, 1).otherwise(-4)
-        alive = gain > 0
-        hit = F.when(alive, acc["hit"] + equal.cast("int")).otherwise(0)
-        n = F.when(alive, acc["n"] + 1).otherwise(0)
-        score = F.when(alive, gain).otherwise(0)
-        better = score > acc["best"]
-        return F.struct(
-            score.alias("score"), hit.alias("hit"), n.alias("n"),
-            F.when(better, score).otherwise(acc["best"]).alias("best"),
-            F.when(better, hit).otherwise(acc["matches"]).alias("matches"),
-            F.when(better, n).otherwise(acc["long"]).alias("long"),
-        )
-
-    best = F.aggregate(same, start, step)
-    return [best["matches"].cast("long").alias("matches"), (best["matches"] / F.nullif(best["long"], F.lit(0))).alias("share")]
+        score = F.greatest(gain, F.lit(0))
+        hit = F.when(gain > 0, acc["hit"] + equal.cast("int")).otherwise(0)
+        n = F.when(gain > 0, acc["n"] + 1).otherwise(0)
+        better = gain > acc["best"]
+        kept = [F.when(better, new).otherwise(acc[x]) for x, new in (("best", gain), ("matches", hit), ("long", n))]
+        return F.struct(*(c.alias(x) for x, c in zip(names, (score, hit, n, *kept))))
+
+    return F.aggregate(same, start, step)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
