@@ -1,2 +1,374 @@
-QUERIES = {}
-ORACLES = {}
+"""The queries of the driver contract: each applies one operator to the test tables, with its SQL."""
+
+from __future__ import annotations
+
+import datetime as dt
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions import names, sizing, typemap, values
+from tidemark.operators import incremental, load, merge, partition, scan, state, validate
+from tidemark.plans import transfer
+from tidemark.sources import spec
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _target(orders: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
+    return orders.where(k % 4 != 0).select(k.alias("k"), F.when(k % 11 == 0, None).otherwise(F.col("o_totalprice")).alias("p"), F.col("o_orderstatus").alias("st"))
+
+
+def _staged(orders: DataFrame) -> DataFrame:
+    k, p = F.col("o_orderkey"), F.col("o_totalprice")
+    return orders.where(k % 3 != 0).select(k.alias("k"), F.when(k % 13 == 0, None).when(k % 5 == 0, p + 1).when(k % 11 == 0, None).otherwise(p).alias("p"), F.col("o_orderstatus").alias("st"))
+
+
+_FRAMES = """with tgt as (select o_orderkey k, case when o_orderkey % 11 = 0 then null else o_totalprice end p, o_orderstatus st from orders where o_orderkey % 4 <> 0),
+stg as (select o_orderkey k, case when o_orderkey % 13 = 0 then null when o_orderkey % 5 = 0 then o_totalprice + 1 when o_orderkey % 11 = 0 then null else o_totalprice end p, o_orderstatus st from orders where o_orderkey % 3 <> 0) """
+
+
+def _orders(spark: SparkSession, d: str) -> DataFrame:
+    return spec.read_table(spark, d, "orders", ["o_orderkey", "o_totalprice", "o_orderstatus"])
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A folder that all executors share; a local one only where none is named (tests)."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    return f"{root.rstrip('/')}/tidemark-store-{uuid.uuid4().hex}"
+
+
+# scans
+
+
+@query("select o_orderkey, o_custkey, o_orderstatus from orders")
+def full_scan_projection(spark, d):
+    return scan.project(spec.read_table(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus"])
+
+
+@query("select r_regionkey, r_name from region")
+def sanitized_projection(spark, d):
+    wide = spec.read_table(spark, d, "region").toDF("R-RegionKey", "R Name")
+    return scan.project(wide, renamed=True)
+
+
+@query("select * from orders where o_orderkey > 5000 order by o_orderkey limit 1000")
+def keyset_page(spark, d):
+    return scan.keyset_page(spec.read_table(spark, d, "orders"), "o_orderkey", 5000, 1000)
+
+
+@query("select * from orders where o_orderkey > 500 and o_orderstatus = 'O'")
+def keyset_resume(spark, d):
+    df = spec.read_table(spark, d, "orders")
+    return df.where(F.col("o_orderstatus") == "O").where(scan.in_range(df, ["o_orderkey"], (500,), open_low=True))
+
+
+@query("select * from orders where o_orderkey >= 2000 and o_orderkey <= 2999")
+def keyset_bounded(spark, d):
+    df = spec.read_table(spark, d, "orders")
+    return df.where(scan.in_range(df, ["o_orderkey"], (2000,), (2999,)))
+
+
+@query("select * from (select conv_id, turn, role, row_number() over (order by conv_id, turn) rn from conversations) where rn between 101 and 200")
+def row_number_page(spark, d):
+    df = spec.read_table(spark, d, "conversations", ["conv_id", "turn", "role"])
+    return scan.row_number_page(df, ["conv_id", "turn"], 101, 200)
+
+
+@query("select min(conv_id) low_conv, arg_min(turn, rn) low_turn, max(conv_id) high_conv, arg_max(turn, rn) high_turn from (select conv_id, turn, row_number() over (order by conv_id, turn) rn from conversations) where rn between 101 and 200")
+def row_number_bounds(spark, d):
+    page = scan.row_number_page(spec.read_table(spark, d, "conversations", ["conv_id", "turn"]), ["conv_id", "turn"], 101, 200)
+    b = partition.key_bounds(page, ["conv_id", "turn"])
+    return b.select(F.col("low.conv_id").alias("low_conv"), F.col("low.turn").alias("low_turn"), F.col("high.conv_id").alias("high_conv"), F.col("high.turn").alias("high_turn"))
+
+
+@query("select conv_id, turn, role from conversations where (conv_id > 10 or (conv_id = 10 and turn >= 2)) and (conv_id < 40 or (conv_id = 40 and turn <= 1))")
+def tuple_range(spark, d):
+    df = spec.read_table(spark, d, "conversations", ["conv_id", "turn", "role"])
+    return df.where(scan.in_range(df, ["conv_id", "turn"], (10, 2), (40, 1)))
+
+
+# partitioning
+
+
+@query("select tile::int tile, min(k) min_pk, max(k) max_pk, count(*) row_count from (select o_orderkey k, ntile(7) over (order by o_orderkey) tile from orders) group by tile")
+def ntile_bounds_int(spark, d):
+    return partition.ntile_bounds(spec.read_table(spark, d, "orders", ["o_orderkey"]), "o_orderkey", 7)
+
+
+@query("select tile::int tile, min(k) min_pk, max(k) max_pk, count(*) row_count from (select c_name k, ntile(8) over (order by c_name) tile from customer) group by tile")
+def ntile_bounds_text(spark, d):
+    return partition.ntile_bounds(spec.read_table(spark, d, "customer", ["c_name"]), "c_name", 8)
+
+
+@query("""with b as (select min(o_orderkey) lo, max(o_orderkey) hi, (max(o_orderkey) - min(o_orderkey) + 1) // 6 sz from orders)
+select i::int range_id, lo + i * sz range_start, case when i = 5 then hi else lo + (i + 1) * sz - 1 end range_end from b, range(6) t(i)""")
+def arith_bounds(spark, d):
+    ranges = partition.arithmetic_bounds(spec.read_table(spark, d, "orders", ["o_orderkey"]), "o_orderkey", 6)
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(ranges)], "range_id int, range_start long, range_end long")
+
+
+@query("select (tile - 1)::int range_id, count(*) n, min(k) low, max(k) high from (select doc_id k, ntile(6) over (order by doc_id) tile from labels) group by tile")
+def partition_union(spark, d):
+    df = spec.read_table(spark, d, "labels", ["doc_id"])
+    bounds = partition.half_open([(r.min_pk, r.max_pk) for r in partition.ntile_bounds(df, "doc_id", 6).collect()])
+    which = F.lit(None).cast("int")
+    for i, (low, high) in enumerate(bounds):
+        inside = scan.in_range(df, ["doc_id"], None if low is None else (low,), None if high is None else (high,), open_high=True)
+        which = F.when(inside, i).otherwise(which)
+    return df.withColumn("range_id", which).groupBy("range_id").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+
+
+@query("select o_custkey, count(*) n from orders group by o_custkey having count(*) > 12")
+def duplicate_customers(spark, d):
+    return merge.duplicate_keys(spec.read_table(spark, d, "orders", ["o_custkey"]), ["o_custkey"]).where("n > 12")
+
+
+# merge
+
+
+@query(_FRAMES + "select coalesce(s.k, t.k) k, case when s.k is not null then s.p else t.p end p, case when s.k is not null then s.st else t.st end st from tgt t full outer join stg s on t.k = s.k")
+def upsert_apply(spark, d):
+    orders = _orders(spark, d)
+    return merge.merge(_target(orders), _staged(orders), ["k"])
+
+
+_OPS = _FRAMES + """select case when s.k is null then 'kept' when t.k is null then 'inserted' when s.p is distinct from t.p or s.st is distinct from t.st then 'updated' else 'unchanged' end op, count(*) n
+from tgt t full outer join stg s on t.k = s.k group by 1"""
+
+
+@query(_OPS)
+def upsert_counts(spark, d):
+    orders = _orders(spark, d)
+    return merge.counts(merge.diff(_target(orders), _staged(orders), ["k"]))
+
+
+@query(_OPS)
+def upsert_counts_small_delta(spark, d):
+    """The form that leaves the target in place and broadcasts the increment."""
+    orders = _orders(spark, d)
+    return merge.counts(merge.diff(_target(orders), _staged(orders), ["k"], small=True))
+
+
+@query(_FRAMES + "select k from tgt union all select k from stg where not exists (select 1 from tgt t where t.k = stg.k)")
+def upsert_pk_only(spark, d):
+    orders = _orders(spark, d)
+    return merge.insert_missing(_target(orders).select("k"), _staged(orders).select("k"), ["k"])
+
+
+@query(_FRAMES + "select case when t.k is null then 'inserted' else 'updated' end op, count(*) n from stg s left join tgt t on t.k = s.k group by 1")
+def upsert_always(spark, d):
+    orders = _orders(spark, d)
+    return merge.counts(merge.diff(_target(orders), _staged(orders), ["k"], detect_changes=False)).where(F.col("op") != "kept")
+
+
+@query(_FRAMES + "select t.k from tgt t where not exists (select 1 from stg s where s.k = t.k)")
+def delete_detect(spark, d):
+    orders = _orders(spark, d)
+    return merge.deleted_keys(_target(orders), _staged(orders), ["k"])
+
+
+@query("select l_orderkey, l_linenumber, count(*) n from lineitem group by 1, 2 having count(*) > 1")
+def duplicate_key_check(spark, d):
+    return merge.duplicate_keys(spec.read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber"]), ["l_orderkey", "l_linenumber"])
+
+
+# incremental
+
+
+def _dated(events: DataFrame) -> DataFrame:
+    return events.select(F.col("event_id").alias("k"), F.col("value").alias("v"), F.when(F.col("event_id") % 7 == 0, None).otherwise(F.col("ts")).alias("m"))
+
+
+@query("select * from (select event_id k, value v, case when event_id % 7 = 0 then null else ts end m from events) where m > timestamp '2024-01-15 00:00:00' or m is null")
+def watermark_or_null(spark, d):
+    return _dated(spec.read_table(spark, d, "events")).where(incremental.newer("m", "2024-01-15 00:00:00"))
+
+
+@query("""with src as (select event_id k, value v, case when event_id % 7 = 0 then null else ts end m from events),
+tgt as (select event_id k, case when event_id % 10 = 0 then value + 1 else value end v, case when event_id % 7 = 0 then null else ts end m from events where event_id % 9 <> 0),
+stg as (select * from src where m > timestamp '2024-01-15 00:00:00' or m is null)
+select case when s.k is null then 'kept' when t.k is null then 'inserted' when s.v is distinct from t.v or s.m is distinct from t.m then 'updated' else 'unchanged' end op, count(*) n
+from tgt t full outer join stg s on t.k = s.k group by 1""")
+def incremental_sync(spark, d):
+    source = _dated(spec.read_table(spark, d, "events"))
+    target = source.where(F.col("k") % 9 != 0).withColumn("v", F.when(F.col("k") % 10 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    column = incremental.watermark_column(source, incremental.candidates("missing, v, m"))
+    return merge.counts(merge.diff(target, incremental.staged_rows(source, column, "2024-01-15 00:00:00"), ["k"]))
+
+
+@query("select o_orderkey, case when o_orderkey between 3000 and 3999 then o_totalprice else o_totalprice - 1 end o_totalprice from orders")
+def partition_replace(spark, d):
+    source = spec.read_table(spark, d, "orders", ["o_orderkey", "o_totalprice"])
+    target = source.withColumn("o_totalprice", F.col("o_totalprice") - 1)
+    return load.replaced_range(target, source, scan.in_range(source, ["o_orderkey"], (3000,), (3999,)))
+
+
+@query("select * from customer")
+def full_refresh(spark, d):
+    store = load.Store(spark, _scratch(spark))
+    done = load.full_refresh(store, spec.read_table(spark, d, "customer"), "customer")
+    if not done.success:
+        raise RuntimeError("; ".join(done.errors) or f"{done.rows} rows written, {done.target_rows} read")
+    return store.read("customer")
+
+
+@query("select t table_name, n > 0 has_data from (select 'orders' t, (select count(*) from orders) n union all select 'orders_none', (select count(*) from orders where o_orderkey < 0))")
+def has_data(spark, d):
+    orders = spec.read_table(spark, d, "orders", ["o_orderkey"])
+    found = [("orders", not orders.isEmpty()), ("orders_none", not orders.where("o_orderkey < 0").isEmpty())]
+    return spark.createDataFrame(found, "table_name string, has_data boolean")
+
+
+@query("select 'orders' table_name, coalesce(max(o_orderkey), 1) max_value, coalesce(max(o_orderkey), 1) + 1 next_value from orders union all select 'none', 1, 2")
+def sequence_reset(spark, d):
+    orders = spec.read_table(spark, d, "orders", ["o_orderkey"])
+    named = lambda t, df: load.next_values(df, "o_orderkey").withColumn("table_name", F.lit(t))
+    return named("orders", orders).unionByName(named("none", orders.where("o_orderkey < 0")))
+
+
+# validation
+
+
+@query("select 'orders' table_name, count(*) source_count, count(*) filter (o_orderkey % 100 <> 0) target_count, count(*) filter (o_orderkey % 100 <> 0) - count(*) row_difference, (count(*) filter (o_orderkey % 100 <> 0) - count(*)) * 100.0::double / count(*) percentage_difference, false validation_passed from orders")
+def validate_counts(spark, d):
+    orders = spec.read_table(spark, d, "orders", ["o_orderkey"])
+    return validate.count_check("orders", orders, orders.where("o_orderkey % 100 <> 0"))
+
+
+@query(" union all ".join(f"select '{t}' table_name, (select count(*) from {t}) source_count, (select count(*) from {t}) target_count, 0::bigint row_difference, 0.0::double percentage_difference, true validation_passed" for t in TABLES))
+def validate_batch(spark, d):
+    read = {t: spec.read_table(spark, d, t) for t in TABLES}
+    return validate.batch_check({t: (df, df) for t, df in read.items()})
+
+
+@query("select 3::bigint tables, 2::bigint passed, 2 * 100.0::double / 3 success_rate")
+def validate_summary(spark, d):
+    read = {t: spec.read_table(spark, d, t) for t in ("orders", "customer", "part")}
+    pairs = {t: (df, df.where("p_partkey > 0") if t == "part" else df) for t, df in read.items()}
+    return validate.batch_summary(validate.batch_check(pairs))
+
+
+@query("select count(*) compared, count(*) filter (o_orderkey % 25 = 0) mismatches from (select o_orderkey from orders order by o_orderkey limit 100)")
+def validate_sample(spark, d):
+    source = spec.read_table(spark, d, "orders", ["o_orderkey", "o_totalprice", "o_orderstatus"])
+    damaged = source.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 25 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return validate.sample_check(source, damaged, ["o_orderkey"], 100)
+
+
+@query("select o_orderkey, md5(concat_ws('|', o_orderkey::varchar, coalesce(o_orderstatus, '~'))) digest from orders")
+def row_checksum(spark, d):
+    return spec.read_table(spark, d, "orders").select("o_orderkey", validate.row_digest(["o_orderkey", "o_orderstatus"]).alias("digest"))
+
+
+@query()
+def table_checksums(spark, d):
+    return validate.table_checksum(spec.read_table(spark, d, "lineitem"))
+
+
+# names, types and values
+
+
+@query("""select c_name, case when core = '' or regexp_matches(core, '^[0-9]') then 'col_' || core else core end clean
+from (select c_name, trim(regexp_replace(regexp_replace(lower(c_name), '[^a-z0-9_]', '_', 'g'), '_+', '_', 'g'), '_') core from customer)""")
+def sanitize_names(spark, d):
+    return spec.read_table(spark, d, "customer", ["c_name"]).select("c_name", names.sanitized(F.col("c_name")).alias("clean"))
+
+
+@query("select * from (values " + ", ".join(f"('{k}', '{typemap.target_type({'data_type': k})}', '{typemap.spark_type({'data_type': k})}')" for k in typemap.TYPES) + ") t(source_type, target_type, spark_type)")
+def type_map(spark, d):
+    return spark.createDataFrame([(k, typemap.target_type({"data_type": k}), typemap.spark_type({"data_type": k})) for k in typemap.TYPES], "source_type string, target_type string, spark_type string")
+
+
+@query("select event_id, case when event_id % 5 = 0 or event_id % 5 = 1 then null else value end v from events")
+def normalize_values(spark, d):
+    k = F.col("event_id") % 5
+    odd = F.when(k == 0, F.lit(float("nan"))).when(k == 1, F.lit(float("-inf"))).otherwise(F.col("value"))
+    return values.normalized(spec.read_table(spark, d, "events").select("event_id", odd.alias("v")))
+
+
+@query("select event_id::varchar event_id, case when event_id % 2 = 0 then 't' else 'f' end flag, '\\x' || lower(hex(event_type)) raw, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') ts from events")
+def export_text(spark, d):
+    events = spec.read_table(spark, d, "events")
+    return values.exported(events.select("event_id", (F.col("event_id") % 2 == 0).alias("flag"), F.col("event_type").cast("binary").alias("raw"), "ts"))
+
+
+@query("select * from (values " + ", ".join(f"({n}::bigint, {sizing.page_size(n, 200000)}, {sizing.partition_count(n)}, {sizing.incremental_partition_count(n)})" for n in (0, 99999, 100000, 1000000, 2000000, 5000000, 60000000)) + ") t(row_count, page, partitions, incremental_partitions)")
+def sizing_rules(spark, d):
+    return spark.createDataFrame([(n, sizing.page_size(n, 200_000), sizing.partition_count(n), sizing.incremental_partition_count(n)) for n in (0, 99_999, 100_000, 1_000_000, 2_000_000, 5_000_000, 60_000_000)], "row_count long, page int, partitions int, incremental_partitions int")
+
+
+# state and planning
+
+_NOW = dt.datetime(2024, 1, 2, 3, 4, 5)
+
+
+def example_state() -> state.SyncState:
+    """Completed, failed half way, left running, and never started."""
+    s = state.SyncState()
+    for t in ("orders", "customer", "lineitem", "part"):
+        s.start(("full", t, "dbo", "public"), _NOW, "run1", 100)
+    key = lambda t: ("full", t, "dbo", "public")
+    s.complete(key("orders"), _NOW, watermark=_NOW, rows_inserted=100)
+    s.complete(key("customer"), _NOW)
+    for i, status in enumerate(("completed", "failed", "pending")):
+        s.set_partition(key("lineitem"), _NOW, i, status=status, rows=10 * i, min_pk=str(i * 100), max_pk=str(i * 100 + 99), error="x" * 600 if status == "failed" else None)
+    s.fail(key("lineitem"), _NOW, "boom")
+    return s
+
+
+@query("select * from (values ('completed', 2::bigint, 'customer,orders'), ('failed', 1, 'lineitem'), ('running', 1, 'part')) t(sync_status, n, tables)")
+def state_summary(spark, d):
+    return state.status_summary(example_state().to_frame(spark))
+
+
+@query("select * from (values ('lineitem', 1, 'failed', 10::bigint), ('lineitem', 2, 'pending', 20)) t(table_name, id, status, \"rows\")")
+def partition_status_explode(spark, d):
+    return state.open_partitions(example_state().to_frame(spark))
+
+
+@query("select * from (values ('RECOVERY', 'lineitem', 'keys', 1, '100', '199'), ('RECOVERY', 'lineitem', 'keys', 2, '200', '299'), ('RECOVERY', 'nation', 'regular', 0, null, null), ('RECOVERY', 'part', 'regular', 0, null, null)) t(mode, table_name, kind, idx, low, high)")
+def recovery_plan(spark, d):
+    s = example_state()
+    s.reset_stale(_NOW, "run2")
+    tables = [{"name": t, "rows": 100, "key": ["k"]} for t in ("orders", "customer", "lineitem", "part", "nation")]
+    made = transfer.plan(tables, s, "run2", lambda *a: [])
+    return spark.createDataFrame([(made.mode, t.table, t.kind, t.index, t.low, t.high) for t in made.tasks], "mode string, table_name string, kind string, idx int, low string, high string")
+
+
+@query("select n_name, r_name, n_nationkey % 5 = 0 is_max from nation join region on n_regionkey = r_regionkey")
+def catalogue_joins(spark, d):
+    """Columns, types, identities and defaults joined as catalogue rows are."""
+    nation = spec.read_table(spark, d, "nation").select(F.lit(1).alias("object_id"), F.col("n_nationkey").alias("column_id"), "n_name", F.col("n_regionkey").alias("type_id"), F.when(F.col("n_nationkey") % 5 == 0, -1).otherwise(8).alias("max_length"))
+    types = spec.read_table(spark, d, "region").select(F.col("r_regionkey").alias("type_id"), "r_name")
+    none = nation.where("column_id < 0").select("object_id", "column_id")
+    return spec.columns_of(nation, types, none.withColumn("seed", F.lit(1)), none.withColumn("definition", F.lit("x"))).select("n_name", "r_name", "is_max")
+
+
+@query("select n_regionkey, string_agg(n_name, ',' order by n_nationkey desc) as columns from nation group by 1")
+def ordered_key_lists(spark, d):
+    nation = spec.read_table(spark, d, "nation").withColumn("ord", -F.col("n_nationkey"))
+    return spec.ordered_list(nation, ["n_regionkey"], "n_name", "ord")
+
+
+@query("select * from (values ('partial_failure', 3, 'b', 30::bigint)) t(status, tables, failed, \"rows\")")
+def results_summary(spark, d):
+    done = [{"table": "a", "success": True, "rows": 10}, {"table": "b", "success": True, "rows": 10}, {"table": "b", "success": False, "rows": 0}, {"table": "c", "success": True, "rows": 10}]
+    o = transfer.outcome(done)
+    return spark.createDataFrame([(o["status"], o["tables"], ",".join(o["failed"]), o["rows"])], "status string, tables int, failed string, rows long")
