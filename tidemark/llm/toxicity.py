@@ -1,9 +1,10 @@
 """Toxicity by cumulative-link ordinal regression over sparse text features.
 
 P(grade <= k) = sigmoid(theta_k - x.beta): one weight vector for all thresholds, thresholds in order.
-Grades from the labels: 0 not toxic, 1 toxic, 2 toxic in a text of low quality. Features: presence of a
-word (A-Z lower-cased, ASCII punctuation at its ends removed), those words whose share among toxic
-labelled documents differs from the others' by the pooled z score ``MIN_Z`` or more.
+Features: presence of a word (A-Z lower-cased, ASCII punctuation at its ends removed), those words whose
+toxic share among labelled documents differs from the overall share by a log-likelihood ratio of
+``MIN_G`` or more. The labels say toxic or not, so grades are drawn from both: 0 not toxic, 1 toxic,
+2 toxic with ``SEVERE`` or more different words of those that speak for toxicity.
 
 Fit on at most ``SAMPLE`` labelled documents (those with the smallest hash of doc_id), on the driver,
 with at most ``FEATURES`` features. Everything else covers all rows: each document of the table is
@@ -12,8 +13,8 @@ scored whole, in one pass without a shuffle, with the features as a sorted array
 Output: expected severity (mean grade), the probable grade, and ``toxic`` if P(grade >= 1) >= 0.5.
 
 Edge cases: null or empty texts have no features and get the base rate; null doc_id is scored like any
-other; labels with null grades are not used, repeated labels of a document count once (the worst
-grade); without labels of both kinds the model says 0 for all; an empty table gives an empty result.
+other; labels with null grades are not used, repeated labels of a document count once (the worse
+one); without labels of both kinds the model says 0 for all; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,9 +32,9 @@ from tidemark.llm.workspace import materialize
 
 SAMPLE = 20_000
 FEATURES = 4096
-MIN_DOCS = 3
-MIN_Z = 5.0
-RIDGE = 0.5
+MIN_G = 20.0
+SEVERE = 3
+RIDGE = 0.02
 
 _PUNCTUATION = np.zeros(256, dtype=bool)
 _PUNCTUATION[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
@@ -115,9 +116,8 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, n_fea
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> OrdinalModel:
-    grade = F.when(F.col("toxic") == 0, 0).when(F.col("quality") == 0, 2).otherwise(1)
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-    graded = usable.groupBy(F.col("doc_id").alias("label_id")).agg(F.max(grade).alias("grade"))
+    graded = usable.groupBy(F.col("doc_id").alias("label_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("grade"))
     chosen = graded.orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("grade", "text")
     sparse = materialize(texts.mapInArrow(_sparse, "grade int, features array<long>"))
@@ -126,15 +126,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
     if not n1 or n1 == n:
         return OrdinalModel(np.zeros(0, np.int64), np.zeros(0), np.array([50.0]))
     counts = sparse.select((F.col("grade") > 0).cast("long").alias("y"), F.explode("features").alias("h")).groupBy("h").agg(F.count("*").alias("c"), F.sum("y").alias("c1"))
-    pooled = F.col("c") / n
-    z = (F.col("c1") / n1 - (F.col("c") - F.col("c1")) / (n - n1)) / F.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / (n - n1)))
-    best = counts.where((F.col("c") >= MIN_DOCS) & (F.col("c") < n)).withColumn("z", F.abs(z)).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "h").limit(features)
-    hashes = np.sort(np.array([r.h for r in best.collect()], np.int64))
+    share = n1 / n
+    term = lambda k, p: F.when(k > 0, k * F.log(k / (F.col("c") * p))).otherwise(0.0)
+    g = 2 * (term(F.col("c1"), share) + term(F.col("c") - F.col("c1"), 1 - share))
+    best = counts.withColumn("g", g).where(F.col("g") >= MIN_G).orderBy(F.desc("g"), "h").limit(features)
+    chosen_rows = sorted(best.collect(), key=lambda r: r.h)
+    hashes = np.array([r.h for r in chosen_rows], np.int64)
+    speaks = np.array([r.c1 > share * r.c for r in chosen_rows], bool)
     chosen_words = F.array(*(F.lit(int(h)) for h in hashes)) if len(hashes) else F.array().cast("array<long>")
     slim = sparse.select("grade", F.array_intersect("features", chosen_words).alias("f")).collect()
-    grades = np.array([r.grade for r in slim])
     rows = np.repeat(np.arange(len(slim)), [len(r.f) for r in slim])
     columns = np.searchsorted(hashes, np.array([h for r in slim for h in r.f], np.int64))
+    hits = np.bincount(rows[speaks[columns]], minlength=len(slim)) if len(hashes) else np.zeros(len(slim), int)
+    grades = np.array([r.grade for r in slim]) * (1 + (hits >= SEVERE))
     present = np.unique(grades)
     beta, theta = fit_ordinal(rows, columns, np.searchsorted(present, grades), len(hashes))
     return OrdinalModel(hashes, beta, theta)
