@@ -121,9 +121,10 @@ def _best_stretch(same: Column) -> Column:
     def step(acc: Column, equal: Column) -> Column:
         gain = acc["score"] + F.when(equal, 1).otherwise(-4)
         score = F.greatest(gain, F.lit(0))
-        hit = F.when(gain > 0, acc["hit"] + equal.cast("int")).otherwise(0)
-        n = F.when(gain > 0, acc["n"] + 1).otherwise(0)
-        better = gain > acc["best"]
+        # at zero the stretch goes on: it still agrees in 0.8; of equal ones the longer counts
+        hit = F.when(gain >= 0, acc["hit"] + equal.cast("int")).otherwise(0)
+        n = F.when(gain >= 0, acc["n"] + 1).otherwise(0)
+        better = (gain > 0) & (gain >= acc["best"])
         kept = [F.when(better, new).otherwise(acc[x]) for x, new in (("best", gain), ("matches", hit), ("long", n))]
         return F.struct(*(c.alias(x) for x, c in zip(names, (score, hit, n, *kept))))
 

@@ -100,7 +100,7 @@ def _anchor_blocks(n: int):
             position = t.position()
             keep = _IN_COVER[position[at] % PERIOD]
             at, h = at[keep], h[keep]
-            key = batch.column("key").to_numpy()[t.doc[at]]
+            key = batch.column("__key").to_numpy()[t.doc[at]]
             start = position[at].astype(np.int32)
             route = _least_gram(t, at, ANCHOR)
             order = np.argsort(h, kind="stable")
@@ -184,15 +184,15 @@ def _within(mask_from: np.ndarray, t: tk.Texts, before: int, after: int) -> np.n
     return np.cumsum(delta[:-1]) > 0
 
 
-def _window_blocks(n: int):
+def _window_blocks(n: int, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tk.gathered(batches):
-            t = tk.read_texts(batch.column("text"))
-            near = _within(_flat_positions(t, batch.column("anchors")), t, PERIOD - 1, 1)
+        for batch in tk.gathered(batches, text):
+            t = tk.read_texts(batch.column(text))
+            near = _within(_flat_positions(t, batch.column("__anchors")), t, PERIOD - 1, 1)
             at, (h, g) = tk.windows(t, WINDOW, (0, 1))
             keep = near[at]
             at, h, g = at[keep], h[keep], g[keep]
-            key = batch.column("key").to_numpy()[t.doc[at]]
+            key = batch.column("__key").to_numpy()[t.doc[at]]
             start = t.position()[at].astype(np.int32)
             route = _least_gram(t, at, WINDOW)
             order = np.lexsort((start, key, g, h))
@@ -210,10 +210,10 @@ def _window_blocks(n: int):
     return run
 
 
-def _kept(batch: pa.RecordBatch) -> tuple[tk.Texts, np.ndarray, list[bytes]]:
+def _kept(batch: pa.RecordBatch, text: str) -> tuple[tk.Texts, np.ndarray, list[bytes]]:
     """The words, how many of each text are kept, and the kept ones joined by one space."""
-    t = tk.read_texts(batch.column("text"))
-    kept = ~_within(_flat_positions(t, batch.column("removed")), t, 0, WINDOW)
+    t = tk.read_texts(batch.column(text))
+    kept = ~_within(_flat_positions(t, batch.column("__removed")), t, 0, WINDOW)
     start, end, doc = t.start[kept], t.end[kept], t.doc[kept]
     size = end - start + 1
     to = np.concatenate([[0], np.cumsum(size)])
@@ -228,50 +228,59 @@ def _kept(batch: pa.RecordBatch) -> tuple[tk.Texts, np.ndarray, list[bytes]]:
     return t, count, [data[a:b] for a, b in zip(begin.tolist(), stop.tolist())]
 
 
-def _rewrite(rows: bool):
-    """rows: hand the struct column ``row`` through; else give the key and the digest of the kept words."""
+def _rewrite(text: str, rows: bool):
+    """rows: add the kept text and counts to the row; else give the key and the digest of the kept words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tk.slices(batches):
-            t, count, texts = _kept(batch)
+        for batch in tk.slices(batches, text):
+            t, count, texts = _kept(batch, text)
             n_words, n_removed = pa.array(t.n_words, pa.int64()), pa.array(t.n_words - count, pa.int64())
             kept = pa.array([x.decode() for x in texts], pa.string())
             if rows:
-                yield pa.RecordBatch.from_arrays([batch.column("row"), kept, n_removed, n_words], ["row", "kept_text", "n_removed", "n_words"])
+                names = [c for c in batch.schema.names if c != "__removed"]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), kept, n_removed, n_words], [*names, "__kept", "__n_removed", "__n_words"])
                 continue
             digests = pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), n_words, n_removed, kept, digests], ["key", "n_words", "n_removed", "kept_text", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column("__key"), n_words, n_removed, kept, digests], ["__key", "n_words", "n_removed", "kept_text", "kept_sha256"])
 
     return run
 
 
 def repeated_anchors(keyed: DataFrame, n: int) -> DataFrame:
-    """(key, starts): cover positions whose 8 words occur more than once in the corpus."""
+    """(__key, __anchors): cover positions whose 8 words occur more than once in the corpus."""
     blocks = keyed.mapInArrow(_anchor_blocks(n), "bucket int, c0 binary, c1 binary, c2 binary, key long, starts array<int>")
-    spread = blocks.repartition(n, F.coalesce("bucket", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")))
-    hits = spread.mapInArrow(_per_bucket(_repeated_anchors, (np.uint64, np.int64, np.int32)), _HITS)
-    return hits.groupBy("key").agg(F.flatten(F.collect_list("starts")).alias("anchors"))
+    hits = _spread(blocks, n).mapInArrow(_per_bucket(_repeated_anchors, (np.uint64, np.int64, np.int32)), _HITS)
+    return hits.groupBy(F.col("key").alias("__key")).agg(F.flatten(F.collect_list("starts")).alias("__anchors"))
+
 
+def _spread(blocks: DataFrame, n: int) -> DataFrame:
+    """Blocks by bucket; rows that are hits already go anywhere."""
+    return blocks.repartition(n, F.coalesce("bucket", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")))
 
-def removals(keyed: DataFrame) -> DataFrame:
-    """(key, removed): starts of the windows that also start earlier, of documents that have such."""
-    n = bucket_count(keyed)
-    anchors = materialize(repeated_anchors(keyed, n))
-    blocks = keyed.join(anchors, "key").mapInArrow(_window_blocks(n), "bucket int, c0 binary, c1 binary, c2 binary, c3 binary, key long, starts array<int>")
-    spread = blocks.repartition(n, F.coalesce("bucket", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")))
-    later = spread.mapInArrow(_per_bucket(_later_windows, (np.uint64, np.uint64, np.int64, np.int32)), _HITS)
-    return later.groupBy("key").agg(F.flatten(F.collect_list("starts")).alias("removed"))
 
+def _keyed(docs: DataFrame, doc_id: str) -> DataFrame:
+    return docs.withColumn("__key", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_KEY)))
 
-def _slim(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(text).alias("text"))
+
+def removals(keyed: DataFrame, text: str) -> DataFrame:
+    """(__key, __removed): starts of the windows that also start earlier, of documents that have such.
+
+    ``keyed`` goes into the join with all its columns, as it will in the caller's join with the result,
+    so that Spark shuffles it once for both.
+    """
+    slim = keyed.select("__key", F.col(text).alias("text"))
+    n = bucket_count(slim)
+    anchors = materialize(repeated_anchors(slim, n))
+    blocks = keyed.join(anchors, "__key").mapInArrow(_window_blocks(n, text), "bucket int, c0 binary, c1 binary, c2 binary, c3 binary, key long, starts array<int>")
+    later = _spread(blocks, n).mapInArrow(_per_bucket(_later_windows, (np.uint64, np.uint64, np.int64, np.int32)), _HITS)
+    return later.groupBy(F.col("key").alias("__key")).agg(F.flatten(F.collect_list("starts")).alias("__removed"))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_words, n_removed, kept_text, kept_sha256) for each row; key: doc_id, null as NO_KEY."""
-    keyed = _slim(docs, doc_id, text)
-    joined = keyed.join(removals(keyed), "key", "left")
-    return joined.mapInArrow(_rewrite(False), "key long, n_words long, n_removed long, kept_text string, kept_sha256 string")
+    """(__key, n_words, n_removed, kept_text, kept_sha256) for each row; __key: doc_id, null as NO_KEY."""
+    keyed = _keyed(docs, doc_id).select("__key", F.col(text).alias("text"))
+    joined = keyed.join(removals(keyed, "text"), "__key", "left")
+    return joined.mapInArrow(_rewrite("text", False), "__key long, n_words long, n_removed long, kept_text string, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
@@ -279,18 +288,16 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Texts that lose nothing stay as they are, to the byte; a document that loses all its words goes.
     """
-    joined = docs.withColumn("__key", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_KEY)))
-    removed = removals(_slim(docs, doc_id, text)).withColumnRenamed("key", "__key").withColumnRenamed("removed", "__removed")
-    hit = joined.join(removed, "__key", "left")
-    carried = hit.select(F.struct(docs.columns).alias("row"), F.col("__key").alias("key"), F.col(text).alias("text"), F.col("__removed").alias("removed"))
-    schema = T.StructType([T.StructField("row", carried.schema["row"].dataType), T.StructField("kept_text", T.StringType()), T.StructField("n_removed", T.LongType()), T.StructField("n_words", T.LongType())])
-    done = carried.mapInArrow(_rewrite(True), schema)
-    changed = F.col("n_removed") > 0
-    new = F.when(changed, F.col("kept_text")).otherwise(F.col(f"row.{text}"))
-    columns = [new.alias(c) if c == text else F.when(changed, F.length("kept_text")).otherwise(F.col(f"row.{c}")).cast(docs.schema[c].dataType).alias(c) if c == n_chars else F.col("row")[c].alias(c) for c in docs.columns]
-    return done.where(~changed | (F.col("n_removed") < F.col("n_words"))).select(columns)
+    keyed = _keyed(docs, doc_id)
+    joined = keyed.join(removals(keyed, text), "__key", "left")
+    added = [T.StructField("__kept", T.StringType()), T.StructField("__n_removed", T.LongType()), T.StructField("__n_words", T.LongType())]
+    done = joined.select(*docs.columns, "__removed").mapInArrow(_rewrite(text, True), T.StructType([*docs.schema.fields, *added]))
+    changed = F.col("__n_removed") > 0
+    new = {text: F.col("__kept"), n_chars: F.length("__kept")}
+    columns = [F.when(changed, new[c]).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c in new else F.col(c) for c in docs.columns]
+    return done.where(~changed | (F.col("__n_removed") < F.col("__n_words"))).select(columns)
 
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:
     out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select(F.nullif("key", F.lit(NO_KEY)).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+    return out.select(F.nullif("__key", F.lit(NO_KEY)).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
