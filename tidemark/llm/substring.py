@@ -12,7 +12,8 @@ window that holds one gets a 128-bit hash, and the earliest holder of each hash
 Scale: neither step pairs documents. Hashes travel in sorted binary blocks, one for each map slice
 and bucket. A slice sends one entry per distinct hash, so a passage that a third of all documents
 share costs one entry per slice of text and not one per document. The number of buckets follows
-the size of the input. Texts are shuffled once, by key, and the same partitioning serves both joins.
+the size of the input, so a task holds a bounded bucket; partitions take several buckets each beyond
+MOST_PARTITIONS. Texts are shuffled once, by key, and the same partitioning serves both joins.
 
 Edge cases: null text has no words; null doc_id sorts before all others; rows with the same doc_id
 count as one document (equal starts do not remove each other); extra columns pass through
@@ -40,6 +41,7 @@ ANCHOR = WINDOW - PERIOD + 1
 GRAM = 4
 NO_KEY = -(1 << 63)
 BUCKET_BYTES = 32 << 20
+MOST_PARTITIONS = 20_000
 
 _HITS = "key long, starts array<int>"
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
@@ -126,23 +128,35 @@ def _anchor_blocks(n: int):
 
 
 def _per_bucket(solve, kinds: tuple[type, ...]):
-    """Gather each bucket's blocks of a partition, solve it, and forward rows that are hits already."""
+    """Solve the blocks of one bucket after the other, and forward rows that are hits already.
+
+    The partition is sorted by bucket, so that only one bucket is held at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[list[np.ndarray]]] = {}
+        now, held = None, []
+
+        def solved() -> Iterator[pa.RecordBatch]:
+            if held:
+                key, start = solve(*(np.concatenate([p[i] for p in held]) for i in range(len(kinds))))
+                held.clear()
+                if len(key):
+                    yield _hit_rows(key, start)
+
         for batch in batches:
             bucket = batch.column("bucket")
             ready = pc.is_null(bucket)
             if pc.any(ready).as_py():
                 yield pa.RecordBatch.from_arrays([c.filter(ready) for c in (batch.column("key"), batch.column("starts"))], ["key", "starts"])
-            for row in range(batch.num_rows):
-                if bucket[row].is_valid:
-                    held.setdefault(bucket[row].as_py(), []).append([np.frombuffer(batch.column(f"c{i}")[row].as_buffer(), kind) for i, kind in enumerate(kinds)])
-        for b in list(held):
-            parts = held.pop(b)
-            key, start = solve(*(np.concatenate([p[i] for p in parts]) for i in range(len(kinds))))
-            if len(key):
-                yield _hit_rows(key, start)
+            for row, b in enumerate(bucket.to_pylist()):
+                if b is None:
+                    continue
+                if b != now:
+                    yield from solved()
+                    now = b
+                # copied: a view would keep the whole batch
+                held.append([np.frombuffer(batch.column(f"c{i}")[row].as_buffer(), kind).copy() for i, kind in enumerate(kinds)])
+        yield from solved()
 
     return run
 
@@ -254,8 +268,9 @@ def repeated_anchors(keyed: DataFrame, n: int) -> DataFrame:
 
 
 def _spread(blocks: DataFrame, n: int) -> DataFrame:
-    """Blocks by bucket; rows that are hits already go anywhere."""
-    return blocks.repartition(n, F.coalesce("bucket", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")))
+    """Blocks by bucket, buckets in order; rows that are hits already go anywhere."""
+    to = F.coalesce("bucket", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int"))
+    return blocks.repartition(min(n, MOST_PARTITIONS), to).sortWithinPartitions("bucket")
 
 
 def _keyed(docs: DataFrame, doc_id: str) -> DataFrame:
@@ -301,3 +316,22 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:
     out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select(F.nullif("__key", F.lit(NO_KEY)).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+# DuckDB: every window as a string, the first holder of each kept.
+ORACLE = r"""
+with w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') ws from documents
+), g as (
+  select doc_id, unnest(list_transform(range(1, greatest(len(ws) - 18, 1)), lambda i: {'i': i, 'g': array_to_string(ws[i : i + 19], ' ')})) x from w where len(ws) >= 20
+), later as (
+  select doc_id, x.i i from g qualify row_number() over (partition by x.g order by doc_id, x.i) > 1
+), gone as (
+  select distinct doc_id, unnest(range(i, i + 20)) p from later
+), words as (
+  select doc_id, unnest(list_transform(range(1, len(ws) + 1), lambda i: {'p': i, 'w': ws[i]})) x from w
+), kept as (
+  select words.doc_id, count(*) n, string_agg(x.w, ' ' order by x.p) t from words anti join gone on words.doc_id = gone.doc_id and words.x.p = gone.p group by words.doc_id
+)
+select w.doc_id, len(ws)::bigint n_words, (len(ws) - coalesce(n, 0))::bigint n_removed, sha256(coalesce(t, '')) kept_sha256 from w left join kept using (doc_id)
+"""

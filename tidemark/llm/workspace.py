@@ -23,20 +23,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends at replicated files.
 
     ``checkpoint()`` keeps rows uncompressed; a Parquet table is smaller, prunes columns and gives
-    the planner true sizes, so it is what every operator here uses.
+    the planner true sizes, so it is what every operator here uses. The result is lazy and reads these
+    files, so they stay until the folder is cleared, as checkpoints do.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/tidemark-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def discard(*frames: DataFrame) -> None:
-    """Delete tables written by :func:`materialize` once nothing reads them any more."""
-    for df in frames:
-        jvm = df.sparkSession._jvm
-        conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        for file in df.inputFiles()[:1]:
-            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
-            if folder.getName().startswith("tidemark-"):
-                folder.getFileSystem(conf).delete(folder, True)
