@@ -241,7 +241,7 @@ def test_bad_host_goes(spark, none, odd):
 # decontamination
 
 
-def test_decontamination(spark, none):
+def test_decontamination(spark, none, tmp_path):
     rng = random.Random(2)
     word = lambda: "".join(rng.choices("abcdefgh", k=5))
     item = [word() for _ in range(40)]
@@ -256,6 +256,13 @@ def test_decontamination(spark, none):
     assert set(found) == {(d, 1) for d in (0, 1, 2, 3, 50, *range(25, 31))}
     assert found[0, 1] == 40 and found[2, 1] == 20 and found[25, 1] >= 31
     assert {r.doc_id for r in decontam.drop_contaminated(docs, benchmark).collect()} == {10, 11, 12, 15, 16, 51, None}
+    docs.write.parquet(str(tmp_path / "d"))
+    benchmark.write.parquet(str(tmp_path / "b"))
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    con.sql(f"create view benchmark as select * from '{tmp_path}/b/*.parquet'")
+    want = {(d, i): (m, round(x, 6)) for d, i, m, x in con.sql(decontam.ORACLE).select("doc_id", "item_id", "matches", "share").fetchall()}
+    assert {(r.doc_id, r.item_id): (r.matches, round(r.share, 6)) for r in decontam.contaminated(docs, benchmark).collect()} == want
     assert decontam.contaminated(none, benchmark).count() == 0 and decontam.contaminated(docs, benchmark.limit(0)).count() == 0
 
 

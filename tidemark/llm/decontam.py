@@ -139,3 +139,39 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+# DuckDB: seeds as joined tokens; the best stretch from prefix sums, their running minimum and its first place.
+ORACLE = r"""
+with d as (
+  select row_number() over () r, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D.,;:!?"''()\[\]{}]+'), lambda w: w <> '') t from documents
+), b as (
+  select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D.,;:!?"''()\[\]{}]+'), lambda w: w <> '') t from benchmark
+), dw as (
+  select r, unnest(list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'a': [t[i], t[i+1], t[i+2], t[i+3], t[i+5], t[i+6], t[i+8], t[i+9]], 'b': [t[i], t[i+1], t[i+3], t[i+4], t[i+5], t[i+6], t[i+8], t[i+9]]})) x from d where len(t) >= 10
+), bw as (
+  select item_id, unnest(list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'a': [t[i], t[i+1], t[i+2], t[i+3], t[i+5], t[i+6], t[i+8], t[i+9]], 'b': [t[i], t[i+1], t[i+3], t[i+4], t[i+5], t[i+6], t[i+8], t[i+9]]})) x from b where len(t) >= 10
+), hit as (
+  select r, item_id, dw.x.i - bw.x.i s from dw join bw on dw.x.a = bw.x.a
+  union
+  select r, item_id, dw.x.i - bw.x.i s from dw join bw on dw.x.b = bw.x.b
+), tok as (
+  select r, item_id, s, i, (case when i + s >= 1 then coalesce(d.t[i + s] = b.t[i], false) else false end)::int e
+  from hit join d using (r) join b using (item_id), unnest(range(1, len(b.t) + 1)) u(i)
+), sums as (
+  select *, sum(case when e = 1 then 1 else -4 end) over w p, sum(e) over w h from tok window w as (partition by r, item_id, s order by i)
+), runs as (
+  select *, least(0, min(p) over (partition by r, item_id, s order by i)) m from sums
+), best as (
+  select r, item_id, s, max(p - m) g from runs group by all having max(p - m) > 0
+), stop as (
+  select r, item_id, s, arg_max(i, i) i, arg_max(h, i) h, arg_max(m, i) m from runs join best using (r, item_id, s) where p - runs.m = g group by all
+), begun as (
+  select stop.r, stop.item_id, stop.s, stop.i, stop.h, coalesce(min(runs.i) filter (stop.m < 0), 0) j, coalesce(arg_min(runs.h, runs.i) filter (stop.m < 0), 0) jh
+  from stop left join runs on runs.r = stop.r and runs.item_id = stop.item_id and runs.s = stop.s and runs.p = stop.m group by all
+), found as (
+  select r, item_id, (h - jh)::bigint matches, (h - jh) / (i - j) share from begun
+)
+select doc_id, item_id, max(matches)::bigint matches, max(share)::double share from found join d using (r)
+where matches >= 10 and share >= 0.8 group by doc_id, item_id
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, quality, substring
+from tidemark.llm import chat, decontam, quality, substring
 from tidemark.llm.chat import op1_chat_tool_links
 from tidemark.llm.decontam import op2_decontamination
 from tidemark.llm.extraction import op7_html_text
@@ -22,4 +22,4 @@ QUERIES = {
     )
 }
 
-ORACLES = {"op1_chat_tool_links": chat.ORACLE, "op4_substring_dedup": substring.ORACLE, "op5_quality_rules": quality.ORACLE}
+ORACLES = {"op1_chat_tool_links": chat.ORACLE, "op2_decontamination": decontam.ORACLE, "op4_substring_dedup": substring.ORACLE, "op5_quality_rules": quality.ORACLE}
