@@ -64,7 +64,7 @@ def _without_points(t: tk.Texts) -> tk.Texts:
 class WordIds:
     """Token ids of words, each distinct word encoded once; forgets all beyond ``limit`` words."""
 
-    def __init__(self, path: str, limit: int = 1_000_000) -> None:
+    def __init__(self, path: str, limit: int = 600_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
