@@ -402,6 +402,47 @@ def test_html():
     assert extraction.main_text(split) == " ".join(f"Paragraph {i}, which is long enough, to score." for i in range(3))
 
 
+def _paragraph(i):
+    return f"Paragraph number {i} has some words, a few commas, and it is long enough to count."
+
+
+def _marked(a, b):
+    return "".join(f"<p>{_paragraph(i)}</p>" for i in range(a, b))
+
+
+def _plain(a, b):
+    return " ".join(map(_paragraph, range(a, b)))
+
+
+LAYOUTS = {
+    "sections": (f"<div class='w'><section><h2>One</h2>{_marked(0, 4)}</section><section><h2>Two</h2><p>Tiny.</p></section></div><footer>f</footer>", f"One {_plain(0, 4)} Two Tiny."),
+    "article of sections": (f"<article><h1>T</h1><section>{_marked(0, 4)}</section><section><p>Tiny.</p></section></article>", f"T {_plain(0, 4)} Tiny."),
+    "tail in main": (f"<main><h1>T</h1><div>{_marked(0, 5)}</div><p>Short tail.</p></main>", f"T {_plain(0, 5)} Short tail."),
+    "says it has a sidebar": (f"<div class='content has-sidebar'><div class='post-body'>{_marked(0, 3)}</div><div class='sidebar'>{_marked(5, 7)}</div></div>", _plain(0, 3)),
+    "humps": (f"<div class='siteHeader'>{_marked(8, 9)}</div><div class='articleBody'>{_marked(0, 3)}</div><div class='userComments'>{_marked(5, 9)}</div>", _plain(0, 3)),
+    "headings called header": (f"<article class='header'><h1 class='entry-header'>T</h1>{_marked(0, 2)}<h2 class='section-header'>S</h2>{_marked(2, 3)}</article>", f"T {_plain(0, 2)} S {_plain(2, 3)}"),
+    "header of the article": (f"<article><header><h1>Title</h1><p>By someone</p></header>{_marked(0, 3)}</article>", f"Title {_plain(0, 3)}"),
+    "notices that say content": (f"<div class='cookie-content'>{_marked(5, 8)}</div><div id='content'>{_marked(0, 3)}<div class='content-notice'>{_marked(5, 6)}</div></div>", _plain(0, 3)),
+    "figure": (f"<article>{_marked(0, 3)}<figure><img src=x><figcaption>A caption.</figcaption></figure></article>", f"{_plain(0, 3)} A caption."),
+    "title beside the body": (f"<div class='page'><h1>Title</h1><div class='body'>{_marked(0, 4)}</div></div>", f"Title {_plain(0, 4)}"),
+    "title of the site": (f"<h1>Site</h1><div id='content'><h1>Title</h1>{_marked(0, 4)}</div>", f"Title {_plain(0, 4)}"),
+    "quotes in attributes": (f"<article><p>See <a href=x title=it's>this</a> and <a href='x>that</a>.</p>{_marked(0, 3)}</article>", f"See this and that. {_plain(0, 3)}"),
+    "teasers": (f"<main><article><h1>T</h1>{_marked(0, 6)}</article><article class='teaser'><a href=x>Read more of this one, a long link text.</a><p>x</p></article></main>", f"T {_plain(0, 6)}"),
+    "table and lists": (f"<article>{_marked(0, 2)}<table><tr><td>a</td><td>1</td></tr></table><dl><dt>Term</dt><dd>Meaning</dd></dl><pre>x  =  1</pre></article>", f"{_plain(0, 2)} a 1 Term Meaning x = 1"),
+    "roles": (f"<div role='navigation'>{_marked(9, 12)}</div><div role='main'>{_marked(0, 3)}</div><div role='alert'>{_marked(9, 12)}</div>", _plain(0, 3)),
+    "comments inside": (f"<article>{_marked(0, 3)}<div class='comment-list'><div class='comment'>{_marked(4, 9)}</div></div></article><section class='responses'>{_marked(4, 9)}</section>", _plain(0, 3)),
+    "all cut by class": (f"<div class='popup-wrap'>{_marked(0, 3)}</div>", _plain(0, 3)),
+    "stray signs": (f"<article><p>If a < b and c<3, then.</p>{_marked(1, 3)}</article>", f"If a < b and c<3, then. {_plain(1, 3)}"),
+    "very deep": ("<div>" * 3000 + _marked(0, 3) + "</div>" * 3000, _plain(0, 3)),
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_html_layouts(layout):
+    body, text = LAYOUTS[layout]
+    assert extraction.main_text(f"<html><body class='single sidebar-right'>{body}</body></html>") == text
+
+
 def test_html_frames(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (2, None, None), (2, None, None)], "page_id long, url string, html string")
     got = extraction.extract(pages).collect()

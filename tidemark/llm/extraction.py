@@ -2,16 +2,18 @@
 
 The page is read into a tree. Paragraphs pass points for length and commas to their ancestors: all to
 the parent, half to the grandparent, less beyond. A container's points are discounted by its
-link density; the best container is kept, with siblings that score well beside it. Menus, headers,
-footers, sidebars, notices, adverts, forms, comments, scripts and styles are cut out of the tree by
-their tags and by what their class, id and role say.
+link density. The best container is kept, or the article or main around it, with siblings that score
+well or are of its kind, and the headings before them. Menus, headers, footers, sidebars, notices,
+adverts, forms, comments, scripts and styles are cut out of the tree by their tags and by what their
+class, id and role say. Of a header inside an article the headings are kept.
 
 Scale: pages are independent: one pass without a shuffle, Arrow batches cut by bytes, the tree of one
 page at a time in memory.
 
 Edge cases: null or empty html gives an empty text; unclosed and truncated markup is closed at the
 end; an unfinished tag at the end of the page is dropped; a page whose paragraphs are all short
-falls back to its article, main or body; repeated rows are read one by one; extra columns are ignored
+falls back to its article, main or body; a page that cuts by class leave empty is read without them;
+repeated rows are read one by one; extra columns are ignored
 by the query and kept by :func:`extract`; an empty table gives an empty result.
 """
 
@@ -27,51 +29,74 @@ from pyspark.sql import types as T
 
 from tidemark.llm import textkernel as tk
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea svg math iframe object select title canvas video audio".split())
-_DROPPED = frozenset("head nav header footer aside form button menu dialog figure label fieldset input".split()) | _RAW
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+_RAW = frozenset("script style noscript template textarea svg iframe object select title canvas video audio".split())
+_DROPPED = frozenset("head nav header footer aside form button menu dialog label fieldset input".split()) | _RAW
+_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark math q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PARAGRAPHS = frozenset("p pre td blockquote li dd div section article main body".split())
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 # a block tag ends an open paragraph
 _ENDS_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}}
 
-_UNLIKELY = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|popup|modal|overlay|notice|alert|disclaimer|"
-    r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|sidebar|side|aside|rail|header|masthead|footer|foot|comments?|commentlist|respond|replies|disqus|"
-    r"share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|widget|tags|toc|copyright|legal|skip|meta|byline|complementary|contentinfo|hidden)(?:$|[\s_-])",
-    re.I,
+def _words(text: str) -> re.Pattern:
+    return re.compile(rf"(?:^|[\s_-])(?:{text})(?:$|[\s_-])", re.I)
+
+
+_STRONG = _words(
+    r"ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|popup|modal|overlay|notice|alert|alertdialog|disclaimer|"
+    r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|sidebar|aside|footer|comments?|commentlist|respond|responses|replies|disqus|discussion|"
+    r"share|sharing|related|recommended|newsletter|subscribe|subscription|signup|complementary|contentinfo|hidden"
 )
-_LIKELY = re.compile(r"(?:^|[\s_-])(?:article|post|entry|content|main|body|story|text|blog|page)(?:$|[\s_-])", re.I)
+# these don't count for headings, nor against a name that also speaks for content
+_WEAK = _words(r"side|rail|foot|social|login|search|widget|tags|toc|copyright|legal|skip|meta|byline")
+_HEADER = _words(r"header|masthead")
+_LIKELY = _words(r"article|post|entry|content|main|body|story|text|blog|page")
+_SAYS_OTHERWISE = re.compile(r"(?:^|\s)(?:has|no|with|without)[-_]\S+", re.I)
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
+
+
+_IN_HEADER = "\0header"  # the kind of a header inside an article; no class has it
+_DEPTH = 512  # deeper elements become siblings, as in browsers: ancestors are walked for every block
 
 
 class Node:
-    __slots__ = ("tag", "parent", "likely", "score", "chars", "links")
+    __slots__ = ("tag", "parent", "likely", "kind", "points", "score", "chars", "links")
 
-    def __init__(self, tag: str, parent: Node | None, likely: bool) -> None:
-        self.tag, self.parent, self.likely = tag, parent, likely
-        self.score, self.chars, self.links = 0.0, 0, 0
+    def __init__(self, tag: str, parent: Node | None, likely: bool = False, kind: str = "") -> None:
+        self.tag, self.parent, self.likely, self.kind = tag, parent, likely, kind
+        self.points, self.score, self.chars, self.links = 0.0, 0.0, 0, 0
 
 
-def _unlikely(tag: str, attributes: str) -> tuple[bool, bool]:
-    says, hidden = "", False
+def _read_attributes(tag: str, attributes: str, by_class: bool) -> tuple[str, bool, str, bool]:
+    """What to do with the element ("cut", "header" or ""), whether it speaks for content, its class, and whether its role is main."""
+    says, kind, hidden, main = "", "", False, False
     for name, value in _ATTRIBUTE.findall(attributes):
         value, name = value.strip("\"'"), name.lower()
         if name in ("class", "id", "role"):
             says += f" {value}"
+            kind = value if name == "class" else kind
+            main = main or (name == "role" and value.lower() == "main")
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
             hidden = True
-    likely = bool(says and _LIKELY.search(says))
-    return hidden or (tag not in ("body", "html", "article", "main") and bool(says and _UNLIKELY.search(says)) and not (likely and tag in ("section", "div") and not re.search(r"comment|sidebar|footer|header|(?:^|[\s_-])ads?(?:$|[\s_-])|nav|menu|related|share", says, re.I))), likely
+    says = _HUMP.sub("-", _SAYS_OTHERWISE.sub(" ", says))
+    likely = bool(_LIKELY.search(says))
+    if hidden:
+        return "cut", likely, kind, main
+    if not by_class or not says or main or tag in ("body", "html", "article", "main"):
+        return "", likely, kind, main
+    if _STRONG.search(says) or (tag not in _HEADINGS and not likely and _WEAK.search(says)):
+        return "cut", likely, kind, main
+    return "header" if tag not in _HEADINGS and _HEADER.search(says) else "", likely, kind, main
 
 
-def blocks_of(page: str) -> tuple[list[tuple[Node, str, int]], Node]:
+def blocks_of(page: str, by_class: bool = True) -> tuple[list[tuple[Node, str, int]], Node]:
     """The blocks (their node, text, characters in links) that aren't cut out, in page order, and the root."""
-    root = Node("#root", None, False)
+    root = Node("#root", None)
     stack = [root]
     dropped: list[str] = []  # open tags from the one that is cut out on
     blocks: list[tuple[Node, str, int]] = []
@@ -83,6 +108,11 @@ def blocks_of(page: str) -> tuple[list[tuple[Node, str, int]], Node]:
         nonlocal held
         if held:
             text = " ".join(html.unescape("".join(x for x, _ in held)).split())
+            x: Node | None = owner
+            while text and owner.tag not in _HEADINGS and x is not None:  # of a header in an article only headings stay
+                if x.kind == _IN_HEADER:
+                    text = ""
+                x = x.parent
             if text:
                 links = sum(len(x) for x, linked in held if linked)
                 blocks.append((owner, text, min(links, len(text))))
@@ -140,7 +170,9 @@ def blocks_of(page: str) -> tuple[list[tuple[Node, str, int]], Node]:
             if not alone and tag not in ("p", "li", "option", "dt", "dd", "tr", "td", "th"):
                 dropped.append(tag)
             continue
-        out, likely = _unlikely(tag, m[3]) if m[3] else (False, False)
+        act, likely, kind, main = _read_attributes(tag, m[3], by_class) if m[3] else ("", False, "", False)
+        if tag == "header" and not act:
+            act = "header"
         if tag not in _INLINE:
             flush()
             if tag in _ENDS_P:
@@ -159,21 +191,23 @@ def blocks_of(page: str) -> tuple[list[tuple[Node, str, int]], Node]:
                         break
                     if stack[k].tag in _SCOPE.get(tag, ()):
                         break
-        if tag in _DROPPED or out:
+        if act == "header" and any(x.tag in ("article", "main") or (x.likely and x.tag not in ("body", "html")) for x in stack):
+            likely, kind = False, _IN_HEADER
+        elif tag in _DROPPED or act:
             if not alone:
                 dropped.append(tag)
             continue
         if not alone:
-            stack.append(Node(tag, stack[-1], likely))
+            if len(stack) >= _DEPTH:
+                pop()
+            stack.append(Node(tag, stack[-1], likely, "main" if main else kind))
             in_link += tag == "a"
     flush()
     return blocks, root
 
 
-def main_text(page: str | None) -> str:
-    if not page:
-        return ""
-    blocks, root = blocks_of(page)
+def _points(blocks: list[tuple[Node, str, int]]) -> list[Node]:
+    """The nodes around the blocks, with their characters, link characters, points and scores."""
     nodes: dict[int, Node] = {}
     for node, text, links in blocks:
         x: Node | None = node
@@ -187,34 +221,53 @@ def main_text(page: str | None) -> str:
             continue
         points = 1 + text.count(",") + min(len(text) // 100, 3)
         # text directly in a container speaks for the container itself
-        x, share = (node if node.tag in ("div", "section", "article", "main", "body") else node.parent), 1.0
-        depth = 0
+        x, share, depth = (node if node.tag in ("div", "section", "article", "main", "body") else node.parent), 1.0, 0
         while x is not None and x.parent is not None:
-            x.score += points * share
+            x.points += points * share
             depth += 1
             share = 0.5 if depth == 1 else 1 / (depth * 3)
             x = x.parent
-    best, most = None, 0.0
     for x in nodes.values():
-        if x.parent is None or x.tag == "html":
-            continue
-        x.score = (x.score + (25 if x.score and (x.tag in ("article", "main") or x.likely) else 0)) * (1 - x.links / x.chars)
-        if x.score > most:
-            best, most = x, x.score
-    if best is None:
-        for tag in ("article", "main", "body", "#root"):
-            best = next((x for x in nodes.values() if x.tag == tag), None)
-            if best is not None:
-                break
-    if best is None:
+        bonus = 25 if x.points and (x.tag in ("article", "main") or x.likely) else 0
+        density = x.links / x.chars
+        x.score, x.points = (x.points + bonus) * (1 - density), x.points * (1 - density)
+    return list(nodes.values())
+
+
+def _best(nodes: list[Node]) -> Node | None:
+    """The container of the highest score, or the outermost article, or else the main, around it."""
+    scored = [x for x in nodes if x.parent is not None and x.tag != "html" and x.score > 0]
+    if not scored:
+        return next((x for tag in ("article", "main", "body", "#root") for x in nodes if x.tag == tag), None)
+    best = around = max(scored, key=lambda x: x.score)
+    above = []
+    while around is not None:
+        above.append(around)
+        around = around.parent
+    articles = [x for x in above if x.tag == "article"]
+    mains = [x for x in above if x.tag == "main" or x.kind == "main"]
+    return articles[-1] if articles else mains[-1] if mains else best
+
+
+def main_text(page: str | None, by_class: bool = True) -> str:
+    if not page:
         return ""
-    chosen = {id(best)}
-    if best.parent is not None and best.tag not in ("body", "html"):
-        for x in nodes.values():
-            if x.parent is best.parent and x.tag not in ("ul", "ol", "table") and x.score >= max(10, 0.2 * most):
+    blocks, _ = blocks_of(page, by_class)
+    nodes = _points(blocks)
+    best = _best(nodes)
+    if best is None:
+        return main_text(page, False) if by_class else ""
+    chosen, siblings = {id(best)}, best.parent
+    if siblings is not None and best.tag not in ("body", "html"):
+        for x in nodes:
+            if x.parent is not siblings or x.tag in ("ul", "ol", "table"):
+                continue
+            alike = x.tag == best.tag and x.kind == best.kind and (x.tag == "section" or (x.tag == "div" and x.kind))
+            if x.points >= max(10, 0.2 * best.points) or (alike and x.links < 0.3 * x.chars):
                 chosen.add(id(x))
-    siblings = best.parent
-    kept = []
+    kept: list[tuple[str, str]] = []
+    before: list[str] = []  # headings beside the chosen nodes, kept if a chosen node follows
+    titled = False
     for node, text, links in blocks:
         x, menu = node, False
         while x is not None and id(x) not in chosen:
@@ -222,10 +275,18 @@ def main_text(page: str | None) -> str:
             x = x.parent
         if x is not None:
             if not menu:
-                kept.append(text)
-        elif node.parent is siblings and node.tag == "p" and siblings is not None and len(text) > 80 and links < 0.25 * len(text):
-            kept.append(text)
-    return " ".join(kept)
+                titled = titled or node.tag == "h1"
+                kept += [("beside", h) for h in before] + [(node.tag, text)]
+            before = []
+        elif node.parent is siblings and siblings is not None and node.tag in _HEADINGS:
+            before.append(text)
+        else:
+            before = []
+            if node.parent is siblings and node.tag == "p" and siblings is not None and len(text) > 80 and links < 0.25 * len(text):
+                kept.append((node.tag, text))
+    if titled and kept[0][0] == "beside":  # the chosen text has its own title: the one before it is the site's
+        kept = kept[next(k for k, (tag, _) in enumerate(kept) if tag != "beside") :]
+    return " ".join(text for _, text in kept)
 
 
 def _extracted(column: str):
