@@ -132,6 +132,48 @@ def test_without_repeats(docs, odd, none):
     assert substring.without_repeats(odd).count() == 5 and substring.without_repeats(none).count() == 0
 
 
+def _sorted_blocks(batches):
+    """The blocks of all tasks as one partition would read them, a few rows at a time."""
+    table = pa.Table.from_batches([b for b in batches if len(b)]).sort_by("bucket")
+    return table.to_batches(max_chunksize=3)
+
+
+@pytest.mark.parametrize("held", [64, 2000, 1 << 20])
+def test_many_slices_of_a_hot_passage(monkeypatch, held):
+    """Buckets that are reduced while they are read lose nothing."""
+    rng = random.Random(5)
+    word = lambda: rng.choice("abcdefgh") * rng.randint(1, 3)
+    hot = [word() for _ in range(31)]
+    rows = []
+    for i in rng.sample(range(90), 90):
+        w = [word() for _ in range(rng.randint(0, 40))]
+        if i % 3 == 0:
+            a, b = rng.randint(0, 8), rng.randint(22, 31)
+            w[len(w) // 2 : len(w) // 2] = hot[a:b]
+        if i % 7 == 0:
+            w += w
+        rows.append((i, " ".join(w)))
+    monkeypatch.setattr(substring, "BUCKET_BYTES", held)
+    monkeypatch.setattr(tk, "gathered", lambda batches, text="text", **_: (b.slice(i, 2) for b in batches for i in range(0, len(b), 2)))
+    schema = pa.schema([("__key", pa.int64()), ("text", pa.string())])
+    batch = pa.record_batch([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], schema=schema)
+    tasks = [batch.slice(0, 50), batch.slice(50)]
+    hits = defaultdict(list)
+    blocks = [b for t in tasks for b in substring._anchor_blocks(2)(iter([t]))]
+    for out in substring._per_bucket(substring._repeated_anchors, (np.uint64, np.int64, np.int32))(iter(_sorted_blocks(blocks))):
+        for r in out.to_pylist():
+            hits[r["key"]] += r["starts"]
+    anchored = [t.filter(pa.array([k in hits for k in t.column("__key").to_pylist()])) for t in tasks]
+    anchored = [t.append_column("__anchors", pa.array([hits[k] for k in t.column("__key").to_pylist()], pa.list_(pa.int32()))) for t in anchored]
+    blocks = [b for t in anchored for b in substring._window_blocks(2, "text")(iter([t]))]
+    removed = defaultdict(set)
+    for out in substring._per_bucket(substring._later_windows, (np.uint64, np.uint64, np.int64, np.int32))(iter(_sorted_blocks(blocks))):
+        for r in out.to_pylist():
+            removed[r["key"]] |= {p for s in r["starts"] for p in range(s, s + 20)}
+    want = brute_substring(rows)
+    assert {d: len(removed[d]) for d in want} == {d: r for d, (_, r, _) in want.items()} and sum(r for _, r, _ in want.values()) > 500
+
+
 # simhash
 
 

@@ -12,8 +12,9 @@ window that holds one gets a 128-bit hash, and the earliest holder of each hash
 Scale: neither step pairs documents. Hashes travel in sorted binary blocks, one for each map slice
 and bucket. A slice sends one entry per distinct hash, so a passage that a third of all documents
 share costs one entry per slice of text and not one per document. The number of buckets follows
-the size of the input, so a task holds a bounded bucket; partitions take several buckets each beyond
-MOST_PARTITIONS. Texts are shuffled once, by key, and the same partitioning serves both joins.
+the size of the input. A bucket is reduced to one entry per distinct hash while it is read, every
+BUCKET_BYTES or at twice its reduced size, so a hot passage doesn't fill a task's memory. Partitions
+take several buckets each beyond MOST_PARTITIONS. Texts are shuffled once, by key, and the same partitioning serves both joins.
 
 Edge cases: null text has no words; null doc_id sorts before all others; rows with the same doc_id
 count as one document (equal starts do not remove each other); extra columns pass through
@@ -130,16 +131,23 @@ def _anchor_blocks(n: int):
 def _per_bucket(solve, kinds: tuple[type, ...]):
     """Solve the blocks of one bucket after the other, and forward rows that are hits already.
 
-    The partition is sorted by bucket, so that only one bucket is held at a time.
+    The partition is sorted by bucket, so that only one bucket is held at a time. ``solve`` gives the
+    hits among entries, and the entries, one per hash, that later ones have to be held against.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, size, most = None, [], 0, BUCKET_BYTES
 
-        def solved() -> Iterator[pa.RecordBatch]:
+        def solved(more: bool = False) -> Iterator[pa.RecordBatch]:
+            nonlocal size, most
             if held:
-                key, start = solve(*(np.concatenate([p[i] for p in held]) for i in range(len(kinds))))
+                key, start, rest = solve(*(np.concatenate([p[i] for p in held]) for i in range(len(kinds))))
                 held.clear()
+                size, most = 0, BUCKET_BYTES
+                if more:
+                    held.append(rest)
+                    size = sum(c.nbytes for c in rest)
+                    most = size + max(size, BUCKET_BYTES)
                 if len(key):
                     yield _hit_rows(key, start)
 
@@ -156,28 +164,30 @@ def _per_bucket(solve, kinds: tuple[type, ...]):
                     now = b
                 # copied: a view would keep the whole batch
                 held.append([np.frombuffer(batch.column(f"c{i}")[row].as_buffer(), kind).copy() for i, kind in enumerate(kinds)])
+                size += sum(c.nbytes for c in held[-1])
+                if size > most:
+                    yield from solved(more=True)
         yield from solved()
 
     return run
 
 
-def _repeated_anchors(h: np.ndarray, key: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _repeated_anchors(h: np.ndarray, key: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     order = np.argsort(h)
-    h = h[order]
-    size = np.diff(np.append(np.flatnonzero(_group_starts(h)), len(h)))
-    many = np.repeat(size > 1, size)
-    key, start = key[order][many], start[order][many]
-    known = start < 0  # the slice has reported those already
-    return key[~known], start[~known]
+    h, key, start = h[order], key[order], start[order]
+    head = np.flatnonzero(_group_starts(h))
+    size = np.diff(np.append(head, len(h)))
+    hit = np.repeat(size > 1, size) & (start >= 0)  # those below are reported already
+    return key[hit], start[hit], [h[head], key[head], np.where(size > 1, -1, start[head]).astype(np.int32)]
 
 
-def _later_windows(h: np.ndarray, g: np.ndarray, key: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _later_windows(h: np.ndarray, g: np.ndarray, key: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     order = np.lexsort((start, key, g, h))
     h, g, key, start = h[order], g[order], key[order], start[order]
     head = np.flatnonzero(_group_starts(h, g))
     size = np.diff(np.append(head, len(h)))
     later = (key != np.repeat(key[head], size)) | (start != np.repeat(start[head], size))
-    return key[later], start[later]
+    return key[later], start[later], [h[head], g[head], key[head], start[head]]
 
 
 def _flat_positions(t: tk.Texts, lists: pa.Array) -> np.ndarray:
