@@ -74,9 +74,11 @@ class Store:
         stream = fs.create(fresh, True)
         stream.writeUTF(version)
         stream.close()
-        if fs.exists(pointer):
-            fs.delete(pointer, False)
-        fs.rename(fresh, pointer)
+        # replaced in one step: readers see the old pointer or the new one
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        how = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+        how[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+        hadoop.FileContext.getFileContext(fs.getUri(), fs.getConf()).rename(fresh, pointer, how)
         return seen.get["rows"]
 
     def truncate(self, table: str) -> None:
