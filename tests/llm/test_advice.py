@@ -2,10 +2,10 @@
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus_pipeline
-from tidemark.llm import nearcopies
+from tidemark.llm import nearcopies, simhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -84,3 +84,20 @@ def test_near_copies_by_stars(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     assert [r.doc_id for r in nearcopies.keep_one(frame(spark, rows), width=3, similarity=0.9).sort("doc_id").collect()] == brute_kept(rows, 3, 0.9)
     assert [r.doc_id for r in nearcopies.keep_one(frame(spark, rows)).sort("doc_id").collect()] == brute_kept(rows, 5, 0.8)
+
+
+def test_null_and_repeated_ids_lose_no_group(spark):
+    rng = random.Random(13)
+    texts = [" ".join(prose(rng, 30)) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (4, texts[1]), (7, texts[2]), (7, texts[3]), (None, None), (8, ""), (9, texts[3]), (9, texts[4])]
+    got = corpus_pipeline.near_dedup(spark, frame(spark, rows), None).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (None, None), (9, texts[4])])
+    assert corpus_pipeline.near_dedup(spark, frame(spark, []), None).count() == 0
+
+
+def test_shared_ids_do_not_join_components(spark):
+    rng = random.Random(14)
+    a, b = (" ".join(prose(rng, 30)) for _ in range(2))
+    component = {(r.key, r.fp): r.component for r in simhash.near_duplicates(frame(spark, [(5, a), (5, b), (3, a + " "), (8, b)])).collect()}
+    fp = {k: f for k, f in component if k in (3, 8)}
+    assert component == {(3, fp[3]): 3, (5, fp[3]): 3, (5, fp[8]): 5, (8, fp[8]): 5}

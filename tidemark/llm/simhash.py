@@ -253,12 +253,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, fp, component) for each row; key: doc_id with null as NO_KEY."""
+    """(key, fp, component) for each row; key: doc_id with null as NO_KEY.
+
+    What links are fingerprints and not ids: rows without id, or of one id, do not join their components.
+    """
     keyed = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(text).alias("text"))
     marked = materialize(keyed.mapInArrow(_fingerprinted, "key long, fp long"))
     fps = materialize(marked.groupBy("fp").agg(F.min("key").alias("id")))
-    stars = components(links(fps))
-    named = materialize(fps.join(stars, fps["id"] == stars["a"], "left").select("fp", F.coalesce("b", "id").alias("component")))
+    stars = components(links(fps.select("fp", F.col("fp").alias("id"))))
+    grouped = materialize(fps.join(stars, fps["fp"] == stars["a"], "left").select("fp", "id", F.coalesce("b", "fp").alias("group")))
+    named = materialize(grouped.join(grouped.groupBy("group").agg(F.min("id").alias("component")), "group").select("fp", "component"))
     return marked.join(named, "fp").select("key", "fp", "component")
 
 
