@@ -5,7 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from tidemark.llm import nearcopies, simhash
+from tidemark.llm import nearcopies, simhash, substring
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -101,3 +101,23 @@ def test_shared_ids_do_not_join_components(spark):
     component = {(r.key, r.fp): r.component for r in simhash.near_duplicates(frame(spark, [(5, a), (5, b), (3, a + " "), (8, b)])).collect()}
     fp = {k: f for k, f in component if k in (3, 8)}
     assert component == {(3, fp[3]): 3, (5, fp[3]): 3, (5, fp[8]): 5, (8, fp[8]): 5}
+
+
+# substring dedup
+
+
+def test_substring_ids_shared_by_texts(spark):
+    """Null and repeated ids over texts of unequal length: each text loses its own later windows only."""
+    rng = random.Random(15)
+    run, other = prose(rng, 25), prose(rng, 40)
+    texts = [prose(rng, 300) + run, prose(rng, 30), run + prose(rng, 9), prose(rng, 60) + other + prose(rng, 4), other]
+    texts = [" ".join(w) for w in texts]
+    rows = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (None, None), (9, texts[4]), (9, "short"), (5, texts[3])]
+    got = Counter((r["__key"], r.n_words, r.n_removed) for r in substring.remove_repeats(frame(spark, rows)).collect())
+    null = substring.NO_KEY
+    assert got == Counter([(null, 325, 0), (null, 30, 0), (5, 34, 25), (5, 104, 0), (null, 0, 0), (9, 40, 40), (9, 1, 0), (5, 104, 0)])
+    kept = Counter((r.doc_id, r.text) for r in substring.without_repeats(frame(spark, rows)).collect())
+    tail = " ".join(texts[2].split()[25:])
+    assert kept == Counter([(None, texts[0]), (None, texts[1]), (5, tail), (5, texts[3]), (5, texts[3]), (None, None), (9, "short")])
+    twins = [(None, " ".join(run)), (None, "x " + " ".join(run) + " y")]
+    assert sum(r.n_removed for r in substring.remove_repeats(frame(spark, twins)).collect()) == 25

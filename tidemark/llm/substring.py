@@ -17,8 +17,10 @@ BUCKET_BYTES or at twice its reduced size, so a hot passage doesn't fill a task'
 take several buckets each beyond MOST_PARTITIONS. Texts are shuffled once, by key, and the same partitioning serves both joins.
 
 Edge cases: null text has no words; null doc_id sorts before all others; rows with the same doc_id
-count as one document (equal starts do not remove each other); extra columns pass through
-:func:`without_repeats` untouched; an empty table gives an empty result.
+and text count as one document (equal starts do not remove each other), rows with the same doc_id
+and different texts, null ids included, are documents of their own, the one with the smaller text hash
+earlier; extra columns pass through :func:`without_repeats` untouched; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -253,7 +255,7 @@ def _kept(batch: pa.RecordBatch, text: str) -> tuple[tk.Texts, np.ndarray, list[
 
 
 def _rewrite(text: str, rows: bool):
-    """rows: add the kept text and counts to the row; else give the key and the digest of the kept words."""
+    """rows: add the kept text and counts to the row; else give the id and the digest of the kept words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tk.slices(batches, text):
@@ -265,7 +267,7 @@ def _rewrite(text: str, rows: bool):
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), kept, n_removed, n_words], [*names, "__kept", "__n_removed", "__n_words"])
                 continue
             digests = pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("__key"), n_words, n_removed, kept, digests], ["__key", "n_words", "n_removed", "kept_text", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), n_words, n_removed, kept, digests], ["__key", "n_words", "n_removed", "kept_text", "kept_sha256"])
 
     return run
 
@@ -283,8 +285,19 @@ def _spread(blocks: DataFrame, n: int) -> DataFrame:
     return blocks.repartition(min(n, MOST_PARTITIONS), to).sortWithinPartitions("bucket")
 
 
-def _keyed(docs: DataFrame, doc_id: str) -> DataFrame:
-    return docs.withColumn("__key", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_KEY)))
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with __id, the doc_id with null as NO_KEY, and __key, which tells documents apart and orders them.
+
+    Where no id has different texts, __key is __id. Else it numbers the pairs of __id and text hash in order:
+    partitions of a sorted table follow each other, and so do their ids.
+    """
+    docs = docs.withColumn("__id", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_KEY)))
+    of = docs.select("__id", F.xxhash64(text).alias("__th"))
+    shared = of.groupBy("__id").agg(F.min("__th").alias("x"), F.max("__th").alias("y")).where("x < y")
+    if shared.isEmpty():
+        return docs.withColumn("__key", F.col("__id"))
+    number = materialize(of.distinct().orderBy("__id", "__th").withColumn("__key", F.monotonically_increasing_id()))
+    return docs.withColumn("__th", F.xxhash64(text)).join(number, ["__id", "__th"]).drop("__th")
 
 
 def removals(keyed: DataFrame, text: str) -> DataFrame:
@@ -303,7 +316,7 @@ def removals(keyed: DataFrame, text: str) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(__key, n_words, n_removed, kept_text, kept_sha256) for each row; __key: doc_id, null as NO_KEY."""
-    keyed = _keyed(docs, doc_id).select("__key", F.col(text).alias("text"))
+    keyed = _keyed(docs, doc_id, text).select("__key", "__id", F.col(text).alias("text"))
     joined = keyed.join(removals(keyed, "text"), "__key", "left")
     return joined.mapInArrow(_rewrite("text", False), "__key long, n_words long, n_removed long, kept_text string, kept_sha256 string")
 
@@ -313,7 +326,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Texts that lose nothing stay as they are, to the byte; a document that loses all its words goes.
     """
-    keyed = _keyed(docs, doc_id)
+    keyed = _keyed(docs, doc_id, text)
     joined = keyed.join(removals(keyed, text), "__key", "left")
     added = [T.StructField("__kept", T.StringType()), T.StructField("__n_removed", T.LongType()), T.StructField("__n_words", T.LongType())]
     done = joined.select(*docs.columns, "__removed").mapInArrow(_rewrite(text, True), T.StructType([*docs.schema.fields, *added]))
