@@ -5,7 +5,9 @@ import re
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from tidemark.llm import nearcopies, simhash, substring
+import pyarrow as pa
+from tidemark.llm import licenses, nearcopies, simhash, substring
+from tidemark.llm import textkernel as tk
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -121,3 +123,18 @@ def test_substring_ids_shared_by_texts(spark):
     assert kept == Counter([(None, texts[0]), (None, texts[1]), (5, tail), (5, texts[3]), (5, texts[3]), (None, None), (9, "short")])
     twins = [(None, " ".join(run)), (None, "x " + " ".join(run) + " y")]
     assert sum(r.n_removed for r in substring.remove_repeats(frame(spark, twins)).collect()) == 25
+
+
+# licences
+
+
+def found_in(*texts):
+    return [{name: round(v, 6) for name, (v, _) in x.items()} for x in licenses.Scanner().scan(tk.read_texts(pa.array(texts)))]
+
+
+def test_notices_beside_shared_bigrams():
+    """A notice that stands next to itself, or in running text that shares bigrams with it, is found as it is."""
+    long = next(t for _, t in licenses.TEMPLATES if t.startswith("Permission is hereby granted"))
+    around = "the software of this software and the rights to use of the software is granted " * 4
+    got = found_in("All rights reserved. All rights reserved.", "Released under the MIT License. Released under the MIT License.", around + long + " " + around, around)
+    assert got[0] == {"Proprietary": 1.0} and got[1]["MIT"] == 1.0 and got[2]["MIT"] == 1.0 and got[3] == {}

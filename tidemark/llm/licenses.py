@@ -1,10 +1,10 @@
 """Licence scans by Dice coefficient over word bigrams.
 
-Text is normalised (A-Z lower-cased, ASCII punctuation at word ends removed). Places of a document that
-share bigrams with a template are clustered; a cluster, and each line that has such bigrams, is a candidate
-passage. A passage is compared to a template only if its number of bigrams allows the coefficient
-``MIN_DICE``: 2 min(a, b) / (a + b) bounds it from above, which prunes most pairs. Bigrams are counted
-with their repeats.
+Text is normalised (A-Z lower-cased, ASCII punctuation at word ends removed). Of each template
+the best passage of a document counts, whatever stands around it: a passage that can't be bettered by
+cutting begins and ends at a shared bigram, so all such windows are judged whose number of bigrams allows the
+coefficient ``MIN_DICE``: 2 min(a, b) / (a + b) bounds it from above. Places with fewer shared bigrams in reach
+than that needs are passed over, which prunes most. Bigrams are counted with their repeats.
 
 Scale: one pass without a shuffle; templates are code, their bigram hashes a sorted array per task.
 Documents without a shared bigram cost the lookup only.
@@ -15,6 +15,7 @@ rows are judged one by one; extra columns are ignored; an empty table gives an e
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -87,7 +88,7 @@ class Scanner:
 
     def scan(self, t: tk.Texts) -> list[dict[str, float]]:
         """Of each text its licences with their best coefficients of at least MIN_DICE."""
-        start, doc, words = normal_words(t)
+        _, doc, words = normal_words(t)
         texts = len(t.offsets) - 1
         found: list[dict[str, tuple[float, int]]] = [{} for _ in range(texts)]
         if len(words) < 2:
@@ -98,37 +99,38 @@ class Scanner:
         hits = np.flatnonzero((self.all[slot] == grams) & grams_ok)
         if not len(hits):
             return found
-        line = np.searchsorted(np.flatnonzero(t.bytes == 0x0A), start)
         for group in np.split(hits, np.flatnonzero(np.diff(doc[hits]) > 0) + 1):
-            at = group.tolist()
-            values = grams[group].tolist()
-            d = int(doc[at[0]])
-            low, high = int(np.searchsorted(doc, d)), int(np.searchsorted(doc, d, side="right")) - 1  # words low..high
-            spans = set()
-            for row in sorted({int(x) for x in line[group]}):
-                a = int(np.searchsorted(line[low : high + 1], row)) + low
-                b = int(np.searchsorted(line[low : high + 1], row, side="right")) + low - 1
-                if b > a:
-                    spans.add((a, b))
+            d = int(doc[group[0]])
+            at, values = group.tolist(), grams[group].tolist()
             for k, own in enumerate(self.grams):
-                mine = [p for p, v in zip(at, values) if v in own]
-                gap = max(2, self.sizes[k] // 5)
-                begin = 0
-                for j in range(1, len(mine) + 1):
-                    if j == len(mine) or mine[j] - mine[j - 1] > gap:
-                        self._judge(k, mine[begin], mine[j - 1] + 1, grams, found[d])
-                        begin = j
-                for a, b in spans:
-                    self._judge(k, a, b, grams, found[d])
+                mine = [(p, v) for p, v in zip(at, values) if v in own]
+                value = self._best(k, [p for p, _ in mine], [v for _, v in mine])
+                if value and (value, self.sizes[k]) > found[d].get(self.names[k], (0.0, 0)):
+                    found[d][self.names[k]] = (value, self.sizes[k])
         return found
 
-    def _judge(self, k: int, first: int, last: int, grams: np.ndarray, best: dict[str, tuple[float, int]]) -> None:
-        n, m = last - first, self.sizes[k]
-        if 2 * min(n, m) < MIN_DICE * (n + m):
-            return
-        value = dice(Counter(grams[first:last].tolist()), self.grams[k])
-        if value >= MIN_DICE and (value, m) > best.get(self.names[k], (0.0, 0)):
-            best[self.names[k]] = (value, m)
+    def _best(self, k: int, at: list[int], values: list[int]) -> float:
+        """The best coefficient of a passage that begins and ends at one of the shared bigrams, 0.0 below MIN_DICE."""
+        own, m = self.grams[k], self.sizes[k]
+        least, most = math.ceil(m * MIN_DICE / (2 - MIN_DICE) - 1e-9), math.floor(m * (2 - MIN_DICE) / MIN_DICE + 1e-9)
+        best = 0.0
+        for i in range(len(at) - least + 1):
+            if at[i + least - 1] - at[i] >= most:
+                continue  # fewer shared bigrams than any passage needs
+            seen: dict[int, int] = {}
+            shared = 0
+            for j in range(i, len(at)):
+                n = at[j] - at[i] + 1
+                if n > most:
+                    break
+                c = seen.get(values[j], 0)
+                seen[values[j]] = c + 1
+                if c < own[values[j]]:
+                    shared += 1
+                    best = max(best, 2 * shared / (n + m))
+            if best == 1.0:
+                break
+        return best if best >= MIN_DICE else 0.0
 
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
