@@ -34,7 +34,7 @@ def make_docs():
         near[7 * i] = vocabulary[i]
         texts.append(" ".join(near))
     texts += [base] * 5 + [None, "", " \t\n", "one", "two words", "Ünï code ©", "a " * 300, prose(5000), "same line\nsame line\n\n \nsame line\nother"]
-    texts += ["x" * 30_000, "<|endoftext|> literal", "don't CAN'T 12,345.67!? (end)."]
+    texts += ["x" * 30_000, "<|endoftext|> literal", "glued<|startoftext|>Word <|ENDOFTEXT|> and<|endoftext|>", "don't CAN'T 12,345.67!? (end)."]
     rows = [(i, t, "en", f"s{i % 3}", None if t is None else len(t)) for i, t in enumerate(texts)]
     rng.shuffle(rows)
     return rows
@@ -315,7 +315,6 @@ def test_packing(spark, folder, none, odd):
     from tokenizers import Tokenizer
 
     reader = Tokenizer.from_file(packing.tokenizer_path())
-    reader.encode_special_tokens = True
     rows = packing.op8_packing(spark, folder).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -340,15 +339,29 @@ def test_packing(spark, folder, none, odd):
 def test_crossover_keeps_every_piece():
     rng = random.Random(4)
     sizes = [rng.randint(1, 60) for _ in range(300)]
-    a, b = packing.best_fit(sizes, 100, list(range(300))), packing.exact_first(sizes, 100, rng)
+    a, b = (packing.best_fit(sizes, 100, rng.sample(range(300), 300)) for _ in range(2))
     for _ in range(10):
         a = packing.crossover(a, b, sizes, 100, rng)
         assert sorted(p for x in a for p in x) == list(range(300)) and all(sum(sizes[p] for p in x) <= 100 for x in a)
-    best = packing.evolve(sizes, 100, 1, [])
-    assert len(best) <= len(packing.best_fit(sizes, 100, sorted(range(300), key=lambda p: -sizes[p])))
+    best, crossed = packing.evolve(sizes, 100, 1, [])
+    assert crossed and len(best) <= len(packing.best_fit(sizes, 100, sorted(range(300), key=lambda p: -sizes[p])))
     assert packing._decode(packing._encode(best, 300)) == [sorted(x) for x in best]
 
 
+@pytest.mark.parametrize("size, most", [("sf0.001", 88), ("sf0.01", 442)])
+def test_crossovers_make_the_packing(spark, size, most):
+    """Every island crosses over, and what comes of it is the least number of sequences (tokens / 2048, rounded up)."""
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    dealt = packing._dealt(packing.tokenized_pieces(docs, packing.tokenizer_path()), packing.BLOCK)
+    found = packing.evolved(dealt).collect()
+    assert all(r.crossovers > 0 for r in found) and min(r.bins for r in found) == most
+
+
+def test_filling_takes_what_is_there():
+    loose = packing.Loose([5, 5, 3, 9], 20, [0, 1, 2, 3])
+    assert loose.filling(10) == [1, 0] and loose.filling(6) == [] and loose.filling(12) == [3, 2] and loose.filling(1) == [] and not loose.bits
+
+
 # sharding
 
 

@@ -2,10 +2,15 @@
 
 Documents become token ids plus a closing id 0; longer ones are cut into full pieces of ``CAPACITY``
 and a rest. Pieces are dealt at random into blocks of about ``BLOCK`` pieces. Each block is evolved by
-``ISLANDS`` islands, each a task with a population of packings of its own. Crossover injects the
-well-filled bins of one parent into the other, drops the bins that would hold a piece twice, and
-best-fits the displaced pieces, largest first. After each epoch every island's elite migrates to
-the next island of the block; in the end the best packing of each block wins.
+``ISLANDS`` islands, each a task with a population of packings of its own, at first best fits in random
+orders. Crossover injects well-filled bins of one parent into the other, drops the bins that would hold
+a piece twice, and best-fits the displaced pieces, largest first, after a local step that fills bins whole
+where one or two displaced pieces do it. After each epoch every island's elite migrates to the next island
+of the block; in the end the best packing of each block wins. A block is done at the lower bound,
+ceil(tokens / capacity).
+
+Ids are those of the plain call ``encode(text, add_special_tokens=False)``: where a text holds the string of
+one of the tokenizer's special tokens, that token's id.
 
 Scale: texts are tokenised once, on the executors, each distinct word once per slice of text; what is
 shuffled later is a few numbers per piece. A block is bounded, so memory is too, and more input means
@@ -39,7 +44,7 @@ BLOCK = 4096
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
-GENERATIONS = 6
+GENERATIONS = 24
 VOCABULARY = "word_bpe_49k.json"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -69,7 +74,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.limit = limit
         self.clear()
@@ -92,7 +97,21 @@ class WordIds:
         return at, length
 
     def of(self, t: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts one after the other, and the number of ids of each text."""
+        """All ids of the texts one after the other, and the number of ids of each text.
+
+        The plain call reads the string of a special token as that token, also inside of words: such texts are encoded whole.
+        """
+        ids, count = self._of_words(t)
+        data = t.bytes.tobytes()
+        if not any(x in data for x in self.special):
+            return ids, count
+        parts = np.split(ids, np.cumsum(count)[:-1])
+        for k, (a, b) in enumerate(zip(t.offsets[:-1].tolist(), t.offsets[1:].tolist())):
+            if any(x in data[a:b] for x in self.special):
+                parts[k] = np.array(self.tokenizer.encode(data[a:b].decode(), add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+
+    def _of_words(self, t: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
         # the vocabulary knows lower case only, so words that differ in A-Z against a-z have the same ids
         t = _without_points(t)
         hashes = tk.segment_hashes(_LOWER[t.bytes], t.start, t.end, 0)
@@ -166,15 +185,18 @@ class Bins:
 
     def __init__(self, capacity: int) -> None:
         self.capacity, self.bits = capacity, 0
-        self.free: list[list[int]] = [[] for _ in range(capacity + 1)]
+        self.free: dict[int, list[int]] = {}
         self.content: list[list[int]] = []
+        self.used: list[int] = []
 
     def open(self, pieces: list[int], used: int) -> None:
-        self._file(len(self.content), self.capacity - used)
         self.content.append(pieces)
+        self.used.append(used)
+        self._file(len(self.content) - 1)
 
-    def _file(self, b: int, free: int) -> None:
-        self.free[free].append(b)
+    def _file(self, b: int) -> None:
+        free = self.capacity - self.used[b]
+        self.free.setdefault(free, []).append(b)
         self.bits |= 1 << free
 
     def best_fit(self, piece: int, size: int) -> None:
@@ -185,9 +207,11 @@ class Bins:
         free = size + (fitting & -fitting).bit_length() - 1
         b = self.free[free].pop()
         if not self.free[free]:
+            del self.free[free]
             self.bits ^= 1 << free
         self.content[b].append(piece)
-        self._file(b, free - size)
+        self.used[b] += size
+        self._file(b)
 
 
 def best_fit(sizes: list[int], capacity: int, order: list[int], kept: list[list[int]] = ()) -> list[list[int]]:
@@ -199,34 +223,54 @@ def best_fit(sizes: list[int], capacity: int, order: list[int], kept: list[list[
     return bins.content
 
 
-def exact_first(sizes: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
-    """Fill bins whole where one or two further pieces do it; the rest by best fit."""
-    stock: list[list[int]] = [[] for _ in range(capacity + 1)]
-    for p in rng.sample(range(len(sizes)), len(sizes)):
-        stock[sizes[p]].append(p)
-    left = np.array([len(x) for x in stock])
-    done, rest = [], []
-
-    def take(size: int) -> int:
-        left[size] -= 1
-        return stock[size].pop()
-
-    for size in range(capacity, 0, -1):
-        while left[size]:
-            free, pieces = capacity - size, [take(size)]
-            if free and left[free]:
-                pieces.append(take(free))
-                free = 0
-            elif free > 1:
-                low = np.arange(max(1, free - capacity), free // 2 + 1)
-                pairs = low[(left[low] > 0) & (left[free - low] > 0) & ((low * 2 != free) | (left[low] > 1))]
-                if len(pairs):
-                    a = int(pairs[-1])
-                    pieces += [take(free - a), take(a)]
-                    free = 0
-            (rest if free else done).append(pieces)
-    loose = sorted((p for x in rest for p in x), key=lambda p: -sizes[p])
-    return best_fit(sizes, capacity, loose, done)
+class Loose:
+    """Displaced pieces by size; sizes at hand are bits of one number, and of its mirror image."""
+
+    def __init__(self, sizes: list[int], capacity: int, pieces: list[int]) -> None:
+        self.capacity = capacity
+        self.by_size: dict[int, list[int]] = {}
+        for p in pieces:
+            self.by_size.setdefault(sizes[p], []).append(p)
+        self.bits = sum(1 << x for x in self.by_size)
+        self.mirror = sum(1 << (capacity - x) for x in self.by_size)
+
+    def take(self, size: int) -> int:
+        own = self.by_size[size]
+        piece = own.pop()
+        if not own:
+            del self.by_size[size]
+            self.bits ^= 1 << size
+            self.mirror ^= 1 << (self.capacity - size)
+        return piece
+
+    def filling(self, free: int) -> list[int]:
+        """One or two pieces of together ``free``, taken out; none if there are no such."""
+        if self.bits >> free & 1:
+            return [self.take(free)]
+        half = free // 2
+        pairs = self.bits & (self.mirror >> (self.capacity - free)) & ((2 << half) - 2)  # sizes x up to half with free - x at hand
+        if 2 * half == free and len(self.by_size.get(half, ())) < 2:
+            pairs &= ~(1 << half)
+        if not pairs:
+            return []
+        x = pairs.bit_length() - 1
+        return [self.take(free - x), self.take(x)]
+
+
+def filled_whole(sizes: list[int], capacity: int, pieces: list[int], bins: list[list[int]]) -> tuple[list[list[int]], list[list[int]]]:
+    """The local step of a crossover: bins, then each largest piece left, are filled whole where one or two pieces do it."""
+    loose, done, rest = Loose(sizes, capacity, pieces), [], []
+
+    def close(content: list[int], free: int) -> None:
+        found = loose.filling(free) if free else []
+        (done if found or not free else rest).append(content + found)
+
+    for x in bins:
+        close(list(x), capacity - sum(sizes[p] for p in x))
+    while loose.bits:
+        largest = loose.bits.bit_length() - 1
+        close([loose.take(largest)], capacity - largest)
+    return done, rest
 
 
 def quality(bins: list[list[int]], sizes: list[int], capacity: int) -> tuple[int, float]:
@@ -235,50 +279,51 @@ def quality(bins: list[list[int]], sizes: list[int], capacity: int) -> tuple[int
 
 
 def crossover(a: list[list[int]], b: list[list[int]], sizes: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
-    """Inject well-filled bins of ``b`` into ``a``."""
+    """Inject well-filled bins of ``b`` into ``a``, drop the bins that would hold a piece twice, and best-fit the displaced pieces.
+
+    Of the other bins of ``a`` the full ones stay and the rest are opened, else displaced pieces find no gaps.
+    """
     fill = sorted(((sum(sizes[p] for p in x), i) for i, x in enumerate(b)), reverse=True)
-    well = [i for used, i in fill[: max(1, len(fill) // 2)]]
+    well = [i for _, i in fill[: max(1, len(fill) // 2)]]
     injected = [b[i] for i in rng.sample(well, max(1, len(well) // 2))]
     inside = {p for x in injected for p in x}
     kept, displaced = [], []
     for x in a:
-        if inside.isdisjoint(x):
+        if inside.isdisjoint(x) and sum(sizes[p] for p in x) == capacity:
             kept.append(x)
         else:
             displaced += [p for p in x if p not in inside]
-    # the emptiest of the kept bins are opened again, else displaced pieces find no gaps
-    kept.sort(key=lambda x: sum(sizes[p] for p in x))
-    for x in kept[: len(kept) // 20]:
-        displaced += x
-    displaced.sort(key=lambda p: -sizes[p])
-    return best_fit(sizes, capacity, displaced, injected + kept[len(kept) // 20 :])
+    done, rest = filled_whole(sizes, capacity, displaced, injected + kept)
+    return best_fit(sizes, capacity, sorted((p for x in rest for p in x), key=lambda p: -sizes[p]), done)
 
 
-def evolve(sizes: list[int], capacity: int, seed: int, elites: list[list[list[int]]], generations: int = GENERATIONS, population: int = POPULATION) -> list[list[int]]:
+def evolve(sizes: list[int], capacity: int, seed: int, elites: list[list[list[int]]], generations: int = GENERATIONS, population: int = POPULATION) -> tuple[list[list[int]], int]:
+    """The best packing and the number of crossovers that were made.
+
+    Parents begin as best fits in random orders, all worse than what a crossover makes of them. It ends
+    at the lower bound of the number of bins, or after ``generations``.
+    """
     rng = random.Random(seed)
-    bound = -(-sum(sizes) // capacity)
-    order = sorted(range(len(sizes)), key=lambda p: -sizes[p])
+    bound = lower_bound(sizes, capacity)
     pool = [*elites]
-    if not pool:
-        pool = [best_fit(sizes, capacity, order), exact_first(sizes, capacity, rng)]
-        while len(pool) < population:
-            pool.append(best_fit(sizes, capacity, sorted(order, key=lambda p: -sizes[p] * rng.uniform(0.9, 1.1))))
-    else:
-        while len(pool) < population:
-            pool.append(exact_first(sizes, capacity, rng))
+    while len(pool) < population:
+        pool.append(best_fit(sizes, capacity, rng.sample(range(len(sizes)), len(sizes))))
     scored = sorted(((quality(x, sizes, capacity), k, x) for k, x in enumerate(pool)), key=lambda s: s[:2])
-    for g in range(generations):
-        if scored[0][0][0] <= bound:
-            break
+    crossed = 0
+    while scored[0][0][0] > bound and crossed < generations:
         one, two = rng.sample(range(len(scored)), 2)
-        for a, b in ((one, two), (two, one)):
-            child = crossover(scored[a][2], scored[b][2], sizes, capacity, rng)
-            worst = len(scored) - 1
-            score = quality(child, sizes, capacity)
-            if score < scored[worst][0]:
-                scored[worst] = (score, g + worst + population, child)
-                scored.sort(key=lambda s: s[:2])
-    return scored[0][2]
+        one = rng.choice((0, one)) if two else one  # the best one is a parent half of the time
+        child = crossover(scored[one][2], scored[two][2], sizes, capacity, rng)
+        crossed += 1
+        score = quality(child, sizes, capacity)
+        if score < scored[-1][0]:
+            scored[-1] = (score, len(pool) + crossed, child)
+            scored.sort(key=lambda s: s[:2])
+    return scored[0][2], crossed
+
+
+def lower_bound(sizes: list[int], capacity: int) -> int:
+    return -(-sum(sizes) // capacity)
 
 
 def _encode(bins: list[list[int]], n: int) -> bytes:
@@ -303,8 +348,9 @@ def _island(capacity: int, epoch: int):
         block, island = int(pdf["block"].iloc[0]), int(pdf["island"].iloc[0])
         elites = [_decode(x) for x in pdf["elite"] if x is not None]
         sizes = _in_order(pdf[pdf["length"].notna()])["length"].astype(int).tolist()
-        best = evolve(sizes, capacity, hash((block, island, epoch)), elites)
-        return pd.DataFrame({"block": [block], "island": [island], "bins": [len(best)], "elite": [_encode(best, len(sizes))]})
+        best, crossed = evolve(sizes, capacity, hash((block, island, epoch)), elites)
+        spare = len(best) - lower_bound(sizes, capacity)
+        return pd.DataFrame({"block": [block], "island": [island], "bins": [len(best)], "spare": [spare], "crossovers": [crossed], "elite": [_encode(best, len(sizes))]})
 
     return run
 
@@ -328,24 +374,40 @@ def tokenized_pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
     return slim.mapInArrow(_pieces(path, capacity), _ITEMS)
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
-    """Place pieces (doc_id, piece, start, length, ids_crc32, salt) into sequences."""
+def _dealt(items: DataFrame, block: int) -> DataFrame:
     items = materialize(items)
     blocks = max(1, -(-items.count() // block))
     dealt = items.withColumn("block", F.pmod(F.xxhash64("salt", "ids_crc32", "doc_id", "piece"), F.lit(blocks)))
     # a piece's place in its block: equal places only for equal pieces, which are interchangeable
-    dealt = dealt.withColumn("place", F.xxhash64("doc_id", "piece", "ids_crc32", "salt"))
-    dealt = materialize(dealt)
+    return materialize(dealt.withColumn("place", F.xxhash64("doc_id", "piece", "ids_crc32", "salt")))
+
+
+def evolved(dealt: DataFrame, capacity: int = CAPACITY, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
+    """(block, island, bins, spare, crossovers, elite) of the last epoch; ``crossovers`` are those of all epochs."""
     slim = dealt.select("block", "place", "length", F.lit(None).cast("binary").alias("elite"))
     spread = slim.withColumn("island", F.explode(F.array(*(F.lit(i) for i in range(islands)))))
-    elites = None
+    found = before = None
     for epoch in range(epochs):
-        rows = spread if elites is None else spread.unionByName(elites, allowMissingColumns=True)
-        found = rows.groupBy("block", "island").applyInPandas(_island(capacity, epoch), "block long, island int, bins int, elite binary")
-        found = materialize(found)
-        moved = found.withColumn("island", ((F.col("island") + 1) % islands).cast("int"))
-        elites = found.unionByName(moved).select("block", "island", "elite").distinct()
-    best = found.groupBy("block").agg(F.min_by("elite", F.struct("bins", "island")).alias("elite"))
+        rows = spread
+        if found is not None:
+            moved = found.withColumn("island", ((F.col("island") + 1) % islands).cast("int"))
+            elites = found.unionByName(moved).select("block", "island", "elite").distinct()
+            rows = spread.unionByName(elites, allowMissingColumns=True)
+        now = rows.groupBy("block", "island").applyInPandas(_island(capacity, epoch), "block long, island int, bins int, spare int, crossovers int, elite binary")
+        if before is not None:
+            now = now.join(before, ["block", "island"]).withColumn("crossovers", F.col("crossovers") + F.col("earlier")).drop("earlier")
+        found = materialize(now)
+        before = found.select("block", "island", F.col("crossovers").alias("earlier"))
+        open_blocks = found.groupBy("block").agg(F.min("spare").alias("spare")).where("spare > 0")
+        if epoch + 1 < epochs and open_blocks.isEmpty():
+            break  # every block is at its lower bound
+    return found
+
+
+def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
+    """Place pieces (doc_id, piece, start, length, ids_crc32, salt) into sequences."""
+    dealt = _dealt(items, block)
+    best = evolved(dealt, capacity, islands, epochs).groupBy("block").agg(F.min_by("elite", F.struct("bins", "island")).alias("elite"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     return dealt.groupBy("block").cogroup(best.groupBy("block")).applyInPandas(_placed, schema)
 
