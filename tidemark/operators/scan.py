@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import sanitize_all
+from tidemark.sources.shared import shared_folder
 
 
 def project(df: DataFrame, columns: list[str] | None = None, renamed: bool = False) -> DataFrame:
@@ -74,8 +74,7 @@ def with_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
 
 
 def _sealed(df: DataFrame) -> DataFrame:
-    """Checkpointed in the folder of ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

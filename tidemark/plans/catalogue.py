@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -14,6 +13,7 @@ from tidemark.functions import names, sizing, typemap, values
 from tidemark.operators import incremental, load, merge, partition, scan, state, validate
 from tidemark.plans import transfer
 from tidemark.sources import spec
+from tidemark.sources.shared import shared_folder
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,9 +49,7 @@ def _orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A folder that all executors share; a local one only where none is named (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{root.rstrip('/')}/tidemark-store-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/tidemark-store-{uuid.uuid4().hex}"
 
 
 # scans
