@@ -1,42 +1,47 @@
 """Benchmark decontamination with spaced seeds; DataFrame functions only.
 
-A seed is a fixed mask over ``SPAN`` consecutive tokens; the hash of a window covers the positions
-that the mask keeps, so a substituted token at an ignored position doesn't hide a match. The two masks
-differ in what they ignore. Hashes of all windows of the documents are joined with
-those of the benchmark; around each hit the item is laid along the document and the aligned tokens
-are compared. A document is contaminated by an item if the best alignment agrees in at least
-``MIN_MATCHES`` tokens and in ``MIN_SHARE`` of the aligned stretch (ends without agreement cut off).
-
-Items shorter than ``SPAN`` tokens are no evidence of leakage and never match.
-
-Scale: windows carry a document's id and a hash, nothing else, and are joined where they are made; only
-the places of hits are shuffled, once each. Texts with hits are then read a second time to verify. The
-benchmark side is broadcast if its number of windows, which is counted, is at most
-``BROADCAST_WINDOWS``, and so are the places up to ``BROADCAST_PLACES``; beyond that both are joined by
-shuffle.
+A seed is a fixed mask over up to ``SPAN`` consecutive tokens; the hash of a window covers the positions
+that the mask keeps, so a substituted token at an ignored position doesn't hide a match. The masks
+differ in what they ignore. Hashes of all windows of the documents are joined with those of the
+benchmark; around each hit the item is laid along the document and the aligned tokens are compared.
+A document is contaminated by an item if the best alignment agrees in at least ``MIN_MATCHES`` tokens
+and in ``MIN_SHARE`` of the aligned stretch (ends without agreement cut off).
+
+Together the masks meet every stretch that these two limits allow: all 66 ways to substitute 2 of 12
+tokens and all 455 ways to substitute 3 of 15 leave a hit, and longer stretches hold more windows
+(the tests try random substitutions against an alignment without seeds). Items of ``SHORT`` to 9 tokens
+match as a whole or not at all; shorter items are no evidence of leakage and never match.
+
+Scale: one pass over the texts. A document's tokens stay in the task that reads them: windows, join and
+comparison are one stage without a shuffle of documents, and only what is found is shuffled. A run of
+hits on one alignment is compared once for each mask. The benchmark is broadcast, in blocks of at most
+``BLOCK_BYTES`` by its counted size (one item at least); more blocks are more passes.
 
 Edge cases: null or empty texts have no tokens and match nothing; null ids are kept as they are and
-rows with equal doc_id count as one document in the result of :func:`contaminated`; repeated
-benchmark items give a row each; empty tables give an empty result; extra columns are ignored.
+rows with equal doc_id count as one document in the result of :func:`contaminated`, while
+:func:`drop_contaminated` judges each text by itself; items of one id and different texts are told
+apart by their texts and reported under that id once; empty tables give an empty result; extra columns
+are ignored or, in :func:`drop_contaminated`, kept.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.workspace import materialize
+from tidemark.llm.workspace import materialize, own_prefix
 
-SPAN = 10
-# Masks, 1: the position counts, 0: it is ignored: 1111011011 and 1101111011. Together they meet any regular
-# spacing of substitutions that MIN_SHARE allows: one in 5 by the second mask (ignored places 5 apart), one in
-# 6 or rarer by a window with a single substitution at place 2, 4 or 7. Both are four pairs of neighbours; three
-# of the pairs are common to them, so their hash is made once.
-COMMON_PAIRS, OWN_PAIR = (0, 5, 8), (2, 3)
+# 1: the position counts, 0: it is ignored.
+MASKS = ("11010111", "1110010011", "1110100011", "111111")
+PLACES = tuple(tuple(i for i, x in enumerate(m) if x == "1") for m in MASKS)
+SPAN = max(map(len, MASKS))
+SHORT = min(map(len, MASKS))
 MIN_MATCHES = 10
 MIN_SHARE = 0.8
-BROADCAST_WINDOWS = 500_000
-BROADCAST_PLACES = 200_000
+BLOCK_BYTES = 48 << 20
+WINDOW_BYTES, TOKEN_BYTES = 48, 8  # of a broadcast row, about
 SEPARATORS = r"[\x20\x09-\x0D.,;:!?\"'()\[\]{}]+"
 
 
@@ -46,71 +51,75 @@ def token_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _starts(n: Column) -> Column:
-    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+def seed_hash(tokens: Column, at: Column, mask: int) -> Column:
+    """Hash of the window at ``at`` under a mask; null where it doesn't fit into the text."""
+    seen = F.xxhash64(F.lit(mask), *(F.get(tokens, at + p) for p in PLACES[mask]))
+    return F.when((at >= 0) & (at + len(MASKS[mask]) <= F.size(tokens)), seen)
 
 
-def pair_hashes(tokens: Column) -> Column:
-    return F.transform(_starts(F.size(tokens) - 1), lambda i: F.xxhash64(F.get(tokens, i), F.get(tokens, i + 1)))
+def windows(rows: DataFrame, tokens: str, *keep: str) -> DataFrame:
+    """A row for each window and mask of the column ``tokens``: ``keep``, its start ``at``, ``mask`` and the hash ``h``.
 
+    Positions are exploded with the array beside them, so that hashes are compiled code and not a
+    function applied to an array. The outer forms: for the inner ones Spark infers a filter on the array's
+    size and moves it, with all that the array is made of, down to the scan.
+    """
+    carried = dict.fromkeys((*keep, tokens))
+    placed = rows.select(*carried, F.posexplode_outer(tokens).alias("at", "token"))
+    every = F.array(*(seed_hash(F.col(tokens), F.col("at"), k) for k in range(len(MASKS))))
+    return placed.select(*keep, "at", F.posexplode_outer(every).alias("mask", "h")).where(F.col("h").isNotNull())
 
-def common_hashes(pairs: Column) -> Column:
-    """Of each window the hash of the pairs that the masks share."""
-    return F.transform(_starts(F.size(pairs) - SPAN + 2), lambda i: F.xxhash64(*(F.get(pairs, i + p) for p in COMMON_PAIRS)))
 
+def benchmark_items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """(ref, item_id, item): different items with their token hashes, numbered; those that are too short are left out."""
+    items = benchmark.select(F.col(item_id).alias("item_id"), token_hashes(F.col(text)).alias("item")).where(F.size("item") >= SHORT).distinct()
+    return materialize(items.withColumn("ref", F.monotonically_increasing_id()))
 
-def seed_hashes(pairs: Column, common: Column) -> Column:
-    """Of each window the hashes under the masks."""
-    return F.flatten(F.transform(common, lambda h, i: F.array(*(F.xxhash64(h, F.get(pairs, i + p), F.lit(p)) for p in OWN_PAIR))))
 
+def benchmark_windows(items: DataFrame) -> DataFrame:
+    """(ref, item_at, mask, h, before): the seeds of each item; ``before``: the one at the place before, by the same mask."""
+    found = windows(items, "item", "ref", "item")
+    before = reduce(lambda other, k: F.when(F.col("mask") == k, seed_hash(F.col("item"), F.col("at") - 1, k)).otherwise(other), range(len(MASKS)), F.lit(None).cast("long"))
+    return found.select("ref", F.col("at").alias("item_at"), F.col("mask").alias("item_mask"), "h", before.alias("before"))
 
-def windows(rows: DataFrame, tokens: str, *keep: str) -> DataFrame:
-    """A row for each window and mask of the column ``tokens``: ``keep``, its start ``at`` and the hash ``h``.
 
-    The outer form of explode: for the inner one Spark infers a filter on the array's size and moves
-    it, with all that the array is made of, down to the scan, so that every hash would be made again.
-    """
-    paired = rows.withColumn("__pairs", pair_hashes(F.col(tokens)))
-    shared = paired.withColumn("__common", common_hashes(F.col("__pairs")))
-    hashed = shared.select(*keep, seed_hashes(F.col("__pairs"), F.col("__common")).alias("__h"))
-    placed = hashed.select(*keep, F.posexplode_outer("__h").alias("__p", "h")).where(F.col("h").isNotNull())
-    return placed.select(*keep, F.floor(F.col("__p") / len(OWN_PAIR)).cast("int").alias("at"), "h")
+def _blocks(items: DataFrame) -> int:
+    """Into how many parts the benchmark goes so that each can be broadcast."""
+    tokens = items.agg(F.sum(F.size("item"))).first()[0] or 0
+    return max(1, -(-tokens * (len(MASKS) * WINDOW_BYTES + TOKEN_BYTES) // BLOCK_BYTES))
 
 
-def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, item, at, h): token hashes of each item and every seed hash with its start."""
-    items = benchmark.select(F.col(item_id).alias("item_id"), token_hashes(F.col(text)).alias("item")).where(F.size("item") >= SPAN)
-    return windows(items, "item", "item_id", "item")
+def leaks(docs: DataFrame, items: DataFrame, *keep: str) -> DataFrame:
+    """(keep..., item_id, matches, share): what the hits of ``items`` in the texts of ``docs`` verify; a row for each run of hits."""
+    tokens = docs.select(*keep, token_hashes(F.col("text")).alias("tokens"))
+    seen = windows(tokens, "tokens", *keep, "tokens")
+    hits = seen.join(F.broadcast(benchmark_windows(items)), "h").where(F.col("mask") == F.col("item_mask"))
+    own = F.col("tokens")
+    same_before = reduce(lambda other, k: F.when(F.col("mask") == k, seed_hash(own, F.col("at") - 1, k) == F.col("before")).otherwise(other), range(len(MASKS)), F.lit(False))
+    heads = hits.where(~F.coalesce(same_before, F.lit(False)))
+    laid = heads.join(F.broadcast(items), "ref").withColumn("begin", F.col("at") - F.col("item_at"))
+    begin, n = F.col("begin"), F.size("item")
+    # the tokens in the item's place; outside of the document there are none
+    outside = F.array_repeat(F.lit(None).cast("long"), F.greatest(-begin, F.lit(0)))
+    beside = F.slice(F.concat(outside, F.slice(own, F.greatest(begin, F.lit(0)) + 1, n)), F.lit(1), n)
+    same = F.zip_with(F.col("item"), beside, lambda a, b: F.coalesce(a == b, F.lit(False)))
+    scored = laid.select(*keep, "item_id", F.least(n, F.lit(MIN_MATCHES)).alias("need"), _best_stretch(same).alias("best"))
+    share = F.col("best.matches") / F.nullif(F.col("best.long"), F.lit(0))
+    scored = scored.select(*keep, "item_id", "need", F.col("best.matches").cast("long").alias("matches"), share.alias("share"))
+    return scored.where((F.col("matches") >= F.col("need")) & (F.col("share") >= MIN_SHARE)).drop("need")
 
 
-def alignments(docs: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(doc_id, item_id, item, begin): where items lie in documents according to a hit; ``docs`` has doc_id and text."""
-    small = seeds.count() <= BROADCAST_WINDOWS
-    hashes = seeds.select("item_id", F.col("at").alias("item_at"), "h")
-    tokens = docs.select("doc_id", token_hashes(F.col("text")).alias("tokens"))
-    hits = windows(tokens, "tokens", "doc_id").join(F.broadcast(hashes) if small else hashes.hint("shuffle_hash"), "h")
-    places = hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("begin")).distinct()
-    items = seeds.select("item_id", "item").distinct()
-    return places.join(F.broadcast(items) if small else items, places["item_id"].eqNullSafe(items["item_id"])).drop(items["item_id"])
+def _all_leaks(docs: DataFrame, benchmark: DataFrame, item_id: str, *keep: str) -> DataFrame:
+    items = benchmark_items(benchmark, item_id)
+    n = _blocks(items)
+    part = lambda k: items.where(F.pmod(F.xxhash64("ref"), F.lit(n)) == k) if n > 1 else items
+    return reduce(DataFrame.unionByName, (leaks(docs, part(k), *keep) for k in range(n)))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
     """(doc_id, item_id, matches, share): items whose text is found in a document, substitutions allowed."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    seeds = materialize(benchmark_windows(benchmark, item_id))
-    found = materialize(alignments(slim, seeds))
-    found = F.broadcast(found) if found.count() <= BROADCAST_PLACES else found
-    near = slim.join(found.withColumnRenamed("doc_id", "__doc"), F.col("doc_id").eqNullSafe(F.col("__doc")))
-    begin, n = F.col("begin"), F.size("item")
-    tokens = token_hashes(F.col("text"))
-    # the tokens in the item's place; outside of the document there are none
-    beside = F.concat(F.array_repeat(F.lit(None).cast("long"), F.greatest(-begin, F.lit(0))), F.slice(tokens, F.greatest(begin, F.lit(0)) + 1, n))
-    same = F.zip_with(F.col("item"), F.slice(beside, F.lit(1), n), lambda a, b: F.coalesce(a == b, F.lit(False)))
-    scored = near.select("doc_id", "item_id", _best_stretch(same).alias("best"))
-    share = F.col("best.matches") / F.nullif(F.col("best.long"), F.lit(0))
-    scored = scored.select("doc_id", "item_id", F.col("best.matches").cast("long").alias("matches"), share.alias("share"))
-    strong = scored.where((F.col("matches") >= MIN_MATCHES) & (F.col("share") >= MIN_SHARE))
-    return strong.groupBy("doc_id", "item_id").agg(F.max("matches").alias("matches"), F.max("share").alias("share"))
+    return _all_leaks(slim, benchmark, item_id, "doc_id").groupBy("doc_id", "item_id").agg(F.max("matches").alias("matches"), F.max("share").alias("share"))
 
 
 def _best_stretch(same: Column) -> Column:
@@ -131,14 +140,13 @@ def _best_stretch(same: Column) -> Column:
     return F.aggregate(same, start, step)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage."""
-    bad = materialize(contaminated(docs, benchmark, doc_id, text).select(F.col("doc_id").alias("__bad")).distinct())
-    return docs.join(bad, docs[doc_id].eqNullSafe(bad["__bad"]), "left_anti")
-
-
-def op2_decontamination(spark, sf_dir: str) -> DataFrame:
-    return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
+    """``docs`` without the documents that hold a benchmark passage; rows are told apart by id and text."""
+    own = own_prefix(docs)
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    bad = _all_leaks(slim, benchmark, item_id, "doc_id", "th").select(F.col("doc_id").alias(f"{own}bad"), F.col("th").alias(f"{own}th")).distinct()
+    bad = materialize(bad)
+    return docs.join(bad, docs[doc_id].eqNullSafe(bad[f"{own}bad"]) & (F.xxhash64(docs[text]) == bad[f"{own}th"]), "left_anti")
 
 
 # DuckDB: seeds as joined tokens; the best stretch from prefix sums, their running minimum and its first place.
@@ -146,32 +154,30 @@ ORACLE = r"""
 with d as (
   select row_number() over () r, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D.,;:!?"''()\[\]{}]+'), lambda w: w <> '') t from documents
 ), b as (
-  select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D.,;:!?"''()\[\]{}]+'), lambda w: w <> '') t from benchmark
+  select row_number() over () b, * from (select distinct item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D.,;:!?"''()\[\]{}]+'), lambda w: w <> '') t from benchmark)
 ), dw as (
-  select r, unnest(list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'a': [t[i], t[i+1], t[i+2], t[i+3], t[i+5], t[i+6], t[i+8], t[i+9]], 'b': [t[i], t[i+1], t[i+3], t[i+4], t[i+5], t[i+6], t[i+8], t[i+9]]})) x from d where len(t) >= 10
+  select r, unnest(list_transform(range(1, greatest(len(t) - 6, 1)), lambda i: {'i': i, 'm': 'a', 's': [t[i], t[i+1], t[i+3], t[i+5], t[i+6], t[i+7]]}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'b', 's': [t[i], t[i+1], t[i+2], t[i+5], t[i+8], t[i+9]]}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'c', 's': [t[i], t[i+1], t[i+2], t[i+4], t[i+8], t[i+9]]}) || list_transform(range(1, greatest(len(t) - 4, 1)), lambda i: {'i': i, 'm': 'd', 's': [t[i], t[i+1], t[i+2], t[i+3], t[i+4], t[i+5]]})) x from d
 ), bw as (
-  select item_id, unnest(list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'a': [t[i], t[i+1], t[i+2], t[i+3], t[i+5], t[i+6], t[i+8], t[i+9]], 'b': [t[i], t[i+1], t[i+3], t[i+4], t[i+5], t[i+6], t[i+8], t[i+9]]})) x from b where len(t) >= 10
+  select b, unnest(list_transform(range(1, greatest(len(t) - 6, 1)), lambda i: {'i': i, 'm': 'a', 's': [t[i], t[i+1], t[i+3], t[i+5], t[i+6], t[i+7]]}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'b', 's': [t[i], t[i+1], t[i+2], t[i+5], t[i+8], t[i+9]]}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'c', 's': [t[i], t[i+1], t[i+2], t[i+4], t[i+8], t[i+9]]}) || list_transform(range(1, greatest(len(t) - 4, 1)), lambda i: {'i': i, 'm': 'd', 's': [t[i], t[i+1], t[i+2], t[i+3], t[i+4], t[i+5]]})) x from b
 ), hit as (
-  select r, item_id, dw.x.i - bw.x.i s from dw join bw on dw.x.a = bw.x.a
-  union
-  select r, item_id, dw.x.i - bw.x.i s from dw join bw on dw.x.b = bw.x.b
+  select distinct r, b, dw.x.i - bw.x.i s from dw join bw on dw.x.m = bw.x.m and dw.x.s = bw.x.s
 ), tok as (
-  select r, item_id, s, i, (case when i + s >= 1 then coalesce(d.t[i + s] = b.t[i], false) else false end)::int e
-  from hit join d using (r) join b using (item_id), unnest(range(1, len(b.t) + 1)) u(i)
+  select r, b, s, i, (case when i + s >= 1 then coalesce(d.t[i + s] = b.t[i], false) else false end)::int e
+  from hit join d using (r) join b using (b), unnest(range(1, len(b.t) + 1)) u(i)
 ), sums as (
-  select *, sum(case when e = 1 then 1 else -4 end) over w p, sum(e) over w h from tok window w as (partition by r, item_id, s order by i)
+  select *, sum(case when e = 1 then 1 else -4 end) over w p, sum(e) over w h from tok window w as (partition by r, b, s order by i)
 ), runs as (
-  select *, least(0, min(p) over (partition by r, item_id, s order by i)) m from sums
+  select *, least(0, min(p) over (partition by r, b, s order by i)) m from sums
 ), best as (
-  select r, item_id, s, max(p - m) g from runs group by all having max(p - m) > 0
+  select r, b, s, max(p - m) g from runs group by all having max(p - m) > 0
 ), stop as (
-  select r, item_id, s, arg_max(i, i) i, arg_max(h, i) h, arg_max(m, i) m from runs join best using (r, item_id, s) where p - runs.m = g group by all
+  select r, b, s, arg_max(i, i) i, arg_max(h, i) h, arg_max(m, i) m from runs join best using (r, b, s) where p - runs.m = g group by all
 ), begun as (
-  select stop.r, stop.item_id, stop.s, stop.i, stop.h, coalesce(min(runs.i) filter (stop.m < 0), 0) j, coalesce(arg_min(runs.h, runs.i) filter (stop.m < 0), 0) jh
-  from stop left join runs on runs.r = stop.r and runs.item_id = stop.item_id and runs.s = stop.s and runs.p = stop.m group by all
+  select stop.r, stop.b, stop.s, stop.i, stop.h, coalesce(min(runs.i) filter (stop.m < 0), 0) j, coalesce(arg_min(runs.h, runs.i) filter (stop.m < 0), 0) jh
+  from stop left join runs on runs.r = stop.r and runs.b = stop.b and runs.s = stop.s and runs.p = stop.m group by all
 ), found as (
-  select r, item_id, (h - jh)::bigint matches, (h - jh) / (i - j) share from begun
+  select r, b, (h - jh)::bigint matches, (h - jh) / (i - j) share from begun
 )
-select doc_id, item_id, max(matches)::bigint matches, max(share)::double share from found join d using (r)
-where matches >= 10 and share >= 0.8 group by doc_id, item_id
+select doc_id, item_id, max(matches)::bigint matches, max(share)::double share from found join d using (r) join b using (b)
+where matches >= least(10, len(b.t)) and share >= 0.8 group by doc_id, item_id
 """

@@ -1,22 +1,25 @@
-"""Where intermediate tables go: the shared folder the cluster names, never a machine-local one."""
+"""Where intermediate tables go, and how columns that operators add keep out of the caller's way."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.shared import shared_folder
+
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests) one of our own."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = getattr(spark, "_tidemark_checkpoint_root", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark._tidemark_checkpoint_root = root
-    return root.rstrip("/")
+    return shared_folder(spark)
+
+
+def own_prefix(*frames: DataFrame) -> str:
+    """A prefix that no column of the frames has, in any case."""
+    names = [c.lower() for df in frames for c in df.columns]
+    prefix = "__"
+    while any(c.startswith(prefix) for c in names):
+        prefix += "_"
+    return prefix
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -30,4 +33,3 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_root(spark)}/tidemark-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
