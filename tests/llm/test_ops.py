@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -272,12 +273,31 @@ def duck(folder):
     return con
 
 
-def test_bad_host_goes(spark, none, odd):
+def bad_hosts():
     good, bad = " ".join(f"w{i}" for i in range(60)), "too short"
-    rows = [(i, good, "en", "fine", 1) for i in range(200)] + [(1000 + i, bad if i < 99 else good, "en", "spam", 1) for i in range(100)] + [(2000 + i, good, "en", None, 1) for i in range(3)]
+    rows = [(i, good if i % 20 else bad, "en", f"fine{i % 4}", 1) for i in range(400)] + [(1000 + i, bad if i < 70 else good, "en", "spam", 1) for i in range(100)]
+    return rows + [(2000 + i, good, "en", None, 1) for i in range(30)] + [(3000, bad, "en", "one bad page", 1), (3001, good, "en", "one bad page", 1), (3002, None, "en", "fine0", 0)]
+
+
+def test_bad_host_goes(spark, none, odd):
+    """The good pages of a host that mostly fails go with it; a host of two pages, one of them bad, stays."""
+    rows = bad_hosts()
     kept = quality.keep_good(spark.createDataFrame(rows, SCHEMA))
-    assert {r.source for r in kept.collect()} == {"fine", None} and kept.count() == 203
+    want = {d for d, t, _, host, _ in rows if host != "spam" and t and len(t) > 20}
+    assert {r.doc_id for r in kept.collect()} == want and kept.count() == len(want) and len(want) == 411
     assert quality.keep_good(none).count() == 0 and quality.keep_good(odd).count() == 0
+    clash = spark.createDataFrame(rows, SCHEMA).withColumns({"__n_words": F.lit("a"), "__host": F.lit("b"), "__BASE_FAILED": F.lit(True)})
+    again = quality.keep_good(clash)
+    assert again.columns == clash.columns and {r.doc_id for r in again.collect()} == want
+
+
+def test_bad_host_in_the_query(spark, tmp_path):
+    spark.createDataFrame(bad_hosts(), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = sorted((r.doc_id, r.base_failed, r.kept) for r in quality.op5_quality_rules(spark, str(tmp_path)).collect())
+    assert got == sorted(con.sql(quality.ORACLE).select("doc_id", "base_failed", "kept").fetchall())
+    assert sum(not failed and not kept for _, failed, kept in got) == 30
 
 
 # decontamination
@@ -487,11 +507,51 @@ LAYOUTS = {
     "roles": (f"<div role='navigation'>{_marked(9, 12)}</div><div role='main'>{_marked(0, 3)}</div><div role='alert'>{_marked(9, 12)}</div>", _plain(0, 3)),
     "comments inside": (f"<article>{_marked(0, 3)}<div class='comment-list'><div class='comment'>{_marked(4, 9)}</div></div></article><section class='responses'>{_marked(4, 9)}</section>", _plain(0, 3)),
     "all cut by class": (f"<div class='popup-wrap'>{_marked(0, 3)}</div>", _plain(0, 3)),
+    "phrases in names": (f"<article>{_marked(0, 2)}<div class='share-of-market'>{_marked(2, 4)}</div><p class='related-work'>{_paragraph(4)}</p><div id='notice-of-meeting'>{_marked(5, 6)}</div></article>", _plain(0, 6)),
+    "a section called discussion": (f"<article><section id='results'>{_marked(0, 3)}</section><section id='discussion'><h2>Discussion</h2>{_marked(3, 5)}</section></article>", f"{_plain(0, 3)} Discussion {_plain(3, 5)}"),
+    "a discussion of readers": (f"<div id='content'>{_marked(0, 3)}</div><div id='discussion'>{_marked(4, 9)}</div>", _plain(0, 3)),
+    "only cookies": ("<div class='cookie-bar'><p>We use cookies, really, many, of them, for everything you do, and you agree, or so we say.</p></div>", ""),
+    "only comments": (f"<div class='popup'><div class='comments'>{_marked(0, 6)}</div></div>", ""),
+    "related posts": (f"<article>{_marked(0, 3)}<div class='related-posts'><h3>More</h3><p>{_paragraph(8)}</p></div><div class='share-buttons'>Share this now</div></article>", _plain(0, 3)),
     "stray signs": (f"<article><p>If a < b and c<3, then.</p>{_marked(1, 3)}</article>", f"If a < b and c<3, then. {_plain(1, 3)}"),
     "very deep": ("<div>" * 3000 + _marked(0, 3) + "</div>" * 3000, _plain(0, 3)),
 }
 
 
+def generated_page(rng, layout):
+    """A page in one of three layouts, and its article's text."""
+    words = "stone river light over under, field paper, green house, road seven, quiet".split()
+    prose = lambda n: " ".join(rng.choices(words, k=n)).strip(",").capitalize() + "."
+    title, parts = prose(5), [prose(rng.randint(20, 90)) for _ in range(rng.randint(3, 9))]
+    subheads = {k: prose(3) for k in range(1, len(parts)) if rng.random() < 0.3}
+    links = "".join(f"<li><a href='/{i}'>{prose(4)}</a></li>" for i in range(rng.randint(3, 9)))
+    noise = [f"<div class='{c}'><p>{prose(rng.randint(10, 60))}</p></div>" for c in ("cookie-banner", "ad-slot", "newsletter-signup", "sidebar widget", "comments-area")]
+    body = f"<h1>{title}</h1>" + "".join((f"<h2>{subheads[k]}</h2>" if k in subheads else "") + f"<p>{x}</p>" for k, x in enumerate(parts))
+    text = " ".join([title, *(y for k, x in enumerate(parts) for y in ([subheads[k]] if k in subheads else []) + [x])])
+    rng.shuffle(noise)
+    if layout == "semantic":
+        page = f"<header><b>Site</b></header><nav><ul>{links}</ul></nav><main><article>{body}{noise[0]}</article></main><aside>{noise[1]}</aside><footer>{prose(9)}</footer>"
+    elif layout == "divs":
+        page = f"<div id='top-nav'><ul>{links}</ul></div>{noise[0]}<div class='wrap'><div class='post-body'>{body}</div>{noise[1]}{noise[2]}</div><div class='site-footer'><p>{prose(30)}</p></div>"
+    else:
+        page = f"<table><tr><td width=150><ul>{links}</ul></td><td><div id='story'>{body}</div></td></tr></table>{noise[0]}<div id=footer>{prose(12)}</div>"
+    return f"<!doctype html><html><head><title>x</title></head><body>{page}</body></html>", text
+
+
+@pytest.mark.parametrize("layout", ["semantic", "divs", "tables"])
+def test_generated_pages(layout):
+    rng = random.Random(8)
+    for _ in range(60):
+        page, text = generated_page(rng, layout)
+        assert extraction.main_text(page) == text
+
+
+def test_depth_costs_no_more_than_size():
+    page = "<div><b>" * 60_000 + _marked(0, 3)
+    began = time.process_time()
+    assert extraction.main_text(page) == _plain(0, 3) and time.process_time() - began < 5
+
+
 @pytest.mark.parametrize("layout", LAYOUTS)
 def test_html_layouts(layout):
     body, text = LAYOUTS[layout]
@@ -501,7 +561,9 @@ def test_html_layouts(layout):
 def test_html_frames(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (2, None, None), (2, None, None)], "page_id long, url string, html string")
     got = extraction.extract(pages).collect()
-    assert len(got) == 3 and all(r["__n_chars"] == len(r["__text"]) for r in got)
+    assert len(got) == 3 and all(r.n_chars == len(r.text) for r in got)
+    clash = extraction.extract(pages.withColumns({"__text": F.lit("a"), "text": F.lit("b"), "N_CHARS": F.lit(5)}))
+    assert clash.columns == ["page_id", "url", "html", "__text", "text", "n_chars"] and {r.text for r in clash.collect()} == {r.text for r in got}
     assert extraction.extract(pages.limit(0)).count() == 0
 
 

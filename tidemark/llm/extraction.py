@@ -1,33 +1,44 @@
 """HTML extraction by tree scoring.
 
 The page is read into a tree. Paragraphs pass points for length and commas to their ancestors: all to
-the parent, half to the grandparent, less beyond. A container's points are discounted by its
-link density. The best container is kept, or the article or main around it, with siblings that score
-well or are of its kind, and the headings before them. Menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts and styles are cut out of the tree by their tags and by what their
-class, id and role say. Of a header inside an article the headings are kept.
+the parent, half to the grandparent, less beyond, to ``REACH`` of them. A container's points are discounted
+by its link density, and containers whose names leave it open what they hold get half. The best container
+is kept, or the article or main around it, with siblings that score well or are of its kind, and the
+headings before them.
+
+Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are cut out of
+the tree by their tags and by the words of class, id and role that name such a thing. A word inside a phrase
+(``share-of-market``, ``notice-of-meeting``) names nothing. ``related`` and ``share`` count only beside other
+words of layout (``related-posts``, not ``related-work``). What is called a discussion or responses stays if
+it reads like prose: inside the best container, long, with few links. Of a header inside an article the
+headings are kept.
 
 Scale: pages are independent: one pass without a shuffle, Arrow batches cut by bytes, the tree of one
-page at a time in memory.
+page at a time in memory, in time proportional to the page however deep it nests.
 
 Edge cases: null or empty html gives an empty text; unclosed and truncated markup is closed at the
 end; an unfinished tag at the end of the page is dropped; a page whose paragraphs are all short
-falls back to its article, main or body; a page that cuts by class leave empty is read without them;
-repeated rows are read one by one; extra columns are ignored
-by the query and kept by :func:`extract`; an empty table gives an empty result.
+falls back to its article, main or body; a page that is left empty because all of it stands in a popup,
+sidebar or banner is read again without regard to these words of place; a page of nothing but notices,
+adverts, menus or comments is empty; repeated rows are read one by one; extra columns are ignored by the
+query and kept by :func:`extract`; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import textkernel as tk
+from tidemark.llm.workspace import own_prefix
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
@@ -42,87 +53,117 @@ _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr
 # a block tag ends an open paragraph
 _ENDS_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}}
-
-def _words(text: str) -> re.Pattern:
-    return re.compile(rf"(?:^|[\s_-])(?:{text})(?:$|[\s_-])", re.I)
-
-
-_STRONG = _words(
-    r"ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|popup|modal|overlay|notice|alert|alertdialog|disclaimer|"
-    r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|sidebar|aside|footer|comments?|commentlist|respond|responses|replies|disqus|discussion|"
-    r"share|sharing|related|recommended|newsletter|subscribe|subscription|signup|complementary|contentinfo|hidden"
+# Words of names. What a thing is: always cut.
+_KIND = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice alert alertdialog disclaimer "
+    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager footer comment comments commentlist respond replies disqus "
+    "newsletter subscribe subscription signup complementary contentinfo hidden".split()
 )
-# these don't count for headings, nor against a name that also speaks for content
-_WEAK = _words(r"side|rail|foot|social|login|search|widget|tags|toc|copyright|legal|skip|meta|byline")
-_HEADER = _words(r"header|masthead")
-_LIKELY = _words(r"article|post|entry|content|main|body|story|text|blog|page")
-_SAYS_OTHERWISE = re.compile(r"(?:^|\s)(?:has|no|with|without)[-_]\S+", re.I)
+# Where it stands: cut, unless nothing else is on the page.
+_PLACE = frozenset("banner popup modal overlay sidebar aside".split())
+# Cut beside words of layout only.
+_PARTS = frozenset("share sharing related recommended".split())
+# Cut unless it reads like prose.
+_OPEN = frozenset("discussion responses".split())
+# These don't count for headings, nor against a name that also speaks for content.
+_WEAK = frozenset("side rail foot social login search widget tags toc copyright legal skip meta byline".split())
+_HEADER = frozenset("header masthead".split())
+_LIKELY = frozenset("article post entry content main body story text blog page".split())
+_LAYOUT = _KIND | _PLACE | _PARTS | _OPEN | _WEAK | _HEADER | _LIKELY | frozenset(
+    "articles posts pages items item list lists link links button buttons icon icons box boxes wrap wrapper container inner outer block section area bar row col column grid card "
+    "cards panel group region zone slot unit module component view title heading header more top bottom left right primary secondary site user users reader readers mobile desktop sticky "
+    "fixed global stories news media tools tool count this us on and".split()
+)
+_PHRASE = frozenset("of the for in to about how why what a an".split())
+_SAYS_OTHERWISE = re.compile(r"(?:has|no|with|without)[-_]\S+", re.I)
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-
-_IN_HEADER = "\0header"  # the kind of a header inside an article; no class has it
-_DEPTH = 512  # deeper elements become siblings, as in browsers: ancestors are walked for every block
+REACH = 6
+_PROSE = 80  # characters of text beyond links that a part named as open needs
 
 
 class Node:
-    __slots__ = ("tag", "parent", "likely", "kind", "points", "score", "chars", "links")
+    __slots__ = ("tag", "parent", "likely", "kind", "open", "in_header", "in_content", "points", "score", "chars", "links", "within", "menu")
 
-    def __init__(self, tag: str, parent: Node | None, likely: bool = False, kind: str = "") -> None:
-        self.tag, self.parent, self.likely, self.kind = tag, parent, likely, kind
+    def __init__(self, tag: str, parent: Node | None, likely: bool = False, kind: str = "", open_: bool = False, header: bool = False) -> None:
+        self.tag, self.parent, self.likely, self.kind, self.open = tag, parent, likely, kind, open_
+        self.in_header = header or (parent is not None and parent.in_header)
+        self.in_content = (parent is not None and parent.in_content) or tag in ("article", "main") or (likely and tag not in ("body", "html"))
         self.points, self.score, self.chars, self.links = 0.0, 0.0, 0, 0
+        self.within: Node | None = None
+        self.menu = False
 
 
-def _read_attributes(tag: str, attributes: str, by_class: bool) -> tuple[str, bool, str, bool]:
-    """What to do with the element ("cut", "header" or ""), whether it speaks for content, its class, and whether its role is main."""
-    says, kind, hidden, main = "", "", False, False
+@lru_cache(4096)
+def _name_says(name: str) -> frozenset[str]:
+    """What a class, id or role says: kind, place, open, weak, header, likely."""
+    says = set()
+    for token in name.split():
+        if _SAYS_OTHERWISE.fullmatch(token):
+            continue
+        words = {x for x in re.split(r"[_\W]+", _HUMP.sub("-", token).lower()) if x}
+        if words & _LIKELY:
+            says.add("likely")
+        if words & _PHRASE:
+            continue
+        if words & _KIND or (words & _PARTS and words <= _LAYOUT):
+            says.add("kind")
+        for word, what in ((_PLACE, "place"), (_OPEN, "open"), (_WEAK, "weak"), (_HEADER, "header")):
+            if words & word:
+                says.add(what)
+    return frozenset(says)
+
+
+@lru_cache(4096)
+def _read_attributes(tag: str, attributes: str, places: bool) -> tuple[str, bool, str, bool]:
+    """What to do with the element ("cut", "open", "header" or ""), whether it speaks for content, its class, and whether its role is main."""
+    says: set[str] = set()
+    kind, hidden, main = "", False, False
     for name, value in _ATTRIBUTE.findall(attributes):
         value, name = value.strip("\"'"), name.lower()
         if name in ("class", "id", "role"):
-            says += f" {value}"
+            says |= _name_says(value)
             kind = value if name == "class" else kind
             main = main or (name == "role" and value.lower() == "main")
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
             hidden = True
-    says = _HUMP.sub("-", _SAYS_OTHERWISE.sub(" ", says))
-    likely = bool(_LIKELY.search(says))
+    likely = "likely" in says
     if hidden:
         return "cut", likely, kind, main
-    if not by_class or not says or main or tag in ("body", "html", "article", "main"):
+    if not says or main or tag in ("body", "html", "article", "main"):
         return "", likely, kind, main
-    if _STRONG.search(says) or (tag not in _HEADINGS and not likely and _WEAK.search(says)):
+    if "kind" in says or (places and ("place" in says or ("weak" in says and tag not in _HEADINGS and not likely))):
         return "cut", likely, kind, main
-    return "header" if tag not in _HEADINGS and _HEADER.search(says) else "", likely, kind, main
+    if "open" in says and tag not in _HEADINGS:
+        return "open", likely, kind, main
+    return "header" if tag not in _HEADINGS and "header" in says else "", likely, kind, main
 
 
-def blocks_of(page: str, by_class: bool = True) -> tuple[list[tuple[Node, str, int]], Node]:
-    """The blocks (their node, text, characters in links) that aren't cut out, in page order, and the root."""
+def blocks_of(page: str, places: bool = True) -> tuple[list[tuple[Node, str, int]], list[Node]]:
+    """The blocks (their node, text, characters in links) that aren't cut out, in page order, and all nodes, parents first."""
     root = Node("#root", None)
-    stack = [root]
+    stack, nodes = [root], [root]
+    opened: Counter[str] = Counter()
     dropped: list[str] = []  # open tags from the one that is cut out on
     blocks: list[tuple[Node, str, int]] = []
     held: list[tuple[str, bool]] = []
-    in_link = 0
     owner = root
 
     def flush() -> None:
         nonlocal held
         if held:
             text = " ".join(html.unescape("".join(x for x, _ in held)).split())
-            x: Node | None = owner
-            while text and owner.tag not in _HEADINGS and x is not None:  # of a header in an article only headings stay
-                if x.kind == _IN_HEADER:
-                    text = ""
-                x = x.parent
-            if text:
+            if text and (owner.tag in _HEADINGS or not owner.in_header):  # of a header in an article only headings stay
                 links = sum(len(x) for x, linked in held if linked)
                 blocks.append((owner, text, min(links, len(text))))
             held = []
 
     def pop() -> None:
-        nonlocal in_link
-        node = stack.pop()
-        if node.tag == "a":
-            in_link -= 1
+        opened[stack.pop().tag] -= 1
+
+    def close_up_to(k: int) -> None:
+        while len(stack) > k:
+            pop()
 
     at, n = 0, len(page)
     while at < n:
@@ -133,7 +174,7 @@ def blocks_of(page: str, by_class: bool = True) -> tuple[list[tuple[Node, str, i
             if held and block is not owner:
                 flush()
             owner = block
-            held.append((page[at:stop], in_link > 0))
+            held.append((page[at:stop], opened["a"] > 0))
         if not m:
             break
         at = m.end()
@@ -155,7 +196,7 @@ def blocks_of(page: str, by_class: bool = True) -> tuple[list[tuple[Node, str, i
                 continue
             if tag not in _INLINE:
                 flush()
-            if any(x.tag == tag for x in stack[1:]):
+            if opened[tag]:
                 while stack[-1].tag != tag:
                     pop()
                 pop()
@@ -170,72 +211,70 @@ def blocks_of(page: str, by_class: bool = True) -> tuple[list[tuple[Node, str, i
             if not alone and tag not in ("p", "li", "option", "dt", "dd", "tr", "td", "th"):
                 dropped.append(tag)
             continue
-        act, likely, kind, main = _read_attributes(tag, m[3], by_class) if m[3] else ("", False, "", False)
-        if tag == "header" and not act:
+        act, likely, kind, main = _read_attributes(tag, m[3], places) if m[3] else ("", False, "", False)
+        if tag == "header" and act != "cut":
             act = "header"
         if tag not in _INLINE:
             flush()
-            if tag in _ENDS_P:
+            if tag in _ENDS_P and opened["p"]:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag == "p":
-                        while len(stack) > k:
-                            pop()
+                        close_up_to(k)
                         break
                     if stack[k].tag not in _INLINE:
                         break
-            if tag in _CLOSES and tag != "p":
+            if tag in _CLOSES and tag != "p" and any(opened[x] for x in _CLOSES[tag]):
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag in _CLOSES[tag]:
-                        while len(stack) > k:
-                            pop()
+                        close_up_to(k)
                         break
                     if stack[k].tag in _SCOPE.get(tag, ()):
                         break
-        if act == "header" and any(x.tag in ("article", "main") or (x.likely and x.tag not in ("body", "html")) for x in stack):
-            likely, kind = False, _IN_HEADER
-        elif tag in _DROPPED or act:
+        in_header = act == "header" and stack[-1].in_content
+        if in_header:
+            likely, kind = False, ""
+        elif tag in _DROPPED or act in ("cut", "header"):
             if not alone:
                 dropped.append(tag)
             continue
         if not alone:
-            if len(stack) >= _DEPTH:
-                pop()
-            stack.append(Node(tag, stack[-1], likely, "main" if main else kind))
-            in_link += tag == "a"
+            node = Node(tag, stack[-1], likely, "main" if main else kind, act == "open", in_header)
+            stack.append(node)
+            nodes.append(node)
+            opened[tag] += 1
     flush()
-    return blocks, root
+    return blocks, nodes
 
 
-def _points(blocks: list[tuple[Node, str, int]]) -> list[Node]:
-    """The nodes around the blocks, with their characters, link characters, points and scores."""
-    nodes: dict[int, Node] = {}
+def _points(blocks: list[tuple[Node, str, int]], nodes: list[Node]) -> None:
+    """Of each node its characters, link characters, points and score."""
     for node, text, links in blocks:
-        x: Node | None = node
-        while x is not None:
-            nodes[id(x)] = x
-            x.chars += len(text)
-            x.links += links
-            x = x.parent
+        node.chars += len(text)
+        node.links += links
+    for x in reversed(nodes[1:]):  # children come behind their parents
+        x.parent.chars += x.chars
+        x.parent.links += x.links
     for node, text, _ in blocks:
         if node.tag not in _PARAGRAPHS or len(text) < 25:
             continue
         points = 1 + text.count(",") + min(len(text) // 100, 3)
         # text directly in a container speaks for the container itself
         x, share, depth = (node if node.tag in ("div", "section", "article", "main", "body") else node.parent), 1.0, 0
-        while x is not None and x.parent is not None:
+        while x is not None and x.parent is not None and depth < REACH:
             x.points += points * share
             depth += 1
             share = 0.5 if depth == 1 else 1 / (depth * 3)
             x = x.parent
-    for x in nodes.values():
-        bonus = 25 if x.points and (x.tag in ("article", "main") or x.likely) else 0
-        density = x.links / x.chars
-        x.score, x.points = (x.points + bonus) * (1 - density), x.points * (1 - density)
-    return list(nodes.values())
+    for x in nodes:
+        if x.chars:
+            bonus = 25 if x.points and (x.tag in ("article", "main") or x.likely) else 0
+            weight = (1 - x.links / x.chars) * (0.5 if x.open else 1)
+            x.score, x.points = (x.points + bonus) * weight, x.points * weight
 
 
 def _best(nodes: list[Node]) -> Node | None:
     """The container of the highest score, or the outermost article, or else the main, around it."""
+    nodes = [x for x in nodes if x.chars]
     scored = [x for x in nodes if x.parent is not None and x.tag != "html" and x.score > 0]
     if not scored:
         return next((x for tag in ("article", "main", "body", "#root") for x in nodes if x.tag == tag), None)
@@ -249,32 +288,37 @@ def _best(nodes: list[Node]) -> Node | None:
     return articles[-1] if articles else mains[-1] if mains else best
 
 
-def main_text(page: str | None, by_class: bool = True) -> str:
+def _is_prose(x: Node) -> bool:
+    return x.chars - x.links >= _PROSE and x.links < 0.25 * x.chars
+
+
+def main_text(page: str | None, places: bool = True) -> str:
     if not page:
         return ""
-    blocks, _ = blocks_of(page, by_class)
-    nodes = _points(blocks)
+    blocks, nodes = blocks_of(page, places)
+    _points(blocks, nodes)
     best = _best(nodes)
     if best is None:
-        return main_text(page, False) if by_class else ""
+        return main_text(page, False) if places else ""
     chosen, siblings = {id(best)}, best.parent
     if siblings is not None and best.tag not in ("body", "html"):
         for x in nodes:
-            if x.parent is not siblings or x.tag in ("ul", "ol", "table"):
+            if x.parent is not siblings or not x.chars or x.open or x.tag in ("ul", "ol", "table"):
                 continue
             alike = x.tag == best.tag and x.kind == best.kind and (x.tag == "section" or (x.tag == "div" and x.kind))
             if x.points >= max(10, 0.2 * best.points) or (alike and x.links < 0.3 * x.chars):
                 chosen.add(id(x))
+    for x in nodes:  # parents first
+        up = x.parent
+        x.within = x if id(x) in chosen else up.within if up is not None else None
+        own = x.tag in ("ul", "ol", "table", "div", "dl") and x.links > 0.5 * x.chars
+        x.menu = x.within is not x and (own or (x.open and not _is_prose(x)) or (up is not None and up.menu))
     kept: list[tuple[str, str]] = []
     before: list[str] = []  # headings beside the chosen nodes, kept if a chosen node follows
     titled = False
     for node, text, links in blocks:
-        x, menu = node, False
-        while x is not None and id(x) not in chosen:
-            menu = menu or (x.tag in ("ul", "ol", "table", "div", "dl") and x.links > 0.5 * x.chars)
-            x = x.parent
-        if x is not None:
-            if not menu:
+        if node.within is not None:
+            if not node.menu:
                 titled = titled or node.tag == "h1"
                 kept += [("beside", h) for h in before] + [(node.tag, text)]
             before = []
@@ -289,21 +333,24 @@ def main_text(page: str | None, by_class: bool = True) -> str:
     return " ".join(text for _, text in kept)
 
 
-def _extracted(column: str):
+def _extracted(column: str, own: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tk.slices(batches, column):
             texts = [main_text(x) for x in batch.column(column).to_pylist()]
             arrays = [*batch.columns, pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "__text", "__n_chars"])
+            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, f"{own}text", f"{own}n_chars"])
 
     return run
 
 
-def extract(pages: DataFrame, column: str = "html") -> DataFrame:
-    """``pages`` with the columns __text and __n_chars."""
-    return pages.mapInArrow(_extracted(column), T.StructType([*pages.schema.fields, T.StructField("__text", T.StringType()), T.StructField("__n_chars", T.LongType())]))
+def extract(pages: DataFrame, column: str = "html", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """``pages`` with the columns ``text`` and ``n_chars``; columns that it has under these names are replaced."""
+    own = own_prefix(pages)
+    schema = T.StructType([*pages.schema.fields, T.StructField(f"{own}text", T.StringType()), T.StructField(f"{own}n_chars", T.LongType())])
+    found = pages.mapInArrow(_extracted(column, own), schema)
+    kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in (text.lower(), n_chars.lower())]
+    return found.select(*kept, F.col(f"{own}text").alias(text), F.col(f"{own}n_chars").alias(n_chars))
 
 
 def op7_html_text(spark, sf_dir: str) -> DataFrame:
-    found = extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
-    return found.select("page_id", "url", found["__text"].alias("text"), found["__n_chars"].alias("n_chars"))
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")).drop("html")

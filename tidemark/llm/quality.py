@@ -3,16 +3,19 @@
 Each document is measured and judged by two base rules (fewer than 50 words; more than half of the
 words inside repeated 3-word windows). Failures are then aggregated by host (``source``), each
 host's failure rate is shrunk towards the corpus with a beta prior fitted to all hosts by the
-method of moments, and the host's verdict is joined back: a host whose shrunk rate exceeds
-``HOST_LIMIT`` is rejected with all of its documents.
+method of moments, and the host's verdict is joined back: a host is rejected with all of its documents
+if its shrunk rate exceeds both ``HOST_TIMES`` times the corpus rate and ``HOST_FLOOR``. So the limit
+follows the corpus, one bad document doesn't reject a small host, and where hosts differ by chance
+only none goes.
 
 Scale: one pass over the texts; only counts per host are shuffled (pre-aggregated on the map side,
-so a host with a third of all rows sends one row per task). Only rejected hosts are joined back, as
-an anti join that Spark broadcasts if that list is small enough and otherwise splits by size.
+so a host with a third of all rows sends one row per task). Only rejected hosts are joined back, a
+list that Spark broadcasts if it is small enough and otherwise splits by size.
 
 Edge cases: a null or empty text has no words and fails; a null source is a host of its own; repeated
-rows are judged one by one; extra columns pass through :func:`keep_good`; an empty table gives an
-empty result; with one host, or hosts of equal rates, the prior is the corpus rate with weight 1.
+rows are judged one by one; extra columns pass through :func:`keep_good`, whatever their names; an
+empty table gives an empty result; with one host, or hosts of equal rates, the prior is the corpus
+rate with weight 1.
 """
 
 from __future__ import annotations
@@ -27,11 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import textkernel as tk
-from tidemark.llm.workspace import materialize
+from tidemark.llm.workspace import materialize, own_prefix
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-HOST_LIMIT = 0.8
+HOST_TIMES, HOST_FLOOR = 3.0, 0.3
 SYMBOLS = b"#*$%&|<>"
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -44,8 +47,8 @@ def _sum_by_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(flags)])[offsets])
 
 
-def _repeat_mask(group: np.ndarray, *hashes: np.ndarray) -> np.ndarray:
-    """Rank of each entry among equal (group, hashes) in the given order: 0 for the first."""
+def _repeat_mask(group: np.ndarray, *hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each entry whether (group, hashes) occurs more than once, and whether it has occurred before."""
     order = np.lexsort((*hashes, group))
     new = np.ones(len(order), dtype=bool)
     new[1:] = np.any([c[order][1:] != c[order][:-1] for c in (group, *hashes)], axis=0)
@@ -88,59 +91,60 @@ def measure(t: tk.Texts) -> dict[str, np.ndarray]:
     return out
 
 
-def _measured(text: str):
+def _measured(text: str, own: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tk.gathered(batches, text):
             found = measure(tk.read_texts(batch.column(text)))
             failed = (found["n_words"] < MIN_WORDS) | (100 * found["n_repeat_words"] > MAX_REPEAT_PERCENT * found["n_words"])
             names, columns = list(batch.schema.names), list(batch.columns)
             for k in MEASURES:
-                names.append(f"__{k}")
+                names.append(f"{own}{k}")
                 columns.append(pa.array(found[k], pa.int64()))
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(failed)], [*names, "__base_failed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(failed)], [*names, f"{own}base_failed"])
 
     return run
 
 
-def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the measures and the base verdict as columns named ``__<measure>``."""
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(f"__{k}", T.LongType()) for k in MEASURES), T.StructField("__base_failed", T.BooleanType())])
-    return docs.mapInArrow(_measured(text), schema)
+def measured(docs: DataFrame, text: str = "text", own: str = "__") -> DataFrame:
+    """``docs`` with the measures and the verdict ``base_failed`` as columns whose names begin with ``own``."""
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(f"{own}{k}", T.LongType()) for k in MEASURES), T.StructField(f"{own}base_failed", T.BooleanType())])
+    return docs.mapInArrow(_measured(text, own), schema)
 
 
-def host_rates(judged: DataFrame, host: str) -> DataFrame:
-    """(host, n, failures, rate): failure rates shrunk with the empirical beta prior."""
-    hosts = materialize(judged.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n"), F.sum(F.col("__base_failed").cast("long")).alias("failures")))
-    raw = F.col("failures") / F.col("n")
-    m, v = hosts.agg(F.sum("failures") / F.sum("n"), F.var_pop(raw)).first()
+def host_rates(judged: DataFrame, host: str, failed: str) -> DataFrame:
+    """(host, n, failures, rate, rejected): failure rates shrunk with the empirical beta prior, and the verdict."""
+    hosts = materialize(judged.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n"), F.sum(F.col(failed).cast("long")).alias("failures")))
+    m, v = hosts.agg(F.sum("failures") / F.sum("n"), F.var_pop(F.col("failures") / F.col("n"))).first()
     m = m or 0.0
     weight = max(1.0, m * (1 - m) / v - 1) if v else 1.0
-    return hosts.withColumn("rate", (F.col("failures") + F.lit(m * weight)) / (F.col("n") + F.lit(weight)))
+    rates = hosts.withColumn("rate", (F.col("failures") + F.lit(m * weight)) / (F.col("n") + F.lit(weight)))
+    return rates.withColumn("rejected", F.col("rate") > F.lit(max(HOST_FLOOR, HOST_TIMES * m)))
 
 
-def rejected_hosts(rates: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    return rates.where(F.col("rate") > limit).select("host")
+def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """The rows of ``docs`` that neither a base rule nor their host's verdict rejects.
 
-
-def keep_good(docs: DataFrame, text: str = "text", host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
-    """The rows of ``docs`` that neither a base rule nor their host's verdict rejects."""
-    light = measured(docs.select(F.col(host).alias("__host"), F.col(text).alias("text")))
-    rejected = rejected_hosts(host_rates(light, "__host"), limit)
-    good = measured(docs, text).where(~F.col("__base_failed")).select(docs.columns)
-    return good.join(rejected, good[host].eqNullSafe(rejected["host"]), "left_anti")
+    Texts are read once: what the base rules keep is written with the verdicts, other rows without their text.
+    """
+    own = own_prefix(docs)
+    failed = f"{own}base_failed"
+    judged = measured(docs, text, own).select(*docs.columns, failed)
+    judged = materialize(judged.withColumn(text, F.when(~F.col(failed), F.col(text))))
+    rejected = host_rates(judged, host, failed).where("rejected").select(F.col("host").alias(f"{own}host"))
+    good = judged.where(~F.col(failed)).select(docs.columns)
+    return good.join(rejected, good[host].eqNullSafe(rejected[f"{own}host"]), "left_anti")
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     judged = materialize(measured(docs).drop("text"))
-    rates = host_rates(judged, "source")
-    hosts = rates.select(F.col("host"), F.col("rate").alias("host_rate"), (F.col("rate") > HOST_LIMIT).alias("__rejected"))
-    out = judged.join(hosts, judged["source"].eqNullSafe(hosts["host"]), "left")
+    rejected = host_rates(judged, "source", "__base_failed").where("rejected").select("host", "rejected")
+    out = judged.join(rejected, judged["source"].eqNullSafe(rejected["host"]), "left")
     return out.select(
         "doc_id",
         *(F.col(f"__{k}").alias(k) for k in MEASURES),
         F.col("__base_failed").alias("base_failed"),
-        (~F.col("__base_failed") & ~F.col("__rejected")).alias("kept"),
+        (~F.col("__base_failed") & F.col("rejected").isNull()).alias("kept"),
     )
 
 
@@ -174,6 +178,6 @@ with w as (
   select m, case when v > 0 then greatest(1.0, m * (1 - m) / v - 1) else 1.0 end k from p
 )
 select b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       (not base_failed and not ((h.f + q.m * q.k) / (h.n + q.k) > 0.8)) kept
+       (not base_failed and not ((h.f + q.m * q.k) / (h.n + q.k) > greatest(0.3, 3 * q.m))) kept
 from b join h on b.source is not distinct from h.source, q
 """
