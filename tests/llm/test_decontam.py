@@ -87,7 +87,10 @@ def test_blocks_and_long_items(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_BYTES", 200_000)
     assert decontam._blocks(decontam.benchmark_items(benchmark)) > 3
     assert {(r.doc_id, r.item_id, r.matches) for r in decontam.contaminated(docs, benchmark).collect()} == whole
-    assert decontam.leaks(docs, decontam.benchmark_items(benchmark), "doc_id").where("doc_id = 99").count() <= 2 * len(decontam.MASKS)
+    slim = docs.selectExpr("doc_id", "xxhash64(text) th", "text")
+    assert decontam.places(slim, decontam.benchmark_items(benchmark)).where("doc_id = 99").count() == 1
+    monkeypatch.setattr(decontam, "BROADCAST_PLACES", 0)
+    assert {(r.doc_id, r.item_id, r.matches) for r in decontam.contaminated(docs, benchmark).collect()} == whole
 
 
 def test_clashing_columns(spark):

@@ -12,10 +12,11 @@ tokens and all 455 ways to substitute 3 of 15 leave a hit, and longer stretches
 (the tests try random substitutions against an alignment without seeds). Items of ``SHORT`` to 9 tokens
 match as a whole or not at all; shorter items are no evidence of leakage and never match.
 
-Scale: one pass over the texts. A document's tokens stay in the task that reads them: windows, join and
-comparison are one stage without a shuffle of documents, and only what is found is shuffled. A run of
-hits on one alignment is compared once for each mask. The benchmark is broadcast, in blocks of at most
-``BLOCK_BYTES`` by its counted size (one item at least); more blocks are more passes.
+Scale: windows carry a document's identity and a hash, nothing else, and are joined where they are made;
+only the places of hits are shuffled, once each. Texts with hits are then read a second time and split once
+to compare all of their places. The benchmark is broadcast in blocks of at most ``BLOCK_BYTES`` by its
+counted size (one item at least); more blocks are more passes. Places are broadcast up to ``BROADCAST_PLACES``,
+which are counted, and beyond that joined by shuffle.
 
 Edge cases: null or empty texts have no tokens and match nothing; null ids are kept as they are and
 rows with equal doc_id count as one document in the result of :func:`contaminated`, while
@@ -41,7 +42,8 @@ SHORT = min(map(len, MASKS))
 MIN_MATCHES = 10
 MIN_SHARE = 0.8
 BLOCK_BYTES = 48 << 20
-WINDOW_BYTES, TOKEN_BYTES = 48, 8  # of a broadcast row, about
+WINDOW_BYTES = 48  # of a broadcast row, about
+BROADCAST_PLACES = 200_000
 SEPARATORS = r"[\x20\x09-\x0D.,;:!?\"'()\[\]{}]+"
 
 
@@ -77,49 +79,52 @@ def benchmark_items(benchmark: DataFrame, item_id: str = "item_id", text: str =
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """(ref, item_at, mask, h, before): the seeds of each item; ``before``: the one at the place before, by the same mask."""
-    found = windows(items, "item", "ref", "item")
-    before = reduce(lambda other, k: F.when(F.col("mask") == k, seed_hash(F.col("item"), F.col("at") - 1, k)).otherwise(other), range(len(MASKS)), F.lit(None).cast("long"))
-    return found.select("ref", F.col("at").alias("item_at"), F.col("mask").alias("item_mask"), "h", before.alias("before"))
+    """(ref, item_at, h): the seeds of each item."""
+    return windows(items, "item", "ref").select("ref", F.col("at").alias("item_at"), "h")
 
 
 def _blocks(items: DataFrame) -> int:
     """Into how many parts the benchmark goes so that each can be broadcast."""
     tokens = items.agg(F.sum(F.size("item"))).first()[0] or 0
-    return max(1, -(-tokens * (len(MASKS) * WINDOW_BYTES + TOKEN_BYTES) // BLOCK_BYTES))
-
-
-def leaks(docs: DataFrame, items: DataFrame, *keep: str) -> DataFrame:
-    """(keep..., item_id, matches, share): what the hits of ``items`` in the texts of ``docs`` verify; a row for each run of hits."""
-    tokens = docs.select(*keep, token_hashes(F.col("text")).alias("tokens"))
-    seen = windows(tokens, "tokens", *keep, "tokens")
-    hits = seen.join(F.broadcast(benchmark_windows(items)), "h").where(F.col("mask") == F.col("item_mask"))
-    own = F.col("tokens")
-    same_before = reduce(lambda other, k: F.when(F.col("mask") == k, seed_hash(own, F.col("at") - 1, k) == F.col("before")).otherwise(other), range(len(MASKS)), F.lit(False))
-    heads = hits.where(~F.coalesce(same_before, F.lit(False)))
-    laid = heads.join(F.broadcast(items), "ref").withColumn("begin", F.col("at") - F.col("item_at"))
+    return max(1, -(-tokens * len(MASKS) * WINDOW_BYTES // BLOCK_BYTES))
+
+
+def places(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, th, ref, begin): where items lie in documents (doc_id, th, text) according to a hit."""
+    n = _blocks(items)
+    seen = windows(docs.select("doc_id", "th", token_hashes(F.col("text")).alias("tokens")), "tokens", "doc_id", "th")
+    parts = [items.where(F.pmod(F.xxhash64("ref"), F.lit(n)) == k) for k in range(n)] if n > 1 else [items]
+    hits = reduce(DataFrame.unionByName, (seen.join(F.broadcast(benchmark_windows(x)), "h").select("doc_id", "th", "ref", (F.col("at") - F.col("item_at")).alias("begin")) for x in parts))
+    return hits.distinct()
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str) -> DataFrame:
+    """(doc_id, th, item_id, matches, share) of each place where a document holds an item; th: hash of the text."""
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    items = benchmark_items(benchmark, item_id)
+    found = materialize(places(slim, items))
+    small = found.count() <= BROADCAST_PLACES
+    own = found.select(F.col("doc_id").alias("place_id"), F.col("th").alias("place_th"), "ref", "begin")
+    own = F.broadcast(own) if small else own
+    there = F.col("doc_id").eqNullSafe(F.col("place_id")) & (F.col("th") == F.col("place_th"))
+    # first the texts with places, so that only these are split
+    split = slim.join(own, there, "left_semi").select("doc_id", "th", token_hashes(F.col("text")).alias("tokens"))
+    near = split.join(own, there).join(items, "ref")
     begin, n = F.col("begin"), F.size("item")
     # the tokens in the item's place; outside of the document there are none
     outside = F.array_repeat(F.lit(None).cast("long"), F.greatest(-begin, F.lit(0)))
-    beside = F.slice(F.concat(outside, F.slice(own, F.greatest(begin, F.lit(0)) + 1, n)), F.lit(1), n)
+    beside = F.slice(F.concat(outside, F.slice("tokens", F.greatest(begin, F.lit(0)) + 1, n)), F.lit(1), n)
     same = F.zip_with(F.col("item"), beside, lambda a, b: F.coalesce(a == b, F.lit(False)))
-    scored = laid.select(*keep, "item_id", F.least(n, F.lit(MIN_MATCHES)).alias("need"), _best_stretch(same).alias("best"))
+    scored = near.select("doc_id", "th", "item_id", F.least(n, F.lit(MIN_MATCHES)).alias("need"), _best_stretch(same).alias("best"))
     share = F.col("best.matches") / F.nullif(F.col("best.long"), F.lit(0))
-    scored = scored.select(*keep, "item_id", "need", F.col("best.matches").cast("long").alias("matches"), share.alias("share"))
+    scored = scored.select("doc_id", "th", "item_id", "need", F.col("best.matches").cast("long").alias("matches"), share.alias("share"))
     return scored.where((F.col("matches") >= F.col("need")) & (F.col("share") >= MIN_SHARE)).drop("need")
 
 
-def _all_leaks(docs: DataFrame, benchmark: DataFrame, item_id: str, *keep: str) -> DataFrame:
-    items = benchmark_items(benchmark, item_id)
-    n = _blocks(items)
-    part = lambda k: items.where(F.pmod(F.xxhash64("ref"), F.lit(n)) == k) if n > 1 else items
-    return reduce(DataFrame.unionByName, (leaks(docs, part(k), *keep) for k in range(n)))
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
     """(doc_id, item_id, matches, share): items whose text is found in a document, substitutions allowed."""
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return _all_leaks(slim, benchmark, item_id, "doc_id").groupBy("doc_id", "item_id").agg(F.max("matches").alias("matches"), F.max("share").alias("share"))
+    found = leaks(docs, benchmark, doc_id, text, item_id)
+    return found.groupBy("doc_id", "item_id").agg(F.max("matches").alias("matches"), F.max("share").alias("share"))
 
 
 def _best_stretch(same: Column) -> Column:
@@ -143,8 +148,7 @@ def _best_stretch(same: Column) -> Column:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
     """``docs`` without the documents that hold a benchmark passage; rows are told apart by id and text."""
     own = own_prefix(docs)
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
-    bad = _all_leaks(slim, benchmark, item_id, "doc_id", "th").select(F.col("doc_id").alias(f"{own}bad"), F.col("th").alias(f"{own}th")).distinct()
+    bad = leaks(docs, benchmark, doc_id, text, item_id).select(F.col("doc_id").alias(f"{own}bad"), F.col("th").alias(f"{own}th")).distinct()
     bad = materialize(bad)
     return docs.join(bad, docs[doc_id].eqNullSafe(bad[f"{own}bad"]) & (F.xxhash64(docs[text]) == bad[f"{own}th"]), "left_anti")
 
@@ -160,9 +164,9 @@ with d as (
 ), b as (
   select row_number() over () b, * from (select distinct item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D.,;:!?"''()\[\]{}]+'), lambda w: w <> '') t from benchmark)
 ), dw as (
-  select r, unnest(list_transform(range(1, greatest(len(t) - 6, 1)), lambda i: {'i': i, 'm': 'a', 's': [t[i], t[i+1], t[i+3], t[i+5], t[i+6], t[i+7]]}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'b', 's': [t[i], t[i+1], t[i+2], t[i+5], t[i+8], t[i+9]]}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'c', 's': [t[i], t[i+1], t[i+2], t[i+4], t[i+8], t[i+9]]}) || list_transform(range(1, greatest(len(t) - 4, 1)), lambda i: {'i': i, 'm': 'd', 's': [t[i], t[i+1], t[i+2], t[i+3], t[i+4], t[i+5]]})) x from d
+  select r, unnest(list_transform(range(1, greatest(len(t) - 6, 1)), lambda i: {'i': i, 'm': 'a', 's': hash([t[i], t[i+1], t[i+3], t[i+5], t[i+6], t[i+7]])}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'b', 's': hash([t[i], t[i+1], t[i+2], t[i+5], t[i+8], t[i+9]])}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'c', 's': hash([t[i], t[i+1], t[i+2], t[i+4], t[i+8], t[i+9]])}) || list_transform(range(1, greatest(len(t) - 4, 1)), lambda i: {'i': i, 'm': 'd', 's': hash([t[i], t[i+1], t[i+2], t[i+3], t[i+4], t[i+5]])})) x from d
 ), bw as (
-  select b, unnest(list_transform(range(1, greatest(len(t) - 6, 1)), lambda i: {'i': i, 'm': 'a', 's': [t[i], t[i+1], t[i+3], t[i+5], t[i+6], t[i+7]]}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'b', 's': [t[i], t[i+1], t[i+2], t[i+5], t[i+8], t[i+9]]}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'c', 's': [t[i], t[i+1], t[i+2], t[i+4], t[i+8], t[i+9]]}) || list_transform(range(1, greatest(len(t) - 4, 1)), lambda i: {'i': i, 'm': 'd', 's': [t[i], t[i+1], t[i+2], t[i+3], t[i+4], t[i+5]]})) x from b
+  select b, unnest(list_transform(range(1, greatest(len(t) - 6, 1)), lambda i: {'i': i, 'm': 'a', 's': hash([t[i], t[i+1], t[i+3], t[i+5], t[i+6], t[i+7]])}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'b', 's': hash([t[i], t[i+1], t[i+2], t[i+5], t[i+8], t[i+9]])}) || list_transform(range(1, greatest(len(t) - 8, 1)), lambda i: {'i': i, 'm': 'c', 's': hash([t[i], t[i+1], t[i+2], t[i+4], t[i+8], t[i+9]])}) || list_transform(range(1, greatest(len(t) - 4, 1)), lambda i: {'i': i, 'm': 'd', 's': hash([t[i], t[i+1], t[i+2], t[i+3], t[i+4], t[i+5]])})) x from b
 ), hit as (
   select distinct r, b, dw.x.i - bw.x.i s from dw join bw on dw.x.m = bw.x.m and dw.x.s = bw.x.s
 ), tok as (
