@@ -104,6 +104,17 @@ def split_words(raw: np.ndarray, offsets: np.ndarray) -> Texts:
     return Texts(raw, offsets, start, end, np.searchsorted(start, offsets))
 
 
+def trimmed(t: Texts, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each word without the bytes ``outside`` (a mask of 256) at its ends, and which words have others.
+
+    In one pass, however long a run of such bytes is; begins and ends are of the words that have others.
+    """
+    inner = np.flatnonzero(~outside[t.bytes])
+    a, b = np.searchsorted(inner, t.start), np.searchsorted(inner, t.end)
+    some = a < b
+    return inner[a[some]], inner[b[some] - 1] + 1, some
+
+
 def windows(t: Texts, width: int, which: tuple[int, ...] = (0,)) -> tuple[np.ndarray, list[np.ndarray]]:
     """Indices of the words that start a window of ``width`` words of one text, and the hashes."""
     position, room = t.position(), np.repeat(t.n_words, t.n_words)

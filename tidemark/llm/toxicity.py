@@ -44,19 +44,8 @@ _LOWER[0x41:0x5B] += 0x20
 
 def word_features(t: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of every word that has more than punctuation."""
-    start, end, doc = t.start.copy(), t.end.copy(), t.doc
-    while True:
-        cut = (start < end) & _PUNCTUATION[t.bytes[np.minimum(start, len(t.bytes) - 1)]] if len(start) else np.zeros(0, bool)
-        if not cut.any():
-            break
-        start[cut] += 1
-    while True:
-        cut = (start < end) & _PUNCTUATION[t.bytes[end - 1]] if len(start) else np.zeros(0, bool)
-        if not cut.any():
-            break
-        end[cut] -= 1
-    some = start < end
-    return doc[some], tk.segment_hashes(_LOWER[t.bytes], start[some], end[some], 0).view(np.int64)
+    start, end, some = tk.trimmed(t, _PUNCTUATION)
+    return t.doc[some], tk.segment_hashes(_LOWER[t.bytes], start, end, 0).view(np.int64)
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
