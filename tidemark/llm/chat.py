@@ -1,19 +1,27 @@
 """Chat formatting: tool-call linking; DataFrame functions only.
 
-Calls and results are hash-joined by (conversation, call identifier). The order is topological:
-a result stands right behind its call and calls stand in turn order, given by ``order_key`` = twice
-the call's turn, plus one for the result; a result logged before its call is moved behind it and said
-so. Arguments are validated against the tool's schema (required names, JSON types, no other
-names) and every link is serialised as canonical JSON: sorted keys, no blanks.
-
-Scale: two pre-aggregations and one join, all on (conversation, identifier), so a conversation with a
-third of all rows is spread over its identifiers; no conversation is ever gathered. Schemas are a
-parameter of the caller's code, not a table.
-
-Edge cases: a null conversation or identifier never links; of repeated calls or results of one
-identifier the first by turn (then by content) counts, and ``n_calls`` / ``n_results`` tell how many
-there were; null text is JSON null; arguments that aren't JSON objects are invalid; extra columns are
-ignored; empty tables give an empty result.
+Calls and results are hash-joined by (conversation, call identifier). The order is topological: a result
+stands right behind its call, and a call whose arguments hold the identifier of another call of its
+conversation stands behind that call and its result. Calls keep their turn unless that breaks this order;
+then they move behind what they depend on (``at_turn``, ``step``). Arguments are validated against the
+tool's schema (required names, JSON types, lengths, no other names) and every row is serialised as
+canonical JSON: sorted keys, no blanks.
+
+Every call, result and other message is in a result row: ``linked``, ``moved`` (a result logged before its
+call), ``no_result``, ``repeated_call``, ``no_call``, ``repeated_result``, ``message``. A call on a cycle, or
+one that would have to move behind it, stays at its turn and says ``depends on itself`` among its errors.
+
+Scale: joins and aggregates are all on (conversation, identifier), so a conversation with a third of all
+rows is spread over its identifiers; no conversation is ever gathered. Equal rows are counted before they
+are shuffled, a hot identifier is one row of the side that Spark hashes, and rows without identifier are
+not shuffled at all. References to earlier turns, the usual ones, need no rounds; others take as many as the
+longest chain of them. Schemas are a parameter of the caller's code, not a table.
+
+Edge cases: a null conversation or identifier never links; equal calls or results of one identifier are
+one row, counted in ``n_calls`` / ``n_results``; of different ones the first by turn (then by content) is linked
+and the others are rows of their own; null text is JSON null; arguments that aren't JSON objects are
+invalid; a null for a parameter that isn't required counts as absent; extra columns are ignored; empty tables
+give an empty result.
 """
 
 from __future__ import annotations
@@ -21,12 +29,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: of each tool its parameters: (JSON type, required)
-Schemas = dict[str, dict[str, tuple[str, bool]]]
+from tidemark.llm.workspace import materialize
 
-REPLY: Schemas = {"reply": {"prompt": ("string", True), "turn": ("integer", True)}}
+#: of each tool its parameters: (JSON type, required) or (JSON type, required, most characters)
+Schemas = dict[str, dict[str, tuple]]
+
+REPLY: Schemas = {"reply": {"after": ("string", False), "prompt": ("string", True, 300), "turn": ("integer", True)}}
 
 _TYPES = {"string": r"STRING", "integer": r"(TINYINT|SMALLINT|INT|BIGINT)", "number": r"(TINYINT|SMALLINT|INT|BIGINT|DOUBLE|FLOAT|DECIMAL.*)", "boolean": "BOOLEAN", "array": r"ARRAY<.*", "object": r"OBJECT<.*"}
+_STRINGS = r'"((?:[^"\\]|\\.)*)"'
+_KEYS = ["conv_id", "call_id"]
+_COLUMNS = ["conv_id", "call_id", "status", "at_turn", "step", "n_calls", "n_results", "errors", "json"]
 
 
 def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column:
@@ -37,11 +50,13 @@ def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column
     found = F.when(F.lit(False), F.lit(""))
     for tool, parameters in schemas.items():
         checks = []
-        for p, (expected, required) in sorted(parameters.items()):
+        for p, (expected, required, *most) in sorted(parameters.items()):
             is_there = F.array_contains(given, p)
             actual = F.schema_of_variant(F.try_variant_get(value, f"$['{p}']", "variant"))
             wrong = is_there & ~actual.rlike(f"^{_TYPES[expected]}$")
-            checks.append(F.when(wrong, F.lit(f"{p}: not {expected}")))
+            checks.append(F.when(wrong if required else wrong & (actual != "VOID"), F.lit(f"{p}: not {expected}")))
+            if most:
+                checks.append(F.when(~wrong & (F.length(F.try_variant_get(value, f"$['{p}']", "string")) > most[0]), F.lit(f"{p}: longer than {most[0]}")))
             if required:
                 checks.append(F.when(~is_there, F.lit(f"{p}: missing")))
         known = F.array(*(F.lit(p) for p in parameters)) if parameters else F.array().cast("array<string>")
@@ -52,36 +67,120 @@ def argument_errors(name: Column, arguments: Column, schemas: Schemas) -> Column
     return F.coalesce(found, F.lit("no such tool"))
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
-    """Join calls (conv_id, call_id, turn, name, arguments) and results (conv_id, call_id, turn, content)."""
-    keys = ["conv_id", "call_id"]
-    one = calls.groupBy(*keys).agg(F.min(F.struct("turn", "name", "arguments")).alias("call"), F.count("*").alias("n_calls"))
-    two = results.groupBy(*keys).agg(F.min(F.struct("turn", "content")).alias("result"), F.count("*").alias("n_results"))
-    both = one.join(two, keys, "full_outer")
-    called, answered = F.col("n_calls").isNotNull(), F.col("n_results").isNotNull()
-    early = called & answered & (F.col("result.turn") < F.col("call.turn"))
-    status = F.when(early, "moved").when(called & answered, "linked").when(called, "no_result").otherwise("no_call")
-    errors = F.when(called, argument_errors(F.col("call.name"), F.col("call.arguments"), schemas))
-    arguments = F.try_parse_json(F.col("call.arguments"))
-    document = F.to_json(
-        F.struct(
-            F.when(called, F.struct(arguments.alias("arguments"), F.col("call_id").alias("id"), F.col("call.name").alias("name"))).alias("call"),
-            F.when(answered, F.struct(F.col("result.content").alias("content"), F.col("call_id").alias("id"))).alias("result"),
-        ),
-        {"ignoreNullFields": "false"},
-    )
-    return both.select(
-        *keys, status.alias("status"),
-        F.coalesce(F.col("call.turn") * 2, F.col("result.turn") * 2 + 1).cast("long").alias("order_key"),
-        F.coalesce("n_calls", F.lit(0)).cast("long").alias("n_calls"), F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"),
-        errors.alias("errors"), document.alias("json"),
+def references(calls: DataFrame, ids: DataFrame) -> DataFrame:
+    """(conv_id, call_id, turn, ref, ref_turn): calls whose arguments hold the identifier of another call of their conversation."""
+    held = calls.select(*_KEYS, "turn", F.explode(F.array_distinct(F.regexp_extract_all("arguments", F.lit(_STRINGS), F.lit(1)))).alias("ref"))
+    known = ids.where("first_call is not null").select("conv_id", F.col("call_id").alias("ref"), F.col("first_call.turn").alias("ref_turn"))
+    return held.where("ref <> call_id").join(known.hint("shuffle_hash"), ["conv_id", "ref"])
+
+
+def moves(edges: DataFrame) -> DataFrame | None:
+    """(conv_id, call_id, to_turn, to_step, loops) of the calls that have to stand later than their turn; None if all is in order.
+
+    A call's place is (turn, 0) or behind the last place of what it refers to, whichever is later.
+    """
+    if edges.where("ref_turn >= turn").isEmpty():
+        return None
+    edges = materialize(edges)
+    places = None
+    while True:
+        at = edges
+        if places is None:
+            there = F.struct(F.col("ref_turn").alias("t"), F.lit(0).alias("s"))
+        else:
+            moved = places.select("conv_id", F.col("call_id").alias("ref"), F.col("place").alias("moved_to"))
+            at = edges.join(moved.hint("shuffle_hash"), ["conv_id", "ref"], "left")
+            there = F.coalesce("moved_to", F.struct(F.col("ref_turn").alias("t"), F.lit(0).alias("s")))
+        behind = F.struct(there["t"].alias("t"), (there["s"] + 1).cast("int").alias("s"))
+        later = at.withColumn("behind", behind).where(F.col("behind") > F.struct(F.col("turn").alias("t"), F.lit(0).alias("s")))
+        now = materialize(later.groupBy(*_KEYS).agg(F.max("behind").alias("place")))
+        changed = now if places is None else now.join(places.withColumnRenamed("place", "before").hint("shuffle_hash"), _KEYS, "left").where("before is null or place <> before")
+        places = now
+        # more steps than the conversation has moved calls: on a cycle, or behind one
+        open_ = changed.join(now.groupBy("conv_id").agg(F.count("*").alias("n")).hint("shuffle_hash"), "conv_id").where("place.s <= n")
+        if open_.isEmpty():
+            break
+    looping = _looping(edges, places) if not changed.isEmpty() else places.select(*_KEYS).limit(0)
+    out = places.select(*_KEYS, F.col("place.t").alias("to_turn"), F.col("place.s").alias("to_step"))
+    return out.join(looping.withColumn("loops", F.lit(True)).hint("shuffle_hash"), _KEYS, "left")
+
+
+def _looping(edges: DataFrame, places: DataFrame) -> DataFrame:
+    """Moved calls on a cycle or behind one: what is left when calls that refer to none that is left are taken away."""
+    left = places.select(*_KEYS)
+    before = left.count()
+    while True:
+        as_ref = left.select("conv_id", F.col("call_id").alias("ref"))
+        left = materialize(edges.join(as_ref.hint("shuffle_hash"), ["conv_id", "ref"], "left_semi").select(*_KEYS).distinct().join(left.hint("shuffle_hash"), _KEYS, "left_semi"))
+        now = left.count()
+        if now == before:
+            return left
+        before = now
+
+
+def link(calls: DataFrame, results: DataFrame, schemas: Schemas, others: DataFrame | None = None) -> DataFrame:
+    """Join calls (conv_id, call_id, turn, name, arguments) and results (conv_id, call_id, turn, content); others (conv_id, turn, role, text) pass."""
+    calls = calls.groupBy(*_KEYS, "turn", "name", "arguments").agg(F.count("*").alias("copies"))
+    results = results.groupBy(*_KEYS, "turn", "content").agg(F.count("*").alias("copies"))
+    keyed = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    one = calls.where(keyed).groupBy(*_KEYS).agg(F.min(F.struct("turn", "name", "arguments")).alias("first_call"), F.sum("copies").alias("n_calls"))
+    two = results.where(keyed).groupBy(*_KEYS).agg(F.min(F.struct("turn", "content")).alias("first_result"), F.sum("copies").alias("n_results"))
+    ids = one.join(two.hint("shuffle_hash"), _KEYS, "full_outer")
+
+    called = calls.join(ids.hint("shuffle_hash"), _KEYS, "left")
+    is_first = F.col("first_call").isNull() | (F.struct("turn", "name", "arguments").eqNullSafe(F.col("first_call")))
+    answered = is_first & F.col("n_results").isNotNull()
+    early = F.col("first_result.turn") < F.col("turn")
+    status = F.when(answered & early, "moved").when(answered, "linked").when(is_first, "no_result").otherwise("repeated_call")
+    later = moves(references(calls.where(keyed), ids))
+    if later is not None:
+        called = called.join(later.hint("shuffle_hash"), _KEYS, "left")
+        loops = F.coalesce("loops", F.lit(False))
+        free = ~loops & F.col("to_turn").isNotNull()
+        at_turn, step = F.when(free, F.col("to_turn")).otherwise(F.col("turn")), F.when(free, F.col("to_step")).otherwise(F.lit(0))
+        extra = F.when(loops, F.lit("depends on itself"))
+    else:
+        at_turn, step, extra = F.col("turn"), F.lit(0), F.lit(None).cast("string")
+    errors = F.concat_ws("; ", F.nullif(argument_errors(F.col("name"), F.col("arguments"), schemas), F.lit("")), extra)
+    own_call = F.struct(F.try_parse_json("arguments").alias("arguments"), F.col("call_id").alias("id"), F.col("name").alias("name"))
+    own_result = lambda content: F.struct(content.alias("content"), F.col("call_id").alias("id"))
+    count = lambda c, other=0: F.coalesce(F.col(c), other if isinstance(other, Column) else F.lit(other)).cast("long").alias(c)
+    rows = called.select(
+        *_KEYS, status.alias("status"), at_turn.cast("long").alias("at_turn"), step.cast("int").alias("step"),
+        count("n_calls", F.col("copies")), count("n_results"), errors.alias("errors"),
+        _canonical(F.struct(own_call.alias("call"), F.when(answered, own_result(F.col("first_result.content"))).alias("result"))).alias("json"),
+    )
+
+    told = results.join(ids.hint("shuffle_hash"), _KEYS, "left")
+    is_first = F.col("first_result").isNull() | (F.struct("turn", "content").eqNullSafe(F.col("first_result")))
+    alone = told.where(~is_first | F.col("n_calls").isNull()).select(
+        *_KEYS, F.when(is_first, "no_call").otherwise("repeated_result").alias("status"), F.col("turn").cast("long").alias("at_turn"), F.lit(0).alias("step"),
+        count("n_calls"), count("n_results", F.col("copies")), F.lit("").alias("errors"),
+        _canonical(F.struct(F.lit(None).cast("string").alias("call"), own_result(F.col("content")).alias("result"))).alias("json"),
     )
+    out = rows.unionByName(alone)
+    if others is not None:
+        message = _canonical(F.struct(F.struct(F.col("text").alias("content"), F.col("role").alias("role")).alias("message")))
+        passed = others.select(
+            "conv_id", F.lit(None).cast("string").alias("call_id"), F.lit("message").alias("status"), F.col("turn").cast("long").alias("at_turn"), F.lit(0).alias("step"),
+            F.lit(0).cast("long").alias("n_calls"), F.lit(0).cast("long").alias("n_results"), F.lit("").alias("errors"), message.alias("json"),
+        )
+        out = out.unionByName(passed)
+    return out.select(_COLUMNS)
+
+
+def _canonical(value: Column) -> Column:
+    """JSON without blanks; the fields of ``value`` are in the order of their names, as those of a variant are."""
+    return F.to_json(value, {"ignoreNullFields": "false"})
 
 
 def calls_of_turns(conversations: DataFrame) -> DataFrame:
-    """Plain conversations as calls: a user turn calls the tool ``reply`` with its text."""
-    arguments = F.to_json(F.struct(F.col("text").alias("prompt"), F.col("turn")), {"ignoreNullFields": "false"})
-    return conversations.where(F.col("role") == "user").select("conv_id", _call_id(F.col("turn")).alias("call_id"), "turn", F.lit("reply").alias("name"), arguments.alias("arguments"))
+    """Plain conversations as calls: a user turn calls the tool ``reply`` with its text, and with the identifier of the exchange before it."""
+    text, turn = F.col("text").alias("prompt"), F.col("turn")
+    first = F.to_json(F.struct(text, turn), {"ignoreNullFields": "false"})
+    later = F.to_json(F.struct(_call_id(turn - 2).alias("after"), text, turn), {"ignoreNullFields": "false"})
+    arguments = F.when(turn >= 2, later).otherwise(first)
+    return conversations.where(F.col("role") == "user").select("conv_id", _call_id(turn).alias("call_id"), "turn", F.lit("reply").alias("name"), arguments.alias("arguments"))
 
 
 def results_of_turns(conversations: DataFrame) -> DataFrame:
@@ -89,6 +188,10 @@ def results_of_turns(conversations: DataFrame) -> DataFrame:
     return conversations.where(F.col("role") == "assistant").select("conv_id", _call_id(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
 
 
+def other_turns(conversations: DataFrame, used: tuple[str, ...] = ("user", "assistant")) -> DataFrame:
+    return conversations.where(~F.coalesce(F.col("role").isin(*used), F.lit(False))).select("conv_id", "turn", "role", "text")
+
+
 def _call_id(turn: Column) -> Column:
     return F.concat(F.lit("call_"), turn.cast("string"))
 
@@ -108,21 +211,34 @@ def results_of_json(messages: DataFrame) -> DataFrame:
 
 def op1_chat_tool_links(spark, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    return link(calls_of_turns(turns), results_of_turns(turns), REPLY)
+    return link(calls_of_turns(turns), results_of_turns(turns), REPLY, other_turns(turns))
 
 
+# DuckDB: the references of these calls are all to earlier turns, so that no call moves.
 ORACLE = r"""
 with c as (
-  select conv_id, 'call_' || turn::varchar call_id, min({'turn': turn, 'text': text}) c, count(*) n from conversations where role = 'user' group by all
+  select conv_id, 'call_' || turn::varchar call_id, turn, text, count(*) copies from conversations where role = 'user' group by all
 ), r as (
-  select conv_id, 'call_' || (turn - 1)::varchar call_id, min({'turn': turn, 'text': text}) r, count(*) n from conversations where role = 'assistant' group by all
+  select conv_id, 'call_' || (turn - 1)::varchar call_id, turn, text, count(*) copies from conversations where role = 'assistant' group by all
+), c2 as (
+  select *, row_number() over (partition by conv_id, call_id order by turn, text nulls first) k, sum(copies) over (partition by conv_id, call_id) n from c
+), r2 as (
+  select *, row_number() over (partition by conv_id, call_id order by turn, text nulls first) k, sum(copies) over (partition by conv_id, call_id) n from r
+), rows_ as (
+  select c2.conv_id, c2.call_id, case when c2.k > 1 then 'repeated_call' when r2.n is null then 'no_result' when r2.turn < c2.turn then 'moved' else 'linked' end status,
+         c2.turn at_turn, c2.n n_calls, coalesce(r2.n, 0) n_results,
+         case when c2.text is null then 'prompt: not string' when length(c2.text) > 300 then 'prompt: longer than 300' else '' end errors,
+         '{"call":{"arguments":{' || case when c2.turn >= 2 then '"after":"call_' || (c2.turn - 2)::varchar || '",' else '' end || '"prompt":' || coalesce(to_json(c2.text)::varchar, 'null') || ',"turn":' || c2.turn::varchar
+         || '},"id":' || to_json(c2.call_id)::varchar || ',"name":"reply"},"result":'
+         || case when c2.k = 1 and r2.n is not null then '{"content":' || coalesce(to_json(r2.text)::varchar, 'null') || ',"id":' || to_json(c2.call_id)::varchar || '}' else 'null' end || '}' json
+  from c2 left join r2 on c2.conv_id = r2.conv_id and c2.call_id = r2.call_id and r2.k = 1
+  union all
+  select r2.conv_id, r2.call_id, case when r2.k > 1 then 'repeated_result' else 'no_call' end, r2.turn, coalesce(c2.n, 0), r2.n, '',
+         '{"call":null,"result":{"content":' || coalesce(to_json(r2.text)::varchar, 'null') || ',"id":' || to_json(r2.call_id)::varchar || '}}'
+  from r2 left join c2 on c2.conv_id = r2.conv_id and c2.call_id = r2.call_id and c2.k = 1 where r2.k > 1 or c2.n is null
+  union all
+  select conv_id, null, 'message', turn, 0, 0, '', '{"message":{"content":' || coalesce(to_json(text)::varchar, 'null') || ',"role":' || coalesce(to_json(role)::varchar, 'null') || '}}'
+  from conversations where role is null or role not in ('user', 'assistant')
 )
-select coalesce(c.conv_id, r.conv_id) conv_id, coalesce(c.call_id, r.call_id) call_id,
-       case when c.n is not null and r.n is not null then case when r.r.turn < c.c.turn then 'moved' else 'linked' end
-            when c.n is not null then 'no_result' else 'no_call' end status,
-       coalesce(c.c.turn * 2, r.r.turn * 2 + 1)::bigint order_key, coalesce(c.n, 0)::bigint n_calls, coalesce(r.n, 0)::bigint n_results,
-       case when c.n is not null then '' end errors,
-       '{"call":' || case when c.n is not null then '{"arguments":{"prompt":' || to_json(c.c.text)::varchar || ',"turn":' || c.c.turn::varchar || '},"id":' || to_json(c.call_id)::varchar || ',"name":"reply"}' else 'null' end
-       || ',"result":' || case when r.n is not null then '{"content":' || to_json(r.r.text)::varchar || ',"id":' || to_json(r.call_id)::varchar || '}' else 'null' end || '}' json
-from c full outer join r on c.conv_id = r.conv_id and c.call_id = r.call_id
+select conv_id, call_id, status, at_turn::bigint at_turn, 0::int step, n_calls::bigint n_calls, n_results::bigint n_results, errors, json from rows_
 """
