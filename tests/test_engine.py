@@ -74,8 +74,8 @@ def test_half_open_ranges_cover_once(spark):
 
 
 def test_predicates():
-    assert partition.jdbc_predicates("k", [(None, 5), (5, None)]) == ["(k < 5 OR k IS NULL)", "k >= 5"]
-    assert partition.jdbc_predicates("k", [("a'b", None)]) == ["k >= 'a''b'"]
+    assert partition.jdbc_predicates("k", [(None, 5), (5, None)]) == ['("k" < 5 OR "k" IS NULL)', '"k" >= 5']
+    assert partition.jdbc_predicates('k"; drop', [("a'b", None)]) == ["\"k\"\"; drop\" >= 'a''b'"]
 
 
 def test_pushdown(spark, tmp_path):
@@ -169,7 +169,7 @@ def test_jdbc_roundtrip(spark):
     url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
     df = spark.createDataFrame([(i, f"n{i}") for i in range(100)], "id int, name string")
     spec.write_jdbc(df, url, "t", driver="org.apache.derby.jdbc.EmbeddedDriver")
-    back = spec.read_jdbc(spark, url, "t", partition.jdbc_predicates('"id"', [(None, 50), (50, None)]), driver="org.apache.derby.jdbc.EmbeddedDriver")
+    back = spec.read_jdbc(spark, url, "t", partition.jdbc_predicates("id", [(None, 50), (50, None)]), driver="org.apache.derby.jdbc.EmbeddedDriver")
     assert back.rdd.getNumPartitions() == 2 and sorted(map(tuple, back.collect())) == [(i, f"n{i}") for i in range(100)]
 
 

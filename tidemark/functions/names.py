@@ -10,6 +10,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: what an identifier may be.
 _PLAIN = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
@@ -67,12 +68,33 @@ def read_list(text: str) -> list[str]:
     return [x for line in text.splitlines() if (x := line.split("#")[0].strip())]
 
 
-def split_table(name: str, default_schema: str = "dbo") -> tuple[str, str]:
-    """``table``, ``schema.table`` or ``[schema].[table]``."""
-    if m := re.fullmatch(r"\[([^\]]+)\]\.\[([^\]]+)\]", name.strip()):
-        return m[1], m[2]
-    schema, dot, table = name.strip().partition(".")
-    return (schema, table) if dot else (default_schema, schema)
+def split_table(name: str, default_schema: str | None = None) -> tuple[str, str]:
+    """``schema.table`` or ``[schema].[table]``, split at the first dot outside of brackets; ``]]`` is a bracket in a name.
+
+    An entry without a schema is an error unless a default is given; so are empty parts and open brackets.
+    """
+    parts, rest = [], name.strip()
+    while rest and len(parts) < 2:
+        if rest[0] == "[":
+            part, at = "", 1
+            while at < len(rest) and (rest[at] != "]" or rest[at : at + 2] == "]]"):
+                part += rest[at]
+                at += 1 + (rest[at] == "]")
+            if at == len(rest):
+                raise ValueError(f"open bracket in {name!r}")
+            rest = rest[at + 1 :]
+        else:
+            part, dot, after = rest.partition(".") if not parts else (rest, "", "")
+            rest = dot + after
+        parts.append(part.strip())
+        if rest and (rest[0] != "." or len(parts) == 2 or len(rest) == 1):
+            raise ValueError(f"not a table name: {name!r}")
+        rest = rest[1:]
+    if len(parts) == 1 and default_schema:
+        parts.insert(0, default_schema)
+    if len(parts) != 2 or not all(parts):
+        raise ValueError(f"not a schema and a table: {name!r}")
+    return parts[0], parts[1]
 
 
 def expand_tables(value: str | Iterable[str] | None) -> list[str]:
@@ -113,3 +135,15 @@ def human_seconds(s: float) -> str:
     if s < 60:
         return f"{s:.1f}s"
     return f"{int(s // 60)}m {int(s % 60)}s" if s < 3600 else f"{int(s // 3600)}h {int(s % 3600 // 60)}m"
+
+
+def human_number(n: float) -> str:
+    """1,234 up to a million, then 1.23M or 1.23B."""
+    for size, unit in ((1_000_000_000, "B"), (1_000_000, "M")):
+        if abs(n) >= size:
+            return f"{n / size:.2f}{unit}"
+    return f"{n:,.0f}"
+
+
+def shortened(text: str, limit: int = 100) -> str:
+    return text if len(text) <= limit else text[: max(limit - 3, 0)] + "..."

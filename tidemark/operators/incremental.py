@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import merge
-from tidemark.operators.load import Store
+from tidemark.operators.load import Store, range_of
+from tidemark.sources.shared import written
 
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -42,7 +43,7 @@ class Sync:
     inserted: int
     updated: int
     unchanged: int
-    kept: int
+    kept: int  # of the ranges that were read
     watermark: dt.datetime
 
     @property
@@ -55,12 +56,29 @@ def staged_rows(source: DataFrame, column: str | None, since: dt.datetime | str
     return staged if inside is None else staged.where(inside)
 
 
-def sync(store: Store, table: str, source: DataFrame, key: list[str], column: str | None, since: dt.datetime | None, now: dt.datetime) -> Sync:
-    """Merge and publish. The returned watermark is the clock before the first read; store it after success."""
-    staged = staged_rows(source, column, since)
+def sync(store: Store, table: str, source: DataFrame, key: list[str], column: str | None, since: dt.datetime | None, now: dt.datetime, inside: Column | None = None) -> Sync:
+    """Merge and publish. The returned watermark is the clock before the first read; store it after success.
+
+    The source is read once, into a staging table.
+    """
+    return merge_staged(store, table, written(staged_rows(source, column, since, inside)), key, now)
+
+
+def merge_staged(store: Store, table: str, staged: DataFrame, key: list[str], now: dt.datetime) -> Sync:
+    """Merge a staging table into a stored one; the counts come from the job that publishes.
+
+    Of a table in ranges only those that staged keys fall in are read, merged and written.
+    """
+    version, made = store.version(table), store.manifest(table)
     merge.require_unique(staged, key)
-    diffed = merge.diff(store.read(table), staged, key)
-    found = {r.op: r.n for r in merge.counts(diffed).collect()}
-    if found.get("inserted") or found.get("updated"):
-        store.publish(table, diffed.drop("op"))
-    return Sync(table, *(found.get(k, 0) for k in ("inserted", "updated", "unchanged", "kept")), watermark=now)
+    if staged.isEmpty():
+        return Sync(table, 0, 0, 0, 0, watermark=now)
+    if not made["edges"]:
+        diffed = merge.diff(store.read(table), staged, key, small=True)
+        seen = store.publish(table, diffed, metrics=merge.op_counts(), unwritten=("op",), expect=version)
+    else:
+        place = range_of(F.col(made["key"]), made["edges"], staged.schema[made["key"]].dataType)
+        ranges = sorted(r[0] for r in staged.select(place).distinct().collect())  # no more than the table has ranges
+        diffed = merge.diff(store.read(table, ranges), staged, key, small=True)
+        seen = store.publish_ranges(table, diffed, ranges, merge.op_counts(), ("op",), version)
+    return Sync(table, *(seen[k] for k in ("inserted", "updated", "unchanged", "kept")), watermark=now)

@@ -1,20 +1,29 @@
-"""Full refresh and partition replacement, published by a version folder and a pointer.
+"""Full refresh, range replacement and publishing by versions.
 
-Readers follow ``_CURRENT`` to the last complete version. A new version is written beside it and the
-pointer is replaced afterwards, so a failed or killed load leaves the old data in place.
+A table's version is a folder with a manifest: the key ranges and the data folders of each. Readers follow
+``_CURRENT`` to the last complete version. A new version is written beside it and the pointer is replaced
+afterwards, so a failed or killed load leaves the old data in place. A publish that touches some ranges
+writes these and refers to the old folders for the others: a change of one percent costs what it touches.
+
+Writers say which version they started from; the successor of a version can be claimed once, so of two
+writers one fails and loses nothing.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.values import normalized
+from tidemark.operators.scan import in_range
 
-POINTER = "_CURRENT"
+POINTER, MANIFEST = "_CURRENT", "_MANIFEST"
 
 
 @dataclass
@@ -31,6 +40,10 @@ class Transfer:
         return not self.errors and self.rows == self.target_rows
 
 
+class Conflict(RuntimeError):
+    """Another writer has published, or is about to publish, a successor of the same version."""
+
+
 class Store:
     """A folder of versioned tables on any Hadoop file system."""
 
@@ -43,58 +56,137 @@ class Store:
     def _fs(self):
         return self._path("x").getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
-    def version(self, table: str) -> str | None:
-        fs, path = self._fs(), self._path(table, POINTER)
+    def _get(self, *parts: str) -> str | None:
+        fs, path = self._fs(), self._path(*parts)
         if not fs.exists(path):
             return None
         stream = fs.open(path)
         try:
-            return stream.readUTF()
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
 
+    def _put(self, text: str, *parts: str, replace: bool = True) -> None:
+        stream = self._fs().create(self._path(*parts), replace)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+
+    def version(self, table: str) -> str | None:
+        return self._get(table, POINTER)
+
     def exists(self, table: str) -> bool:
         return self.version(table) is not None
 
-    def read(self, table: str) -> DataFrame:
+    def manifest(self, table: str) -> dict[str, Any]:
+        """schema (JSON), key, edges (the lows of all ranges but the first), parts (of each range its folders)."""
         version = self.version(table)
         if version is None:
             raise FileNotFoundError(f"{self.root}/{table} has no published version")
-        return self.spark.read.parquet(f"{self.root}/{table}/{version}")
+        return json.loads(self._get(table, version, MANIFEST))
+
+    def _read(self, table: str, made: dict[str, Any], folders: list[str]) -> DataFrame:
+        schema = T.StructType.fromJson(made["schema"])
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*(f"{self.root}/{table}/{x}" for x in folders))
+
+    def read(self, table: str, ranges: list[int] | None = None) -> DataFrame:
+        """The table, or the rows of some of its ranges."""
+        made = self.manifest(table)
+        chosen = made["parts"] if ranges is None else [made["parts"][i] for i in ranges]
+        return self._read(table, made, [x for folders in chosen for x in folders])
 
     def has_data(self, table: str) -> bool:
         return self.exists(table) and not self.read(table).isEmpty()
 
-    def publish(self, table: str, df: DataFrame) -> int:
-        """Write a new version, then move the pointer. Returns the rows written."""
-        seen = Observation()
+    def publish(self, table: str, df: DataFrame, key: str | None = None, edges: list = (), metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None) -> dict[str, int]:
+        """Write a new version of the whole table, in the ranges of ``key`` that ``edges`` cut, and move the pointer.
+
+        Returns the rows written and the ``metrics`` (aggregates over ``df``), all from the job that writes. The columns
+        ``unwritten`` are for metrics only.
+        """
+        made = {"schema": None, "key": key, "edges": list(edges), "parts": [[] for _ in range(len(edges) + 1)]}
+        return self._write(table, df, made, metrics, unwritten, self.version(table) if expect is None else expect)
+
+    def publish_ranges(self, table: str, df: DataFrame, ranges: list[int], metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None) -> dict[str, int]:
+        """A version in which the given ranges hold the rows of ``df`` and the others what they held."""
+        made = self.manifest(table)
+        made["parts"] = [[] if i in ranges else folders for i, folders in enumerate(made["parts"])]
+        return self._write(table, df, made, metrics, unwritten, self.version(table) if expect is None else expect)
+
+    def _write(self, table: str, df: DataFrame, made: dict[str, Any], metrics: dict[str, Column] | None, unwritten: tuple[str, ...], expect: str | None) -> dict[str, int]:
         version = f"v{time.time_ns()}"
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.root}/{table}/{version}")
-        fs, pointer, fresh = self._fs(), self._path(table, POINTER), self._path(table, f"_NEXT-{version}")
-        stream = fs.create(fresh, True)
-        stream.writeUTF(version)
-        stream.close()
-        # replaced in one step: readers see the old pointer or the new one
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        claim = f"_AFTER-{expect or 'none'}"
+        if self.version(table) != expect:
+            raise Conflict(f"{table} is at {self.version(table)}, not at {expect}")
+        try:
+            self._put(version, table, claim, replace=False)
+        except Exception as e:
+            raise Conflict(f"{table}: a successor of {expect} is being written; if its writer is dead, release() it") from e
+        try:
+            seen = Observation()
+            rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in (metrics or {}).items()))
+            rows = rows.drop(*unwritten)
+            made["schema"] = rows.schema.jsonValue()
+            if made["edges"]:
+                place = range_of(F.col(made["key"]), made["edges"], rows.schema[made["key"]].dataType)
+                rows.withColumn("__range", place).write.partitionBy("__range").parquet(f"{self.root}/{table}/{version}")
+            else:
+                rows.write.parquet(f"{self.root}/{table}/{version}/__range=0")
+            fs = self._fs()
+            for i, folders in enumerate(made["parts"]):
+                if not folders and fs.exists(self._path(table, version, f"__range={i}")):
+                    made["parts"][i] = [f"{version}/__range={i}"]
+            self._put(json.dumps(made), table, version, MANIFEST)
+            self._put(version, table, f"_NEXT-{version}")
+            self._replace(self._path(table, f"_NEXT-{version}"), self._path(table, POINTER))
+            return dict(seen.get)
+        finally:
+            self._fs().delete(self._path(table, claim), False)
+
+    def _replace(self, fresh, pointer) -> None:
+        """In one step: readers see the old pointer or the new one."""
+        fs, hadoop = self._fs(), self.spark._jvm.org.apache.hadoop.fs
         how = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
         how[0] = getattr(hadoop, "Options$Rename").OVERWRITE
         hadoop.FileContext.getFileContext(fs.getUri(), fs.getConf()).rename(fresh, pointer, how)
-        return seen.get["rows"]
+
+    def release(self, table: str) -> None:
+        """Forget the claim of a writer that died."""
+        self._fs().delete(self._path(table, f"_AFTER-{self.version(table) or 'none'}"), False)
+
+    def vacuum(self, table: str) -> list[str]:
+        """Delete the versions that the current one doesn't refer to. Readers of older versions lose them."""
+        used = {self.version(table)} | {x.split("/")[0] for folders in self.manifest(table)["parts"] for x in folders}
+        fs = self._fs()
+        old = [n for x in fs.listStatus(self._path(table)) if x.isDirectory() and (n := x.getPath().getName()) not in used]
+        for name in old:
+            fs.delete(self._path(table, name), True)
+        return sorted(old)
 
     def truncate(self, table: str) -> None:
-        self.publish(table, self.read(table).limit(0))
+        made = self.manifest(table)
+        self.publish(table, self.read(table).limit(0), made["key"], made["edges"])
 
     def drop(self, table: str) -> None:
         self._fs().delete(self._path(table), True)
 
 
+def range_of(key: Column, edges: list, kind: T.DataType) -> Column:
+    """The number of the range that a key falls in; nulls are in the first."""
+    out = F.lit(0)
+    for i, edge in enumerate(edges, 1):
+        out = F.when(key >= F.lit(edge).cast(kind), i).otherwise(out)
+    return out
+
+
 def full_refresh(store: Store, source: DataFrame, table: str, fail_tables: tuple[str, ...] = ()) -> Transfer:
     """Replace the table. Failures are reported, not raised; ``fail_tables`` injects them in tests."""
     out, began = Transfer(table), time.time()
     try:
         if table in fail_tables:
             raise RuntimeError("simulated failure")
-        out.rows = store.publish(table, normalized(source))
+        out.rows = store.publish(table, normalized(source))["rows"]
         out.target_rows = store.read(table).count()
     except Exception as e:  # noqa: BLE001 - a table's failure is a value, other tables go on
         out.errors.append(str(e)[:4000])
@@ -107,6 +199,25 @@ def replaced_range(target: DataFrame, source: DataFrame, inside: Column) -> Data
     return target.where(~F.coalesce(inside, F.lit(False))).unionByName(source.where(inside))
 
 
+def transfer_range(store: Store, table: str, source: DataFrame, key: list[str], low: tuple | None, high: tuple | None, resume_after: tuple | None = None, open_high: bool = False) -> Transfer:
+    """Load one range, again if need be: the target's rows of the range are replaced by the source's.
+
+    After a checkpoint only (resume, high] is: what is committed up to the checkpoint stays.
+    """
+    out, began = Transfer(table), time.time()
+    try:
+        version, target = store.version(table), store.read(table)
+        inside = in_range(source, key, low if resume_after is None else resume_after, high, open_low=resume_after is not None, open_high=open_high)
+        made = store.manifest(table)
+        store.publish(table, replaced_range(target, normalized(source), inside), made["key"], made["edges"], expect=version)
+        out.rows = source.where(inside).count()
+        out.target_rows = store.read(table).where(inside).count()
+    except Exception as e:  # noqa: BLE001 - a range's failure is a value, others go on
+        out.errors.append(str(e)[:4000])
+    out.seconds = time.time() - began
+    return out
+
+
 def next_values(df: DataFrame, column: str) -> DataFrame:
     """(max_value, next_value) of an identity column; an empty table restarts behind 1."""
     top = F.coalesce(F.max(column), F.lit(1)).cast("long")

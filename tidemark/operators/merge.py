@@ -1,8 +1,9 @@
 """The merge: staged rows into a target by key, with null-safe change detection.
 
 One full outer join; presence is a marker and never inferred from values, so a staged null overwrites.
-Rows that only the target has are kept. A small increment is broadcast into two joins without a
-shuffle of the target: a left join for the target's rows and an anti join for new ones.
+Rows that only the target has are kept. An increment that is counted and small is broadcast instead, and
+the target stays where it is: a left join for its rows, a semi join of its keys for those that are there
+already, and an anti join of the two small sides for new ones.
 """
 
 from __future__ import annotations
@@ -13,6 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: rows of an increment that may be broadcast
+SMALL_ROWS = 500_000
+
+
 class DuplicateKeys(ValueError):
     pass
 
@@ -31,15 +36,23 @@ def require_unique(df: DataFrame, key: list[str]) -> None:
         raise DuplicateKeys(f"staged rows have a null in {key}")
 
 
+def is_small(staged: DataFrame, rows: int = SMALL_ROWS) -> bool:
+    """Whether the increment has at most so many rows; no more than these are counted."""
+    return staged.select(F.lit(1)).limit(rows + 1).count() <= rows
+
+
 def diff(target: DataFrame, staged: DataFrame, key: list[str], detect_changes: bool = True, small: bool = False) -> DataFrame:
-    """All columns of the target's schema and ``op``: inserted, updated, unchanged, kept."""
+    """All columns of the target's schema and ``op``: inserted, updated, unchanged, kept.
+
+    ``small`` asks for the increment to be broadcast; it is, if its rows are found to be few.
+    """
     values = [c for c in target.columns if c not in key]
     t = target.select(*key, F.struct(*values).alias("__t") if values else F.struct(F.lit(1).alias("x")).alias("__t"))
     s = staged.select(*key, F.struct(*values).alias("__s") if values else F.struct(F.lit(1).alias("x")).alias("__s"))
-    if small:
-        b = F.broadcast(s)
-        new = s.join(target.select(*key), key, "left_anti").select(*key, F.lit(None).cast(t.schema["__t"].dataType).alias("__t"), "__s")
-        joined = t.join(b, key, "left").unionByName(new)
+    if small and is_small(staged):
+        there_already = target.select(*key).join(F.broadcast(s.select(*key)), key, "left_semi").distinct()
+        new = s.join(F.broadcast(there_already), key, "left_anti").select(*key, F.lit(None).cast(t.schema["__t"].dataType).alias("__t"), "__s")
+        joined = t.join(F.broadcast(s), key, "left").unionByName(new)
     else:
         joined = t.join(s, key, "full_outer")
     here, there = F.col("__s").isNotNull(), F.col("__t").isNotNull()
@@ -53,6 +66,11 @@ def merge(target: DataFrame, staged: DataFrame, key: list[str], detect_changes:
     return diff(target, staged, key, detect_changes, small).drop("op")
 
 
+def op_counts() -> dict[str, Column]:
+    """The rows of each op as aggregates, to be observed while the result is written."""
+    return {op: F.count(F.when(F.col("op") == op, 1)) for op in ("inserted", "updated", "unchanged", "kept")}
+
+
 def counts(diffed: DataFrame) -> DataFrame:
     return diffed.groupBy("op").agg(F.count("*").alias("n"))
 

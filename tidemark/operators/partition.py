@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import quote_double
 from tidemark.functions.sizing import key_ranges
 from tidemark.operators.scan import with_row_number
 
@@ -20,8 +23,8 @@ def tile_of(rank: Column, total: int, n: int) -> Column:
 
 def ntile_bounds(df: DataFrame, key: str, n: int) -> DataFrame:
     """(tile, min_pk, max_pk, row_count), exactly as NTILE(n) cuts, without sorting in one task."""
-    total = df.count()
     ranked = with_row_number(df.select(key), [key], "__rank")
+    total = ranked.agg(F.max("__rank")).first()[0] or 0
     tiles = ranked.withColumn("tile", tile_of(F.col("__rank"), total, n))
     return tiles.groupBy("tile").agg(F.min(key).alias("min_pk"), F.max(key).alias("max_pk"), F.count("*").alias("row_count"))
 
@@ -44,8 +47,8 @@ def key_bounds(df: DataFrame, key: list[str], where: Column | None = None) -> Da
     return df.agg(F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high"))
 
 
-def jdbc_predicates(key: str, ranges: list[tuple]) -> list[str]:
-    """Disjoint predicates that cover all rows, null keys included in the first."""
+def jdbc_predicates(key: str, ranges: list[tuple], quote: Callable[[str], str] = quote_double) -> list[str]:
+    """Disjoint predicates that cover all rows, null keys included in the first; ``quote`` is the source's way to quote a name."""
 
     def literal(v: object) -> str:
         if isinstance(v, (int, float)) and not isinstance(v, bool):
@@ -53,9 +56,15 @@ def jdbc_predicates(key: str, ranges: list[tuple]) -> list[str]:
         escaped = str(v).replace("'", "''")
         return f"'{escaped}'"
 
+    key = quote(key)
     out = []
     for low, high in ranges:
         parts = ([f"{key} >= {literal(low)}"] if low is not None else []) + ([f"{key} < {literal(high)}"] if high is not None else [])
         text = " AND ".join(parts) or "1 = 1"
         out.append(f"({text} OR {key} IS NULL)" if low is None else text)
     return out
+
+
+def parallel(readers: int, rows: int, page: int) -> bool:
+    """Whether a table is worth several readers: more than one asked for, and two pages at least."""
+    return readers > 1 and rows >= 2 * page

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import sanitize_all
-from tidemark.sources.shared import shared_folder
+from tidemark.sources.shared import written
 
 
 def project(df: DataFrame, columns: list[str] | None = None, renamed: bool = False) -> DataFrame:
@@ -28,17 +29,21 @@ def key_struct(df: DataFrame, key: list[str], values: tuple | None = None) -> Co
 
 
 def in_range(df: DataFrame, key: list[str], low: tuple | None = None, high: tuple | None = None, open_low: bool = False, open_high: bool = False) -> Column:
-    """Lexicographic low <= key <= high; an end that is None is open, 0 is a value."""
+    """Lexicographic low <= key <= high; an end that is None is open, 0 is a value.
+
+    Of a composite key the first column is compared by itself too: that comparison reaches the files.
+    """
     out = F.lit(True)
-    if len(key) == 1:  # a plain comparison is pushed down to the files
-        own, edge = F.col(key[0]), lambda v: F.lit(v[0]).cast(df.schema[key[0]].dataType)
+    first = lambda v: F.lit(v[0]).cast(df.schema[key[0]].dataType)
+    if len(key) == 1:
+        own, edge = F.col(key[0]), first
     else:
         own, edge = key_struct(df, key), lambda v: key_struct(df, key, v)
+        out = reduce(lambda a, b: a & b, ([F.col(key[0]) >= first(low)] if low is not None else []) + ([F.col(key[0]) <= first(high)] if high is not None else []), out)
     if low is not None:
-        out = (own > edge(low)) if open_low else (own >= edge(low))
+        out = out & ((own > edge(low)) if open_low else (own >= edge(low)))
     if high is not None:
-        upper = (own < edge(high)) if open_high else (own <= edge(high))
-        out = upper if low is None else out & upper
+        out = out & ((own < edge(high)) if open_high else (own <= edge(high)))
     return out
 
 
@@ -53,28 +58,33 @@ def keyset_page(df: DataFrame, key: str, after: Any = None, limit: int | None =
 
 
 def row_number_page(df: DataFrame, order: list[str], first: int, last: int) -> DataFrame:
-    """Rows first..last, from 1, in the order of ``order``.
+    """Rows first..last, from 1, in the order of ``order``, with their number as ``rn``.
 
-    The rows are range-partitioned and counted per partition, and only partitions' counts meet in one
-    place, so that no task gets the whole table as it would under an unpartitioned window.
+    Only keys are numbered; the page's first and last key then cut the rows out of the table, so that other
+    columns are read for the page alone. ``order`` must be total (a key) for a stable result.
     """
-    numbered = with_row_number(df, order, "rn")
-    return numbered.where(F.col("rn").between(first, last))
+    numbered = with_row_number(df.select(*order), order, "rn").where(F.col("rn").between(first, last))
+    edge = numbered.agg(F.min("rn").alias("first"), F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high")).first()
+    if edge["first"] is None:
+        return df.withColumn("rn", F.lit(0).cast("long")).limit(0)
+    low, high = (tuple(edge[x]) for x in ("low", "high"))
+    if any(v is None for v in (*low, *high)):  # a null has no place in a comparison
+        return with_row_number(df, order, "rn").where(F.col("rn").between(first, last))
+    page = df.where(in_range(df, order, low, high))
+    by = Window.orderBy(*(F.col(c).asc_nulls_first() for c in order))  # over no more rows than the page has
+    return page.withColumn("rn", (F.row_number().over(by) + F.lit(edge["first"] - 1)).cast("long"))
 
 
 def with_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Exact row numbers from 1 by ``order``, in parallel; the order must be total for a stable result."""
-    # sealed: both branches below must see the same ranges
-    ranged = _sealed(df.repartitionByRange(*(F.col(c).asc_nulls_first() for c in order)).withColumn("__part", F.spark_partition_id()))
+    """Exact row numbers from 1 by ``order``, in parallel; the order must be total for a stable result.
+
+    The rows are range-partitioned and numbered per partition, and only the partitions' counts meet in one
+    place, so that no task gets the whole table as it would under an unpartitioned window.
+    """
+    # written once: both branches below must see the same ranges
+    ranged = written(df.repartitionByRange(*(F.col(c).asc_nulls_first() for c in order)).withColumn("__part", F.spark_partition_id()))
     local = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*(F.col(c).asc_nulls_first() for c in order))))
     counts = ranged.groupBy("__part").count()
     base = counts.select("__part", (F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))).alias("__base"))
     out = local.join(F.broadcast(base), "__part")  # a row for each partition
     return out.withColumn(name, F.col("__n") + F.coalesce("__base", F.lit(0))).drop("__part", "__n", "__base")
-
-
-def _sealed(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()

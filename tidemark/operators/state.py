@@ -11,6 +11,9 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators.load import Store
 
 PARTITION = "struct<id: int, status: string, rows: bigint, pk_type: string, min_pk: string, max_pk: string, start_row: bigint, end_row: bigint, last_pk_synced: string, error: string>"
 SCHEMA = (
@@ -19,12 +22,21 @@ SCHEMA = (
     "rows_unchanged bigint, last_good_watermark timestamp_ntz, last_pk_synced string, checkpoint_batch_num int, error_message string, retry_count int, "
     f"run_id string, partition_info array<{PARTITION}>, created_at timestamp_ntz, updated_at timestamp_ntz"
 )
+TABLE = "_sync_state"
 COLUMNS = [c.strip().split(" ")[0] for c in SCHEMA.split("partition_info")[0].rstrip(", ").split(",")] + ["partition_info", "created_at", "updated_at"]
 STATUSES = ("completed", "failed", "pending", "running")
 Key = tuple[str, str, str, str]
 Row = dict[str, Any]
 
 
+def conformed(old: DataFrame) -> DataFrame:
+    """A state table of any version under the present schema."""
+    wanted = T.StructType.fromDDL(SCHEMA)
+    names = {c.lower(): c for c in old.columns}
+    known = lambda f: F.col(names[f.name]).cast(f.dataType) if f.name in names else F.lit(None).cast(f.dataType)
+    return old.select(*(known(f).alias(f.name) for f in wanted.fields))
+
+
 class SyncState:
     def __init__(self, rows: list[Row] | None = None) -> None:
         self.rows: dict[Key, Row] = {}
@@ -43,6 +55,15 @@ class SyncState:
     def to_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([tuple(r[c] for c in COLUMNS) for r in self.rows.values()], SCHEMA)
 
+    @classmethod
+    def load(cls, store: Store, table: str = TABLE) -> SyncState:
+        """The stored state; columns that an older version lacks are null, others than ours are dropped."""
+        return cls.from_frame(conformed(store.read(table))) if store.exists(table) else cls()
+
+    def save(self, store: Store, table: str = TABLE) -> None:
+        """Publish as a new version; another writer since this was loaded is an error of the store."""
+        store.publish(table, self.to_frame(store.spark).coalesce(1))
+
     def _set(self, key: Key, now: dt.datetime, **values: Any) -> Row:
         self.rows[key] |= values | {"updated_at": now}
         return self.rows[key]
@@ -55,6 +76,11 @@ class SyncState:
         return self._set(key, now, sync_status="running", last_sync_start=now, last_sync_end=None, source_row_count=source_rows, rows_inserted=0, rows_updated=0, rows_unchanged=0,
                          last_pk_synced=None, checkpoint_batch_num=0, run_id=run_id, error_message=None, retry_count=(old["retry_count"] or 0) + again)
 
+    def resume(self, key: Key, now: dt.datetime, run_id: str) -> Row:
+        """Running again with what is done kept: the start, and with it the watermark, stays that of the first attempt."""
+        old = self.rows[key]
+        return self._set(key, now, sync_status="running", last_sync_end=None, run_id=run_id, error_message=None, retry_count=(old["retry_count"] or 0) + 1)
+
     def checkpoint(self, key: Key, now: dt.datetime, last_pk: Any, batch: int) -> Row:
         """Only for what is committed in the target."""
         return self._set(key, now, last_pk_synced=None if last_pk is None else str(last_pk), checkpoint_batch_num=batch)
@@ -99,6 +125,17 @@ class SyncState:
         parts[index] = parts[index] | values
         self._set(key, now, partition_info=parts)
 
+    def by_status(self, *statuses: str) -> list[Row]:
+        """Rows of these statuses, of all if none is given, the latest change first."""
+        found = [r for r in self.rows.values() if not statuses or r["sync_status"] in statuses]
+        return sorted(found, key=lambda r: (r["updated_at"] is not None, r["updated_at"]), reverse=True)
+
+    def last_sync(self, key: Key) -> Row | None:
+        """When the table was last synced, how that ended, and its counters."""
+        r = self.rows.get(key)
+        wanted = ("sync_status", "last_sync_start", "last_sync_end", "sync_duration_seconds", "rows_inserted", "rows_updated", "rows_unchanged", "last_good_watermark", "error_message", "retry_count")
+        return {c: r[c] for c in wanted} if r else None
+
     def incomplete_partitions(self, key: Key) -> list[Row]:
         return [p for p in self.rows[key]["partition_info"] or [] if p["status"] != "completed"]
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import names, sizing, typemap, values
 from tidemark.operators import incremental, load, merge, partition, scan, state, validate
-from tidemark.plans import transfer
-from tidemark.sources import spec
+from tidemark.plans import sync, transfer
+from tidemark.sources import metadata, spec
 from tidemark.sources.shared import shared_folder
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -189,6 +189,12 @@ def duplicate_key_check(spark, d):
 
 # incremental
 
+_SINCE, _NOW = dt.datetime(2024, 1, 15), dt.datetime(2024, 2, 1, 3, 4, 5)
+
+
+def _behind(source: DataFrame) -> DataFrame:
+    return source.where(F.col("k") % 9 != 0).withColumn("v", F.when(F.col("k") % 10 == 0, F.col("v") + 1).otherwise(F.col("v")))
+
 
 def _dated(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_id").alias("k"), F.col("value").alias("v"), F.when(F.col("event_id") % 7 == 0, None).otherwise(F.col("ts")).alias("m"))
@@ -205,10 +211,60 @@ stg as (select * from src where m > timestamp '2024-01-15 00:00:00' or m is null
 select case when s.k is null then 'kept' when t.k is null then 'inserted' when s.v is distinct from t.v or s.m is distinct from t.m then 'updated' else 'unchanged' end op, count(*) n
 from tgt t full outer join stg s on t.k = s.k group by 1""")
 def incremental_sync(spark, d):
-    source = _dated(spec.read_table(spark, d, "events"))
-    target = source.where(F.col("k") % 9 != 0).withColumn("v", F.when(F.col("k") % 10 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    source, store = _dated(spec.read_table(spark, d, "events")), load.Store(spark, _scratch(spark))
+    store.publish("events", _behind(source))
     column = incremental.watermark_column(source, incremental.candidates("missing, v, m"))
-    return merge.counts(merge.diff(target, incremental.staged_rows(source, column, "2024-01-15 00:00:00"), ["k"]))
+    done = incremental.sync(store, "events", source, ["k"], column, _SINCE, _NOW)
+    return spark.createDataFrame([(op, getattr(done, op)) for op in ("inserted", "kept", "unchanged", "updated") if getattr(done, op)], "op string, n long")
+
+
+_SYNCED = """with src as (select event_id k, value v, case when event_id % 7 = 0 then null else ts end m from events),
+tgt as (select event_id k, case when event_id % 10 = 0 then value + 1 else value end v, case when event_id % 7 = 0 then null else ts end m from events where event_id % 9 <> 0),
+stg as (select * from src where m > timestamp '2024-01-15 00:00:00' or m is null)
+select coalesce(s.k, t.k) k, case when s.k is not null then s.v else t.v end v, case when s.k is not null then s.m else t.m end m from tgt t full outer join stg s on t.k = s.k"""
+
+
+@query(_SYNCED)
+def partitioned_sync(spark, d):
+    """The target after an incremental run in ranges that failed once and was resumed; it is stored in ranges too."""
+    source, store = _dated(spec.read_table(spark, d, "events")), load.Store(spark, _scratch(spark))
+    low, high = source.agg(F.min("k"), F.max("k")).first()
+    store.publish("events", _behind(source), "k", [low + (high - low + 1) * i // 4 for i in (1, 2, 3)])
+    first = sync.discover(store, [sync.Source("events", source, ("k",))], "v, m")[0]
+    schemas, key = ("dbo", "public"), sync.state_key("events", ("dbo", "public"))
+    known = state.SyncState()
+    known.start(key, _SINCE, "run0")
+    known.complete(key, _SINCE, _SINCE)
+    known.save(store)
+    boom = F.when(F.col("k") > (low + high) // 2, F.raise_error(F.lit("lost connection")).cast("double")).otherwise(F.col("v"))
+    broken = sync.Found(sync.Source("events", source.withColumn("v", boom), ("k",)), first.column)
+    clock = lambda: _NOW
+    failed = sync.sync_table(store, broken, schemas, "run1", clock, threshold=1)
+    done = sync.sync_table(store, first, schemas, "run2", clock, threshold=1)
+    if failed["success"] or not done["success"]:
+        raise RuntimeError(f"{failed} {done}")
+    return store.read("events")
+
+
+@query("select 'events' table_name, 'm' date_column, null::varchar skipped union all select 'events_none', null, 'target is empty' union all select 'labels', null, 'no target' union all select 'nation', null, 'no key' union all select 'region', null, null")
+def incremental_discovery(spark, d):
+    read, store = lambda t: spec.read_table(spark, d, t), load.Store(spark, _scratch(spark))
+    events = _dated(read("events"))
+    for name, df in (("events", events), ("events_none", events.limit(0)), ("nation", read("nation")), ("region", read("region"))):
+        store.publish(name, df)
+    sources = [sync.Source("Events", events, ("k",)), sync.Source("events none", events, ("k",)), sync.Source("labels", read("labels"), ("doc_id",)), sync.Source("nation", read("nation"), ()), sync.Source("region", read("region"), ("r_regionkey",))]
+    return spark.createDataFrame([(f.source.target, f.column, f.skipped) for f in sync.discover(store, sources, "v, m")], "table_name string, date_column string, skipped string")
+
+
+@query("select o_orderkey, case when o_orderkey > 3500 and o_orderkey <= 3999 then o_totalprice else o_totalprice - 1 end o_totalprice from orders")
+def range_resume(spark, d):
+    """A range that was committed up to a checkpoint: what lies before it isn't loaded again."""
+    source, store = spec.read_table(spark, d, "orders", ["o_orderkey", "o_totalprice"]), load.Store(spark, _scratch(spark))
+    store.publish("orders", source.withColumn("o_totalprice", F.col("o_totalprice") - 1))
+    done = load.transfer_range(store, "orders", source, ["o_orderkey"], (3000,), (3999,), resume_after=(3500,))
+    if not done.success:
+        raise RuntimeError("; ".join(done.errors) or f"{done.rows} rows read, {done.target_rows} written")
+    return store.read("orders")
 
 
 @query("select o_orderkey, case when o_orderkey between 3000 and 3999 then o_totalprice else o_totalprice - 1 end o_totalprice from orders")
@@ -227,11 +283,12 @@ def full_refresh(spark, d):
     return store.read("customer")
 
 
-@query("select t table_name, n > 0 has_data from (select 'orders' t, (select count(*) from orders) n union all select 'orders_none', (select count(*) from orders where o_orderkey < 0))")
+@query("select 'orders' table_name, (select count(*) from orders) > 0 has_data union all select 'orders_none', (select count(*) from orders where o_orderkey < 0) > 0 union all select 'missing', false")
 def has_data(spark, d):
-    orders = spec.read_table(spark, d, "orders", ["o_orderkey"])
-    found = [("orders", not orders.isEmpty()), ("orders_none", not orders.where("o_orderkey < 0").isEmpty())]
-    return spark.createDataFrame(found, "table_name string, has_data boolean")
+    store, orders = load.Store(spark, _scratch(spark)), spec.read_table(spark, d, "orders", ["o_orderkey"])
+    store.publish("orders", orders)
+    store.publish("orders_none", orders.where("o_orderkey < 0"))
+    return spark.createDataFrame([(t, store.has_data(t)) for t in ("orders", "orders_none", "missing")], "table_name string, has_data boolean")
 
 
 @query("select 'orders' table_name, coalesce(max(o_orderkey), 1) max_value, coalesce(max(o_orderkey), 1) + 1 next_value from orders union all select 'none', 1, 2")
@@ -256,7 +313,8 @@ def validate_batch(spark, d):
     return validate.batch_check({t: (df, df) for t, df in read.items()})
 
 
-@query("select 3::bigint tables, 2::bigint passed, 2 * 100.0::double / 3 success_rate")
+@query("""with t as (select count(*) s, count(*) g from orders union all select count(*), count(*) from customer union all select count(*), count(*) filter (p_partkey > 0) from part)
+select count(*) tables, count(*) filter (s = g) passed, count(*) filter (s = g) * 100.0::double / count(*) success_rate from t""")
 def validate_summary(spark, d):
     read = {t: spec.read_table(spark, d, t) for t in ("orders", "customer", "part")}
     pairs = {t: (df, df.where("p_partkey > 0") if t == "part" else df) for t, df in read.items()}
@@ -275,9 +333,9 @@ def row_checksum(spark, d):
     return spec.read_table(spark, d, "orders").select("o_orderkey", validate.row_digest(["o_orderkey", "o_orderstatus"]).alias("digest"))
 
 
-@query()
+@query("select count(*) n, sum(('0x' || substr(md5(concat_ws('|', l_orderkey::varchar, l_partkey::varchar, l_suppkey::varchar, l_linenumber::varchar, coalesce(l_returnflag, '~'), coalesce(l_linestatus, '~'))), 1, 15))::bigint)::varchar checksum from lineitem")
 def table_checksums(spark, d):
-    return validate.table_checksum(spec.read_table(spark, d, "lineitem"))
+    return validate.table_checksum(spec.read_table(spark, d, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"])
 
 
 # names, types and values
@@ -289,9 +347,18 @@ def sanitize_names(spark, d):
     return spec.read_table(spark, d, "customer", ["c_name"]).select("c_name", names.sanitized(F.col("c_name")).alias("clean"))
 
 
-@query("select * from (values " + ", ".join(f"('{k}', '{typemap.target_type({'data_type': k})}', '{typemap.spark_type({'data_type': k})}')" for k in typemap.TYPES) + ") t(source_type, target_type, spark_type)")
+# What each source type becomes without length, precision or scale.
+@query("""select * from (values
+('bit', 'BOOLEAN', 'boolean'), ('tinyint', 'SMALLINT', 'smallint'), ('smallint', 'SMALLINT', 'smallint'), ('int', 'INTEGER', 'int'), ('bigint', 'BIGINT', 'bigint'),
+('decimal', 'DECIMAL(18,0)', 'decimal(18,0)'), ('numeric', 'NUMERIC(18,0)', 'decimal(18,0)'), ('money', 'NUMERIC(19,4)', 'decimal(19,4)'), ('smallmoney', 'NUMERIC(10,4)', 'decimal(10,4)'),
+('float', 'DOUBLE PRECISION', 'double'), ('real', 'REAL', 'float'), ('char', 'CHAR(255)', 'char(255)'), ('varchar', 'VARCHAR(255)', 'varchar(255)'), ('text', 'TEXT', 'string'),
+('nchar', 'CHAR(255)', 'char(255)'), ('nvarchar', 'VARCHAR(255)', 'varchar(255)'), ('ntext', 'TEXT', 'string'), ('binary', 'BYTEA', 'binary'), ('varbinary', 'BYTEA', 'binary'), ('image', 'BYTEA', 'binary'),
+('date', 'DATE', 'date'), ('time', 'TIME(6)', 'time(6)'), ('datetime', 'TIMESTAMP(3)', 'timestamp_ntz'), ('datetime2', 'TIMESTAMP(6)', 'timestamp_ntz'), ('smalldatetime', 'TIMESTAMP(0)', 'timestamp_ntz'),
+('datetimeoffset', 'TIMESTAMP(6) WITH TIME ZONE', 'timestamp'), ('uniqueidentifier', 'UUID', 'string'), ('xml', 'XML', 'string'), ('sql_variant', 'TEXT', 'string'), ('hierarchyid', 'VARCHAR(4000)', 'varchar(4000)'),
+('geography', 'GEOGRAPHY', 'binary'), ('geometry', 'GEOMETRY', 'binary'), ('timestamp', 'BYTEA', 'binary'), ('rowversion', 'BYTEA', 'binary'), ('sysname', 'VARCHAR(128)', 'varchar(128)'), ('no such type', 'TEXT', 'string')
+) t(source_type, target_type, spark_type)""")
 def type_map(spark, d):
-    return spark.createDataFrame([(k, typemap.target_type({"data_type": k}), typemap.spark_type({"data_type": k})) for k in typemap.TYPES], "source_type string, target_type string, spark_type string")
+    return spark.createDataFrame([(k, typemap.target_type({"data_type": k}), typemap.spark_type({"data_type": k})) for k in (*typemap.TYPES, "no such type")], "source_type string, target_type string, spark_type string")
 
 
 @query("select event_id, case when event_id % 5 = 0 or event_id % 5 = 1 then null else value end v from events")
@@ -307,56 +374,157 @@ def export_text(spark, d):
     return values.exported(events.select("event_id", (F.col("event_id") % 2 == 0).alias("flag"), F.col("event_type").cast("binary").alias("raw"), "ts"))
 
 
-@query("select * from (values " + ", ".join(f"({n}::bigint, {sizing.page_size(n, 200000)}, {sizing.partition_count(n)}, {sizing.incremental_partition_count(n)})" for n in (0, 99999, 100000, 1000000, 2000000, 5000000, 60000000)) + ") t(row_count, page, partitions, incremental_partitions)")
+# Rows a page, ranges of a full load and of an incremental one.
+@query("""select * from (values (0::bigint, 200000, 2, 2), (99999, 10000, 2, 2), (100000, 200000, 2, 2), (1000000, 200000, 2, 2), (2000000, 200000, 4, 4), (5000000, 200000, 8, 6), (60000000, 200000, 8, 6))
+t(row_count, page, partitions, incremental_partitions)""")
 def sizing_rules(spark, d):
     return spark.createDataFrame([(n, sizing.page_size(n, 200_000), sizing.partition_count(n), sizing.incremental_partition_count(n)) for n in (0, 99_999, 100_000, 1_000_000, 2_000_000, 5_000_000, 60_000_000)], "row_count long, page int, partitions int, incremental_partitions int")
 
 
 # state and planning
 
-_NOW = dt.datetime(2024, 1, 2, 3, 4, 5)
-
-
-def example_state() -> state.SyncState:
-    """Completed, failed half way, left running, and never started."""
+def nation_states(spark: SparkSession, d: str) -> state.SyncState:
+    """A state for each nation as if it were a table: by its key completed, failed half way, left running, or reset."""
     s = state.SyncState()
-    for t in ("orders", "customer", "lineitem", "part"):
-        s.start(("full", t, "dbo", "public"), _NOW, "run1", 100)
-    key = lambda t: ("full", t, "dbo", "public")
-    s.complete(key("orders"), _NOW, watermark=_NOW, rows_inserted=100)
-    s.complete(key("customer"), _NOW)
-    for i, status in enumerate(("completed", "failed", "pending")):
-        s.set_partition(key("lineitem"), _NOW, i, status=status, rows=10 * i, min_pk=str(i * 100), max_pk=str(i * 100 + 99), error="x" * 600 if status == "failed" else None)
-    s.fail(key("lineitem"), _NOW, "boom")
+    for r in spec.read_table(spark, d, "nation").orderBy("n_nationkey").collect():
+        n, key = r.n_nationkey, ("full", r.n_name, "dbo", "public")
+        s.start(key, _NOW, "run1", 100 * n)
+        for i in range(3):
+            status = ("completed", "failed", "pending")[(n + i) % 3]
+            s.set_partition(key, _NOW, i, status=status, rows=10 * n + i, min_pk=str(i * 100), max_pk=str(i * 100 + 99), error="x" * 600 if status == "failed" else None)
+        if n % 4 == 0:
+            s.complete(key, _NOW + dt.timedelta(seconds=n), watermark=_NOW, rows_inserted=n)
+        elif n % 4 == 1:
+            s.fail(key, _NOW, "boom" * 2000)
+        elif n % 4 == 3:
+            s.reset(_NOW, key)
     return s
 
 
-@query("select * from (values ('completed', 2::bigint, 'customer,orders'), ('failed', 1, 'lineitem'), ('running', 1, 'part')) t(sync_status, n, tables)")
+_STATUS = "case n_nationkey % 4 when 0 then 'completed' when 1 then 'failed' when 2 then 'running' else 'pending' end"
+
+
+@query(f"select {_STATUS} sync_status, count(*) n, string_agg(n_name, ',' order by n_name) tables from nation group by 1")
 def state_summary(spark, d):
-    return state.status_summary(example_state().to_frame(spark))
+    return state.status_summary(nation_states(spark, d).to_frame(spark))
 
 
-@query("select * from (values ('lineitem', 1, 'failed', 10::bigint), ('lineitem', 2, 'pending', 20)) t(table_name, id, status, \"rows\")")
+@query("select n_name table_name, i::int id, case (n_nationkey + i) % 3 when 1 then 'failed' else 'pending' end status, (10 * n_nationkey + i)::bigint as rows from nation, range(3) t(i) where (n_nationkey + i) % 3 <> 0 and n_nationkey % 4 <> 3")
 def partition_status_explode(spark, d):
-    return state.open_partitions(example_state().to_frame(spark))
+    return state.open_partitions(nation_states(spark, d).to_frame(spark))
 
 
-@query("select * from (values ('RECOVERY', 'lineitem', 'keys', 1, '100', '199'), ('RECOVERY', 'lineitem', 'keys', 2, '200', '299'), ('RECOVERY', 'nation', 'regular', 0, null, null), ('RECOVERY', 'part', 'regular', 0, null, null)) t(mode, table_name, kind, idx, low, high)")
+@query(f"""select n_name table_name, {_STATUS} sync_status, cast(case when n_nationkey % 4 = 0 then n_nationkey else 0 end as bigint) rows_inserted, case when n_nationkey % 4 = 0 then n_nationkey::double when n_nationkey % 4 = 1 then 0::double end as seconds,
+case when n_nationkey % 4 = 0 then timestamp '2024-02-01 03:04:05' end watermark, cast(case when n_nationkey % 4 = 1 then 4000 end as int) error_length, cast(case when n_nationkey % 4 = 3 then 0 else 3 end as int) parts from nation""")
+def state_roundtrip(spark, d):
+    """The states stored, read back under a schema that has grown since, and stored again."""
+    store = load.Store(spark, _scratch(spark))
+    old = nation_states(spark, d).to_frame(spark).withColumn("legacy", F.lit(1)).drop("checkpoint_batch_num")
+    store.publish(state.TABLE, old)
+    state.SyncState.load(store).save(store)
+    found = store.read(state.TABLE)
+    return found.select("table_name", "sync_status", F.col("rows_inserted").alias("rows_inserted"), F.col("sync_duration_seconds").alias("seconds"), F.col("last_good_watermark").alias("watermark"), F.length("error_message").alias("error_length"), F.size("partition_info").alias("parts"))
+
+
+@query("""with t as (select *, n_nationkey % 4 s from nation), task as (
+select n_name, 'keys' kind, i idx, (i * 100)::varchar low, (i * 100 + 99)::varchar high from t, range(3) r(i) where s in (1, 2) and (n_nationkey + i) % 3 <> 0
+union all select n_name, 'regular', 0, null, null from t where s = 3
+union all select 'new table', 'regular', 0, null, null)
+select 'RECOVERY' as mode, n_name table_name, kind, idx::int idx, low, high from task""")
 def recovery_plan(spark, d):
-    s = example_state()
-    s.reset_stale(_NOW, "run2")
-    tables = [{"name": t, "rows": 100, "key": ["k"]} for t in ("orders", "customer", "lineitem", "part", "nation")]
-    made = transfer.plan(tables, s, "run2", lambda *a: [])
+    s = nation_states(spark, d)
+    tables = [{"name": r["table_name"], "rows": 100, "key": ["k"]} for r in s.rows.values()] + [{"name": "new table", "rows": 100, "key": ["k"]}]
+    mode = transfer.begin(s, "run2", _NOW)
+    made = transfer.plan(tables, s, "run2", lambda *a: [], mode=mode)
     return spark.createDataFrame([(made.mode, t.table, t.kind, t.index, t.low, t.high) for t in made.tasks], "mode string, table_name string, kind string, idx int, low string, high string")
 
 
-@query("select n_name, r_name, n_nationkey % 5 = 0 is_max from nation join region on n_regionkey = r_regionkey")
+# catalogue
+
+
+def _catalogue(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Catalogue views made of the test tables: regions are schemas, nations are tables, and the columns of a table are numbered by its key."""
+    n = spec.read_table(spark, d, "nation")
+    columns = n.select(F.col("n_nationkey").alias("object_id"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("column_id"))
+    columns = columns.select("object_id", "column_id", F.concat(F.lit("c"), "column_id").alias("column_name"), (F.col("column_id") % 2).cast("int").alias("type_id"), F.when(F.col("column_id") == 3, -1).otherwise(8).alias("max_length"))
+    types = spark.createDataFrame([(0, "varchar"), (1, "int")], "type_id int, data_type string")
+    even = (F.col("object_id") % 2 == 0) & (F.col("column_id") == 1)
+    index = lambda i, name, pk, unique: n.select(F.col("n_nationkey").alias("object_id"), F.lit(i).alias("index_id"), F.concat(F.lit(name), "n_nationkey").alias("index_name"), F.lit(pk).alias("is_primary_key"), F.lit(unique).alias("is_unique"))
+    member = lambda i, c, o, down: n.select(F.col("n_nationkey").alias("object_id"), F.lit(i).alias("index_id"), F.lit(c).alias("column_id"), F.lit(o).alias("key_ordinal"), F.lit(down).alias("is_descending"))
+    odd = F.col("object_id") % 3 == 0
+    return {
+        "objects": n.select(F.col("n_nationkey").alias("object_id"), F.col("n_name").alias("table_name"), F.col("n_regionkey").alias("schema_id"), F.when(F.col("n_nationkey") == 24, "V").otherwise("U").alias("type")),
+        "schemas": spec.read_table(spark, d, "region").select(F.col("r_regionkey").alias("schema_id"), F.col("r_name").alias("schema_name")),
+        "partitions": spec.read_table(spark, d, "customer").select(F.col("c_nationkey").alias("object_id"), (F.col("c_custkey") % 3).cast("int").alias("index_id"), F.lit(10).alias("rows")),
+        "columns": columns, "types": types,
+        "identities": columns.where(even).select("object_id", "column_id", F.lit(1).alias("seed")),
+        "defaults": columns.where(F.col("column_id") == 2).select("object_id", "column_id", F.lit("(getdate())").alias("default_value")),
+        "indexes": index(1, "pk_", True, True).unionByName(index(2, "ix_", False, False)).unionByName(index(0, "heap_", False, False)),
+        "index_columns": member(1, 1, 2, False).where(odd).unionByName(member(1, 3, 1, False)).unionByName(member(2, 2, 1, True)).unionByName(member(2, 1, 2, False)),
+        "checks": n.where("n_nationkey % 5 = 0").select(F.col("n_nationkey").alias("object_id"), F.lit("ck").alias("constraint_name"), F.lit("([c1]>(0))").alias("definition"), F.lit(False).alias("is_disabled")),
+    }
+
+
+@query("select n_nationkey::int object_id, r_name schema_name, n_name table_name, coalesce((select sum(10) from customer where c_nationkey = n_nationkey and c_custkey % 3 in (0, 1)), 0)::bigint row_count from nation join region on n_regionkey = r_regionkey where n_nationkey <> 24")
+def catalogue_tables(spark, d):
+    c = _catalogue(spark, d)
+    return metadata.list_tables(c["objects"], c["schemas"], c["partitions"])
+
+
+@query("""select n_nationkey object_id, i::int column_id, 'c' || i column_name, case i % 2 when 0 then 'varchar' else 'int' end data_type, i = 3 is_max, n_nationkey % 2 = 0 and i = 1 is_identity, case when i = 2 then '(getdate())' end default_value
+from nation, range(1, 4) t(i)""")
 def catalogue_joins(spark, d):
-    """Columns, types, identities and defaults joined as catalogue rows are."""
-    nation = spec.read_table(spark, d, "nation").select(F.lit(1).alias("object_id"), F.col("n_nationkey").alias("column_id"), "n_name", F.col("n_regionkey").alias("type_id"), F.when(F.col("n_nationkey") % 5 == 0, -1).otherwise(8).alias("max_length"))
-    types = spec.read_table(spark, d, "region").select(F.col("r_regionkey").alias("type_id"), "r_name")
-    none = nation.where("column_id < 0").select("object_id", "column_id")
-    return spec.columns_of(nation, types, none.withColumn("seed", F.lit(1)), none.withColumn("definition", F.lit("x"))).select("n_name", "r_name", "is_max")
+    """Columns with types, and identities and defaults where there are some."""
+    c = _catalogue(spark, d)
+    found = spec.columns_of(c["columns"], c["types"], c["identities"], c["defaults"])
+    return found.select("object_id", "column_id", "column_name", "data_type", "is_max", F.col("seed").isNotNull().alias("is_identity"), "default_value")
+
+
+@query("select n_nationkey object_id, 'pk_' || n_nationkey constraint_name, case when n_nationkey % 3 = 0 then 'c3,c1' else 'c3' end as columns, n_nationkey % 3 = 0 is_composite, true is_all_integer from nation")
+def catalogue_keys(spark, d):
+    c = _catalogue(spark, d)
+    found = metadata.key_columns(c["indexes"], c["index_columns"], spec.columns_of(c["columns"], c["types"], c["identities"], c["defaults"]))
+    return found.select("object_id", "constraint_name", F.array_join("columns", ",").alias("columns"), "is_composite", "is_all_integer")
+
+
+@query("select n_nationkey object_id, 'ix_' || n_nationkey index_name, false is_unique, 'c2 DESC,c1 ASC' as columns from nation")
+def catalogue_indexes(spark, d):
+    c = _catalogue(spark, d)
+    return metadata.index_list(c["indexes"], c["index_columns"], c["columns"])
+
+
+@query("select n_name table_name, 3 n_columns, case when n_nationkey % 3 = 0 then 'c3,c1' else 'c3' end as key, 1 n_indexes, (n_nationkey % 5 = 0)::int n_checks from nation join region on n_regionkey = r_regionkey where r_name = 'ASIA' and n_nationkey <> 24 and n_name <> 'NATION_7'")
+def catalogue_specs(spark, d):
+    """Whole descriptions of one schema's tables, without those that a pattern excludes."""
+    made = metadata.table_schemas(_catalogue(spark, d), "ASIA", exclude=["*_7"])
+    specs = [(t, metadata.table_spec(t)) for t in made]
+    return spark.createDataFrame([(t["table_name"], len(s.columns), ",".join(s.key), len(s.indexes), len(s.checks)) for t, s in specs], "table_name string, n_columns int, key string, n_indexes int, n_checks int")
+
+
+@query("select r_name table_schema, n_name table_name, 'b,a' as columns from nation join region on n_regionkey = r_regionkey")
+def constraint_usage(spark, d):
+    n = spec.read_table(spark, d, "nation").join(spec.read_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    made = n.select(F.col("r_name").alias("constraint_schema"), F.concat(F.lit("pk_"), "n_nationkey").alias("constraint_name"), F.col("r_name").alias("table_schema"), F.col("n_name").alias("table_name"), F.lit("PRIMARY KEY").alias("constraint_type"))
+    other = made.withColumns({"constraint_type": F.lit("UNIQUE"), "constraint_name": F.concat(F.lit("u"), "constraint_name")})
+    member = lambda c, o: made.select("constraint_schema", "constraint_name", F.lit(c).alias("column_name"), F.lit(o).alias("ordinal_position"))
+    found = metadata.constraint_columns(made.unionByName(other), member("a", 2).unionByName(member("b", 1)))
+    return found.select("table_schema", "table_name", F.array_join("columns", ",").alias("columns"))
+
+
+@query("select n_name table_name, 'id' column_name from nation where n_nationkey % 2 = 0")
+def serial_columns(spark, d):
+    n = spec.read_table(spark, d, "nation")
+    default = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("nextval('"), "n_name", F.lit("_seq'::regclass)"))).when(F.col("n_nationkey") % 3 == 0, "currval('x')")
+    return metadata.serial_columns(n.select(F.col("n_name").alias("table_name"), F.lit("id").alias("column_name"), default.alias("column_default")))
+
+
+@query("select 'dbo' as schema, 'Nation' as \"table\", 'nation' target, 'n_nationkey,n_name,n_regionkey' as columns, 'n_nationkey' as key union all select 'dbo', 'Region!', 'region', 'r_regionkey,r_name', ''")
+def target_discovery(spark, d):
+    store = load.Store(spark, _scratch(spark))
+    for t in ("nation", "region"):
+        store.publish(t, spec.read_table(spark, d, t))
+    found = metadata.discover_targets(store, [("dbo", "Nation"), ("dbo", "Region!"), ("dbo", "missing")], {"nation": ["n_nationkey"]})
+    return spark.createDataFrame([(f["schema"], f["table"], f["target"], ",".join(f["columns"]), ",".join(f["key"])) for f in found], "schema string, table string, target string, columns string, key string")
 
 
 @query("select n_regionkey, string_agg(n_name, ',' order by n_nationkey desc) as columns from nation group by 1")
@@ -365,8 +533,17 @@ def ordered_key_lists(spark, d):
     return spec.ordered_list(nation, ["n_regionkey"], "n_name", "ord")
 
 
-@query("select * from (values ('partial_failure', 3, 'b', 30::bigint)) t(status, tables, failed, \"rows\")")
+@query("""with r as (select n_name t, i, (n_nationkey + i) % 7 <> 0 ok, 10 * i n from nation, range(1, 3) x(i)), t as (select t, bool_and(ok) ok, sum(case when ok then n else 0 end) n from r group by t)
+select case when bool_and(ok) then 'success' when not bool_or(ok) then 'failed' else 'partial_failure' end status, count(*)::int tables, string_agg(t, ',' order by t) filter (not ok) failed, sum(n)::bigint as rows from t""")
 def results_summary(spark, d):
-    done = [{"table": "a", "success": True, "rows": 10}, {"table": "b", "success": True, "rows": 10}, {"table": "b", "success": False, "rows": 0}, {"table": "c", "success": True, "rows": 10}]
+    """Two tasks for each nation as a table, of which some fail; a table fails with any of its tasks."""
+    nations = spec.read_table(spark, d, "nation").collect()
+
+    def run(task: transfer.Task) -> dict:
+        if (task.low + task.index) % 7 == 0:
+            raise RuntimeError("lost connection")
+        return {"rows": 10 * task.index}
+
+    done = transfer.run_all([transfer.Task(r.n_name, "keys", i, 2, r.n_nationkey) for r in nations for i in (1, 2)], run)
     o = transfer.outcome(done)
     return spark.createDataFrame([(o["status"], o["tables"], ",".join(o["failed"]), o["rows"])], "status string, tables int, failed string, rows long")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import datetime as dt
+import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -33,13 +35,25 @@ class Plan:
 
 
 def mode_of(state: SyncState, run_id: str) -> str:
-    """RECOVERY if an earlier run left failures; runs that are still marked as running are not yet that."""
-    return "RECOVERY" if state.summary()["failed"][0] else "FRESH"
+    """RECOVERY if another run left failures; runs that are still marked as running are not yet that."""
+    return "RECOVERY" if any(r["sync_status"] == "failed" and r["run_id"] != run_id for r in state.rows.values()) else "FRESH"
+
+
+def begin(state: SyncState, run_id: str, now: dt.datetime) -> str:
+    """The mode of a run, judged by real failures, before runs that were left running are marked as failed.
 
+    A fresh run after a completed one starts over: all states are reset.
+    """
+    mode = mode_of(state, run_id)
+    state.reset_stale(now, run_id)
+    if mode == "FRESH" and state.summary()["completed"][0]:
+        state.reset(now)
+    return mode
 
-def plan(tables: list[dict[str, Any]], state: SyncState, run_id: str, bounds: Callable[[str, str, int], list[tuple]], threshold: int = THRESHOLD, most: int = 8) -> Plan:
-    """tables: name, rows, key. bounds(table, key, n): half-open key ranges, [] where they can't be had."""
-    out = Plan(mode_of(state, run_id))
+
+def plan(tables: list[dict[str, Any]], state: SyncState, run_id: str, bounds: Callable[[str, str, int], list[tuple]], threshold: int = THRESHOLD, most: int = 8, mode: str | None = None) -> Plan:
+    """tables: name, rows, key. bounds(table, key, n): half-open key ranges, [] where they can't be had. mode: of :func:`begin`."""
+    out = Plan(mode or mode_of(state, run_id))
     by_table = {r["table_name"]: r for r in state.rows.values()}
     for t in tables:
         name, rows, key = t["name"], t["rows"], t.get("key") or []
@@ -62,14 +76,23 @@ def plan(tables: list[dict[str, Any]], state: SyncState, run_id: str, bounds: Ca
     return out
 
 
-def run_all(tasks: list[Task], run: Callable[[Task], dict[str, Any]], parallel: int = 8) -> list[dict[str, Any]]:
-    """Spark jobs from a bounded pool; a failure is a result."""
+def page_mode(key: list[str]) -> str:
+    """How a table is paged: by key if that is one column, by row number if it is several, whole without a key."""
+    return "keyset" if len(key) == 1 else "row_number" if key else "whole"
+
+
+def run_all(tasks: list[Task], run: Callable[[Task], dict[str, Any]], parallel: int = 8, retries: int = 0, delay: float = 30.0, sleep: Callable[[float], None] = time.sleep) -> list[dict[str, Any]]:
+    """Spark jobs from a bounded pool, tried again after a pause; the last failure is a result."""
 
     def one(task: Task) -> dict[str, Any]:
-        try:
-            return {"table": task.table, "success": True} | run(task)
-        except Exception as e:  # noqa: BLE001
-            return {"table": task.table, "success": False, "rows": 0, "error": str(e)[:4000]}
+        for attempt in range(retries + 1):
+            try:
+                return {"table": task.table, "success": True, "attempts": attempt + 1} | run(task)
+            except Exception as e:  # noqa: BLE001
+                error = str(e)[:4000]
+            if attempt < retries:
+                sleep(delay)
+        return {"table": task.table, "success": False, "rows": 0, "error": error, "attempts": retries + 1}
 
     with ThreadPoolExecutor(parallel) as pool:
         return list(pool.map(one, tasks))

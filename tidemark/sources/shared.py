@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,3 +23,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not getattr(spark, "_tidemark_folder", None):
         spark._tidemark_folder = tempfile.mkdtemp(prefix="tidemark-")
     return spark._tidemark_folder
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, compressed, and there if executors are lost."""
+    path = f"{shared_folder(df.sparkSession)}/tidemark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

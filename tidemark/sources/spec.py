@@ -90,3 +90,65 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batch:
     """mode overwrite truncates in place and keeps the table's definition."""
     options = {"batchsize": str(batch), "numPartitions": str(connections), "truncate": "true"} | properties
     df.write.jdbc(url, table, mode=mode, properties=options)
+
+
+def bound(sql: str, parameters: tuple | list = ()) -> str:
+    """``sql`` with each ? outside of quotes replaced by a parameter as a literal."""
+    out, left, quoted = [], list(parameters), False
+    for c in sql:
+        quoted ^= c == "'"
+        if c != "?" or quoted:
+            out.append(c)
+            continue
+        if not left:
+            raise ValueError("fewer parameters than places")
+        out.append(_literal(left.pop(0)))
+    if left:
+        raise ValueError("more parameters than places")
+    return "".join(out)
+
+
+def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, float)):
+        return repr(value)
+    escaped = str(value).replace("'", "''")
+    return f"'{escaped}'"
+
+
+def get_records(spark: SparkSession, url: str, sql: str, parameters: tuple | list = (), **properties: str) -> DataFrame:
+    """The rows of a query in the source."""
+    return spark.read.format("jdbc").options(url=url, query=bound(sql, parameters), **properties).load()
+
+
+def get_first(spark: SparkSession, url: str, sql: str, parameters: tuple | list = (), **properties: str):
+    """The first row of a query, or None."""
+    return get_records(spark, url, sql, parameters, **properties).first()
+
+
+class JdbcSession:
+    """One connection for statements; used with ``with``. Without ``autocommit`` a failure undoes what was run."""
+
+    def __init__(self, spark: SparkSession, url: str, autocommit: bool = False) -> None:
+        self.connection = spark._jvm.java.sql.DriverManager.getConnection(url)
+        self.autocommit = autocommit
+        self.connection.setAutoCommit(autocommit)
+
+    def run(self, sql: str, parameters: tuple | list = ()) -> int:
+        """Run a statement; the rows it changed."""
+        statement = self.connection.createStatement()
+        try:
+            return statement.executeUpdate(bound(sql, parameters))
+        finally:
+            statement.close()
+
+    def __enter__(self) -> JdbcSession:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        if not self.autocommit:
+            (self.connection.rollback if kind else self.connection.commit)()
+        self.connection.close()
