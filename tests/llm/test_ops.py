@@ -131,6 +131,22 @@ def test_without_repeats(docs, odd, none):
     assert {d: r.text for d, r in got.items()} == want
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got.values())
     assert substring.without_repeats(odd).count() == 5 and substring.without_repeats(none).count() == 0
+    clash = docs.withColumns({"__key": F.lit("a"), "__removed": F.lit(1), "__kept": F.lit("b"), "__N_WORDS": F.lit(2), "key": F.lit(3)})
+    again = substring.without_repeats(clash)
+    assert again.columns == clash.columns and {r.doc_id: r.text for r in again.collect()} == want
+
+
+def test_a_common_phrase_is_spread(spark, monkeypatch):
+    """Windows around one phrase of many texts don't share a bucket once there are too many; the result is the same."""
+    rng = random.Random(31)
+    word = lambda: rng.choice("abcdefgh") * rng.randint(1, 4)
+    run = [word() for _ in range(30)]
+    rows = [(i, " ".join([*(word() for _ in range(15)), "as", "we", "all", "know", *(word() for _ in range(15)), *(run if i % 9 == 0 else [])])) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(substring, "BUCKET_BYTES", 4_000)
+    assert substring.crowded_routes(docs).sum() > 0
+    got = {r["__key"]: r.n_removed for r in substring.remove_repeats(docs).collect()}
+    assert got == {d: n for d, (_, n, _) in brute_substring(rows).items()}
 
 
 def _sorted_blocks(batches):
@@ -161,12 +177,15 @@ def test_many_slices_of_a_hot_passage(monkeypatch, held):
     tasks = [batch.slice(0, 50), batch.slice(50)]
     hits = defaultdict(list)
     blocks = [b for t in tasks for b in substring._anchor_blocks(2)(iter([t]))]
-    for out in substring._per_bucket(substring._repeated_anchors, (np.uint64, np.int64, np.int32))(iter(_sorted_blocks(blocks))):
+    solve = substring._per_bucket(substring._repeated_anchors, (np.uint64, np.int64, np.int32), lambda k, s: substring._reply_blocks(k, s, 2), ("part", "keys", "starts"))
+    replies = pa.Table.from_batches(solve(iter(_sorted_blocks(blocks)))).sort_by("part").to_batches(max_chunksize=3)
+    for out in substring._key_starts(iter(replies)):
         for r in out.to_pylist():
             hits[r["key"]] += r["starts"]
     anchored = [t.filter(pa.array([k in hits for k in t.column("__key").to_pylist()])) for t in tasks]
     anchored = [t.append_column("__anchors", pa.array([hits[k] for k in t.column("__key").to_pylist()], pa.list_(pa.int32()))) for t in anchored]
-    blocks = [b for t in anchored for b in substring._window_blocks(2, "text")(iter([t]))]
+    crowded = np.arange(1 << substring.ROUTES) % 2 == 0
+    blocks = [b for t in anchored for b in substring._window_blocks(2, "text", "__", crowded)(iter([t]))]
     removed = defaultdict(set)
     for out in substring._per_bucket(substring._later_windows, (np.uint64, np.uint64, np.int64, np.int32))(iter(_sorted_blocks(blocks))):
         for r in out.to_pylist():
