@@ -114,6 +114,10 @@ class Store:
         made["parts"] = [[] if i in ranges else folders for i, folders in enumerate(made["parts"])]
         return self._write(table, df, made, metrics, unwritten, self.version(table) if expect is None else expect)
 
+    def append(self, table: str, df: DataFrame, expect: str | None = None) -> dict[str, int]:
+        """A version with the rows of ``df`` beside those that are there."""
+        return self._write(table, df, self.manifest(table), None, (), self.version(table) if expect is None else expect)
+
     def _write(self, table: str, df: DataFrame, made: dict[str, Any], metrics: dict[str, Column] | None, unwritten: tuple[str, ...], expect: str | None) -> dict[str, int]:
         version = f"v{time.time_ns()}"
         claim = f"_AFTER-{expect or 'none'}"
@@ -135,8 +139,8 @@ class Store:
                 rows.write.parquet(f"{self.root}/{table}/{version}/__range=0")
             fs = self._fs()
             for i, folders in enumerate(made["parts"]):
-                if not folders and fs.exists(self._path(table, version, f"__range={i}")):
-                    made["parts"][i] = [f"{version}/__range={i}"]
+                if fs.exists(self._path(table, version, f"__range={i}")):
+                    made["parts"][i] = [*folders, f"{version}/__range={i}"]
             self._put(json.dumps(made), table, version, MANIFEST)
             self._put(version, table, f"_NEXT-{version}")
             self._replace(self._path(table, f"_NEXT-{version}"), self._path(table, POINTER))

@@ -152,3 +152,13 @@ def open_partitions(state: DataFrame) -> DataFrame:
     """(table_name, id, status, rows): partitions that aren't complete."""
     parts = state.select("table_name", F.explode("partition_info").alias("p"))
     return parts.where(F.col("p.status").isin("pending", "running", "failed")).select("table_name", "p.id", "p.status", "p.rows")
+
+
+def partition_json(state: DataFrame) -> DataFrame:
+    """(table_name, partition_info) as the text that a JSON column holds; nulls are left out."""
+    return state.select("table_name", F.to_json("partition_info").alias("partition_info"))
+
+
+def from_partition_json(texts: DataFrame) -> DataFrame:
+    """(table_name, partition_info) of such texts; what isn't JSON is null."""
+    return texts.select("table_name", F.from_json("partition_info", f"array<{PARTITION}>").alias("partition_info"))

@@ -414,6 +414,23 @@ def partition_status_explode(spark, d):
     return state.open_partitions(nation_states(spark, d).to_frame(spark))
 
 
+@query("""select n_name table_name, case when n_nationkey % 4 = 3 then '[]' else '[' || string_agg('{"id":' || i || ',"status":"' || case (n_nationkey + i) % 3 when 0 then 'completed' when 1 then 'failed' else 'pending' end || '","rows":' || (10 * n_nationkey + i)
+|| ',"min_pk":"' || (i * 100) || '","max_pk":"' || (i * 100 + 99) || case when (n_nationkey + i) % 3 = 1 then '","error":"' || repeat('x', 500) else '' end || '"}', ',' order by i) || ']' end partition_info
+from nation, range(3) t(i) group by n_name, n_nationkey""")
+def partition_info_json(spark, d):
+    """Partition states as JSON text, read back and written again."""
+    found = nation_states(spark, d).to_frame(spark)
+    return state.partition_json(state.from_partition_json(state.partition_json(found)))
+
+
+@query("select o_orderkey, o_orderstatus from orders where o_orderkey % 2 = 0 union all select o_orderkey, o_orderstatus from orders where o_orderkey % 3 = 0")
+def append_chunks(spark, d):
+    store, orders = load.Store(spark, _scratch(spark)), spec.read_table(spark, d, "orders", ["o_orderkey", "o_orderstatus"])
+    store.publish("orders", orders.where("o_orderkey % 2 = 0"), "o_orderkey", [100, 5000])
+    store.append("orders", orders.where("o_orderkey % 3 = 0"))
+    return store.read("orders")
+
+
 @query(f"""select n_name table_name, {_STATUS} sync_status, cast(case when n_nationkey % 4 = 0 then n_nationkey else 0 end as bigint) rows_inserted, case when n_nationkey % 4 = 0 then n_nationkey::double when n_nationkey % 4 = 1 then 0::double end as seconds,
 case when n_nationkey % 4 = 0 then timestamp '2024-02-01 03:04:05' end watermark, cast(case when n_nationkey % 4 = 1 then 4000 end as int) error_length, cast(case when n_nationkey % 4 = 3 then 0 else 3 end as int) parts from nation""")
 def state_roundtrip(spark, d):
