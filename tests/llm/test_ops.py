@@ -255,11 +255,19 @@ def test_bk_tree_finds_what_a_scan_finds():
         assert sorted(tree.near(q, 2)) == sorted(v for v in set(values) if (v ^ q).bit_count() <= 2)
 
 
-def test_keep_one(docs, odd, none):
+A, B = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+
+
+def test_keep_one(spark, docs, odd, none):
     component = brute_components({d: brute_fingerprint(t) for d, t, *_ in ROWS})
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(component.values())
-    assert simhash.keep_one(odd).count() == 1  # the null id is the smallest; its texts are both kinds
+    assert sorted(((r.doc_id, r.text) for r in simhash.keep_one(odd).collect()), key=str) == [(None, "alpha beta gamma"), (None, None)]
+    clash = docs.withColumns({"__key": F.lit("a"), "__TH": F.lit(1), "fp": F.lit(2), "group": F.lit(3)})
+    again = simhash.keep_one(clash)
+    assert again.columns == clash.columns and {r.doc_id for r in again.collect()} == set(component.values())
+    unrelated = spark.createDataFrame([(None, A), (None, B), (5, B), (9, A)], "doc_id long, text string")
+    assert {(r.doc_id, r.text) for r in simhash.keep_one(unrelated).collect()} == {(None, A), (None, B)}
     assert simhash.keep_one(none).count() == 0
 
 
@@ -416,6 +424,24 @@ def test_sharding(spark, folder):
     assert set(slots) <= set(range(40))
 
 
+def test_hot_and_null_ids_are_spread(spark, tmp_path):
+    """Ids that a third of the rows share fill no shard: bytes are even and slots have no gaps."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "x" * (i % 40 + 50)) for i in range(9000)] + [(5, None), (6, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sharding.op3_sharding(spark, str(tmp_path)).collect()
+    load, slots = defaultdict(int), defaultdict(list)
+    for r in got:
+        load[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert len(got) == len(rows) and max(load.values()) < 1.01 * min(load.values()) and len(load) == 40
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_no_records(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sharding.op3_sharding(spark, str(tmp_path)).count() == 0
+
+
 def test_even_bytes_and_growth(spark):
     records = spark.range(20_000).select("id", (F.col("id") * 37 % 1000 + 16).alias("size"), sharding.virtual_slot(F.col("id")).alias("vslot"))
     first = sharding.first_map(sharding.slot_sizes(records), 40)
@@ -437,44 +463,6 @@ def test_map_versions(spark, tmp_path):
         sharding.store_map(one, str(tmp_path), 1)
 
 
-# chat formatting
-
-
-def test_tool_links(spark):
-    call = lambda i, name, **a: {"id": i, "name": name, "arguments": a}
-    say = lambda *calls: json.dumps({"tool_calls": list(calls)})
-    answer = lambda i, c: json.dumps({"tool_call_id": i, "content": c})
-    rows = [
-        (1, 0, "user", "hi"), (1, 1, "assistant", say(call("a", "add", y=2, x=1), call("b", "add", x="no"))), (1, 2, "tool", answer("b", "late")), (1, 3, "tool", answer("a", "3")),
-        (2, 5, "assistant", say(call("a", "none"))), (2, 1, "tool", answer("a", "early")), (2, 9, "tool", answer("z", "lost")), (3, 0, "assistant", "plain text"), (3, 1, "assistant", None),
-        (4, 0, "assistant", say(call("a", "add", x=1, y=1, q=0))), (4, 0, "assistant", say(call("a", "add", x=1, y=1, q=0))),
-        (None, 0, "assistant", say(call("n", "add", x=1, y=1))),
-    ]
-    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    schemas = {"add": {"x": ("integer", True), "y": ("integer", True)}}
-    out = {(r.conv_id, r.call_id): r for r in chat.link(chat.calls_of_json(messages), chat.results_of_json(messages), schemas).collect()}
-    assert {k: (r.status, r.errors, r.order_key) for k, r in out.items()} == {
-        (1, "a"): ("linked", "", 2), (1, "b"): ("linked", "x: not integer; y: missing", 2), (2, "a"): ("moved", "no such tool", 10),
-        (2, "z"): ("no_call", None, 19), (4, "a"): ("no_result", "unknown: q", 0), (None, "n"): ("no_result", "", 0),
-    }
-    assert out[1, "a"].json == '{"call":{"arguments":{"x":1,"y":2},"id":"a","name":"add"},"result":{"content":"3","id":"a"}}'
-    assert out[4, "a"].n_calls == 2
-    empty = messages.limit(0)
-    assert chat.link(chat.calls_of_turns(empty), chat.results_of_turns(empty), chat.REPLY).count() == 0
-
-
-# licences
-
-
-def test_licenses(spark, none, odd):
-    mit = licenses.TEMPLATES[2][1]
-    rows = [(0, "prose here\nReleased under the MIT License.\nmore"), (1, "in the middle of it, licensed under CC BY-NC 4.0, it goes on"), (2, mit.upper().replace(",", "")),
-            (3, f"before {mit.replace('restriction', 'limits')} after"), (4, "the license of the driver was under the seat"), (5, None), (6, ""), (7, "This work is licensed under the GNU General Public License, version 3.")]
-    got = {r.doc_id: r.license for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {0: "MIT", 1: "CC-BY-NC-4.0", 2: "MIT", 3: "MIT", 4: None, 5: None, 6: None, 7: "GPL-3.0"}
-    assert licenses.scan_licenses(none).count() == 0 and licenses.scan_licenses(odd).count() == 5
-
-
 # html
 
 
@@ -614,9 +602,65 @@ def test_toxicity(spark, none, odd):
     assert toxicity.score(none, model).count() == 0 and toxicity.score(odd, model).count() == 5
 
 
+def penalised(rows, columns, grades, beta, theta, ridge=toxicity.RIDGE):
+    """The negative log likelihood of a cumulative-link model, document by document."""
+    total = 0.5 * ridge * float(beta @ beta)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for i, g in enumerate(grades):
+        margin = sum(beta[c] for r, c in zip(rows, columns) if r == i)
+        below = [0.0, *(sigmoid(t - margin) for t in theta), 1.0]
+        total -= np.log(below[g + 1] - below[g])
+    return total
+
+
+def test_fit_is_the_best_fit():
+    """No small step from the fitted weights and ordered thresholds has a better likelihood."""
+    rng = np.random.default_rng(61)
+    n, k = 120, 6
+    x = rng.random((n, k)) < 0.3
+    margin = x @ np.array([2.0, 1.0, -1.0, 0.5, 0.0, 3.0])
+    grades = (margin + rng.logistic(size=n) > 1.5).astype(int) + (margin + rng.logistic(size=n) > 3.5)
+    rows, columns = np.nonzero(x)
+    beta, theta = toxicity.fit_ordinal(rows, columns, grades, k, steps=1500)
+    best = penalised(rows, columns, grades, beta, theta)
+    assert np.all(np.diff(theta) > 0) and best < penalised(rows, columns, grades, np.zeros(k), theta)
+    for _ in range(40):
+        step = rng.normal(size=k + len(theta)) * 0.05
+        assert penalised(rows, columns, grades, beta + step[:k], theta + step[k:]) > best - 1e-3
+
+
+def test_repeated_labels_and_long_texts(spark):
+    """Of a document's labels the worse counts; a grade of 2 takes three different words that speak for toxicity, however often they stand."""
+    clean = [f"w{i}" for i in range(50)]
+    rows = [(i, " ".join([*clean[i % 40 : i % 40 + 9], *(["scum"] if i % 3 == 0 else []), *(["moron", "filth"] if i % 6 == 0 else [])])) for i in range(240)]
+    rows += [(1000, "moron " * 200_000), (1001, "moron scum filth"), (1002, "w1 " * 300_000), (1003, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = [(i, 1, int(i % 3 == 0)) for i in range(240)] + [(i, 1, 0) for i in range(0, 240, 3)] + [(None, 1, 1), (5, 1, None)]
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert all(got[i].toxic == (i % 3 == 0) for i in range(240)) and got[1001].toxic and not got[1002].toxic and not got[1003].toxic
+    assert got[1001].grade == 2 and got[3].grade == 1 and got[6].expected_severity > got[3].expected_severity
+
+
 # pipeline
 
 
+def test_pipeline_edges(spark, tmp_path):
+    """An empty table, null ids and texts, repeated rows and further columns go through all stages."""
+    import corpus_pipeline
+
+    text = " ".join(f"w{i}" for i in range(70))
+    full = [(None, text, 1), (None, text, 1), (None, " ".join(f"v{i}" for i in range(70)), 2), (4, None, 3), (5, "", None)]
+    spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for rows, want in ((full, 2), ([], 0)):
+        docs = spark.createDataFrame([(d, t, "en", None, None, k) for d, t, k in rows], "doc_id long, text string, lang string, source string, n_chars long, __key long")
+        for _, stage in corpus_pipeline.STAGES[:4]:
+            out = stage(spark, docs, str(tmp_path))
+            assert out.columns == docs.columns
+            docs = out
+        assert docs.count() == want and corpus_pipeline.best_fit_packing(spark, docs, str(tmp_path)).count() == want
+
+
 def test_pipeline(spark, folder, tmp_path):
     import corpus_pipeline
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import textkernel as tk
-from tidemark.llm.workspace import own_prefix
+from tidemark.llm.workspace import bound_batches, own_prefix
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
@@ -347,7 +347,7 @@ def extract(pages: DataFrame, column: str = "html", text: str = "text", n_chars:
     """``pages`` with the columns ``text`` and ``n_chars``; columns that it has under these names are replaced."""
     own = own_prefix(pages)
     schema = T.StructType([*pages.schema.fields, T.StructField(f"{own}text", T.StringType()), T.StructField(f"{own}n_chars", T.LongType())])
-    found = pages.mapInArrow(_extracted(column, own), schema)
+    found = bound_batches(pages).mapInArrow(_extracted(column, own), schema)
     kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in (text.lower(), n_chars.lower())]
     return found.select(*kept, F.col(f"{own}text").alias(text), F.col(f"{own}n_chars").alias(n_chars))
 

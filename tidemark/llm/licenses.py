@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textkernel as tk
 from tidemark.llm.toxicity import _LOWER, _PUNCTUATION
+from tidemark.llm.workspace import bound_batches
 
 MIN_DICE = 0.8
 
@@ -263,7 +264,7 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     """(doc_id, license, dice, licenses): the best licence of each document and the names of all; templates: (licence, text)."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     scan = _scanned(all_templates() if templates is None else templates)
-    return slim.mapInArrow(scan, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, license string, dice double, licenses array<string>")
+    return bound_batches(slim).mapInArrow(scan, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, license string, dice double, licenses array<string>")
 
 
 def op6_license_scan(spark, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkernel as tk
-from tidemark.llm.workspace import materialize
+from tidemark.llm.workspace import bound_batches, materialize
 
 CAPACITY = 2048
 BLOCK = 4096
@@ -371,7 +371,7 @@ def _placed(items: pd.DataFrame, best: pd.DataFrame) -> pd.DataFrame:
 
 def tokenized_pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return slim.mapInArrow(_pieces(path, capacity), _ITEMS)
+    return bound_batches(slim).mapInArrow(_pieces(path, capacity), _ITEMS)
 
 
 def _dealt(items: DataFrame, block: int) -> DataFrame:

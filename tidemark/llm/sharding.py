@@ -9,8 +9,10 @@ so records in other slots stay where they are.
 Law of op3: ``bytes``. ``slot`` numbers the rows of a shard from 0 without gaps: the slots' row counts
 give each slot a base, and rows are numbered within their slot, so no shard is ever sorted as a whole.
 
-Scale: one shuffle, by virtual slot, of four numbers per row, never of text; thousands of slots keep
-it even. The map is broadcast: its size is fixed by SLOTS.
+Scale: texts are read once; one shuffle, by virtual slot, of a few numbers per row, never of text;
+thousands of slots keep it even. Where one doc_id (or null) has so many rows that its slot holds more than
+``HEAVY`` times the mean, the rows of that slot are dealt to all slots one by one. The map is broadcast: its
+size is fixed by SLOTS.
 
 Edge cases: null text counts 16 bytes and has the checksum of an empty text; null doc_id is a value
 like any other; repeated rows share a slot and get numbers of their own; an empty table gives an empty
@@ -24,11 +26,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.workspace import checkpoint_root
+from tidemark.llm.workspace import checkpoint_root, materialize
 
 SLOTS = 4096
 SHARDS = 40
 OVERHEAD = 16
+HEAVY, LEAST_HEAVY = 8, 64
 
 
 def record_size(text: Column) -> Column:
@@ -39,6 +42,17 @@ def virtual_slot(key: Column, slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
 
 
+def without_heavy_slots(records: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """``records`` (vslot, row and others, written) with the rows of overfull slots spread by their row number."""
+    used = records.groupBy("vslot").count()
+    mean = (records.count() or 1) / slots
+    heavy = [r.vslot for r in used.where(F.col("count") > max(LEAST_HEAVY, HEAVY * mean)).collect()]  # fewer than slots / HEAVY
+    if not heavy:
+        return records
+    spread = F.pmod(F.xxhash64("row"), F.lit(slots)).cast("int")
+    return records.withColumn("vslot", F.when(F.col("vslot").isin(heavy), spread).otherwise(F.col("vslot")))
+
+
 def slot_sizes(records: DataFrame, slots: int = SLOTS) -> DataFrame:
     """(vslot, bytes, rows) of all slots, empty ones too; ``records`` has vslot and size."""
     every = records.sparkSession.range(slots).select(F.col("id").cast("int").alias("vslot"))
@@ -81,13 +95,15 @@ def load_map(spark: SparkSession, folder: str, version: int) -> DataFrame:
 def op3_sharding(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     text = F.col("text")
-    records = docs.select("doc_id", record_size(text).alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), virtual_slot(F.col("doc_id")).alias("vslot"))
+    crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+    records = docs.select("doc_id", record_size(text).alias("size"), crc.alias("text_crc32"), virtual_slot(F.col("doc_id")).alias("vslot"), F.monotonically_increasing_id().alias("row"))
+    records = without_heavy_slots(materialize(records))
     folder = f"{checkpoint_root(spark)}/tidemark-slotmap-{uuid.uuid4().hex}"
     store_map(first_map(slot_sizes(records.select("vslot", "size"))), folder, 1)
     placed = load_map(spark, folder, 1)
     base = F.sum("rows").over(Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, 0)) - F.col("rows")
     placed = placed.select("vslot", "shard", base.alias("base"))
-    numbered = records.withColumn("n", F.row_number().over(Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")))
+    numbered = records.withColumn("n", F.row_number().over(Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size", "row")))
     out = numbered.join(F.broadcast(placed), "vslot")
     return out.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",

@@ -11,14 +11,17 @@ BK-tree is built in the task that owns the shard, children keyed by their distan
 and a search follows only edges within the radius. Shards over ``SHARD_LIMIT`` are dealt again by a
 third and then a fourth part of the remaining bits (pigeonhole again, so no link is lost); at the
 last level a shard can't hold more than 2**15 fingerprints. Trees travel to tasks by shuffle and
-not by broadcast: a broadcast would need all fingerprints on the driver.
+not by broadcast: a broadcast would need all fingerprints on the driver, 80 GB for 10**10 documents.
 
 A shard reports its local components as trees of fan-out 64, so neither pairs nor hubs are emitted.
-Components come from alternating large-star and small-star steps over those links.
+Components come from alternating large-star and small-star steps over those links. Fingerprints of more
+than a ``HEAVY``th of all rows, of which there are fewer than ``HEAVY``, are broadcast to their rows; the
+others meet theirs by shuffle.
 
 Edge cases: null or empty text has fingerprint zero and links to other such; null doc_id sorts
-before all others; repeated rows share fingerprint and component; an empty table gives an empty
-result; extra columns are kept by :func:`keep_one`.
+before all others; repeated rows share fingerprint and component; rows of one id, null ids included,
+don't join their components; an empty table gives an empty result; extra columns are kept by
+:func:`keep_one`, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,13 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkernel as tk
-from tidemark.llm.workspace import materialize
+from tidemark.llm.workspace import bound_batches, materialize, measured_table, own_prefix
 
 RADIUS = 2
 SHINGLE = 3
 SEED = 42
 SHARD_LIMIT = 4096
 FAN_OUT = 64
+HEAVY = 10_000
+BROADCAST_ROWS = 200_000
 NO_KEY = -(1 << 63)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -74,7 +79,8 @@ def fingerprints(t: tk.Texts) -> np.ndarray:
 def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in tk.slices(batches):
         fp = fingerprints(tk.read_texts(batch.column("text")))
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fp, pa.int64())], ["key", "fp"])
+        names = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(fp, pa.int64())], [*names, "fp"])
 
 
 class BKTree:
@@ -228,7 +234,7 @@ def links(fps: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> Dat
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One contraction step over edges (a, b), a > b: neighbours are hung on the smallest of them."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
-    low = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")) if large else both.groupBy("a").agg(F.min("b").alias("m")))
+    low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")) if large else both.groupBy("a").agg(F.min("b").alias("m"))
     hung = both.join(low, "a")
     if large:
         out = hung.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -240,39 +246,69 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(a, b): each id of ``edges`` that is not the smallest of its component, with the smallest."""
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    edges = materialize(edges)
-    seal = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-    before = seal(edges)
-    while before[0]:
-        edges = materialize(_star(_star(edges, True), False))
-        now = seal(edges)
+    seal = {"n": F.count(F.lit(1)), "h": F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))}
+    edges, before = measured_table(edges, **seal)
+    while before["n"]:
+        edges = materialize(_star(edges, True))
+        edges, now = measured_table(_star(edges, False), **seal)
         if now == before:
             break
         before = now
     return edges
 
 
+def grouped(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, text and other numbers) without text, with fp, group (a fingerprint) and component (the least key of the group)."""
+    kept = [c for c in rows.columns if c != "text"]
+    marked = materialize(bound_batches(rows).select(*kept, "text").mapInArrow(_fingerprinted, ", ".join(f"{c} long" for c in (*kept, "fp"))))
+    fps = materialize(marked.groupBy("fp").agg(F.min("key").alias("id"), F.count("*").alias("n")))
+    stars = components(links(fps.select("fp", F.col("fp").alias("id"))))
+    found = materialize(fps.join(stars, fps["fp"] == stars["a"], "left").select("fp", "id", "n", F.coalesce("b", "fp").alias("group")))
+    named = materialize(found.join(found.groupBy("group").agg(F.min("id").alias("component")), "group").select("fp", "n", "group", "component"))
+    total = named.agg(F.sum("n")).first()[0] or 0
+    heavy = F.broadcast(named.where(F.col("n") > total / HEAVY).drop("n"))
+    light = marked.join(heavy.select("fp"), "fp", "left_anti").join(named.drop("n"), "fp")
+    return marked.join(heavy, "fp").unionByName(light).select(*kept, "fp", "group", "component")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fp, component) for each row; key: doc_id with null as NO_KEY.
 
     What links are fingerprints and not ids: rows without id, or of one id, do not join their components.
     """
     keyed = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(text).alias("text"))
-    marked = materialize(keyed.mapInArrow(_fingerprinted, "key long, fp long"))
-    fps = materialize(marked.groupBy("fp").agg(F.min("key").alias("id")))
-    stars = components(links(fps.select("fp", F.col("fp").alias("id"))))
-    grouped = materialize(fps.join(stars, fps["fp"] == stars["a"], "left").select("fp", "id", F.coalesce("b", "fp").alias("group")))
-    named = materialize(grouped.join(grouped.groupBy("group").agg(F.min("id").alias("component")), "group").select("fp", "component"))
-    return marked.join(named, "fp").select("key", "fp", "component")
+    return grouped(keyed).select("key", "fp", "component")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Of each component the rows of its smallest doc_id, all columns kept (repeated rows of it: one)."""
-    found = near_duplicates(docs, doc_id, text)
-    chosen = found.where(F.col("key") == F.col("component")).select("key").distinct()
+def take_one(docs: DataFrame, doc_id: str, text: str, group) -> DataFrame:
+    """Of each group one row, all columns kept: that of the smallest doc_id (null first), then of the least row hash.
+
+    ``group`` gives (key, th, rh, group) for rows (key, th, rh, text). What goes is found among a few numbers a
+    row; documents are only read, and of rows that are there several times one is taken.
+    """
+    own = own_prefix(docs)
+    plain = ("key", "th", "rh")
+    by = [f"{own}{c}" for c in plain]
     key = F.coalesce(docs[doc_id].cast("long"), F.lit(NO_KEY))
-    out = docs.withColumn("__key", key).join(chosen.withColumnRenamed("key", "__key"), "__key", "left_semi")
-    return out.dropDuplicates(["__key"]).select(docs.columns)
+    named = docs.withColumns(dict(zip(by, (key, F.xxhash64(docs[text]), F.xxhash64(*(docs[c] for c in docs.columns))))))
+    found = materialize(group(named.select(*(F.col(c).alias(x) for c, x in zip(by, plain)), F.col(text).alias("text"))))
+    rows = found.groupBy("group", *plain).agg(F.count("*").alias("times"))
+    chosen = materialize(rows.groupBy("group").agg(F.min(F.struct(*plain, "times")).alias("r")).select("r.*"))
+    several = materialize(chosen.where("times > 1").select(*plain).toDF(*by))
+    others = materialize(found.select(*plain).distinct().join(chosen.where("times = 1"), list(plain), "left_anti").toDF(*by))
+    single = named.join(small(others), by, "left_anti")
+    first = named.join(small(several), by, "left_semi").dropDuplicates(by)
+    return single.unionByName(first).select(docs.columns)
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of each component of fingerprints one row."""
+    return take_one(docs, doc_id, text, lambda rows: grouped(rows).select("key", "th", "rh", "group"))
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:

@@ -27,6 +27,6 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def total_counts(rows: DataFrame, bits: int) -> np.ndarray:
     """The sums of (part, seen) rows of all tasks, for 2**bits slots."""
     out = np.zeros((PARTS, (1 << bits) // PARTS), dtype=np.int64)
-    for r in rows.select("part", "seen").repartition(PARTS, "part").mapInArrow(_summed, "part int, seen binary").collect():
+    for r in rows.select("part", "seen").repartitionById(PARTS, "part").mapInArrow(_summed, "part int, seen binary").collect():
         out[r.part] = np.frombuffer(r.seen, np.int64)
     return out.ravel()

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import slotcounts
 from tidemark.llm import textkernel as tk
-from tidemark.llm.workspace import materialize, own_prefix
+from tidemark.llm.workspace import bound_batches, by_bucket, materialize, own_prefix
 
 WINDOW = 20
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -324,13 +324,13 @@ def repeated_anchors(keyed: DataFrame, n: int) -> DataFrame:
     """(__key, __anchors): cover positions whose 8 words occur more than once in the corpus."""
     solve = _per_bucket(_repeated_anchors, (np.uint64, np.int64, np.int32), lambda key, start: _reply_blocks(key, start, n), ("part", "keys", "starts"))
     hits = _spread(keyed.mapInArrow(_anchor_blocks(n), _ANCHOR_BLOCKS), n, F.col("part")).mapInArrow(solve, "part int, keys binary, starts binary")
-    found = hits.repartition(min(n, MOST_PARTITIONS), "part").sortWithinPartitions("part").mapInArrow(_key_starts, _HITS)
+    found = by_bucket(hits, min(n, MOST_PARTITIONS), F.col("part"), "part").mapInArrow(_key_starts, _HITS)
     return found.select(F.col("key").alias("__key"), F.col("starts").alias("__anchors"))
 
 
 def _spread(blocks: DataFrame, n: int, other) -> DataFrame:
     """Blocks by bucket, buckets in order; rows that are hits already go anywhere."""
-    return blocks.repartition(min(n, MOST_PARTITIONS), F.coalesce("bucket", other)).sortWithinPartitions("bucket")
+    return by_bucket(blocks, min(n, MOST_PARTITIONS), F.coalesce("bucket", other), "bucket")
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str, own: str = "__") -> DataFrame:
@@ -339,7 +339,7 @@ def _keyed(docs: DataFrame, doc_id: str, text: str, own: str = "__") -> DataFram
     ``own`` stands in the place of "__". Where no id has different texts, __key is __id. Else it numbers the
     pairs of __id and text hash in order: partitions of a sorted table follow each other, and so do their ids.
     """
-    docs = docs.withColumn(f"{own}id", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_KEY)))
+    docs = bound_batches(docs).withColumn(f"{own}id", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_KEY)))
     of = docs.select(f"{own}id", F.xxhash64(text).alias(f"{own}th"))
     shared = of.groupBy(f"{own}id").agg(F.min(f"{own}th").alias("x"), F.max(f"{own}th").alias("y")).where("x < y")
     if shared.isEmpty():

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkernel as tk
-from tidemark.llm.workspace import materialize
+from tidemark.llm.workspace import bound_batches, materialize
 
 SAMPLE = 20_000
 FEATURES = 4096
@@ -109,7 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
     graded = usable.groupBy(F.col("doc_id").alias("label_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("grade"))
     chosen = graded.orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("grade", "text")
-    sparse = materialize(texts.mapInArrow(_sparse, "grade int, features array<long>"))
+    sparse = materialize(bound_batches(texts).mapInArrow(_sparse, "grade int, features array<long>"))
     totals = sparse.agg(F.count("*"), F.coalesce(F.sum((F.col("grade") > 0).cast("long")), F.lit(0))).first()
     n, n1 = totals
     if not n1 or n1 == n:
@@ -153,7 +153,7 @@ def _scored(model: OrdinalModel):
 
 def score(docs: DataFrame, model: OrdinalModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return slim.mapInArrow(_scored(model), "doc_id long, expected_severity double, grade int, p_toxic double, toxic boolean")
+    return bound_batches(slim).mapInArrow(_scored(model), "doc_id long, expected_severity double, grade int, p_toxic double, toxic boolean")
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:

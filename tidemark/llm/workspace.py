@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.sources.shared import shared_folder
 
@@ -22,6 +24,29 @@ def own_prefix(*frames: DataFrame) -> str:
     return prefix
 
 
+BATCH_ROWS = 1000
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, for Python functions over Arrow batches of at most BATCH_ROWS rows.
+
+    Spark bounds batches by rows only: 10,000 rows of long texts are more than the rest of a task needs. The
+    setting is the session's, as Spark has no other; a smaller one stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(name))
+    if not 0 < now <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df
+
+
+def measured_table(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict[str, Any]]:
+    """:func:`materialize` with aggregates that the writing job observes."""
+    seen = Observation()
+    out = materialize(df.observe(seen, *(c.alias(k) for k, c in metrics.items())))
+    return out, seen.get
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends at replicated files.
 
@@ -33,3 +58,8 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_root(spark)}/tidemark-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def by_bucket(df: DataFrame, n: int, bucket: Column, *order: str) -> DataFrame:
+    """Rows of a bucket in one partition, buckets dealt evenly: by a hash of so few numbers some partitions would get several and others none."""
+    return df.repartitionById(n, F.pmod(bucket, F.lit(n)).cast("int")).sortWithinPartitions(*order)
