@@ -8,7 +8,7 @@ if its shrunk rate exceeds both ``HOST_TIMES`` times the corpus rate and ``HOST_
 follows the corpus, one bad document doesn't reject a small host, and where hosts differ by chance
 only none goes.
 
-Scale: one pass over the texts; only counts per host are shuffled (pre-aggregated on the map side,
+Scale: no text is shuffled or written in between; only counts per host are shuffled (pre-aggregated on the map side,
 so a host with a third of all rows sends one row per task). Only rejected hosts are joined back, a
 list that Spark broadcasts if it is small enough and otherwise splits by size.
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import textkernel as tk
-from tidemark.llm.workspace import materialize, own_prefix
+from tidemark.llm.workspace import bound_batches, materialize, own_prefix
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -61,6 +61,21 @@ def _repeat_mask(group: np.ndarray, *hashes: np.ndarray) -> tuple[np.ndarray, np
     return many, later
 
 
+def repeated_words(t: tk.Texts) -> np.ndarray:
+    """Of each text the words in 3-word windows that it holds more than once."""
+    at, (h,) = tk.windows(t, 3)
+    doc = t.doc
+    many, _ = _repeat_mask(doc[at], h)
+    covered = np.zeros(len(t.start), dtype=bool)
+    for shift in range(3):
+        covered[at[many] + shift] = True
+    return np.bincount(doc[covered], minlength=len(t.offsets) - 1)
+
+
+def base_failed(n_words: np.ndarray, n_repeat_words: np.ndarray) -> np.ndarray:
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words)
+
+
 def measure(t: tk.Texts) -> dict[str, np.ndarray]:
     texts = len(t.offsets) - 1
     inside = ~tk._SEPARATOR[t.bytes]
@@ -81,13 +96,7 @@ def measure(t: tk.Texts) -> dict[str, np.ndarray]:
     hashes = [tk.segment_hashes(t.bytes, begin, end, k) for k in (0, 1)]
     _, later = _repeat_mask(doc, *hashes)
     out["n_dup_lines"] = np.bincount(doc[later], minlength=texts)
-    at, (h,) = tk.windows(t, 3)
-    doc = t.doc
-    many, _ = _repeat_mask(doc[at], h)
-    covered = np.zeros(len(t.start), dtype=bool)
-    for shift in range(3):
-        covered[at[many] + shift] = True
-    out["n_repeat_words"] = np.bincount(doc[covered], minlength=texts)
+    out["n_repeat_words"] = repeated_words(t)
     return out
 
 
@@ -95,7 +104,7 @@ def _measured(text: str, own: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tk.gathered(batches, text):
             found = measure(tk.read_texts(batch.column(text)))
-            failed = (found["n_words"] < MIN_WORDS) | (100 * found["n_repeat_words"] > MAX_REPEAT_PERCENT * found["n_words"])
+            failed = base_failed(found["n_words"], found["n_repeat_words"])
             names, columns = list(batch.schema.names), list(batch.columns)
             for k in MEASURES:
                 names.append(f"{own}{k}")
@@ -108,7 +117,22 @@ def _measured(text: str, own: str):
 def measured(docs: DataFrame, text: str = "text", own: str = "__") -> DataFrame:
     """``docs`` with the measures and the verdict ``base_failed`` as columns whose names begin with ``own``."""
     schema = T.StructType([*docs.schema.fields, *(T.StructField(f"{own}{k}", T.LongType()) for k in MEASURES), T.StructField(f"{own}base_failed", T.BooleanType())])
-    return docs.mapInArrow(_measured(text, own), schema)
+    return bound_batches(docs).mapInArrow(_measured(text, own), schema)
+
+
+def _judged(text: str, failed: str, keep: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tk.gathered(batches, text):
+            t = tk.read_texts(batch.column(text))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(base_failed(t.n_words, repeated_words(t)))], [*keep, failed])
+
+    return run
+
+
+def judged(docs: DataFrame, text: str, failed: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and the verdict of the base rules, without the other measures."""
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(failed, T.BooleanType())])
+    return bound_batches(docs).mapInArrow(_judged(text, failed, keep), schema)
 
 
 def host_rates(judged: DataFrame, host: str, failed: str) -> DataFrame:
@@ -124,14 +148,13 @@ def host_rates(judged: DataFrame, host: str, failed: str) -> DataFrame:
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The rows of ``docs`` that neither a base rule nor their host's verdict rejects.
 
-    Texts are read once: what the base rules keep is written with the verdicts, other rows without their text.
+    Texts are read and judged twice, for the hosts and for the rows: that takes less than to write them in between.
     """
     own = own_prefix(docs)
     failed = f"{own}base_failed"
-    judged = measured(docs, text, own).select(*docs.columns, failed)
-    judged = materialize(judged.withColumn(text, F.when(~F.col(failed), F.col(text))))
-    rejected = host_rates(judged, host, failed).where("rejected").select(F.col("host").alias(f"{own}host"))
-    good = judged.where(~F.col(failed)).select(docs.columns)
+    hosts = judged(docs.select(F.col(host).alias("host"), F.col(text).alias("text")), "text", failed, ["host"])
+    rejected = host_rates(hosts, "host", failed).where("rejected").select(F.col("host").alias(f"{own}host"))
+    good = judged(docs, text, failed, docs.columns).where(~F.col(failed)).select(docs.columns)
     return good.join(rejected, good[host].eqNullSafe(rejected[f"{own}host"]), "left_anti")
 
 
