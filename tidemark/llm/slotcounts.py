@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-PARTS = 64
+PARTS = 16
 
 
 def count_columns(seen: np.ndarray) -> tuple[pa.Array, pa.Array]:
