@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import chat, decontam, extraction, licenses, packing, quality, sharding, simhash, substring, toxicity
 from tidemark.llm import textkernel as tk
 
+from tests.llm.test_advice import brute_kept
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -669,8 +671,8 @@ def test_pipeline(spark, folder, tmp_path):
     assert names == ["quality_rules", "near_dedup", "substring_dedup", "decontamination", "best_fit_packing"]
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     left = {d: t for d, t, *_ in ROWS if (m := brute_measures(t)) and m[0] >= 50 and 100 * m[4] <= 50 * m[0]}
-    component = brute_components({d: brute_fingerprint(t) for d, t in left.items()})
-    left = {d: t for d, t in left.items() if component[d] == d}
+    kept = set(brute_kept(list(left.items()), 5, 0.8))
+    left = {d: t for d, t in left.items() if d in kept}
     want = {d: " ".join(k) if r else left[d] for d, (n, r, k) in brute_substring([(d, t) for d, t in left.items()]).items() if r < n or not r}
     for name, stage in corpus_pipeline.STAGES[:4]:
         stage(spark, docs, folder).write.parquet(str(tmp_path / name))
