@@ -1,19 +1,24 @@
-"""Near-copy groups by the exact Jaccard coefficient of word shingles.
+"""Near-copy groups by SimHash and BK-trees, with the exact Jaccard coefficient as the check that follows.
 
 Words have A-Z lower-cased; the set of a text is that of its runs of ``width`` words (fewer words: the
 whole sequence; none: the empty set). Texts link if the coefficient of their sets is ``similarity`` or
-more, and what links connect is a group. Nothing is estimated: of two sets that reach the coefficient,
-the first n - ceil(similarity * n) + 1 shingles of each, in any one order of all shingles, share one
-(prefix filter). Order: by the number of texts (counted in ``SLOTS`` slots), rare ones first.
-
-Scale: equal sets collapse first. Prefixes travel as binary blocks, one for each map slice and bucket,
-and only shingles that sets of compatible sizes share leave a bucket. The texts that share a shingle are first compared to a few of them
-only (stars, so a group of m near copies costs a few m comparisons); what that connects is not compared
-again. Further stars follow while they connect much and the pairs left outnumber the shared shingles; the
-pairs left after the last ones are all compared, so none is lost. Before sets are compared their sketches
-are: counts of a set's hashes in about as many cells as it has shingles. The sum of the lesser counts bounds
-the shingles in common from above, so that texts that only share a passage cost a byte for each word and not
-their sets; the last pairs are held against a coarser one, of 512 bits, in the join that makes them. Sets travel as hashes of 32 bits, in which equal shingles are equal too.
+more, and what links connect is a group.
+
+Search: equal sets collapse first. A set's fingerprint is its SimHash, ``FP_WORDS`` words of 64 bits. Fingerprints
+go to shards, and a shard's BK-tree is built in the task that owns it; pairs within :func:`wide_radius`, which
+a pair that reaches the similarity exceeds with a chance of ``MISSED`` at most, are checked. Shards are keyed by rare
+shingles: of two sets that reach the coefficient, the first n - ceil(similarity * n) + 1 shingles of each, in any one
+order of all shingles, share one. Order: by the number of texts (counted in ``SLOTS`` slots), rare ones first.
+Blocks of bits, as in simhash.py, don't split fingerprints at so wide a radius.
+
+Scale: shingles travel as binary blocks, one for each map slice and bucket, and only those that sets of compatible
+sizes share leave a bucket. A shard's tree first holds a few hubs only (stars, so a group of m near copies costs
+a few m comparisons); what that connects is not compared again. Further stars follow while they connect much and the
+pairs left outnumber the shared shingles; then trees hold all that is left, so none is left out, and shards over
+``SHARD_LIMIT`` are dealt to tasks by pairs of parts. Before sets are compared their sketches are: counts of a set's hashes in
+about as many cells as it has shingles. The sum of the lesser counts bounds the shingles in common from above,
+so that texts that only share a passage cost a byte for each word and not their sets; the last pairs are held
+against a coarser one, of 512 bits, before. Sets travel as hashes of 32 bits, in which equal shingles are equal too.
 
 Edge cases: null text counts as empty; rows are told apart by doc_id, text and the other columns, so
 null or repeated ids lose no group; an empty table gives an empty result.
@@ -24,7 +29,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import replace
 from fractions import Fraction
-from functools import reduce
+from functools import lru_cache, reduce
+from math import acos, comb, pi
 
 import numpy as np
 import pyarrow as pa
@@ -33,16 +39,20 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import slotcounts
 from tidemark.llm import textkernel as tk
-from tidemark.llm.simhash import _LOWER, components, small, take_one
+from tidemark.llm.simhash import _LOWER, BKTree, add_votes, components, over_half, small, take_one
 from tidemark.llm.substring import MOST_PARTITIONS, _blocks, bucket_count
 from tidemark.llm.workspace import bound_batches, by_bucket, materialize
 
 WIDTH = 5
 SIMILARITY = 0.8
 SLOTS = 20  # bits
+FP_WORDS = 4  # of 64 bits, in a fingerprint
+MISSED = 1e-9
 STARS, HUBS = 6, 3
+SHARD_LIMIT = 2048
+BOTH, PLANT, SEEK = range(3)
 WORDS = 8  # a power of two
-_KNOWN = "sid long, n int, sketch binary, shingles binary, " + ", ".join(f"b{i} long" for i in range(WORDS))
+_KNOWN = "sid long, n int, sketch binary, shingles binary, fp binary, " + ", ".join(f"b{i} long" for i in range(WORDS))
 WORTHWHILE = 0.002  # links that stars have to find, for each shared shingle of a text, for others to follow
 
 
@@ -183,7 +193,92 @@ def _whole(width: int):
             h, first = shingle_sets(tk.read_texts(batch.column("text")), width)
             short = (h >> np.uint64(32)).astype(np.uint32)
             sets = [short[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array(np.diff(first), pa.int32()), pa.array(sketches(h, first), pa.binary()), pa.array(sets, pa.binary()), *(pa.array(x) for x in cell_bits(h, first).T)], names)
+            yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array(np.diff(first), pa.int32()), pa.array(sketches(h, first), pa.binary()), pa.array(sets, pa.binary()), pa.array(fingerprints(h, first), pa.binary()), *(pa.array(x) for x in cell_bits(h, first).T)], names)
+
+    return run
+
+
+def fingerprints(h: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Of each set its SimHash of FP_WORDS times 64 bits, a bit being set if over half of the shingles' hashes set it."""
+    n = np.diff(first)
+    doc = np.repeat(np.arange(len(n)), n)
+    out = np.zeros((len(n), FP_WORDS), np.int64)
+    for word in range(FP_WORDS):
+        votes = np.zeros((len(n), 64), np.int64)
+        for a in range(0, len(h), 1 << 16):
+            own = h[a : a + (1 << 16)]
+            add_votes(votes, tk.mix(own + np.uint64(word * 0x9E3779B97F4A7C15 % (1 << 64))) if word else own, doc[a : a + (1 << 16)])
+        out[:, word] = over_half(votes, n)
+    return [x.tobytes() for x in out]
+
+
+def _differs(shared: int, a: int, b: int) -> float:
+    """How likely a bit differs in the fingerprints of two sets with so many shingles in common and alone."""
+
+    def most(alone: int) -> np.ndarray:
+        ways = np.array([comb(alone, i) for i in range(alone + 1)]) / 2.0**alone
+        return np.array([ways[2 * (v + np.arange(alone + 1)) > shared + alone].sum() for v in range(shared + 1)])
+
+    x, y = most(a), most(b)
+    return float((np.array([comb(shared, i) for i in range(shared + 1)]) / 2.0**shared * (x * (1 - y) + y * (1 - x))).sum())
+
+
+@lru_cache
+def wide_radius(similarity: Fraction) -> int:
+    """The radius beyond which a pair that reaches the similarity lies with a chance of MISSED at most.
+
+    Hashes are independent of the texts, so that the number of differing bits is binomial whatever the texts are. The
+    chance of a bit is arccos(2s / (1 + s)) / pi for large sets, and more for some small ones because of ties.
+    """
+    s, bits = float(similarity), 64 * FP_WORDS
+    p = acos(2 * s / (1 + s)) / pi
+    for union in range(1, 41):
+        shared = int(_least(similarity, np.int64(union)))
+        p = max(p, *(_differs(shared, a, union - shared - a) for a in range(union - shared + 1)))
+    tail, r = 1.0, -1
+    while tail > MISSED and r < bits:
+        r += 1
+        tail = sum(comb(bits, k) * p**k * (1 - p) ** (bits - k) for k in range(r + 1, bits + 1))
+    return r
+
+
+def _tree_pairs(similarity: Fraction, radius: int, most: int | None):
+    """Pairs of sets of one shard and different groups whose fingerprints lie within the radius, found in a BK-tree of the shard.
+
+    Rows come by shard and, in it, in an order in which each seeks among those before it that are planted: ``most`` at
+    most, None for all. Those of one group in a row are planted after the last of them.
+    """
+    up, down = similarity.numerator, similarity.numerator + similarity.denominator
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = last_group = None
+        tree, nodes, waiting, planted = BKTree(), {}, [], 0
+        for batch in batches:
+            found: set[tuple[int, int]] = set()
+            names = ("token", "x", "y", "side", "sid", "n", "pos", "group", "fp")
+            for token, x, y, side, sid, n, pos, group, fp in zip(*(batch.column(c).to_pylist() for c in names)):
+                if (token, x, y) != now:
+                    now = (token, x, y)
+                    tree, nodes, waiting, planted = BKTree(), {}, [], 0
+                elif group != last_group and waiting:
+                    for value, own in waiting:
+                        if value not in nodes:
+                            tree.add(value)
+                        nodes.setdefault(value, []).append(own)
+                    waiting = []
+                last_group = group
+                value = int.from_bytes(fp, "little")
+                if side != PLANT:
+                    for near in tree.near(value, radius):
+                        for sid_, n_, pos_, group_ in nodes[near]:
+                            # a pair is sought at the first shingle of its common order that it shares: behind it there is room for all others
+                            if group_ != group and min(n - pos, n_ - pos_) * down >= up * (n + n_):
+                                found.add((sid, sid_) if sid > sid_ else (sid_, sid))
+                if side != SEEK and (most is None or planted < most):
+                    waiting.append((value, (sid, n, pos, group)))
+                    planted += 1
+            pairs = np.array(list(found), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return run
 
@@ -247,41 +342,48 @@ def groups(rows: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY)
         possible = materialize(rough.select("a", "b", "va", "vb", "both").mapInArrow(_possible(share), "a long, b long"))
         return materialize(with_values(possible, "shingles").select("a", "b", "va", "vb").mapInArrow(_similar(share), "a long, b long"))
 
-    # a pair is sought at the first shingle of its common order that it shares: behind it there is room for all others
-    reaches = lambda na, nb, pa_, pb: F.least(na - pa_, nb - pb) * (share.numerator + share.denominator) >= F.lit(share.numerator) * (na + nb)
+    def near(left: DataFrame, k: int | None) -> DataFrame:
+        """Pairs of the shards by the BK-trees: of all that is left, or with the ``k``th choice of hubs."""
+        if k is None:
+            sizes = left.groupBy("token").count().where(F.col("count") > SHARD_LIMIT)
+            parts = materialize(sizes.select("token", F.ceil(F.col("count") / SHARD_LIMIT).cast("int").alias("parts")))
+            own = left.join(small(parts), "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+            own = own.withColumn("own", F.pmod(F.xxhash64("sid"), "parts").cast("int"))
+            own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            dealt = own.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other"), "o": F.col("group")})
+            dealt = dealt.withColumn("side", F.when(F.col("x") == F.col("y"), BOTH).when(F.col("own") == F.col("x"), PLANT).otherwise(SEEK))
+        else:
+            dealt = left.withColumns({"x": F.lit(0), "y": F.lit(0), "o": F.xxhash64("sid", F.lit(k)), "side": F.lit(BOTH)})
+        dealt = dealt.select("token", "x", "y", "side", "o", "sid", "n", "pos", "group", "fp")
+        dealt = dealt.repartition(n_tasks, "token", "x", "y").sortWithinPartitions("token", "x", "y", "side", "o")
+        return dealt.mapInArrow(_tree_pairs(share, wide_radius(share), None if k is None else HUBS), "a long, b long").distinct()
+
+    def without_many_alone(pairs: DataFrame) -> DataFrame:
+        words = [f"b{i}" for i in range(WORDS)]
+        for x in ("a", "b"):
+            pairs = pairs.join(known.select(F.col("sid").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", *words))), x)
+        # in a cell that only one of two sets has there is a shingle that they don't share
+        alone = lambda one, other: reduce(lambda a, b: a + b, (F.bit_count(F.col(f"{w}_{one}").bitwiseAND(F.bitwise_not(F.col(f"{w}_{other}")))) for w in words))
+        both = F.least(F.col("n_a") - alone("a", "b"), F.col("n_b") - alone("b", "a")) * (share.numerator + share.denominator)
+        return pairs.where(both >= F.lit(share.numerator) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+    n_tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     found = stars = spark.createDataFrame([], "a long, b long")
-    left = entries.withColumn("group", F.col("sid"))
+    left = entries.join(known.select("sid", "fp"), "sid").withColumn("group", F.col("sid"))
+    left = materialize(left)
     links = None
     for k in range(STARS + 1):
         cost = left.groupBy("token").count().agg(F.sum(F.col("count") * (F.col("count") - 1) / 2), F.sum("count")).first()
         if not cost[1]:
             break
         last = k == STARS or cost[0] <= 2 * cost[1] or (links is not None and links < WORTHWHILE * cost[1])
-        if last:
-            words = [f"b{i}" for i in range(WORDS)]
-            wide = left.join(known.select("sid", *words), "sid")
-            x, y = (wide.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("sid", "n", "pos", "group", *words))) for side in "ab")
-            room = reaches(F.col("n_a"), F.col("n_b"), F.col("pos_a"), F.col("pos_b"))
-            # in a cell that only one of two sets has there is a shingle that they don't share
-            alone = lambda one, other: reduce(lambda a, b: a + b, (F.bit_count(F.col(f"{w}_{one}").bitwiseAND(F.bitwise_not(F.col(f"{w}_{other}")))) for w in words))
-            both = F.least(F.col("n_a") - alone("a", "b"), F.col("n_b") - alone("b", "a")) * (share.numerator + share.denominator)
-            close = both >= F.lit(share.numerator) * (F.col("n_a") + F.col("n_b"))
-            pairs = x.join(y, "token").where((F.col("sid_a") > F.col("sid_b")) & (F.col("group_a") != F.col("group_b")) & room & close)
-            pairs = pairs.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
-        else:
-            pick = lambda i: F.min(F.struct(F.xxhash64("sid", F.lit(i)).alias("o"), "sid", "n", "pos", "group"))
-            some = F.array(*(F.struct(*(F.col(f"h{i}.{c}").alias(c) for c in ("sid", "n", "pos", "group"))) for i in range(HUBS)))
-            hubs = left.groupBy("token").agg(*(pick(k * HUBS + i).alias(f"h{i}") for i in range(HUBS))).select("token", F.explode(F.array_distinct(some)).alias("hub"))
-            room = reaches(F.col("n"), F.col("hub.n"), F.col("pos"), F.col("hub.pos"))
-            pairs = left.join(hubs, "token").where((F.col("group") != F.col("hub.group")) & room).select(F.col("sid").alias("a"), F.col("hub.sid").alias("b"))
-            pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        more = linked(pairs)
+        more = linked(without_many_alone(near(left, None)) if last else near(left, k))
         links = more.count()
         found = found.unionByName(more)
         stars = components(found)
         if last:
             break
-        named = entries.join(stars.select(F.col("a").alias("sid"), F.col("b").alias("group")), "sid", "left").withColumn("group", F.coalesce("group", "sid"))
+        named = left.drop("group").join(stars.select(F.col("a").alias("sid"), F.col("b").alias("group")), "sid", "left").withColumn("group", F.coalesce("group", "sid"))
         open_ = named.groupBy("token").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x < y").select("token")
         left = materialize(named.join(open_, "token", "left_semi"))
     return marked.join(stars.select(F.col("a").alias("sid"), F.col("b").alias("group")), "sid", "left").select("key", "th", "rh", F.coalesce("group", "sid").alias("group"))

@@ -69,9 +69,19 @@ def fingerprints(t: tk.Texts) -> np.ndarray:
     for a in range(0, len(doc), 1 << 18):
         part = slice(a, min(a + (1 << 18), len(doc)))
         h = np.fromiter((digest(data[x:y], SEED) for x, y in zip(to[begin[part]].tolist(), (to[last[part]] - 1).tolist())), np.uint64, part.stop - a)
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        found, at = np.unique(doc[part], return_index=True)
-        votes[found] += np.add.reduceat(bits, at, axis=0, dtype=np.int32)
+        add_votes(votes, h, doc[part])
+    return over_half(votes, shingles)
+
+
+def add_votes(votes: np.ndarray, h: np.ndarray, doc: np.ndarray) -> None:
+    """Add to the votes of each text how many of the hashes of its shingles set each bit; doc ascends."""
+    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    found, at = np.unique(doc, return_index=True)
+    votes[found] += np.add.reduceat(bits, at, axis=0, dtype=np.int32)
+
+
+def over_half(votes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """The fingerprints of texts with these votes and numbers of shingles."""
     bits = (2 * votes > shingles[:, None]).astype(np.uint8)
     return np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel()
 
@@ -96,7 +106,9 @@ class BKTree:
             d = (node ^ value).bit_count()
             if d <= radius:
                 found.append(node)
-            if children:
+            if len(children) <= 2 * radius:
+                todo.extend(child for edge, child in children.items() if abs(edge - d) <= radius)
+            else:
                 for edge in range(d - radius, d + radius + 1):
                     child = children.get(edge)
                     if child is not None:
