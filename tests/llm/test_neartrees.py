@@ -85,3 +85,70 @@ def test_large_shards_are_dealt(spark, monkeypatch):
     monkeypatch.setattr(nearcopies, "SHARD_LIMIT", 4)
     rows = edited_copies()
     assert sorted(r.doc_id for r in nearcopies.keep_one(frame(spark, rows)).collect()) == brute_kept(rows, 5, 0.8)
+
+
+def test_links_of_a_shard_are_a_forest():
+    """What pairs at the similarity connect is connected by fewer links than there are sets, each of them such a pair."""
+    rng = random.Random(4)
+    base = [rng.getrandbits(63) << 1 for _ in range(60)]
+    sets = [sorted({x for x in base if rng.random() > 0.1} | {rng.getrandbits(63) << 1 for _ in range(2)}) for _ in range(150)]
+    sets += [sorted({x for x in sets[i] if rng.random() > 0.01}) for i in range(60)]
+    h, first = np.concatenate([np.array(x, np.uint64) for x in sets]), np.append(0, np.cumsum([len(x) for x in sets]))
+    short = [(np.array(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in sets]
+    fps = nearcopies.fingerprints(h, first)
+    rows = [{"family": 0, "sid": i, "n": len(x), "pos": 0, "group": 7 if i < 12 else i, "fp": fps[i], "shingles": short[i]} for i, x in enumerate(sets)]
+    good = {(i, j) for i in range(len(sets)) for j in range(i) if 10 * len(set(sets[i]) & set(sets[j])) >= 8 * len(set(sets[i]) | set(sets[j]))}
+
+    def labels(links):
+        to = list(range(len(sets)))
+        for a, b in [*links, *((i, 0) for i in range(12))]:
+            to = [to[b] if x == to[a] else x for x in to]
+        return [to.index(x) for x in to]
+
+    def found(dealt):
+        dealt = sorted(dealt, key=lambda r: (r["x"], r["y"], r["side"], r["group"]))
+        out = nearcopies._tree_links(Fraction(4, 5), nearcopies.wide_radius(Fraction(4, 5)))(iter(pa.Table.from_pylist(dealt).to_batches(max_chunksize=7)))
+        return [(a, b) for batch in out for a, b in zip(*(c.to_pylist() for c in batch.columns))]
+
+    one = found([r | {"x": 0, "y": 0, "side": nearcopies.BOTH} for r in rows])
+    assert len(good) > 3 * len(sets) and set(one) <= good and len(one) < len(sets) and len(set(labels(good))) > 3
+    assert labels(one) == labels(good)
+    parts = []
+    for r in rows:
+        own = r["sid"] % 3
+        for other in range(3):
+            x, y = min(own, other), max(own, other)
+            parts.append(r | {"x": x, "y": y, "side": nearcopies.BOTH if x == y else nearcopies.PLANT if own == x else nearcopies.SEEK})
+    assert set(found(parts)) <= good and labels(found(parts)) == labels(good)
+
+
+def test_rows_grow_with_a_group_and_not_with_its_square(spark, monkeypatch):
+    """Copies of one text, most pairs of them a little below the similarity: stars connect few, and few pairs leave the shards."""
+    rng = random.Random(9)
+    base, rows = prose(rng, 90), []
+    for i in range(160):
+        w = list(base)
+        for k in rng.sample(range(90), 2):
+            w[k] = f"own{i}at{k}"
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, t + " more") for i, t in rows[:20]]
+    left_shards = spark.sparkContext.accumulator(0)
+
+    def counted(search):
+        def made(*args):
+            run = search(*args)
+
+            def counting(batches):
+                for batch in run(batches):
+                    left_shards.add(batch.num_rows)
+                    yield batch
+
+            return counting
+
+        return made
+
+    for name in {"_tree_pairs", "_tree_links"} & set(dir(nearcopies)):
+        monkeypatch.setattr(nearcopies, name, counted(getattr(nearcopies, name)))
+    want = brute_kept(rows, 5, 0.8)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, frame(spark, rows), None).collect()) == want
+    assert 3 < len(want) <= 160 and 0 < left_shards.value < 5 * len(rows)
