@@ -82,17 +82,23 @@ class Texts:
         return segment_hashes(self.bytes, self.start, self.end, which)
 
 
-def read_texts(column: pa.Array) -> Texts:
-    """Split a string column into words; a null text counts as an empty one."""
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a string column one after the other, and the offsets of its texts; a null text counts as an empty one."""
     column = pc.fill_null(column, "").cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    return split_words(raw, offsets - offsets[0])
+    return raw, offsets - offsets[0]
+
+
+def read_texts(column: pa.Array) -> Texts:
+    """Split a string column into words; a null text counts as an empty one."""
+    return split_words(*text_bytes(column))
 
 
-def split_words(raw: np.ndarray, offsets: np.ndarray) -> Texts:
-    word = ~_SEPARATOR[raw]
+def split_words(raw: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR) -> Texts:
+    """``separator``: a mask of 256 bytes, of which no part of a character outside ASCII may be one alone."""
+    word = ~separator[raw]
     edge = np.zeros(len(raw) + 1, dtype=bool)
     edge[offsets] = True
     before = np.zeros(len(raw), dtype=bool)
@@ -115,6 +121,19 @@ def trimmed(t: Texts, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return inner[a[some]], inner[b[some] - 1] + 1, some
 
 
+def joined_words(raw: np.ndarray, start: np.ndarray, end: np.ndarray, count: np.ndarray) -> list[bytes]:
+    """The words ``raw[start:end]`` joined by one space, as texts of ``count`` words each."""
+    size = end - start + 1
+    to = np.concatenate([[0], np.cumsum(size)])
+    source = np.arange(to[-1]) + np.repeat(start - to[:-1], size)
+    out = np.append(raw, np.uint8(0x20))[source] if len(source) else np.zeros(0, np.uint8)
+    out[to[1:] - 1] = 0x20
+    last = np.concatenate([[0], np.cumsum(count)])
+    begin, stop = to[last[:-1]], np.maximum(to[last[1:]] - 1, to[last[:-1]])
+    data = out.tobytes()
+    return [data[a:b] for a, b in zip(begin.tolist(), stop.tolist())]
+
+
 def windows(t: Texts, width: int, which: tuple[int, ...] = (0,)) -> tuple[np.ndarray, list[np.ndarray]]:
     """Indices of the words that start a window of ``width`` words of one text, and the hashes."""
     position, room = t.position(), np.repeat(t.n_words, t.n_words)
