@@ -1,18 +1,21 @@
 """Full refresh, range replacement and publishing by versions.
 
-A table's version is a folder with a manifest: the key ranges and the data folders of each. Readers follow
-``_CURRENT`` to the last complete version. A new version is written beside it and the pointer is replaced
-afterwards, so a failed or killed load leaves the old data in place. A publish that touches some ranges
-writes these and refers to the old folders for the others: a change of one percent costs what it touches.
+A table's version is a manifest: the key ranges and the data folders of each, and notes of its writer. A new version's
+files are written beside the old ones; it is there once its manifest is renamed to the next number, which only one writer
+can do. So a failed or killed load leaves the table as it was and nothing that another writer would have to clear, and of two
+writers that started from one version the second fails and loses nothing. A publish that touches some ranges writes these
+and refers to the old folders for the others: a change of one percent costs what it touches.
 
-Writers say which version they started from; the successor of a version can be claimed once, so of two
-writers one fails and loses nothing.
+The file system must rename in one step (HDFS does; on a local disk the writers of one process are kept apart by a lock).
 """
 
 from __future__ import annotations
 
 import json
+import threading
 import time
+import uuid
+from bisect import bisect_right
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -23,7 +26,13 @@ from pyspark.sql import types as T
 from tidemark.functions.values import normalized
 from tidemark.operators.scan import in_range
 
-POINTER, MANIFEST = "_CURRENT", "_MANIFEST"
+MANIFEST = "_V-"
+#: ``expect`` of a writer that found no table
+ABSENT = ""
+#: seconds for which files that no version refers to may belong to a writer that is still at work
+GRACE = 24 * 3600.0
+
+_RENAMES = threading.Lock()
 
 
 @dataclass
@@ -41,7 +50,7 @@ class Transfer:
 
 
 class Conflict(RuntimeError):
-    """Another writer has published, or is about to publish, a successor of the same version."""
+    """Another writer has published a successor of the same version."""
 
 
 class Store:
@@ -56,33 +65,39 @@ class Store:
     def _fs(self):
         return self._path("x").getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
-    def _get(self, *parts: str) -> str | None:
-        fs, path = self._fs(), self._path(*parts)
-        if not fs.exists(path):
-            return None
-        stream = fs.open(path)
+    def _get(self, *parts: str) -> str:
+        stream = self._fs().open(self._path(*parts))
         try:
             return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
 
-    def _put(self, text: str, *parts: str, replace: bool = True) -> None:
-        stream = self._fs().create(self._path(*parts), replace)
+    def _put(self, text: str, *parts: str) -> None:
+        stream = self._fs().create(self._path(*parts), False)
         stream.write(bytearray(text.encode()))
         stream.close()
 
+    def _names(self, *parts: str) -> list[str]:
+        fs, path = self._fs(), self._path(*parts)
+        return [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
+
     def version(self, table: str) -> str | None:
-        return self._get(table, POINTER)
+        """The last version's number as text that sorts, None if there is no table."""
+        return max((n.removeprefix(MANIFEST) for n in self._names(table) if n.startswith(MANIFEST)), default=None)
 
     def exists(self, table: str) -> bool:
         return self.version(table) is not None
 
     def manifest(self, table: str) -> dict[str, Any]:
-        """schema (JSON), key, edges (the lows of all ranges but the first), parts (of each range its folders)."""
+        """schema (JSON), key, edges (the lows of all ranges but the first), parts (of each range its folders), notes."""
         version = self.version(table)
         if version is None:
             raise FileNotFoundError(f"{self.root}/{table} has no published version")
-        return json.loads(self._get(table, version, MANIFEST))
+        return json.loads(self._get(table, f"{MANIFEST}{version}"))
+
+    def notes(self, table: str) -> dict[str, Any]:
+        """What the writer of the last version noted in it; none of a table that isn't there."""
+        return self.manifest(table).get("notes") or {} if self.exists(table) else {}
 
     def _read(self, table: str, made: dict[str, Any], folders: list[str]) -> DataFrame:
         schema = T.StructType.fromJson(made["schema"])
@@ -99,73 +114,84 @@ class Store:
     def has_data(self, table: str) -> bool:
         return self.exists(table) and not self.read(table).isEmpty()
 
-    def publish(self, table: str, df: DataFrame, key: str | None = None, edges: list = (), metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None) -> dict[str, int]:
-        """Write a new version of the whole table, in the ranges of ``key`` that ``edges`` cut, and move the pointer.
+    def publish(self, table: str, df: DataFrame, key: str | None = None, edges: list = (), metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None, notes: dict[str, Any] | None = None) -> dict[str, Any]:
+        """Write a new version of the whole table, in the ranges of ``key`` that ``edges`` cut.
 
         Returns the rows written and the ``metrics`` (aggregates over ``df``), all from the job that writes. The columns
-        ``unwritten`` are for metrics only.
+        ``unwritten`` are for metrics only. ``expect``: the version it must follow, by default the last one of now.
         """
-        made = {"schema": None, "key": key, "edges": list(edges), "parts": [[] for _ in range(len(edges) + 1)]}
-        return self._write(table, df, made, metrics, unwritten, self.version(table) if expect is None else expect)
+        made = {"schema": None, "key": key, "edges": list(edges), "parts": [[] for _ in range(len(edges) + 1)], "notes": notes}
+        return self._write(table, df, made, metrics, unwritten, expect)
 
-    def publish_ranges(self, table: str, df: DataFrame, ranges: list[int], metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None) -> dict[str, int]:
+    def publish_ranges(self, table: str, df: DataFrame, ranges: list[int], metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None, notes: dict[str, Any] | None = None) -> dict[str, Any]:
         """A version in which the given ranges hold the rows of ``df`` and the others what they held."""
         made = self.manifest(table)
-        made["parts"] = [[] if i in ranges else folders for i, folders in enumerate(made["parts"])]
-        return self._write(table, df, made, metrics, unwritten, self.version(table) if expect is None else expect)
+        touched = set(ranges)
+        made["parts"] = [[] if i in touched else folders for i, folders in enumerate(made["parts"])]
+        return self._write(table, df, made | {"notes": notes}, metrics, unwritten, expect)
 
-    def append(self, table: str, df: DataFrame, expect: str | None = None) -> dict[str, int]:
+    def append(self, table: str, df: DataFrame, expect: str | None = None, notes: dict[str, Any] | None = None) -> dict[str, Any]:
         """A version with the rows of ``df`` beside those that are there."""
-        return self._write(table, df, self.manifest(table), None, (), self.version(table) if expect is None else expect)
-
-    def _write(self, table: str, df: DataFrame, made: dict[str, Any], metrics: dict[str, Column] | None, unwritten: tuple[str, ...], expect: str | None) -> dict[str, int]:
-        version = f"v{time.time_ns()}"
-        claim = f"_AFTER-{expect or 'none'}"
-        if self.version(table) != expect:
-            raise Conflict(f"{table} is at {self.version(table)}, not at {expect}")
+        return self._write(table, df, self.manifest(table) | {"notes": notes}, None, (), expect)
+
+    def _write(self, table: str, df: DataFrame, made: dict[str, Any], metrics: dict[str, Column] | None, unwritten: tuple[str, ...], expect: str | None) -> dict[str, Any]:
+        before = self.version(table)
+        if expect is not None and (before or ABSENT) != expect:
+            raise Conflict(f"{table} is at {before}, not at {expect or 'no version'}")
+        folder = f"d{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        made["schema"] = df.drop(*unwritten).schema.jsonValue()
+        rows = df
+        if made["edges"]:
+            place = range_of(F.col(made["key"]), made["edges"], df.schema[made["key"]].dataType)
+            # each range in one place first: a file for each task and range would be tasks times ranges files
+            rows = df.withColumn("__range", place).hint("rebalance", F.col("__range"))
+        seen = Observation()
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in (metrics or {}).items())).drop(*unwritten)
+        if made["edges"]:
+            rows.write.partitionBy("__range").parquet(f"{self.root}/{table}/{folder}")
+        else:
+            rows.write.parquet(f"{self.root}/{table}/{folder}/__range=0")
+        found = {n.removeprefix("__range=") for n in self._names(table, folder) if n.startswith("__range=")}
+        made["parts"] = [[*folders, f"{folder}/__range={i}"] if str(i) in found else folders for i, folders in enumerate(made["parts"])]
+        if seen.get["rows"] and not found:
+            raise Conflict(f"{table}: the files of a version were deleted while it was written")
+        self._commit(table, made, before)
+        return dict(seen.get)
+
+    def _commit(self, table: str, made: dict[str, Any], before: str | None) -> None:
+        """The manifest under the number behind ``before``, unless another one is there."""
+        fresh, place = f"_NEW-{uuid.uuid4().hex}", f"{MANIFEST}{int(before or 0) + 1:020d}"
+        self._put(json.dumps(made, default=str), table, fresh)
+        fs, hadoop = self._fs(), self.spark._jvm.org.apache.hadoop.fs
+        how = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+        how[0] = getattr(hadoop, "Options$Rename").NONE
         try:
-            self._put(version, table, claim, replace=False)
+            with _RENAMES:
+                hadoop.FileContext.getFileContext(fs.getUri(), fs.getConf()).rename(self._path(table, fresh), self._path(table, place), how)
         except Exception as e:
-            raise Conflict(f"{table}: a successor of {expect} is being written; if its writer is dead, release() it") from e
-        try:
-            seen = Observation()
-            rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in (metrics or {}).items()))
-            rows = rows.drop(*unwritten)
-            made["schema"] = rows.schema.jsonValue()
-            if made["edges"]:
-                place = range_of(F.col(made["key"]), made["edges"], rows.schema[made["key"]].dataType)
-                rows.withColumn("__range", place).write.partitionBy("__range").parquet(f"{self.root}/{table}/{version}")
-            else:
-                rows.write.parquet(f"{self.root}/{table}/{version}/__range=0")
-            fs = self._fs()
-            for i, folders in enumerate(made["parts"]):
-                if fs.exists(self._path(table, version, f"__range={i}")):
-                    made["parts"][i] = [*folders, f"{version}/__range={i}"]
-            self._put(json.dumps(made), table, version, MANIFEST)
-            self._put(version, table, f"_NEXT-{version}")
-            self._replace(self._path(table, f"_NEXT-{version}"), self._path(table, POINTER))
-            return dict(seen.get)
-        finally:
-            self._fs().delete(self._path(table, claim), False)
+            fs.delete(self._path(table, fresh), False)
+            if fs.exists(self._path(table, place)):
+                raise Conflict(f"{table}: another writer has published {int(before or 0) + 1}") from e
+            raise
 
-    def _replace(self, fresh, pointer) -> None:
-        """In one step: readers see the old pointer or the new one."""
-        fs, hadoop = self._fs(), self.spark._jvm.org.apache.hadoop.fs
-        how = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
-        how[0] = getattr(hadoop, "Options$Rename").OVERWRITE
-        hadoop.FileContext.getFileContext(fs.getUri(), fs.getConf()).rename(fresh, pointer, how)
-
-    def release(self, table: str) -> None:
-        """Forget the claim of a writer that died."""
-        self._fs().delete(self._path(table, f"_AFTER-{self.version(table) or 'none'}"), False)
-
-    def vacuum(self, table: str) -> list[str]:
-        """Delete the versions that the current one doesn't refer to. Readers of older versions lose them."""
-        used = {self.version(table)} | {x.split("/")[0] for folders in self.manifest(table)["parts"] for x in folders}
-        fs = self._fs()
-        old = [n for x in fs.listStatus(self._path(table)) if x.isDirectory() and (n := x.getPath().getName()) not in used]
-        for name in old:
-            fs.delete(self._path(table, name), True)
+    def vacuum(self, table: str, grace: float = GRACE) -> list[str]:
+        """Delete manifests before the last one and folders that it doesn't refer to, if older than ``grace`` seconds.
+
+        Readers of older versions lose them; a writer that is still at work after so long fails and publishes nothing.
+        """
+        fs, version, oldest = self._fs(), self.version(table), time.time() - grace
+        used = {x.split("/")[0] for folders in self.manifest(table)["parts"] for x in folders}
+        old = []
+        for x in fs.listStatus(self._path(table)):
+            name, since = x.getPath().getName(), x.getModificationTime() / 1000
+            if x.isDirectory():
+                since = int(name[1:].split("-")[0]) / 1e9
+                if name in used or since > oldest:
+                    continue
+                old.append(name)
+            elif name == f"{MANIFEST}{version}" or since > oldest or not name.startswith((MANIFEST, "_NEW-")):
+                continue
+            fs.delete(x.getPath(), True)
         return sorted(old)
 
     def truncate(self, table: str) -> None:
@@ -176,12 +202,36 @@ class Store:
         self._fs().delete(self._path(table), True)
 
 
+_SEPARATOR = "\u0001"
+
+
 def range_of(key: Column, edges: list, kind: T.DataType) -> Column:
-    """The number of the range that a key falls in; nulls are in the first."""
-    out = F.lit(0)
-    for i, edge in enumerate(edges, 1):
-        out = F.when(key >= F.lit(edge).cast(kind), i).otherwise(out)
-    return out
+    """The number of the range that a key falls in: how many edges it reaches; nulls are in the first.
+
+    Beyond a few edges a binary search in one array literal: a chain of conditions would grow with the ranges.
+    """
+    if len(edges) <= 8:
+        return sum(((F.coalesce(key >= F.lit(e).cast(kind), F.lit(False))).cast("int") for e in edges), F.lit(0))
+    listed = F.split(F.lit(_SEPARATOR.join(str(e) for e in edges)), _SEPARATOR).cast(T.ArrayType(kind))
+    n, steps = len(edges), [1 << k for k in reversed(range(len(edges).bit_length()))]
+
+    def further(at: Column, step: Column) -> Column:
+        to = at + step
+        reached = (to <= n) & (F.get(listed, F.least(to, F.lit(n)) - 1) <= key)
+        return F.when(reached, to).otherwise(at)
+
+    return F.aggregate(F.array(*(F.lit(x) for x in steps)), F.lit(0), further)
+
+
+def met_ranges(made: dict[str, Any], key: str, low: Any = None, high: Any = None) -> list[int]:
+    """The ranges of a stored table that keys from low to high can fall in; an end that is None is open."""
+    edges = made["edges"]
+    if made["key"] != key or not edges:
+        return list(range(len(edges) + 1))
+    plain = lambda v: str(v) if isinstance(edges[0], str) else v
+    first = 0 if low is None else bisect_right(edges, plain(low))
+    last = len(edges) if high is None else bisect_right(edges, plain(high))
+    return list(range(first, last + 1))
 
 
 def full_refresh(store: Store, source: DataFrame, table: str, fail_tables: tuple[str, ...] = ()) -> Transfer:
@@ -203,19 +253,24 @@ def replaced_range(target: DataFrame, source: DataFrame, inside: Column) -> Data
     return target.where(~F.coalesce(inside, F.lit(False))).unionByName(source.where(inside))
 
 
-def transfer_range(store: Store, table: str, source: DataFrame, key: list[str], low: tuple | None, high: tuple | None, resume_after: tuple | None = None, open_high: bool = False) -> Transfer:
+def transfer_range(store: Store, table: str, source: DataFrame, key: list[str], low: tuple | None, high: tuple | None, resume_after: tuple | None = None, open_high: bool = False, notes: dict[str, Any] | None = None) -> Transfer:
     """Load one range, again if need be: the target's rows of the range are replaced by the source's.
 
-    After a checkpoint only (resume, high] is: what is committed up to the checkpoint stays.
+    After a checkpoint only (resume, high] is: what is committed up to the checkpoint stays. The source is read once, and of a
+    stored table in ranges only those that the keys can fall in are read and written.
     """
     out, began = Transfer(table), time.time()
     try:
-        version, target = store.version(table), store.read(table)
-        inside = in_range(source, key, low if resume_after is None else resume_after, high, open_low=resume_after is not None, open_high=open_high)
-        made = store.manifest(table)
-        store.publish(table, replaced_range(target, normalized(source), inside), made["key"], made["edges"], expect=version)
-        out.rows = source.where(inside).count()
-        out.target_rows = store.read(table).where(inside).count()
+        version, made = store.version(table), store.manifest(table)
+        low = low if resume_after is None else resume_after
+        inside = in_range(source, key, low, high, open_low=resume_after is not None, open_high=open_high)
+        ranges = met_ranges(made, key[0], low and low[0], high and high[0])
+        seen = Observation()
+        fresh = normalized(source).where(inside).observe(seen, F.count(F.lit(1)).alias("rows"))
+        kept = store.read(table, ranges).where(~F.coalesce(inside, F.lit(False)))
+        store.publish_ranges(table, kept.unionByName(fresh), ranges, expect=version, notes=notes)
+        out.rows = seen.get["rows"]
+        out.target_rows = store.read(table, ranges).where(inside).count()
     except Exception as e:  # noqa: BLE001 - a range's failure is a value, others go on
         out.errors.append(str(e)[:4000])
     out.seconds = time.time() - began
