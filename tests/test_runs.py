@@ -249,6 +249,73 @@ def test_ranges_resume_and_start_anew(spark, store):
     assert [t.index for t in sync.tasks_for(made(source(spark)), known, key, NOW, "r3", 60, 1)] == [0, 1]
 
 
+def test_no_update_of_the_state_is_lost(spark, store):
+    keys = [("full", t, "d", "p") for t in "ab"]
+    one, two = state.SyncState.load(store), state.SyncState.load(store)
+    one.start(keys[0], NOW, "r")
+    two.start(keys[1], NOW, "r")
+    one.save(store)
+    with pytest.raises(load.Conflict):
+        two.save(store)
+    state.SyncState.update(store, lambda s: s.start(keys[1], NOW, "r"))
+    assert set(state.SyncState.load(store).rows) == set(keys)
+    tries = []
+
+    def change(s):
+        tries.append(s.version)
+        if len(tries) == 1:  # another writer comes between
+            other = state.SyncState.load(store)
+            other.fail(keys[0], NOW, "x")
+            other.save(store)
+        s.complete(keys[1], NOW)
+
+    state.SyncState.update(store, change)
+    assert len(tries) == 2 and {r["sync_status"] for r in state.SyncState.load(store).rows.values()} == {"failed", "completed"}
+
+
+def test_tables_are_synced_at_once(spark, store):
+    names_ = [f"t{i}" for i in range(6)]
+    for n in names_:
+        store.publish(n, source(spark).where("k < 50"))
+    sources = [sync.Source(n, source(spark), ("k",)) for n in names_] + [sync.Source("gone", source(spark), ("k",))]
+    done = sync.sync_all(store, sources, "m", ("dbo", "public"), "r", lambda: NOW)
+    assert [(r["table"], r["success"], r["rows"]) for r in done] == [(n, True, 60) for n in names_] + [("gone", True, 0)] and done[-1]["skipped"] == "no target"
+    assert [r["sync_status"] for r in state.SyncState.load(store).rows.values()] == ["completed"] * 6
+
+
+def test_a_state_counts_for_its_own_table_only(spark):
+    s = state.SyncState()
+    for key, ends in ((("full", "users", "erp", "p"), "failed"), (("full", "users", "crm", "p"), "completed"), (("incremental", "orders", "dbo", "public"), "completed")):
+        s.start(key, NOW, "r1")
+        s.fail(key, NOW, "x") if ends == "failed" else s.complete(key, NOW)
+    tables = [{"name": "users", "rows": 1, "schemas": ("erp", "p")}, {"name": "users", "rows": 1, "schemas": ("crm", "p")}, {"name": "orders", "rows": 1}]
+    made = transfer.plan(tables, s, "r2", lambda *a: [])
+    assert made.mode == "RECOVERY" and [(t.table, t.schemas[0]) for t in made.tasks] == [("users", "erp"), ("orders", "dbo")] and made.skipped == ["users"]
+    assert made.tasks[0].key == ("full", "users", "erp", "p")
+    s.complete(("full", "users", "erp", "p"), NOW)
+    assert transfer.begin(s, "r3", NOW) == "FRESH"
+    assert {k[0]: r["sync_status"] for k, r in s.rows.items()} == {"full": "pending", "incremental": "completed"}
+
+
+def test_the_first_error_cancels_the_others(spark):
+    import time
+
+    slow = F.udf(lambda x: time.sleep(0.5) or x, "long")
+
+    def run(task):
+        if task.index == 2:
+            time.sleep(2)
+            raise RuntimeError("lost")
+        return {"rows": len(spark.range(400).repartition(4).select(slow("id")).collect())}
+
+    tasks = [transfer.Task("t", "keys", i, 6, i) for i in range(5)]
+    began = time.time()
+    done = transfer.run_all(tasks, run, parallel=3, spark=spark, cancel_on_error=True)
+    assert time.time() - began < 25
+    assert [bool(r.get("pending")) for r in done] == [True, True, False, True, True] and done[2]["error"] == "lost" and not any(r["success"] for r in done)
+    assert spark.range(3).count() == 3 and not spark.sparkContext.getJobTags()
+
+
 def test_mode_and_retries():
     s = state.SyncState()
     for t in "abc":
@@ -278,6 +345,10 @@ def test_stream_batches_replay_to_the_same(spark, store):
     for _ in range(2):
         merge_stream.merge_batch(store, "t", batch, ["k"], "at")
         assert sorted(map(tuple, store.read("t").collect())) == [(1, "c", 5), (2, "d", 1)]
+    late = spark.createDataFrame([(1, "late", 4), (2, "new", 1), (3, "f", None)], batch.schema)
+    merge_stream.merge_batch(store, "t", late, ["k"], "at")
+    merge_stream.merge_batch(store, "t", spark.createDataFrame([(1, "undated", None)], batch.schema), ["k"], "at")
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, "c", 5), (2, "new", 1), (3, "f", None)]
     with pytest.raises(ValueError, match="null"):
         merge_stream.merge_batch(store, "t", batch.union(spark.createDataFrame([(None, "e", 1)], batch.schema)), ["k"], "at")
 

@@ -64,21 +64,22 @@ def sync(store: Store, table: str, source: DataFrame, key: list[str], column: st
     return merge_staged(store, table, written(staged_rows(source, column, since, inside)), key, now)
 
 
-def merge_staged(store: Store, table: str, staged: DataFrame, key: list[str], now: dt.datetime) -> Sync:
+def merge_staged(store: Store, table: str, staged: DataFrame, key: list[str], now: dt.datetime, order: str | None = None) -> Sync:
     """Merge a staging table into a stored one; the counts come from the job that publishes.
 
-    Of a table in ranges only those that staged keys fall in are read, merged and written.
+    Of a table in ranges only those that staged keys fall in are read, merged and written. With ``order`` rows that
+    are older than the target's change nothing.
     """
     version, made = store.version(table), store.manifest(table)
-    merge.require_unique(staged, key)
-    if staged.isEmpty():
+    rows = merge.require_unique(staged, key)
+    if not rows:
         return Sync(table, 0, 0, 0, 0, watermark=now)
     if not made["edges"]:
-        diffed = merge.diff(store.read(table), staged, key, small=True)
+        diffed = merge.diff(store.read(table), staged, key, small=True, counted=rows, order=order)
         seen = store.publish(table, diffed, metrics=merge.op_counts(), unwritten=("op",), expect=version)
     else:
         place = range_of(F.col(made["key"]), made["edges"], staged.schema[made["key"]].dataType)
         ranges = sorted(r[0] for r in staged.select(place).distinct().collect())  # no more than the table has ranges
-        diffed = merge.diff(store.read(table, ranges), staged, key, small=True)
+        diffed = merge.diff(store.read(table, ranges), staged, key, small=True, counted=rows, order=order)
         seen = store.publish_ranges(table, diffed, ranges, merge.op_counts(), ("op",), version)
     return Sync(table, *(seen[k] for k in ("inserted", "updated", "unchanged", "kept")), watermark=now)

@@ -117,7 +117,7 @@ class Store:
     def publish(self, table: str, df: DataFrame, key: str | None = None, edges: list = (), metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None, notes: dict[str, Any] | None = None) -> dict[str, Any]:
         """Write a new version of the whole table, in the ranges of ``key`` that ``edges`` cut.
 
-        Returns the rows written and the ``metrics`` (aggregates over ``df``), all from the job that writes. The columns
+        Returns the rows written and the ``metrics`` (aggregates over ``df``), all from the job that writes, and the version. The columns
         ``unwritten`` are for metrics only. ``expect``: the version it must follow, by default the last one of now.
         """
         made = {"schema": None, "key": key, "edges": list(edges), "parts": [[] for _ in range(len(edges) + 1)], "notes": notes}
@@ -155,10 +155,9 @@ class Store:
         made["parts"] = [[*folders, f"{folder}/__range={i}"] if str(i) in found else folders for i, folders in enumerate(made["parts"])]
         if seen.get["rows"] and not found:
             raise Conflict(f"{table}: the files of a version were deleted while it was written")
-        self._commit(table, made, before)
-        return dict(seen.get)
+        return dict(seen.get) | {"version": self._commit(table, made, before)}
 
-    def _commit(self, table: str, made: dict[str, Any], before: str | None) -> None:
+    def _commit(self, table: str, made: dict[str, Any], before: str | None) -> str:
         """The manifest under the number behind ``before``, unless another one is there."""
         fresh, place = f"_NEW-{uuid.uuid4().hex}", f"{MANIFEST}{int(before or 0) + 1:020d}"
         self._put(json.dumps(made, default=str), table, fresh)
@@ -173,6 +172,7 @@ class Store:
             if fs.exists(self._path(table, place)):
                 raise Conflict(f"{table}: another writer has published {int(before or 0) + 1}") from e
             raise
+        return place.removeprefix(MANIFEST)
 
     def vacuum(self, table: str, grace: float = GRACE) -> list[str]:
         """Delete manifests before the last one and folders that it doesn't refer to, if older than ``grace`` seconds.

@@ -27,13 +27,18 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
-def require_unique(df: DataFrame, key: list[str]) -> None:
+def require_unique(df: DataFrame, key: list[str]) -> int:
+    """The rows of ``df``; a key that repeats or has a null is an error. One job."""
     if missing := [k for k in key if k not in df.columns]:
         raise ValueError(f"key columns not in the table: {missing}")
-    if not duplicate_keys(df, key).isEmpty():
-        raise DuplicateKeys(f"staged rows repeat a key of {key}")
-    if not df.where(reduce(lambda a, b: a | b, (F.col(k).isNull() for k in key))).isEmpty():
+    empty = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in key))
+    per_key = df.groupBy(*key).agg(F.count("*").alias("n")).select("n", empty.alias("empty"))
+    rows, most, nulls = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n"), F.max("empty")).first()
+    if nulls:
         raise DuplicateKeys(f"staged rows have a null in {key}")
+    if rows and most > 1:
+        raise DuplicateKeys(f"staged rows repeat a key of {key}")
+    return rows
 
 
 def is_small(staged: DataFrame, rows: int = SMALL_ROWS) -> bool:
@@ -41,24 +46,30 @@ def is_small(staged: DataFrame, rows: int = SMALL_ROWS) -> bool:
     return staged.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
-def diff(target: DataFrame, staged: DataFrame, key: list[str], detect_changes: bool = True, small: bool = False) -> DataFrame:
+def diff(target: DataFrame, staged: DataFrame, key: list[str], detect_changes: bool = True, small: bool = False, counted: int | None = None, order: str | None = None) -> DataFrame:
     """All columns of the target's schema and ``op``: inserted, updated, unchanged, kept.
 
-    ``small`` asks for the increment to be broadcast; it is, if its rows are found to be few.
+    ``small`` asks for the increment to be broadcast; it is, if its rows (``counted``, where they are known) are found to be few.
+    With ``order`` a staged row that is older by that column than the target's, or undated beside a dated one, changes nothing.
     """
     values = [c for c in target.columns if c not in key]
     t = target.select(*key, F.struct(*values).alias("__t") if values else F.struct(F.lit(1).alias("x")).alias("__t"))
     s = staged.select(*key, F.struct(*values).alias("__s") if values else F.struct(F.lit(1).alias("x")).alias("__s"))
-    if small and is_small(staged):
+    if small and (is_small(staged) if counted is None else counted <= SMALL_ROWS):
         there_already = target.select(*key).join(F.broadcast(s.select(*key)), key, "left_semi").distinct()
         new = s.join(F.broadcast(there_already), key, "left_anti").select(*key, F.lit(None).cast(t.schema["__t"].dataType).alias("__t"), "__s")
         joined = t.join(F.broadcast(s), key, "left").unionByName(new)
     else:
         joined = t.join(s, key, "full_outer")
     here, there = F.col("__s").isNotNull(), F.col("__t").isNotNull()
+    late = F.lit(False)
+    if order is not None:
+        was, now = F.col(f"__t.{order}"), F.col(f"__s.{order}")
+        late = here & there & F.coalesce(now < was, now.isNull() & was.isNotNull())
     changed: Column = F.lit(bool(values)) if not detect_changes else reduce(lambda a, b: a | b, (~F.col(f"__s.{c}").eqNullSafe(F.col(f"__t.{c}")) for c in values), F.lit(False))
+    changed, taken = changed & ~late, here & ~late
     op = F.when(~here, "kept").when(~there, "inserted").when(changed, "updated").otherwise("unchanged")
-    return joined.select(*key, *(F.when(here, F.col(f"__s.{c}")).otherwise(F.col(f"__t.{c}")).alias(c) for c in values), op.alias("op")).select(*target.columns, "op")
+    return joined.select(*key, *(F.when(taken, F.col(f"__s.{c}")).otherwise(F.col(f"__t.{c}")).alias(c) for c in values), op.alias("op")).select(*target.columns, "op")
 
 
 def merge(target: DataFrame, staged: DataFrame, key: list[str], detect_changes: bool = True, small: bool = False) -> DataFrame:

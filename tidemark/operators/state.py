@@ -1,19 +1,25 @@
 """Sync state: one row per (migration type, table, source schema, target schema), pure transitions.
 
 The table is small and driver-owned; transitions take rows and give rows, and a store publishes them
-as a new version. The last good watermark is kept apart from the status.
+as a new version, which must follow the one they were made from: :meth:`SyncState.update` loads, changes and saves again
+until no other writer came between. The last good watermark is kept apart from the status.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from typing import Any
+import random
+import threading
+import time
+from collections import defaultdict
+from collections.abc import Callable
+from typing import Any, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.load import Store
+from tidemark.operators.load import ABSENT, Conflict, Store
 
 PARTITION = "struct<id: int, status: string, rows: bigint, pk_type: string, min_pk: string, max_pk: string, start_row: bigint, end_row: bigint, last_pk_synced: string, error: string>"
 SCHEMA = (
@@ -27,6 +33,10 @@ COLUMNS = [c.strip().split(" ")[0] for c in SCHEMA.split("partition_info")[0].rs
 STATUSES = ("completed", "failed", "pending", "running")
 Key = tuple[str, str, str, str]
 Row = dict[str, Any]
+Out = TypeVar("Out")
+
+# writers of one process take turns; those of others are met by versions
+_turns: defaultdict[tuple[str, str], threading.RLock] = defaultdict(threading.RLock)
 
 
 def conformed(old: DataFrame) -> DataFrame:
@@ -38,8 +48,9 @@ def conformed(old: DataFrame) -> DataFrame:
 
 
 class SyncState:
-    def __init__(self, rows: list[Row] | None = None) -> None:
+    def __init__(self, rows: list[Row] | None = None, version: str | None = None) -> None:
         self.rows: dict[Key, Row] = {}
+        self.version = version  # of the store that this was read from
         for r in rows or []:
             full = dict.fromkeys(COLUMNS) | {"retry_count": 0, "partition_info": []} | r
             self.rows[self._key(full)] = full
@@ -58,11 +69,34 @@ class SyncState:
     @classmethod
     def load(cls, store: Store, table: str = TABLE) -> SyncState:
         """The stored state; columns that an older version lacks are null, others than ours are dropped."""
-        return cls.from_frame(conformed(store.read(table))) if store.exists(table) else cls()
+        while (version := store.version(table)) is not None:
+            out = cls.from_frame(conformed(store.read(table)))
+            if store.version(table) == version:  # else another version may have been read
+                out.version = version
+                return out
+        return cls()
 
     def save(self, store: Store, table: str = TABLE) -> None:
-        """Publish as a new version; another writer since this was loaded is an error of the store."""
-        store.publish(table, self.to_frame(store.spark).coalesce(1))
+        """Publish as the version behind the one that this was loaded from; another writer in between is a Conflict."""
+        self.version = store.publish(table, self.to_frame(store.spark).coalesce(1), expect=self.version or ABSENT)["version"]
+        if int(self.version) % 100 == 0:
+            store.vacuum(table)
+
+    @classmethod
+    def update(cls, store: Store, change: Callable[[SyncState], Out], table: str = TABLE, tries: int = 100) -> Out:
+        """Load, apply ``change``, save; from the start if another writer was faster, so no one's change is lost. Returns what ``change`` does."""
+        with _turns[store.root, table]:
+            for left in reversed(range(tries)):
+                now = cls.load(store, table)
+                out = change(now)
+                try:
+                    now.save(store, table)
+                    return out
+                except Conflict:
+                    if not left:
+                        raise
+                    time.sleep(random.uniform(0.01, 0.2))
+        raise ValueError("no tries")
 
     def _set(self, key: Key, now: dt.datetime, **values: Any) -> Row:
         self.rows[key] |= values | {"updated_at": now}
@@ -104,13 +138,14 @@ class SyncState:
         r = self.rows.get(key)
         return r["last_good_watermark"] if r else None
 
-    def reset(self, now: dt.datetime, key: Key | None = None) -> None:
-        for k in [key] if key else list(self.rows):
+    def reset(self, now: dt.datetime, key: Key | None = None, kind: str | None = None) -> None:
+        """One state, or all of a migration type, or all."""
+        for k in [key] if key else [k for k in self.rows if kind in (None, k[0])]:
             self._set(k, now, sync_status="pending", last_pk_synced=None, checkpoint_batch_num=0, error_message=None, partition_info=[], retry_count=0)
 
-    def reset_stale(self, now: dt.datetime, run_id: str) -> int:
+    def reset_stale(self, now: dt.datetime, run_id: str, kind: str | None = None) -> int:
         """Runs that another run left running have failed."""
-        stale = [k for k, r in self.rows.items() if r["sync_status"] == "running" and r["run_id"] != run_id]
+        stale = [k for k, r in self.rows.items() if r["sync_status"] == "running" and r["run_id"] != run_id and kind in (None, k[0])]
         for k in stale:
             self._set(k, now, sync_status="failed", error_message="left running by another run")
         return len(stale)

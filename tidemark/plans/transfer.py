@@ -1,19 +1,25 @@
-"""What to run: fresh or recovery, one task per table or per range."""
+"""What to run: fresh or recovery, one task per table or per range; and running it, several tasks at once."""
 
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import time
+import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
+
 from tidemark.functions.names import is_safe
 from tidemark.functions.sizing import partition_count, row_ranges
-from tidemark.operators.state import SyncState
+from tidemark.operators.state import Key, SyncState
 
 THRESHOLD = 1_000_000
+FULL = "full"
 
 
 @dataclass(frozen=True)
@@ -25,6 +31,12 @@ class Task:
     low: Any = None
     high: Any = None
     resume_after: Any = None
+    schemas: tuple[str, str] = ("dbo", "public")
+
+    @property
+    def key(self) -> Key:
+        """Of the table's state in full runs."""
+        return (FULL, self.table, *self.schemas)
 
 
 @dataclass
@@ -34,30 +46,31 @@ class Plan:
     skipped: list[str] = field(default_factory=list)
 
 
-def mode_of(state: SyncState, run_id: str) -> str:
-    """RECOVERY if another run left failures; runs that are still marked as running are not yet that."""
-    return "RECOVERY" if any(r["sync_status"] == "failed" and r["run_id"] != run_id for r in state.rows.values()) else "FRESH"
+def mode_of(state: SyncState, run_id: str, kind: str = FULL) -> str:
+    """RECOVERY if another run of the kind left failures; runs that are still marked as running are not yet that."""
+    return "RECOVERY" if any(r["sync_status"] == "failed" and r["run_id"] != run_id and r["migration_type"] == kind for r in state.rows.values()) else "FRESH"
 
 
-def begin(state: SyncState, run_id: str, now: dt.datetime) -> str:
+def begin(state: SyncState, run_id: str, now: dt.datetime, kind: str = FULL) -> str:
     """The mode of a run, judged by real failures, before runs that were left running are marked as failed.
 
-    A fresh run after a completed one starts over: all states are reset.
+    A fresh run after a completed one starts over: the states of its kind are reset, those of another kind aren't touched.
     """
-    mode = mode_of(state, run_id)
-    state.reset_stale(now, run_id)
-    if mode == "FRESH" and state.summary()["completed"][0]:
-        state.reset(now)
+    mode = mode_of(state, run_id, kind)
+    state.reset_stale(now, run_id, kind)
+    if mode == "FRESH" and any(r["sync_status"] == "completed" and r["migration_type"] == kind for r in state.rows.values()):
+        state.reset(now, kind=kind)
     return mode
 
 
-def plan(tables: list[dict[str, Any]], state: SyncState, run_id: str, bounds: Callable[[str, str, int], list[tuple]], threshold: int = THRESHOLD, most: int = 8, mode: str | None = None) -> Plan:
-    """tables: name, rows, key. bounds(table, key, n): half-open key ranges, [] where they can't be had. mode: of :func:`begin`."""
-    out = Plan(mode or mode_of(state, run_id))
-    by_table = {r["table_name"]: r for r in state.rows.values()}
+def plan(tables: list[dict[str, Any]], state: SyncState, run_id: str, bounds: Callable[[str, str, int], list[tuple]], threshold: int = THRESHOLD, most: int = 8, mode: str | None = None, kind: str = FULL) -> Plan:
+    """tables: name, rows, key, and schemas (of source and target) if those aren't dbo and public. bounds(table, key, n): half-open
+    key ranges, [] where they can't be had. mode: of :func:`begin`. A state counts for its own kind, table and schemas only."""
+    out = Plan(mode or mode_of(state, run_id, kind))
     for t in tables:
         name, rows, key = t["name"], t["rows"], t.get("key") or []
-        old = by_table.get(name)
+        schemas = tuple(t.get("schemas") or Task.schemas)
+        old = state.rows.get((kind, name, *schemas))
         if out.mode == "RECOVERY" and old:
             if old["sync_status"] == "completed":
                 out.skipped.append(name)
@@ -65,14 +78,15 @@ def plan(tables: list[dict[str, Any]], state: SyncState, run_id: str, bounds: Ca
             parts = old["partition_info"] or []
             left = [p for p in parts if p["status"] != "completed"]
             if left:
-                out.tasks += [Task(name, "rows" if p["start_row"] is not None else "keys", p["id"], len(parts), p["start_row"] if p["start_row"] is not None else p["min_pk"], p["end_row"] if p["end_row"] is not None else p["max_pk"], p["last_pk_synced"]) for p in left]
+                ends = lambda p: ("rows", p["start_row"], p["end_row"]) if p["start_row"] is not None else ("keys", p["min_pk"], p["max_pk"])
+                out.tasks += [Task(name, how, p["id"], len(parts), low, high, p["last_pk_synced"], schemas) for p in left for how, low, high in [ends(p)]]
                 continue
         n = partition_count(rows, most)
         ranges: list[tuple] = []
-        kind = "regular"
+        how = "regular"
         if rows >= threshold and key and all(map(is_safe, key)):
-            kind, ranges = ("keys", bounds(name, key[0], n)) if len(key) == 1 else ("rows", row_ranges(rows, n))
-        out.tasks += [Task(name, kind, i, len(ranges), *r) for i, r in enumerate(ranges)] or [Task(name, "regular")]
+            how, ranges = ("keys", bounds(name, key[0], n)) if len(key) == 1 else ("rows", row_ranges(rows, n))
+        out.tasks += [Task(name, how, i, len(ranges), *r, schemas=schemas) for i, r in enumerate(ranges)] or [Task(name, "regular", schemas=schemas)]
     return out
 
 
@@ -81,21 +95,55 @@ def page_mode(key: list[str]) -> str:
     return "keyset" if len(key) == 1 else "row_number" if key else "whole"
 
 
-def run_all(tasks: list[Task], run: Callable[[Task], dict[str, Any]], parallel: int = 8, retries: int = 0, delay: float = 30.0, sleep: Callable[[float], None] = time.sleep) -> list[dict[str, Any]]:
-    """Spark jobs from a bounded pool, tried again after a pause; the last failure is a result."""
+def run_all(
+    tasks: list[Task], run: Callable[[Task], dict[str, Any]], parallel: int = 8, retries: int = 0, delay: float = 30.0,
+    sleep: Callable[[float], None] = time.sleep, spark: SparkSession | None = None, cancel_on_error: bool = False,
+) -> list[dict[str, Any]]:
+    """Spark jobs from a bounded pool, tried again after a pause; the last failure is a result.
+
+    With ``spark`` the jobs of a table run in a fair pool of its own (under ``spark.scheduler.mode=FAIR``) and carry a tag of this
+    run. ``cancel_on_error``: the first task that fails for good stops the others; their running jobs are cancelled, and
+    they come back as ``pending``, as do those that had not begun.
+    """
+    tag, stop = f"tidemark-{uuid.uuid4().hex}", threading.Event()
+    context = spark.sparkContext if spark else None
+
+    def failed(task: Task, error: str, attempts: int, pending: bool = False) -> dict[str, Any]:
+        return {"table": task.table, "success": False, "rows": 0, "error": error, "attempts": attempts} | ({"pending": True} if pending else {})
 
     def one(task: Task) -> dict[str, Any]:
-        for attempt in range(retries + 1):
+        error, attempt = "", 0
+        for attempt in range(1, retries + 2):
+            if stop.is_set():
+                break
             try:
-                return {"table": task.table, "success": True, "attempts": attempt + 1} | run(task)
+                return {"table": task.table, "success": True, "attempts": attempt} | run(task)
             except Exception as e:  # noqa: BLE001
                 error = str(e)[:4000]
-            if attempt < retries:
+            if attempt <= retries and not stop.is_set():
                 sleep(delay)
-        return {"table": task.table, "success": False, "rows": 0, "error": error, "attempts": retries + 1}
+        if stop.is_set():
+            return failed(task, error or "not begun", attempt, pending=True)
+        if cancel_on_error:
+            stop.set()
+        return failed(task, error, attempt)
+
+    def tagged(task: Task) -> dict[str, Any]:
+        context.addJobTag(tag)
+        context.setLocalProperty("spark.scheduler.pool", task.table)
+        try:
+            return one(task)
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+            context.removeJobTag(tag)
 
     with ThreadPoolExecutor(parallel) as pool:
-        return list(pool.map(one, tasks))
+        work = inheritable_thread_target(spark)(tagged) if spark else one
+        running = [pool.submit(work, t) for t in tasks]
+        while wait(running, timeout=0.2 if cancel_on_error else None).not_done:
+            if context and stop.is_set():  # again and again: a task may have been between two jobs
+                context.cancelJobsWithTag(tag)
+        return [x.result() for x in running]
 
 
 def outcome(results: list[dict[str, Any]]) -> dict[str, Any]:
