@@ -1,6 +1,6 @@
 import pytest
 
-from tidemark.functions import names, sizing, typemap
+from tidemark.functions import names, predicates, sizing, typemap
 from tidemark.plans import ddl
 from tidemark.plans.notify import Notifier
 from tidemark.sources.spec import TableRef, TableSpec, choose_tables, jdbc_url
@@ -64,7 +64,7 @@ def test_defaults(source, target):
     assert typemap.default_value(source) == target
 
 
-def test_spark_fields_are_valid():
+def test_spark_fields_are_valid(spark):
     for kind in typemap.TYPES:
         typemap.spark_field({"column_name": "C", "data_type": kind, "max_length": 20, "precision": 9, "scale": 2}, "c")
 
@@ -90,7 +90,7 @@ def test_ddl():
     assert ddl.create_table(TABLE, "s") == 'CREATE TABLE "s"."user_table" (\n    "id" SERIAL,\n    "name" VARCHAR(20) DEFAULT \'x\',\n    CONSTRAINT "pk_user_table" PRIMARY KEY ("id")\n)'
     assert ddl.drop_table(TABLE, "s") == 'DROP TABLE IF EXISTS "s"."user_table" CASCADE'
     assert ddl.create_indexes(TABLE, "s") == ['CREATE UNIQUE INDEX "ix_name" ON "s"."user_table" ("name")']
-    assert ddl.add_checks(TABLE, "s") == ['ALTER TABLE "s"."user_table" ADD CONSTRAINT "ck" CHECK (length([Name])>(0))']
+    assert ddl.add_checks(TABLE, "s") == ['ALTER TABLE "s"."user_table" ADD CONSTRAINT "ck" CHECK (length("name") > (0))']
     assert "TBLPROPERTIES ('primary_key' = 'id')" in ddl.spark_table(TABLE, "s")
 
 
@@ -107,3 +107,24 @@ def test_notifications_drop_repeats():
     assert n.send("failed", "t") and not n.send("failed", "t")
     now[0] = 61
     assert n.send("failed", "t") and len(sent) == 2
+
+
+@pytest.mark.parametrize(
+    "text, spark_text, target_text",
+    [
+        ("(len([Name])>(0))", "(length(rtrim(`name`)) > (0))", '(length("name") > (0))'),
+        ("([a]='it''s len(x)' OR isnull([b],N'isnull(')<>'q')", "( `a` = 'it\\'s len(x)' OR coalesce(`b`, 'isnull(') <> 'q' )", "( \"a\" = 'it''s len(x)' OR coalesce(\"b\", 'isnull(') <> 'q' )"),
+        ("[d]<=dateadd(dd,(1),getdate())", "(`d` <= dateadd(day, ( 1 ), current_timestamp()))", "(\"d\" <= (CURRENT_TIMESTAMP + ( 1 ) * INTERVAL '1 day'))"),
+        ("(a > 1) or (b !< 2)", "((`a` > 1) OR (`b` >= 2))", '(("a" > 1) OR ("b" >= 2))'),
+        ("[x] NOT LIKE '[A-Z]_%'", "(`x` NOT RLIKE '^[A-Z](?s:.)(?s:.)*$')", "(\"x\" !~ '^[A-Z]..*$')"),
+        ("cast([a] as decimal(10,2)) = convert(int, [b])", "(CAST(`a` AS decimal(10,2)) = CAST(`b` AS int))", '(CAST("a" AS DECIMAL(10,2)) = CAST("b" AS INTEGER))'),
+    ],
+)
+def test_conditions(text, spark_text, target_text):
+    assert predicates.rewritten(text) == spark_text and predicates.rewritten(text, predicates.TARGET_DIALECT) == target_text
+
+
+@pytest.mark.parametrize("text", ["soundex([a])=1", "len([a],2)=1", "(a", "a)", "", "a -- b", "a = 'open", "dateadd(foo,1,a) > b", "cast(a int) = 1"])
+def test_what_is_no_condition(text):
+    with pytest.raises(ValueError):
+        predicates.rewritten(text)

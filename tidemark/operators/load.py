@@ -16,6 +16,7 @@ import threading
 import time
 import uuid
 from bisect import bisect_right
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -32,6 +33,9 @@ ABSENT = ""
 #: seconds for which files that no version refers to may belong to a writer that is still at work
 GRACE = 24 * 3600.0
 
+#: what a writer notes in its version, or how that follows from the rows and metrics of the version
+Notes = dict[str, Any] | Callable[[dict[str, Any]], dict[str, Any]] | None
+
 _RENAMES = threading.Lock()
 
 
@@ -114,7 +118,7 @@ class Store:
     def has_data(self, table: str) -> bool:
         return self.exists(table) and not self.read(table).isEmpty()
 
-    def publish(self, table: str, df: DataFrame, key: str | None = None, edges: list = (), metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None, notes: dict[str, Any] | None = None) -> dict[str, Any]:
+    def publish(self, table: str, df: DataFrame, key: str | None = None, edges: list = (), metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None, notes: Notes = None) -> dict[str, Any]:
         """Write a new version of the whole table, in the ranges of ``key`` that ``edges`` cut.
 
         Returns the rows written and the ``metrics`` (aggregates over ``df``), all from the job that writes, and the version. The columns
@@ -123,14 +127,14 @@ class Store:
         made = {"schema": None, "key": key, "edges": list(edges), "parts": [[] for _ in range(len(edges) + 1)], "notes": notes}
         return self._write(table, df, made, metrics, unwritten, expect)
 
-    def publish_ranges(self, table: str, df: DataFrame, ranges: list[int], metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None, notes: dict[str, Any] | None = None) -> dict[str, Any]:
+    def publish_ranges(self, table: str, df: DataFrame, ranges: list[int], metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None, notes: Notes = None) -> dict[str, Any]:
         """A version in which the given ranges hold the rows of ``df`` and the others what they held."""
         made = self.manifest(table)
         touched = set(ranges)
         made["parts"] = [[] if i in touched else folders for i, folders in enumerate(made["parts"])]
         return self._write(table, df, made | {"notes": notes}, metrics, unwritten, expect)
 
-    def append(self, table: str, df: DataFrame, expect: str | None = None, notes: dict[str, Any] | None = None) -> dict[str, Any]:
+    def append(self, table: str, df: DataFrame, expect: str | None = None, notes: Notes = None) -> dict[str, Any]:
         """A version with the rows of ``df`` beside those that are there."""
         return self._write(table, df, self.manifest(table) | {"notes": notes}, None, (), expect)
 
@@ -155,6 +159,8 @@ class Store:
         made["parts"] = [[*folders, f"{folder}/__range={i}"] if str(i) in found else folders for i, folders in enumerate(made["parts"])]
         if seen.get["rows"] and not found:
             raise Conflict(f"{table}: the files of a version were deleted while it was written")
+        if callable(made.get("notes")):
+            made["notes"] = made["notes"](dict(seen.get))
         return dict(seen.get) | {"version": self._commit(table, made, before)}
 
     def _commit(self, table: str, made: dict[str, Any], before: str | None) -> str:
@@ -253,7 +259,7 @@ def replaced_range(target: DataFrame, source: DataFrame, inside: Column) -> Data
     return target.where(~F.coalesce(inside, F.lit(False))).unionByName(source.where(inside))
 
 
-def transfer_range(store: Store, table: str, source: DataFrame, key: list[str], low: tuple | None, high: tuple | None, resume_after: tuple | None = None, open_high: bool = False, notes: dict[str, Any] | None = None) -> Transfer:
+def transfer_range(store: Store, table: str, source: DataFrame, key: list[str], low: tuple | None, high: tuple | None, resume_after: tuple | None = None, open_high: bool = False, notes: Notes = None) -> Transfer:
     """Load one range, again if need be: the target's rows of the range are replaced by the source's.
 
     After a checkpoint only (resume, high] is: what is committed up to the checkpoint stays. The source is read once, and of a

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.names import quote_double
 from tidemark.functions.sizing import key_ranges
+from tidemark.operators.load import range_of
 from tidemark.operators.scan import with_row_number
+from tidemark.sources.spec import literal
 
 
 def tile_of(rank: Column, total: int, n: int) -> Column:
@@ -21,6 +25,12 @@ def tile_of(rank: Column, total: int, n: int) -> Column:
     return F.when(rank <= edge, F.ceil(rank / (small + 1))).otherwise(larger + F.ceil((rank - edge) / small)).cast("int")
 
 
+def tile_sizes(total: int, n: int) -> list[int]:
+    """The rows of each tile of NTILE(n), without empty ones."""
+    small, larger = divmod(total, n)
+    return [x for i in range(n) if (x := small + (i < larger))]
+
+
 def ntile_bounds(df: DataFrame, key: str, n: int) -> DataFrame:
     """(tile, min_pk, max_pk, row_count), exactly as NTILE(n) cuts, without sorting in one task."""
     ranked = with_row_number(df.select(key), [key], "__rank")
@@ -29,6 +39,50 @@ def ntile_bounds(df: DataFrame, key: str, n: int) -> DataFrame:
     return tiles.groupBy("tile").agg(F.min(key).alias("min_pk"), F.max(key).alias("max_pk"), F.count("*").alias("row_count"))
 
 
+def _sketchable(df: DataFrame, key: str) -> bool:
+    return isinstance(df.schema[key].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def sketch_edges(df: DataFrame, key: str, n: int, error: float = 0.01) -> list:
+    """The lows of all of n balanced ranges but the first, from a quantile sketch of one pass; each is off by ``error`` of a range at most."""
+    cuts = [i / n for i in range(1, n)]
+    found = df.agg(F.percentile_approx(key, cuts, int(2 * n / error))).first()[0] if cuts else []
+    return sorted(set(found or []))
+
+
+def sketch_bounds(df: DataFrame, key: str, n: int, error: float = 0.01) -> DataFrame:
+    """(tile, min_pk, max_pk, row_count) of ranges as NTILE would cut them, within ``error``; two passes, no sort, nothing written.
+
+    A key that repeats stays in one range, however often. Null keys are in the first.
+    """
+    edges = sketch_edges(df, key, n, error)
+    tiles = df.select(key, (range_of(F.col(key), edges, df.schema[key].dataType) + 1).alias("tile"))
+    return tiles.groupBy("tile").agg(F.min(key).alias("min_pk"), F.max(key).alias("max_pk"), F.count("*").alias("row_count"))
+
+
+def range_edges(df: DataFrame, key: str, n: int) -> list:
+    """The lows of n ranges but the first: by a sketch, or of keys without one (texts) by exact tiles."""
+    if n < 2:
+        return []
+    if _sketchable(df, key):
+        return sketch_edges(df, key, n)
+    lows = sorted(r.min_pk for r in ntile_bounds(df.where(F.col(key).isNotNull()), key, n).collect())
+    return sorted(set(lows[1:]))
+
+
+def footer_bounds(spark: SparkSession, path: str, key: str) -> tuple[int, Any, Any]:
+    """(rows, smallest, largest key) of Parquet files from their footers: no column is read."""
+    return footer_aggregate(spark, path, key).first()
+
+
+def footer_aggregate(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """(n, low, high), in a session of its own whose reader answers aggregates from footers."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
+
+
 def half_open(bounds: list[tuple]) -> list[tuple]:
     """(low, next low) of inclusive bounds; repeated boundary keys fall to one range; the last is open."""
     lows = sorted({b[0] for b in bounds})
@@ -49,13 +103,6 @@ def key_bounds(df: DataFrame, key: list[str], where: Column | None = None) -> Da
 
 def jdbc_predicates(key: str, ranges: list[tuple], quote: Callable[[str], str] = quote_double) -> list[str]:
     """Disjoint predicates that cover all rows, null keys included in the first; ``quote`` is the source's way to quote a name."""
-
-    def literal(v: object) -> str:
-        if isinstance(v, (int, float)) and not isinstance(v, bool):
-            return str(v)
-        escaped = str(v).replace("'", "''")
-        return f"'{escaped}'"
-
     key = quote(key)
     out = []
     for low, high in ranges:

@@ -7,6 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.digests import encoded
+
+#: rows of a sample that may be broadcast with their values
+MOST_SAMPLED = 100_000
+
 
 def count_check(table: str, source: DataFrame, target: DataFrame) -> DataFrame:
     """One row: both counts, target minus source, percent of the source (0 if that is empty), passed."""
@@ -30,22 +35,34 @@ def batch_summary(checks: DataFrame) -> DataFrame:
 
 
 def sample_check(source: DataFrame, target: DataFrame, key: list[str], n: int, columns: list[str] | None = None) -> DataFrame:
-    """(compared, mismatches) of the first n source keys, compared by key and null-safely."""
+    """(compared, mismatches) of the first n source keys, compared by key and null-safely.
+
+    The keys of the sample, n at most, are broadcast to the target's rows, so that the target isn't shuffled.
+    """
     columns = columns or [c for c in source.columns if c not in key][:5]
     sample = source.select(*key, F.struct(*columns).alias("s")).orderBy(*key).limit(n)
-    joined = sample.join(target.select(*key, F.struct(*columns).alias("t")), key, "left")
+    met = target.select(*key, F.struct(*columns).alias("t")).join(F.broadcast(sample.select(*key)), key, "left_semi")
+    joined = sample.join(F.broadcast(met) if n <= MOST_SAMPLED else met, key, "left")
     differs = F.col("t").isNull() | reduce(lambda a, b: a | b, (~F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in columns))
     return joined.agg(F.count("*").alias("compared"), F.coalesce(F.sum(differs.cast("long")), F.lit(0)).alias("mismatches"))
 
 
 def row_digest(columns: list[str]) -> F.Column:
-    return F.md5(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns)))
+    """MD5 of the row's values, of which no two different rows have the same text."""
+    return F.md5(encoded(columns))
 
 
 def table_checksum(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(n, checksum): the sum of the first 60 bits of the rows' MD5, so independent of their order, and the same in any engine; one pass."""
-    part = F.conv(F.substring(row_digest(columns or df.columns), 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("n"), F.coalesce(F.sum(part), F.lit(0)).cast("string").alias("checksum"))
+    """(n, checksum): the sum of the first 60 bits of the rows' MD5, so independent of their order, and the same in any engine; one pass.
+
+    Halves of 30 bits are added up as long numbers inside each input partition, which has less than 2**33 rows, and these sums as decimals.
+    """
+    bits = F.conv(F.substring(row_digest(columns or df.columns), 1, 15), 16, 10).cast("long").alias("x")
+    half = 1 << 30
+    parts = df.select(bits, F.spark_partition_id().alias("p")).groupBy("p").agg(F.count("*").alias("n"), F.sum(F.shiftright("x", 30)).alias("high"), F.sum(F.col("x").bitwiseAND(half - 1)).alias("low"))
+    wide = lambda c: F.sum(F.col(c).cast("decimal(20,0)"))
+    total = (wide("high") * F.lit(half) + wide("low")).cast("decimal(38,0)")
+    return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(total, F.lit(0)).cast("string").alias("checksum"))
 
 
 def report(checks: list[dict], transfers: list[dict] = ()) -> str:

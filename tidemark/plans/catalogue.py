@@ -328,14 +328,18 @@ def validate_sample(spark, d):
     return validate.sample_check(source, damaged, ["o_orderkey"], 100)
 
 
-@query("select o_orderkey, md5(concat_ws('|', o_orderkey::varchar, coalesce(o_orderstatus, '~'))) digest from orders")
+@query("select o_orderkey, md5(coalesce(length(o_orderkey::varchar) || ':' || o_orderkey::varchar, '~') || coalesce(length(o_orderstatus::varchar) || ':' || o_orderstatus::varchar, '~')) digest from orders")
 def row_checksum(spark, d):
     return spec.read_table(spark, d, "orders").select("o_orderkey", validate.row_digest(["o_orderkey", "o_orderstatus"]).alias("digest"))
 
 
-@query("select count(*) n, sum(('0x' || substr(md5(concat_ws('|', l_orderkey::varchar, l_partkey::varchar, l_suppkey::varchar, l_linenumber::varchar, coalesce(l_returnflag, '~'), coalesce(l_linestatus, '~'))), 1, 15))::bigint)::varchar checksum from lineitem")
+_CHECKED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
+_ENCODED = " || ".join(f"coalesce(length({c}::varchar) || ':' || {c}::varchar, '~')" for c in _CHECKED)
+
+
+@query(f"select count(*) n, sum(('0x' || substr(md5({_ENCODED}), 1, 15))::bigint)::varchar checksum from lineitem")
 def table_checksums(spark, d):
-    return validate.table_checksum(spec.read_table(spark, d, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"])
+    return validate.table_checksum(spec.read_table(spark, d, "lineitem"), _CHECKED)
 
 
 # names, types and values

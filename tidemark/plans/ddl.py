@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from typing import Any
 
 from tidemark.functions.names import quote_backtick, quote_double, sanitize, sanitize_all
+from tidemark.functions.predicates import TARGET_DIALECT, rewritten
 from tidemark.functions.typemap import default_value, spark_type, target_type
 
 
@@ -54,17 +54,9 @@ def create_indexes(table: dict[str, Any], schema: str = "public") -> list[str]:
     return out
 
 
-_CHECKS = ((re.compile(r"getdate\(\)", re.I), "CURRENT_TIMESTAMP"), (re.compile(r"\blen\(", re.I), "length("), (re.compile(r"\bisnull\(", re.I), "coalesce("), (re.compile(r"\bN'"), "'"))
-
-
 def check_expression(definition: str) -> str:
-    """The constraint in the target's dialect; Spark's expr() takes it as well."""
-    text = definition.strip()
-    if text.startswith("(") and text.endswith(")"):
-        text = text[1:-1].strip()
-    for pattern, new in _CHECKS:
-        text = pattern.sub(new, text)
-    return f"({text})"
+    """The constraint in the target's dialect; a function that it doesn't know is an error."""
+    return rewritten(definition, TARGET_DIALECT)
 
 
 def add_checks(table: dict[str, Any], schema: str = "public") -> list[str]:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import fnmatch
+import math
+import re
 import warnings
 from dataclasses import dataclass, field
+from decimal import Decimal
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,30 +97,45 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batch:
     df.write.jdbc(url, table, mode=mode, properties=options)
 
 
+_PLACES = re.compile(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|--[^\n]*|/\*.*?\*/|\?", re.S)
+
+
 def bound(sql: str, parameters: tuple | list = ()) -> str:
-    """``sql`` with each ? outside of quotes replaced by a parameter as a literal."""
-    out, left, quoted = [], list(parameters), False
-    for c in sql:
-        quoted ^= c == "'"
-        if c != "?" or quoted:
-            out.append(c)
-            continue
+    """``sql`` with each ? outside of literals, quoted names and comments replaced by a parameter as a literal."""
+    left = list(parameters)
+
+    def place(m: re.Match) -> str:
+        if m[0] != "?":
+            return m[0]
         if not left:
             raise ValueError("fewer parameters than places")
-        out.append(_literal(left.pop(0)))
+        return literal(left.pop(0))
+
+    out = _PLACES.sub(place, sql)
     if left:
         raise ValueError("more parameters than places")
-    return "".join(out)
+    return out
 
 
-def _literal(value: object) -> str:
+def literal(value: object) -> str:
+    """A value as a literal that JDBC drivers read; one that has none is an error."""
     if value is None:
         return "NULL"
     if isinstance(value, bool):
         return "TRUE" if value else "FALSE"
-    if isinstance(value, (int, float)):
-        return repr(value)
-    escaped = str(value).replace("'", "''")
+    if isinstance(value, float) and not math.isfinite(value):
+        raise ValueError(f"{value} has no literal")
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{value.hex()}'"
+    if isinstance(value, dt.datetime):
+        return f"{{ts '{value:%Y-%m-%d %H:%M:%S.%f}'}}"
+    if isinstance(value, dt.date):
+        return f"{{d '{value}'}}"
+    if not isinstance(value, str):
+        raise ValueError(f"{type(value).__name__} has no literal")
+    escaped = value.replace("'", "''")
     return f"'{escaped}'"
 
 
@@ -133,15 +153,59 @@ class JdbcSession:
     """One connection for statements; used with ``with``. Without ``autocommit`` a failure undoes what was run."""
 
     def __init__(self, spark: SparkSession, url: str, autocommit: bool = False) -> None:
+        self.url, self.java = url, spark._jvm.java
         self.connection = spark._jvm.java.sql.DriverManager.getConnection(url)
         self.autocommit = autocommit
         self.connection.setAutoCommit(autocommit)
 
+    def _prepared(self, sql: str, parameters: tuple | list):
+        """A prepared statement with its parameters set: the database gets values, not texts."""
+        statement, sql_package = self.connection.prepareStatement(sql), self.java.sql
+        try:
+            places = statement.getParameterMetaData() if parameters else None
+            if len(parameters) != (places.getParameterCount() if places else 0):
+                raise ValueError(f"{'fewer' if len(parameters) < places.getParameterCount() else 'more'} parameters than places")
+            for i, v in enumerate(parameters, 1):
+                if v is None:
+                    statement.setNull(i, places.getParameterType(i))
+                elif isinstance(v, bool):
+                    statement.setBoolean(i, v)
+                elif isinstance(v, int):
+                    statement.setLong(i, v)
+                elif isinstance(v, float):
+                    statement.setDouble(i, v)
+                elif isinstance(v, Decimal):
+                    statement.setBigDecimal(i, self.java.math.BigDecimal(str(v)))
+                elif isinstance(v, (bytes, bytearray)):
+                    statement.setBytes(i, bytearray(v))
+                elif isinstance(v, dt.datetime):
+                    statement.setTimestamp(i, sql_package.Timestamp.valueOf(f"{v:%Y-%m-%d %H:%M:%S.%f}"))
+                elif isinstance(v, dt.date):
+                    statement.setDate(i, sql_package.Date.valueOf(str(v)))
+                else:
+                    statement.setString(i, str(v))
+        except Exception:
+            statement.close()
+            raise
+        return statement
+
     def run(self, sql: str, parameters: tuple | list = ()) -> int:
         """Run a statement; the rows it changed."""
-        statement = self.connection.createStatement()
+        statement = self._prepared(sql, parameters)
         try:
-            return statement.executeUpdate(bound(sql, parameters))
+            return statement.executeUpdate()
+        finally:
+            statement.close()
+
+    def rows(self, sql: str, parameters: tuple | list = ()) -> list[tuple]:
+        """The rows of a small query (counts, bounds, catalogue); large ones are read by executors."""
+        statement = self._prepared(sql, parameters)
+        try:
+            result, out = statement.executeQuery(), []
+            n = result.getMetaData().getColumnCount()
+            while result.next():
+                out.append(tuple(_plain(result.getObject(i)) for i in range(1, n + 1)))
+            return out
         finally:
             statement.close()
 
@@ -149,6 +213,19 @@ class JdbcSession:
         return self
 
     def __exit__(self, kind, error, trace) -> None:
-        if not self.autocommit:
-            (self.connection.rollback if kind else self.connection.commit)()
-        self.connection.close()
+        try:
+            if not self.autocommit:
+                (self.connection.rollback if kind else self.connection.commit)()
+        finally:
+            self.connection.close()
+
+
+def _plain(value: object) -> object:
+    """A value of a JDBC result as Python has it; dates and times from their text."""
+    if not isinstance(value, JavaObject):
+        return value
+    text = value.toString()
+    name = value.getClass().getName()
+    if name == "java.sql.Timestamp":
+        return dt.datetime.fromisoformat(text)
+    return dt.date.fromisoformat(text) if name == "java.sql.Date" else text
