@@ -114,7 +114,7 @@ def test_notifications_drop_repeats():
     [
         ("(len([Name])>(0))", "(length(rtrim(`name`)) > (0))", '(length("name") > (0))'),
         ("([a]='it''s len(x)' OR isnull([b],N'isnull(')<>'q')", "( `a` = 'it\\'s len(x)' OR coalesce(`b`, 'isnull(') <> 'q' )", "( \"a\" = 'it''s len(x)' OR coalesce(\"b\", 'isnull(') <> 'q' )"),
-        ("[d]<=dateadd(dd,(1),getdate())", "(`d` <= dateadd(day, ( 1 ), current_timestamp()))", "(\"d\" <= (CURRENT_TIMESTAMP + ( 1 ) * INTERVAL '1 day'))"),
+        ("[d]<=dateadd(dd,(1),getdate())", "(`d` <= dateadd(day, (1), current_timestamp()))", "(\"d\" <= (CURRENT_TIMESTAMP + ( 1 ) * INTERVAL '1 day'))"),
         ("(a > 1) or (b !< 2)", "((`a` > 1) OR (`b` >= 2))", '(("a" > 1) OR ("b" >= 2))'),
         ("[x] NOT LIKE '[A-Z]_%'", "(`x` NOT RLIKE '^[A-Z](?s:.)(?s:.)*$')", "(\"x\" !~ '^[A-Z]..*$')"),
         ("cast([a] as decimal(10,2)) = convert(int, [b])", "(CAST(`a` AS decimal(10,2)) = CAST(`b` AS int))", '(CAST("a" AS DECIMAL(10,2)) = CAST("b" AS INTEGER))'),

@@ -103,9 +103,9 @@ def digest_diff(source: DataFrame, target: DataFrame, key: list[str], edges: lis
     leaves = differing_leaves(digests(source), stored if stored is not None else digests(target), edges, fan)
     others = [c for c in columns if c not in key]
     side = lambda df, name: leaves.rows(df, key).groupBy(*key).agg(F.sort_array(F.collect_list(encoded(others or key))).alias(name))
-    a, b = side(source, "__a"), side(target, "__b")
-    same = reduce(lambda x, y: x & y, (a[k].eqNullSafe(b[k]) for k in key))
-    both = a.join(b, same, "full_outer").select(*(F.coalesce(a[k], b[k]).alias(k) for k in key), "__a", "__b")
+    a, b = side(source, "__a").alias("a"), side(target, "__b").alias("b")
+    same = reduce(lambda x, y: x & y, (F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key))
+    both = a.join(b, same, "full_outer").select(*(F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in key), "__a", "__b")
     what = F.when(F.col("__b").isNull(), "source").when(F.col("__a").isNull(), "target").otherwise("changed")
     return both.where(~F.col("__a").eqNullSafe(F.col("__b"))).select(*key, what.alias("difference"))
 

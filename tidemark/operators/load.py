@@ -128,17 +128,22 @@ class Store:
         return self._write(table, df, made, metrics, unwritten, expect)
 
     def publish_ranges(self, table: str, df: DataFrame, ranges: list[int], metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None, notes: Notes = None) -> dict[str, Any]:
-        """A version in which the given ranges hold the rows of ``df`` and the others what they held."""
+        """A version in which the given ranges hold the rows of ``df`` and the others what they held.
+
+        Without ``expect`` writers of different ranges don't hinder each other: one that comes second takes the other's ranges from
+        its version. Of two that write the same range one fails.
+        """
         made = self.manifest(table)
         touched = set(ranges)
+        base = {i: made["parts"][i] for i in touched}
         made["parts"] = [[] if i in touched else folders for i, folders in enumerate(made["parts"])]
-        return self._write(table, df, made | {"notes": notes}, metrics, unwritten, expect)
+        return self._write(table, df, made | {"notes": notes}, metrics, unwritten, expect, base if expect is None else None)
 
     def append(self, table: str, df: DataFrame, expect: str | None = None, notes: Notes = None) -> dict[str, Any]:
         """A version with the rows of ``df`` beside those that are there."""
         return self._write(table, df, self.manifest(table) | {"notes": notes}, None, (), expect)
 
-    def _write(self, table: str, df: DataFrame, made: dict[str, Any], metrics: dict[str, Column] | None, unwritten: tuple[str, ...], expect: str | None) -> dict[str, Any]:
+    def _write(self, table: str, df: DataFrame, made: dict[str, Any], metrics: dict[str, Column] | None, unwritten: tuple[str, ...], expect: str | None, base: dict[int, list[str]] | None = None) -> dict[str, Any]:
         before = self.version(table)
         if expect is not None and (before or ABSENT) != expect:
             raise Conflict(f"{table} is at {before}, not at {expect or 'no version'}")
@@ -161,7 +166,15 @@ class Store:
             raise Conflict(f"{table}: the files of a version were deleted while it was written")
         if callable(made.get("notes")):
             made["notes"] = made["notes"](dict(seen.get))
-        return dict(seen.get) | {"version": self._commit(table, made, before)}
+        while True:
+            try:
+                return dict(seen.get) | {"version": self._commit(table, made, before)}
+            except Conflict:
+                before = self.version(table)
+                now = self.manifest(table) if base is not None else {}
+                if base is None or (now["edges"], now["schema"]) != (made["edges"], made["schema"]) or any(now["parts"][i] != x for i, x in base.items()):
+                    raise
+                made["parts"] = [made["parts"][i] if i in base else folders for i, folders in enumerate(now["parts"])]
 
     def _commit(self, table: str, made: dict[str, Any], before: str | None) -> str:
         """The manifest under the number behind ``before``, unless another one is there."""

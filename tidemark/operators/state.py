@@ -15,9 +15,11 @@ from collections import defaultdict
 from collections.abc import Callable
 from typing import Any, TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.load import ABSENT, Conflict, Store
 
@@ -64,7 +66,8 @@ class SyncState:
         return cls([r.asDict(recursive=True) for r in df.collect()])
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([tuple(r[c] for c in COLUMNS) for r in self.rows.values()], SCHEMA)
+        kinds = T.StructType.fromDDL(SCHEMA)
+        return spark.createDataFrame(pa.Table.from_pylist(list(self.rows.values()), to_arrow_schema(kinds)), kinds)  # a local relation, no Python task
 
     @classmethod
     def load(cls, store: Store, table: str = TABLE) -> SyncState:

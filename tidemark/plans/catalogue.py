@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import names, sizing, typemap, values
-from tidemark.operators import incremental, load, merge, partition, scan, state, validate
-from tidemark.plans import sync, transfer
-from tidemark.sources import metadata, spec
+from tidemark.operators import chunked, digests, incremental, load, merge, partition, quarantine, scan, state, validate
+from tidemark.plans import run, sync, transfer
+from tidemark.plans.config import Settings
+from tidemark.sources import database, metadata, spec
 from tidemark.sources.shared import shared_folder
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -568,3 +569,153 @@ def results_summary(spark, d):
     done = transfer.run_all([transfer.Task(r.n_name, "keys", i, 2, r.n_nationkey) for r in nations for i in (1, 2)], run)
     o = transfer.outcome(done)
     return spark.createDataFrame([(o["status"], o["tables"], ",".join(o["failed"]), o["rows"])], "status string, tables int, failed string, rows long")
+
+
+# databases; the database is Derby in the driver's JVM, so these need a local master
+
+
+_DERBY = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+
+
+def _database(spark: SparkSession, tables: dict[str, tuple[DataFrame, str]]) -> str:
+    """A new database in memory with the given rows and keys; its url."""
+    spark._jvm.java.lang.Class.forName(_DERBY["driver"])
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    with spec.JdbcSession(spark, url) as session:
+        for name, (df, key) in tables.items():
+            kinds = {"bigint": "bigint", "int": "int", "string": "varchar(200)", "double": "double", "timestamp_ntz": "timestamp"}
+            columns = ", ".join(f'"{f.name}" {kinds[f.dataType.simpleString()]}{" not null" if f.name == key else ""}' for f in df.schema.fields)
+            session.run(f'create table "{name}" ({columns}{f""", primary key ("{key}")""" if key else ""})')
+    for name, (df, _) in tables.items():
+        spec.write_jdbc(df, url, f'"{name}"', **_DERBY)
+    return url
+
+
+@query(_FRAMES + "select coalesce(s.k, t.k) k, case when s.k is not null then s.p else t.p end p, case when s.k is not null then s.st else t.st end st from tgt t full outer join stg s on t.k = s.k")
+def jdbc_upsert(spark, d):
+    """Orders in a database, a part of them changed and merged there; a merge that fails half way leaves them as they are."""
+    orders = _orders(spark, d)
+    url = _database(spark, {"orders": (_target(orders), "k")})
+    broken = _staged(orders).withColumn("st", F.when(F.col("k") % 1000 == 1, F.lit("x" * 201)).otherwise(F.col("st")))
+    try:
+        database.upsert(broken, url, '"orders"', ["k"], **_DERBY)
+        raise RuntimeError("a text that is too long was merged")
+    except Exception as e:
+        if "merged" in str(e):
+            raise
+    before = spec.read_jdbc(spark, url, '"orders"', **_DERBY).count()
+    done = database.upsert(_staged(orders), url, '"orders"', ["k"], **_DERBY)
+    out = spec.read_jdbc(spark, url, '"orders"', **_DERBY)
+    if before + done.inserted != out.count():
+        raise RuntimeError(f"{before} rows and {done} became {out.count()}")
+    return out
+
+
+@query("select (tile - 1)::int range_id, count(*) n, min(k) low, max(k) high from (select o_orderkey k, ntile(6) over (order by o_orderkey) tile from orders) group by tile")
+def jdbc_ntile_read(spark, d):
+    """Orders in a database read in six tiles that it cuts itself; each row once, a tile by each task."""
+    url = _database(spark, {"orders": (_orders(spark, d), "o_orderkey")})
+    found = database.read_tiles(spark, url, '"orders"', "o_orderkey", 6, **_DERBY)
+    return found.groupBy(F.spark_partition_id().alias("range_id")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
+
+
+_RUN_TABLES = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "orders": "o_orderkey"}
+
+
+@query("""with c as (select 'region' t, count(*) n from region union all select 'nation', count(*) from nation union all select 'customer', count(*) from customer union all select 'orders', count(*) from orders),
+f as (select count(*) m from (select o_orderkey, ntile(4) over (order by o_orderkey) tile from orders) where tile <> 2)
+select 'r1' run, 'FRESH' as mode, t table_name, n source_count, case when t = 'customer' then 0 when t = 'orders' then m else n end target_count, t in ('region', 'nation') complete from c, f
+union all select 'r2', 'RECOVERY', t, n, n, true from c""")
+def full_run(spark, d):
+    """A whole run in which one table and one range of another fail, and the run behind it that loads what is left."""
+    url = _database(spark, {t: (spec.read_table(spark, d, t), key) for t, key in _RUN_TABLES.items()})
+    store, n = load.Store(spark, _scratch(spark)), spec.read_table(spark, d, "orders", ["o_orderkey"]).count()
+    failing = {("orders", 1)}
+
+    def before(task: transfer.Task) -> None:
+        if (task.table, task.index) in failing:
+            raise RuntimeError("lost connection")
+
+    out = []
+    for run_id, broken in (("r1", "dbo.customer"), ("r2", "")):
+        # four ranges for orders, whatever its size
+        settings = Settings(partition_threshold=n, max_partitions=4, simulate_failure_tables=broken)
+        whole = run.FullRun(spark, url, "APP", store, settings, clock=lambda: _NOW, before=before, properties=_DERBY, cut=lambda rows, most: most)
+        done = whole.run(run_id)
+        complete = {r["table_name"]: r["sync_status"] == "completed" for r in state.SyncState.load(store).rows.values()}
+        counts = {c["table_name"]: c for c in done.checks}
+        sources = dict(whole.source_counts)
+        out += [(run_id, done.mode, t, sources[t], counts[t]["target_count"] if t in counts else 0, complete[t]) for t in _RUN_TABLES]
+        failing.clear()
+    return spark.createDataFrame(out, "run string, mode string, table_name string, source_count long, target_count long, complete boolean")
+
+
+# constraints, chunks, digests, bounds
+
+
+@query("""select o_orderkey, concat_ws(',', case when not (o_totalprice >= 1000) then 'price' end, case when not (o_orderpriority like '1-%' or length(o_orderpriority) <= 8) then 'priority' end,
+case when not (coalesce(o_orderstatus, 'X') in ('O', 'F')) then 'status' end, case when not (o_orderdate >= timestamp '1995-01-01' + interval 1 month) then 'date' end) broken from orders""")
+def check_quarantine(spark, d):
+    """Orders parted by the constraints they break, each row stored in one of two tables."""
+    checks = [
+        {"constraint_name": "price", "definition": "([o_totalprice]>=(1000))"},
+        {"constraint_name": "priority", "definition": "([o_orderpriority] like '[1]-%' OR len([o_orderpriority])<=(8))"},
+        {"constraint_name": "status", "definition": "(isnull([o_orderstatus],N'X') IN ('O',N'F'))"},
+        {"constraint_name": "date", "definition": "([o_orderdate]>=dateadd(month,(1),convert(datetime,'1995-01-01')))"},
+    ]
+    store, orders = load.Store(spark, _scratch(spark)), spec.read_table(spark, d, "orders")
+    quarantine.load_checked(store, "orders", orders, checks)
+    good = store.read("orders").select("o_orderkey", F.lit("").alias("broken"))
+    return good.unionByName(store.read("orders__rejected").select("o_orderkey", F.array_join(quarantine.BROKEN, ",").alias("broken")))
+
+
+@query("""with t as (select o_orderkey, ntile(8) over (order by o_orderkey) tile from orders), n as (select count(*) n, count(*) filter (tile <= 3) done from t)
+select 'first' load, 0 first_chunk, done rows_read, done as rows from n union all select 'resumed', 3, n - done, n from n""")
+def checkpointed_load(spark, d):
+    """A load in eight chunks that loses its connection in the fourth, and the load behind it, which reads only what is left."""
+    source, store = spec.read_table(spark, d, "orders", ["o_orderkey", "o_totalprice"]), load.Store(spark, _scratch(spark))
+    edges = sorted(r.min_pk for r in partition.ntile_bounds(source.select("o_orderkey"), "o_orderkey", 8).collect())[1:]
+    boom = F.when(F.col("o_orderkey") >= edges[2], F.raise_error(F.lit("lost connection")).cast("double")).otherwise(F.col("o_totalprice"))
+    first = chunked.load_in_chunks(store, "orders", source.withColumn("o_totalprice", boom), "o_orderkey", 8, edges=edges)
+    rest = chunked.load_in_chunks(store, "orders", source, "o_orderkey", 8)
+    if first.success or not rest.success or not store.read("orders").exceptAll(source).isEmpty():
+        raise RuntimeError(f"{first} {rest}")
+    return spark.createDataFrame([("first", first.first, first.rows_read, first.rows), ("resumed", rest.first, rest.rows_read, rest.rows)], "load string, first_chunk int, rows_read long, rows long")
+
+
+@query("select event_id, case when event_id % 997 = 0 then 'source' when event_id < 0 then 'target' else 'changed' end difference from (select event_id, event_id e from events union all select -1 - event_id, event_id from events where event_id % 2003 = 0) where event_id < 0 or event_id % 997 = 0 or event_id % 1009 = 0")
+def digest_diff(spark, d):
+    """The keys in which a damaged copy of events differs, found by digests of ranges; only leaves that differ are joined."""
+    events, e = spec.read_table(spark, d, "events"), F.col("event_id")
+    damaged = events.where(e % 997 != 0).withColumn("value", F.when(e % 1009 == 0, F.col("value") + 1).otherwise(F.col("value")))
+    damaged = damaged.unionByName(events.where(e % 2003 == 0).withColumn("event_id", -1 - e))
+    return digests.digest_diff(events, damaged, ["event_id"], partition.sketch_edges(events, "event_id", 16))
+
+
+@query("select tile::int tile, true near, count(*) over () tiles, (sum(n) over ())::bigint as rows from (select tile, count(*) n from (select ntile(12) over (order by l_extendedprice) tile from lineitem) group by tile)")
+def sketch_bounds(spark, d):
+    """Ranges from a quantile sketch: as many rows in each as NTILE gives, within 2 percent, none lost."""
+    found = partition.sketch_bounds(spec.read_table(spark, d, "lineitem", ["l_extendedprice"]), "l_extendedprice", 12)
+    whole = "over (partition by 1)"
+    return found.select("tile", F.expr(f"abs(row_count - sum(row_count) {whole} / 12) <= 0.02 * sum(row_count) {whole} / 12").alias("near"), F.expr(f"count(*) {whole}").alias("tiles"), F.expr(f"sum(row_count) {whole}").alias("rows"))
+
+
+@query("select 'customer' table_name, count(*) n, min(c_custkey) low, max(c_custkey) high from customer union all select 'events', count(*), min(event_id), max(event_id) from events union all select 'orders', count(*), min(o_orderkey), max(o_orderkey) from orders")
+def footer_counts(spark, d):
+    """Counts and bounds answered by the footers of the files."""
+    keys = {"customer": "c_custkey", "events": "event_id", "orders": "o_orderkey"}
+    found = [(t, *partition.footer_bounds(spark, f"{d}/{t}.parquet", k)) for t, k in keys.items()]
+    return spark.createDataFrame(found, "table_name string, n long, low long, high long")
+
+
+@query("select t table_name, 'completed' status, n rows_synced from (select 'orders_' || i t, (select count(*) from orders where o_orderkey % 8 = i and o_orderkey % 5 = 0) n from range(8) x(i))")
+def parallel_sync(spark, d):
+    """Eight tables synced at once, each a part of orders with rows missing in its target; every state is stored."""
+    orders, store = _orders(spark, d), load.Store(spark, _scratch(spark))
+    parts = {f"orders_{i}": orders.where(F.col("o_orderkey") % 8 == i) for i in range(8)}
+    for name, df in parts.items():
+        store.publish(name, df.where("o_orderkey % 5 <> 0"))
+    done = sync.sync_all(store, [sync.Source(n, df, ("o_orderkey",)) for n, df in parts.items()], None, ("dbo", "public"), "run1", lambda: _NOW)
+    if failed := [r for r in done if not r["success"]]:
+        raise RuntimeError(str(failed))
+    return store.read(state.TABLE).select("table_name", F.col("sync_status").alias("status"), F.col("rows_inserted").alias("rows_synced"))

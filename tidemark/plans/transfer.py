@@ -63,7 +63,7 @@ def begin(state: SyncState, run_id: str, now: dt.datetime, kind: str = FULL) ->
     return mode
 
 
-def plan(tables: list[dict[str, Any]], state: SyncState, run_id: str, bounds: Callable[[str, str, int], list[tuple]], threshold: int = THRESHOLD, most: int = 8, mode: str | None = None, kind: str = FULL) -> Plan:
+def plan(tables: list[dict[str, Any]], state: SyncState, run_id: str, bounds: Callable[[str, str, int], list[tuple]], threshold: int = THRESHOLD, most: int = 8, mode: str | None = None, kind: str = FULL, cut: Callable[[int, int], int] = partition_count) -> Plan:
     """tables: name, rows, key, and schemas (of source and target) if those aren't dbo and public. bounds(table, key, n): half-open
     key ranges, [] where they can't be had. mode: of :func:`begin`. A state counts for its own kind, table and schemas only."""
     out = Plan(mode or mode_of(state, run_id, kind))
@@ -81,7 +81,7 @@ def plan(tables: list[dict[str, Any]], state: SyncState, run_id: str, bounds: Ca
                 ends = lambda p: ("rows", p["start_row"], p["end_row"]) if p["start_row"] is not None else ("keys", p["min_pk"], p["max_pk"])
                 out.tasks += [Task(name, how, p["id"], len(parts), low, high, p["last_pk_synced"], schemas) for p in left for how, low, high in [ends(p)]]
                 continue
-        n = partition_count(rows, most)
+        n = cut(rows, most)
         ranges: list[tuple] = []
         how = "regular"
         if rows >= threshold and key and all(map(is_safe, key)):

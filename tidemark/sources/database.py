@@ -12,10 +12,12 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.names import quote_double
 from tidemark.operators.merge import DuplicateKeys
 from tidemark.operators.partition import half_open, jdbc_predicates, tile_sizes
+from tidemark.sources.shared import written
 from tidemark.sources.spec import JdbcSession, read_jdbc, write_jdbc
 
 # An empty copy of some columns of a table, and the end of a MERGE statement.
@@ -97,6 +99,13 @@ def merge_statement(table: str, staging: str, columns: list[str], key: list[str]
     return f"MERGE INTO {table} t USING {staging} s ON {match}{update}{insert}{end}"
 
 
+def _unnullable(df: DataFrame, url: str) -> dict[str, str]:
+    """Text columns whose nulls need a mark of their own, with its name: to Derby Spark binds them as CLOB, which a VARCHAR refuses."""
+    if vendor(url) != "derby":
+        return {}
+    return {f.name: f"null_{i}_{uuid.uuid4().hex[:6]}" for i, f in enumerate(df.schema.fields) if isinstance(f.dataType, T.StringType)}
+
+
 def upsert(df: DataFrame, url: str, table: str, key: list[str], detect_changes: bool = True, connections: int = 8, batch: int = 10_000, **properties: str) -> Upsert:
     """Merge rows into a database table: the executors fill a staging table, and one transaction merges it, all or nothing.
 
@@ -110,12 +119,20 @@ def upsert(df: DataFrame, url: str, table: str, key: list[str], detect_changes:
     columns, match = df.columns, " AND ".join(f"t.{quote_double(k)} = s.{quote_double(k)}" for k in key)
     if missing := [k for k in key if k not in columns]:
         raise ValueError(f"key columns not in the rows: {missing}")
+    marked = _unnullable(df, url)
     with JdbcSession(spark, url) as session:
         session.run(copy.format(copy=staging, columns=", ".join(map(quote_double, columns)), table=table))
+        for c in marked.values():
+            session.run(f"ALTER TABLE {staging} ADD COLUMN {quote_double(c)} SMALLINT")
     try:
+        # fixed in the shared folder first: counted there, and the same if a task that stages them is tried again
         seen = Observation()
-        write_jdbc(df.observe(seen, F.count(F.lit(1)).alias("rows")), url, staging, batch=batch, connections=connections, **properties)
+        rows = written(df.observe(seen, F.count(F.lit(1)).alias("rows"))).withColumns({m: F.col(f"`{c}`").isNull().cast("smallint") for c, m in marked.items()})
+        rows = rows.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in marked})
+        write_jdbc(rows, url, staging, batch=batch, connections=connections, **properties)
         with JdbcSession(spark, url) as session:
+            for c, m in marked.items():
+                session.run(f"UPDATE {staging} SET {quote_double(c)} = NULL WHERE {quote_double(m)} = 1")
             one = lambda sql: session.rows(sql)[0][0]
             listed = ", ".join(map(quote_double, key))
             if one(f"SELECT COUNT(*) FROM {staging} WHERE {' OR '.join(f'{quote_double(k)} IS NULL' for k in key)}"):

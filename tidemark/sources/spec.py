@@ -162,9 +162,9 @@ class JdbcSession:
         """A prepared statement with its parameters set: the database gets values, not texts."""
         statement, sql_package = self.connection.prepareStatement(sql), self.java.sql
         try:
-            places = statement.getParameterMetaData() if parameters else None
-            if len(parameters) != (places.getParameterCount() if places else 0):
-                raise ValueError(f"{'fewer' if len(parameters) < places.getParameterCount() else 'more'} parameters than places")
+            places = statement.getParameterMetaData()
+            if len(parameters) != (wanted := places.getParameterCount()):
+                raise ValueError(f"{'fewer' if len(parameters) < wanted else 'more'} parameters than places")
             for i, v in enumerate(parameters, 1):
                 if v is None:
                     statement.setNull(i, places.getParameterType(i))
