@@ -181,6 +181,20 @@ def test_full_run_fails_recovers_and_starts_anew(spark, shop, store):
     assert third.mode == "FRESH" and third.status == "success" and store.read("customers").count() == 2000
 
 
+def test_a_configured_run_and_from_database_to_database(spark, shop, store):
+    statements = []
+    made = run.FullRun.configured(spark, shop, "db", "APP", store, None, {"INCLUDE_TABLES": "APP.Lines", "MAX_PARTITIONS": "3", "PARTITION_THRESHOLD": "100"}, clock=lambda: NOW, properties=DRIVER, execute_ddl=statements.append)
+    out = made.run("r1")
+    assert [c["table_name"] for c in out.checks] == ["lines"] and out.status == "success" and statements == out.ddl and any(x.startswith('CREATE TABLE "public"."lines"') for x in statements)
+    assert len(store.manifest("lines")["parts"]) == 2 and store.read("lines").count() == 300  # ranges of the key's first column, equal values together
+    other = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    with spec.JdbcSession(spark, other) as s:
+        s.run('create table "copy" ("o" bigint not null, "n" int not null, "q" double, primary key ("n", "o"))')
+        s.run('insert into "copy" values (0, 0, 5), (999, 0, 7)')
+    done = database.upsert(database.read_tiles(spark, shop, '"Lines"', "o", 4, **DRIVER), other, '"copy"', ["n", "o"], **DRIVER)
+    assert (done.inserted, done.updated, done.unchanged) == (299, 1, 0) and spec.read_jdbc(spark, other, '"copy"', **DRIVER).count() == 301
+
+
 def test_full_run_puts_rows_aside_that_break_a_constraint(spark, url, store):
     spec.write_jdbc(spark.createDataFrame([(1, 17), (2, 18), (3, None)], "id int, age int"), url, "people", **DRIVER)
     made = run.FullRun(spark, url, "APP", store, check_constraints=True, clock=lambda: NOW, properties=DRIVER)

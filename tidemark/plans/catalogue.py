@@ -352,18 +352,19 @@ def sanitize_names(spark, d):
     return spec.read_table(spark, d, "customer", ["c_name"]).select("c_name", names.sanitized(F.col("c_name")).alias("clean"))
 
 
-# What each source type becomes without length, precision or scale.
-@query("""select * from (values
-('bit', 'BOOLEAN', 'boolean'), ('tinyint', 'SMALLINT', 'smallint'), ('smallint', 'SMALLINT', 'smallint'), ('int', 'INTEGER', 'int'), ('bigint', 'BIGINT', 'bigint'),
-('decimal', 'DECIMAL(18,0)', 'decimal(18,0)'), ('numeric', 'NUMERIC(18,0)', 'decimal(18,0)'), ('money', 'NUMERIC(19,4)', 'decimal(19,4)'), ('smallmoney', 'NUMERIC(10,4)', 'decimal(10,4)'),
-('float', 'DOUBLE PRECISION', 'double'), ('real', 'REAL', 'float'), ('char', 'CHAR(255)', 'char(255)'), ('varchar', 'VARCHAR(255)', 'varchar(255)'), ('text', 'TEXT', 'string'),
-('nchar', 'CHAR(255)', 'char(255)'), ('nvarchar', 'VARCHAR(255)', 'varchar(255)'), ('ntext', 'TEXT', 'string'), ('binary', 'BYTEA', 'binary'), ('varbinary', 'BYTEA', 'binary'), ('image', 'BYTEA', 'binary'),
-('date', 'DATE', 'date'), ('time', 'TIME(6)', 'time(6)'), ('datetime', 'TIMESTAMP(3)', 'timestamp_ntz'), ('datetime2', 'TIMESTAMP(6)', 'timestamp_ntz'), ('smalldatetime', 'TIMESTAMP(0)', 'timestamp_ntz'),
-('datetimeoffset', 'TIMESTAMP(6) WITH TIME ZONE', 'timestamp'), ('uniqueidentifier', 'UUID', 'string'), ('xml', 'XML', 'string'), ('sql_variant', 'TEXT', 'string'), ('hierarchyid', 'VARCHAR(4000)', 'varchar(4000)'),
-('geography', 'GEOGRAPHY', 'binary'), ('geometry', 'GEOMETRY', 'binary'), ('timestamp', 'BYTEA', 'binary'), ('rowversion', 'BYTEA', 'binary'), ('sysname', 'VARCHAR(128)', 'varchar(128)'), ('no such type', 'TEXT', 'string')
-) t(source_type, target_type, spark_type)""")
+# Source types of Spark's kinds, and what they become.
+_SOURCE_KINDS = {"bigint": "bigint", "int": "int", "string": "nvarchar", "double": "float", "timestamp_ntz": "datetime2", "timestamp": "datetime2", "float": "real"}
+
+
+@query(f"""select table_name, column_name, case data_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'VARCHAR' then 'nvarchar' when 'DOUBLE' then 'float' when 'TIMESTAMP' then 'datetime2' when 'FLOAT' then 'real' else 'other' end source_type,
+case data_type when 'BIGINT' then 'BIGINT' when 'INTEGER' then 'INTEGER' when 'VARCHAR' then 'VARCHAR(20)' when 'DOUBLE' then 'DOUBLE PRECISION' when 'TIMESTAMP' then 'TIMESTAMP(6)' when 'FLOAT' then 'REAL' else 'TEXT' end target_type,
+case data_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'VARCHAR' then 'varchar(20)' when 'DOUBLE' then 'double' when 'TIMESTAMP' then 'timestamp_ntz' when 'FLOAT' then 'float' else 'string' end spark_type
+from information_schema.columns where table_name in ({", ".join(f"'{t}'" for t in TABLES)})""")
 def type_map(spark, d):
-    return spark.createDataFrame([(k, typemap.target_type({"data_type": k}), typemap.spark_type({"data_type": k})) for k in (*typemap.TYPES, "no such type")], "source_type string, target_type string, spark_type string")
+    """The columns of the given tables as source columns, and what their types become."""
+    fields = [(t, f.name, _SOURCE_KINDS.get(f.dataType.simpleString(), "other")) for t in TABLES for f in spec.read_table(spark, d, t).schema.fields]
+    mapped = lambda kind: {"data_type": kind, "max_length": 40 if kind == "nvarchar" else None}
+    return spark.createDataFrame([(t, c, k, typemap.target_type(mapped(k)), typemap.spark_type(mapped(k))) for t, c, k in fields], "table_name string, column_name string, source_type string, target_type string, spark_type string")
 
 
 @query("select event_id, case when event_id % 5 = 0 or event_id % 5 = 1 then null else value end v from events")
@@ -379,31 +380,42 @@ def export_text(spark, d):
     return values.exported(events.select("event_id", (F.col("event_id") % 2 == 0).alias("flag"), F.col("event_type").cast("binary").alias("raw"), "ts"))
 
 
-# Rows a page, ranges of a full load and of an incremental one.
-@query("""select * from (values (0::bigint, 200000, 2, 2), (99999, 10000, 2, 2), (100000, 200000, 2, 2), (1000000, 200000, 2, 2), (2000000, 200000, 4, 4), (5000000, 200000, 8, 6), (60000000, 200000, 8, 6))
-t(row_count, page, partitions, incremental_partitions)""")
+_SIZED = " union all ".join(f"select '{t}' table_name, count(*) * f row_count from {t}, f group by f" for t in TABLES)
+
+
+@query(f"""with f as (select unnest([1, 100, 10000]) f), n as ({_SIZED})
+select table_name, row_count, case when row_count <= 0 then 50000 when row_count < 100000 then 10000 when row_count < 5000000 then 50000 else 100000 end page,
+case when row_count < 2000000 then 2 when row_count < 5000000 then 4 else 8 end partitions, least(6, greatest(2, row_count // 500000))::int incremental_partitions from n""")
 def sizing_rules(spark, d):
-    return spark.createDataFrame([(n, sizing.page_size(n, 200_000), sizing.partition_count(n), sizing.incremental_partition_count(n)) for n in (0, 99_999, 100_000, 1_000_000, 2_000_000, 5_000_000, 60_000_000)], "row_count long, page int, partitions int, incremental_partitions int")
+    """Rows a page and ranges of loads for the given tables, as they are and a hundred and ten thousand times as large."""
+    read = {t: spec.read_table(spark, d, t) for t in TABLES}
+    counts = validate.batch_check({t: (df, df) for t, df in read.items()}).select("table_name", "source_count").collect()
+    sized = [(r.table_name, n, sizing.page_size(n, 50_000), sizing.partition_count(n), sizing.incremental_partition_count(n)) for r in counts for n in (r.source_count, 100 * r.source_count, 10_000 * r.source_count)]
+    return spark.createDataFrame(sized, "table_name string, row_count long, page int, partitions int, incremental_partitions int")
 
 
 # state and planning
 
-def nation_states(spark: SparkSession, d: str) -> state.SyncState:
+def nation_states(spark: SparkSession, d: str) -> DataFrame:
     """A state for each nation as if it were a table: by its key completed, failed half way, left running, or reset."""
-    s = state.SyncState()
-    for r in spec.read_table(spark, d, "nation").orderBy("n_nationkey").collect():
-        n, key = r.n_nationkey, ("full", r.n_name, "dbo", "public")
-        s.start(key, _NOW, "run1", 100 * n)
-        for i in range(3):
-            status = ("completed", "failed", "pending")[(n + i) % 3]
-            s.set_partition(key, _NOW, i, status=status, rows=10 * n + i, min_pk=str(i * 100), max_pk=str(i * 100 + 99), error="x" * 600 if status == "failed" else None)
-        if n % 4 == 0:
-            s.complete(key, _NOW + dt.timedelta(seconds=n), watermark=_NOW, rows_inserted=n)
-        elif n % 4 == 1:
-            s.fail(key, _NOW, "boom" * 2000)
-        elif n % 4 == 3:
-            s.reset(_NOW, key)
-    return s
+    k, case, now = F.col("n_nationkey"), F.col("n_nationkey") % 4, F.lit(_NOW).cast("timestamp_ntz")
+    by_case = lambda *values: F.when(case == 0, values[0]).when(case == 1, values[1]).when(case == 2, values[2]).otherwise(values[3])
+
+    def part(i: F.Column) -> F.Column:
+        status = F.element_at(F.array(F.lit("completed"), F.lit("failed"), F.lit("pending")), ((k + i) % 3 + 1).cast("int"))
+        fields = {"id": i, "status": status, "rows": 10 * k + i, "min_pk": i * 100, "max_pk": i * 100 + 99, "error": F.when(status == "failed", F.repeat(F.lit("x"), 500))}
+        given = [(fields[n] if n in fields else F.lit(None)).cast(t).alias(n) for n, t in (f.strip().split(": ") for f in state.PARTITION.removeprefix("struct<").removesuffix(">").split(","))]
+        return F.struct(*given)
+
+    none = F.lit(None)
+    values = {
+        "migration_type": F.lit("full"), "table_name": F.col("n_name"), "source_schema": F.lit("dbo"), "target_schema": F.lit("public"), "run_id": F.lit("run1"), "created_at": now, "updated_at": now,
+        "sync_status": by_case("completed", "failed", "running", "pending"), "last_sync_start": now, "last_sync_end": F.when(case < 2, now), "source_row_count": 100 * k,
+        "sync_duration_seconds": by_case(k.cast("double"), F.lit(0.0), none, none), "rows_inserted": F.when(case == 0, k).otherwise(0), "rows_updated": F.lit(0), "rows_unchanged": F.lit(0),
+        "last_good_watermark": F.when(case == 0, now), "checkpoint_batch_num": F.lit(0), "retry_count": F.lit(0), "error_message": F.when(case == 1, F.repeat(F.lit("boom"), 1000)),
+        "partition_info": F.when(case == 3, F.array()).otherwise(F.transform(F.sequence(F.lit(0), F.lit(2)), part)),
+    }
+    return state.conformed(spec.read_table(spark, d, "nation").select(*(v.alias(n) for n, v in values.items())))
 
 
 _STATUS = "case n_nationkey % 4 when 0 then 'completed' when 1 then 'failed' when 2 then 'running' else 'pending' end"
@@ -411,12 +423,12 @@ _STATUS = "case n_nationkey % 4 when 0 then 'completed' when 1 then 'failed' whe
 
 @query(f"select {_STATUS} sync_status, count(*) n, string_agg(n_name, ',' order by n_name) tables from nation group by 1")
 def state_summary(spark, d):
-    return state.status_summary(nation_states(spark, d).to_frame(spark))
+    return state.status_summary(nation_states(spark, d))
 
 
 @query("select n_name table_name, i::int id, case (n_nationkey + i) % 3 when 1 then 'failed' else 'pending' end status, (10 * n_nationkey + i)::bigint as rows from nation, range(3) t(i) where (n_nationkey + i) % 3 <> 0 and n_nationkey % 4 <> 3")
 def partition_status_explode(spark, d):
-    return state.open_partitions(nation_states(spark, d).to_frame(spark))
+    return state.open_partitions(nation_states(spark, d))
 
 
 @query("""select n_name table_name, case when n_nationkey % 4 = 3 then '[]' else '[' || string_agg('{"id":' || i || ',"status":"' || case (n_nationkey + i) % 3 when 0 then 'completed' when 1 then 'failed' else 'pending' end || '","rows":' || (10 * n_nationkey + i)
@@ -424,7 +436,7 @@ def partition_status_explode(spark, d):
 from nation, range(3) t(i) group by n_name, n_nationkey""")
 def partition_info_json(spark, d):
     """Partition states as JSON text, read back and written again."""
-    found = nation_states(spark, d).to_frame(spark)
+    found = nation_states(spark, d)
     return state.partition_json(state.from_partition_json(state.partition_json(found)))
 
 
@@ -441,7 +453,7 @@ case when n_nationkey % 4 = 0 then timestamp '2024-02-01 03:04:05' end watermark
 def state_roundtrip(spark, d):
     """The states stored, read back under a schema that has grown since, and stored again."""
     store = load.Store(spark, _scratch(spark))
-    old = nation_states(spark, d).to_frame(spark).withColumn("legacy", F.lit(1)).drop("checkpoint_batch_num")
+    old = nation_states(spark, d).withColumn("legacy", F.lit(1)).drop("checkpoint_batch_num")
     store.publish(state.TABLE, old)
     state.SyncState.load(store).save(store)
     found = store.read(state.TABLE)
@@ -449,16 +461,21 @@ def state_roundtrip(spark, d):
 
 
 @query("""with t as (select *, n_nationkey % 4 s from nation), task as (
-select n_name, 'keys' kind, i idx, (i * 100)::varchar low, (i * 100 + 99)::varchar high from t, range(3) r(i) where s in (1, 2) and (n_nationkey + i) % 3 <> 0
-union all select n_name, 'regular', 0, null, null from t where s = 3
-union all select 'new table', 'regular', 0, null, null)
-select 'RECOVERY' as mode, n_name table_name, kind, idx::int idx, low, high from task""")
+select n_name, 'dbo' as schema, 'keys' kind, i idx, (i * 100)::varchar low, (i * 100 + 99)::varchar high from t, range(3) r(i) where s in (1, 2) and (n_nationkey + i) % 3 <> 0
+union all select n_name, 'dbo', 'regular', 0, null, null from t where s = 3
+union all select n_name, 'crm', 'regular', 0, null, null from t where s <> 0 or n_nationkey % 3 <> 0
+union all select 'new table', 'dbo', 'regular', 0, null, null)
+select 'RECOVERY' as mode, n_name table_name, schema, kind, idx::int idx, low, high from task""")
 def recovery_plan(spark, d):
-    s = nation_states(spark, d)
-    tables = [{"name": r["table_name"], "rows": 100, "key": ["k"]} for r in s.rows.values()] + [{"name": "new table", "rows": 100, "key": ["k"]}]
+    """Tables of two schemas with the same names; incremental states, complete or not, don't count for a full run."""
+    full, other = nation_states(spark, d), F.lit("crm")
+    crm = full.where("sync_status = 'completed' and cast(source_row_count div 100 as int) % 3 = 0").withColumn("source_schema", other)
+    incremental_ = full.withColumns({"migration_type": F.lit("incremental"), "sync_status": F.lit("completed")})
+    s = state.SyncState.from_frame(full.unionByName(crm).unionByName(incremental_))
+    tables = [{"name": r["table_name"], "rows": 100, "key": ["k"], "schemas": (schema, "public")} for r in s.rows.values() if r["migration_type"] == "full" and r["source_schema"] == "dbo" for schema in ("dbo", "crm")]
     mode = transfer.begin(s, "run2", _NOW)
-    made = transfer.plan(tables, s, "run2", lambda *a: [], mode=mode)
-    return spark.createDataFrame([(made.mode, t.table, t.kind, t.index, t.low, t.high) for t in made.tasks], "mode string, table_name string, kind string, idx int, low string, high string")
+    made = transfer.plan([*tables, {"name": "new table", "rows": 100, "key": ["k"]}], s, "run2", lambda *a: [], mode=mode)
+    return spark.createDataFrame([(made.mode, t.table, t.schemas[0], t.kind, t.index, t.low, t.high) for t in made.tasks], "mode string, table_name string, schema string, kind string, idx int, low string, high string")
 
 
 # catalogue
@@ -559,16 +576,9 @@ def ordered_key_lists(spark, d):
 select case when bool_and(ok) then 'success' when not bool_or(ok) then 'failed' else 'partial_failure' end status, count(*)::int tables, string_agg(t, ',' order by t) filter (not ok) failed, sum(n)::bigint as rows from t""")
 def results_summary(spark, d):
     """Two tasks for each nation as a table, of which some fail; a table fails with any of its tasks."""
-    nations = spec.read_table(spark, d, "nation").collect()
-
-    def run(task: transfer.Task) -> dict:
-        if (task.low + task.index) % 7 == 0:
-            raise RuntimeError("lost connection")
-        return {"rows": 10 * task.index}
-
-    done = transfer.run_all([transfer.Task(r.n_name, "keys", i, 2, r.n_nationkey) for r in nations for i in (1, 2)], run)
-    o = transfer.outcome(done)
-    return spark.createDataFrame([(o["status"], o["tables"], ",".join(o["failed"]), o["rows"])], "status string, tables int, failed string, rows long")
+    tasks = spec.read_table(spark, d, "nation").select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("i"))
+    ok = (F.col("n_nationkey") + F.col("i")) % 7 != 0
+    return transfer.outcomes(tasks.select(F.col("n_name").alias("table"), ok.alias("success"), F.when(ok, 10 * F.col("i")).otherwise(0).alias("rows")))
 
 
 # databases; the database is Derby in the driver's JVM, so these need a local master
@@ -719,3 +729,22 @@ def parallel_sync(spark, d):
     if failed := [r for r in done if not r["success"]]:
         raise RuntimeError(str(failed))
     return store.read(state.TABLE).select("table_name", F.col("sync_status").alias("status"), F.col("rows_inserted").alias("rows_synced"))
+
+
+@query("""select 'customer' table_name, 5 n_columns, 'c_custkey' as key, 'by_nation: c_nationkey ASC,c_custkey DESC' indexes, '' checks, (select count(*) from customer) row_count
+union all select 'labels', 3, '', '', '', (select count(*) from labels)
+union all select 'nation', 3, 'n_nationkey', '', 'IN_REGION', (select count(*) from nation)
+union all select 'region', 2, 'r_regionkey', '', '', (select count(*) from region)""")
+def database_catalogue(spark, d):
+    """Tables described by a database's own catalogue: columns, keys, indexes, constraints and counts."""
+    keys = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "labels": ""}
+    url = _database(spark, {t: (spec.read_table(spark, d, t), key) for t, key in keys.items()})
+    with spec.JdbcSession(spark, url) as session:
+        session.run('create index "by_nation" on "customer" ("c_nationkey", "c_custkey" desc)')
+        session.run('alter table "nation" add constraint in_region check ("n_regionkey" >= 0)')
+        found = database.described(session, "APP")
+    out = []
+    for t in found:
+        indexes = ";".join(f"{x['index_name']}: {','.join(x['columns'])}" for x in t["indexes"])
+        out.append((t["table_name"], len(t["columns"]), ",".join(t["primary_key"]["columns"]) if t["primary_key"] else "", indexes, ",".join(c["constraint_name"] for c in t["check_constraints"]), t["row_count"]))
+    return spark.createDataFrame(out, "table_name string, n_columns int, key string, indexes string, checks string, row_count long")

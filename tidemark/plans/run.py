@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import quote_double, sanitize, sanitize_all
-from tidemark.functions.sizing import partition_count
+from tidemark.functions.sizing import page_size, partition_count
 from tidemark.functions.values import normalized
 from tidemark.operators import validate
 from tidemark.operators.load import Store, full_refresh, next_values
@@ -24,7 +24,7 @@ from tidemark.operators.partition import jdbc_predicates, parallel
 from tidemark.operators.quarantine import load_checked
 from tidemark.operators.state import SyncState
 from tidemark.plans import ddl, transfer
-from tidemark.plans.config import Settings
+from tidemark.plans.config import Settings, table_list
 from tidemark.plans.notify import Notifier
 from tidemark.sources import database
 from tidemark.sources.spec import JdbcSession, choose_tables, read_jdbc
@@ -61,10 +61,18 @@ class FullRun:
     properties: dict[str, str] = field(default_factory=dict)
     cut: Callable[[int, int], int] = partition_count  # of a table's rows and the most ranges, how many it gets
     source_counts: dict[str, int] = field(default_factory=dict)  # of the last run
+    execute_ddl: Callable[[str], Any] | None = None  # runs the target's statements, where the target has a database's tables
+
+    @classmethod
+    def configured(cls, spark: SparkSession, url: str, database_name: str, schema: str, store: Store, folder: str | None = None, environment: Mapping[str, str] | None = None, **more: Any) -> FullRun:
+        """A run as the environment and the table list of the database's folder say."""
+        listed = table_list(database_name, folder, None, environment)
+        return cls(spark, url, schema, store, Settings.read(environment), include=tuple(t for s, t in listed if s.lower() == schema.lower()), **more)
 
     def source(self, table: dict[str, Any], predicates: list[str] | None = None) -> DataFrame:
         """The table's rows under target names."""
-        df = read_jdbc(self.spark, self.url, self._name(table), predicates, **self.properties)
+        fetch = page_size(table["row_count"] or 0, self.settings.default_chunk_size)
+        df = read_jdbc(self.spark, self.url, self._name(table), predicates, fetch, **self.properties)
         return df.toDF(*sanitize_all(df.columns))
 
     def _name(self, table: dict[str, Any]) -> str:
@@ -87,6 +95,8 @@ class FullRun:
             wanted = [{"name": n, "rows": t["row_count"], "key": self._key(t)[:1], "schemas": (self.schema, self.target_schema)} for n, t in tables.items()]
             made = transfer.plan(wanted, SyncState.load(self.store), run_id, bounds, self.settings.partition_threshold, self.settings.max_partitions, mode, cut=self.cut)
         statements = ddl.schema_run([t | {"target_schema": self.target_schema} for t in tables.values()], mode, self.target_schema)
+        if self.execute_ddl:
+            ddl.execute(statements, self.execute_ddl)
         self._begin(made, tables, run_id)
         results = transfer.run_all(made.tasks, lambda t: self._load(t, tables[t.table]), self.settings.max_parallel_transfers, spark=self.spark)
         self._end(made, results)

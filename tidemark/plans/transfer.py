@@ -12,7 +12,8 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.names import is_safe
 from tidemark.functions.sizing import partition_count, row_ranges
@@ -154,3 +155,11 @@ def outcome(results: list[dict[str, Any]]) -> dict[str, Any]:
     failed = sorted(t for t, ok in tables.items() if not ok)
     status = "success" if not failed else "failed" if len(failed) == len(tables) else "partial_failure"
     return {"status": status, "tables": len(tables), "failed": failed, "rows": sum(r.get("rows", 0) for r in results)}
+
+
+def outcomes(results: DataFrame) -> DataFrame:
+    """(status, tables, failed, rows) of results (table, success, rows): :func:`outcome` as a query."""
+    tables = results.groupBy("table").agg(F.bool_and("success").alias("ok"), F.sum("rows").alias("rows"))
+    status = F.when(F.bool_and("ok"), "success").when(~F.bool_or("ok"), "failed").otherwise("partial_failure")
+    failed = F.array_join(F.sort_array(F.collect_list(F.when(~F.col("ok"), F.col("table")))), ",")
+    return tables.agg(status.alias("status"), F.count("*").cast("int").alias("tables"), failed.alias("failed"), F.sum("rows").alias("rows"))
