@@ -183,6 +183,27 @@ def test_small_increment_leaves_the_target_in_place(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_large_increment_leaves_a_target_in_ranges_in_place(spark, store, monkeypatch):
+    monkeypatch.setattr(merge, "SMALL_ROWS", 150)
+    monkeypatch.setattr(load.Store, "publish_ranges", lambda self, t, df, *a, f=load.Store.publish_ranges, **k: plans.append((plan_of(df), k["gather"])) or f(self, t, df, *a, **k))
+    plans = []
+    store.publish("t", rows(spark, ((i, "a") for i in range(800))), "k", list(range(100, 800, 100)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staged = shared.written(rows(spark, ((i, "b") for i in range(0, 900, 2))))
+        done = incremental.merge_staged(store, "t", staged, ["k"], NOW)
+        assert (done.inserted, done.updated, done.kept) == (50, 400, 400)
+        text, gather = plans[0]
+        assert not gather and "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+        merge.SMALL_ROWS = 20  # a range alone has more: shuffled, with the same result
+        again = incremental.merge_staged(store, "t", staged, ["k"], NOW)
+        assert (again.inserted, again.updated, again.unchanged, again.kept) == (0, 0, 450, 400) and plans[1][1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r.k: r.v for r in store.read("t").collect()} == {i: "a" if i % 2 else "b" for i in range(800)} | {i: "b" for i in range(800, 900, 2)}
+    assert merge.broadcast_groups({0: 5, 1: 5, 2: 9, 4: 1}, 10) == [[0, 1], [2, 4]] and merge.broadcast_groups({0: 11}, 10) is None and merge.broadcast_groups({i: 9 for i in range(9)}, 10) is None
+
+
 def test_tuple_ranges_reach_the_files(spark, tmp_path):
     spark.range(100).selectExpr("id a", "id % 7 b", "id c").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))

@@ -79,7 +79,12 @@ def merge_staged(store: Store, table: str, staged: DataFrame, key: list[str], no
         seen = store.publish(table, diffed, metrics=merge.op_counts(), unwritten=("op",), expect=version)
     else:
         place = range_of(F.col(made["key"]), made["edges"], staged.schema[made["key"]].dataType)
-        ranges = sorted(r[0] for r in staged.select(place).distinct().collect())  # no more than the table has ranges
-        diffed = merge.diff(store.read(table, ranges), staged, key, small=True, counted=rows, order=order)
-        seen = store.publish_ranges(table, diffed, ranges, merge.op_counts(), ("op",), version)
+        counts = {r[0]: r[1] for r in staged.groupBy(place.alias("r")).count().collect()}  # no more than the table has ranges
+        ranges, groups = sorted(counts), merge.broadcast_groups(counts)
+        if groups:
+            diffed = merge.diff_by_ranges(lambda g: store.read(table, g), staged, place, groups, counts, key, order)
+        else:
+            diffed = merge.diff(store.read(table, ranges), staged, key, order=order)
+        # rows of a range come from its own files: they are written where they were read
+        seen = store.publish_ranges(table, diffed, ranges, merge.op_counts(), ("op",), version, gather=not groups)
     return Sync(table, *(seen[k] for k in ("inserted", "updated", "unchanged", "kept")), watermark=now)

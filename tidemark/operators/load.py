@@ -127,23 +127,24 @@ class Store:
         made = {"schema": None, "key": key, "edges": list(edges), "parts": [[] for _ in range(len(edges) + 1)], "notes": notes}
         return self._write(table, df, made, metrics, unwritten, expect)
 
-    def publish_ranges(self, table: str, df: DataFrame, ranges: list[int], metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None, notes: Notes = None) -> dict[str, Any]:
+    def publish_ranges(self, table: str, df: DataFrame, ranges: list[int], metrics: dict[str, Column] | None = None, unwritten: tuple[str, ...] = (), expect: str | None = None, notes: Notes = None, gather: bool = True) -> dict[str, Any]:
         """A version in which the given ranges hold the rows of ``df`` and the others what they held.
 
         Without ``expect`` writers of different ranges don't hinder each other: one that comes second takes the other's ranges from
-        its version. Of two that write the same range one fails.
+        its version. Of two that write the same range one fails. ``gather``: rows are brought together by range before they are
+        written, which needs no doing if they come from the ranges' own files.
         """
         made = self.manifest(table)
         touched = set(ranges)
         base = {i: made["parts"][i] for i in touched}
         made["parts"] = [[] if i in touched else folders for i, folders in enumerate(made["parts"])]
-        return self._write(table, df, made | {"notes": notes}, metrics, unwritten, expect, base if expect is None else None)
+        return self._write(table, df, made | {"notes": notes}, metrics, unwritten, expect, base if expect is None else None, gather)
 
     def append(self, table: str, df: DataFrame, expect: str | None = None, notes: Notes = None) -> dict[str, Any]:
         """A version with the rows of ``df`` beside those that are there."""
         return self._write(table, df, self.manifest(table) | {"notes": notes}, None, (), expect)
 
-    def _write(self, table: str, df: DataFrame, made: dict[str, Any], metrics: dict[str, Column] | None, unwritten: tuple[str, ...], expect: str | None, base: dict[int, list[str]] | None = None) -> dict[str, Any]:
+    def _write(self, table: str, df: DataFrame, made: dict[str, Any], metrics: dict[str, Column] | None, unwritten: tuple[str, ...], expect: str | None, base: dict[int, list[str]] | None = None, gather: bool = True) -> dict[str, Any]:
         before = self.version(table)
         if expect is not None and (before or ABSENT) != expect:
             raise Conflict(f"{table} is at {before}, not at {expect or 'no version'}")
@@ -153,7 +154,8 @@ class Store:
         if made["edges"]:
             place = range_of(F.col(made["key"]), made["edges"], df.schema[made["key"]].dataType)
             # each range in one place first: a file for each task and range would be tasks times ranges files
-            rows = df.withColumn("__range", place).hint("rebalance", F.col("__range"))
+            rows = df.withColumn("__range", place)
+            rows = rows.hint("rebalance", F.col("__range")) if gather else rows
         seen = Observation()
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in (metrics or {}).items())).drop(*unwritten)
         if made["edges"]:

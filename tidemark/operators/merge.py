@@ -3,11 +3,13 @@
 One full outer join; presence is a marker and never inferred from values, so a staged null overwrites.
 Rows that only the target has are kept. An increment that is counted and small is broadcast instead, and
 the target stays where it is: a left join for its rows, a semi join of its keys for those that are there
-already, and an anti join of the two small sides for new ones.
+already, and an anti join of the two small sides for new ones. A larger increment of a target in ranges goes the same way,
+group of ranges by group, while a few groups do; beyond that, and of a range that is crowded by itself, both sides are shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: rows of an increment that may be broadcast
 SMALL_ROWS = 500_000
+#: groups of an increment that are broadcast, each to its own ranges of the target
+MOST_GROUPS = 8
 
 
 class DuplicateKeys(ValueError):
@@ -72,6 +76,28 @@ def diff(target: DataFrame, staged: DataFrame, key: list[str], detect_changes: b
     return joined.select(*key, *(F.when(taken, F.col(f"__s.{c}")).otherwise(F.col(f"__t.{c}")).alias(c) for c in values), op.alias("op")).select(*target.columns, "op")
 
 
+def broadcast_groups(counts: dict[int, int], most: int | None = None, groups: int = MOST_GROUPS) -> list[list[int]] | None:
+    """Ranges with their staged rows in groups that may be broadcast, each in one; None if that isn't possible."""
+    most = SMALL_ROWS if most is None else most
+    out: list[list[int]] = []
+    room = 0
+    for r in sorted(counts):
+        if counts[r] > most:
+            return None
+        if not out or counts[r] > room:
+            out.append([])
+            room = most
+        out[-1].append(r)
+        room -= counts[r]
+    return out if len(out) <= groups else None
+
+
+def diff_by_ranges(read: Callable[[list[int]], DataFrame], staged: DataFrame, place: Column, groups: list[list[int]], counts: dict[int, int], key: list[str], order: str | None = None) -> DataFrame:
+    """:func:`diff` of a target stored in ranges: each group of ranges meets its own staged rows, broadcast, and no row of the target is shuffled."""
+    parts = [diff(read(g), staged.where(place.isin(g)), key, small=True, counted=sum(counts[r] for r in g), order=order) for g in groups]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def merge(target: DataFrame, staged: DataFrame, key: list[str], detect_changes: bool = True, small: bool = False) -> DataFrame:
     """The target after the merge."""
     return diff(target, staged, key, detect_changes, small).drop("op")
