@@ -555,6 +555,53 @@ def test_generated_pages(layout):
         assert extraction.main_text(page) == text
 
 
+WRAPPERS = (
+    "overflow-hidden", "content overflow-hidden", "article ad-free", "content menu-closed", "hidden md:block", "site footer-dark", "wrapper nav-fixed", "site cookie-accepted",
+    "entry-content comments-open", "post comments-disabled", "article-body notice-period", "article cookie-recipes", "post category-promo tag-menu", "sidebar-right-layout",
+    "navbar-fixed-top", "page-with-menu is-dark", "layout--ad-supported", "hidden-print", "notice-board-town", "promo-free",
+)
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_names_of_wrappers_lose_no_article(name):
+    body = f"<h1>T</h1>{_marked(0, 3)}"
+    noise = f"<nav><a href=x>Menu</a></nav><div class='cookie-bar'><p>{_paragraph(7)}</p></div>"
+    for page in (f"<div class='{name}'>{body}</div>", f"{noise}<div class='{name}'>{body}</div><footer>f</footer>", f"<div class='{name}'>{noise}<div>{body}</div></div>"):
+        assert extraction.main_text(f"<html><body>{page}</body></html>") == f"T {_plain(0, 3)}"
+
+
+def test_forms_labels_and_buttons():
+    body = f"<h1>T</h1>{_marked(0, 3)}"
+    assert extraction.main_text(f"<body><form id='aspnetForm' action=x><input type=hidden><div>{body}</div><div class='comments'>{_marked(4, 9)}</div></form></body>") == f"T {_plain(0, 3)}"
+    assert extraction.main_text(f"<article>{body}<p>Press the <button>Save</button> key and the <label>name</label> is kept, at once.</p><form><label>Mail</label><p>{_paragraph(9)}</p></form><div><button>Share</button></div></article>") == f"T {_plain(0, 3)} Press the Save key and the name is kept, at once."
+
+
+# Names of article and noise as CSS frameworks and publishing systems write them.
+FRAMEWORKS = {
+    "utilities": (["mx-auto max-w-prose overflow-hidden", "prose lg:prose-xl md:block", "flex-1 min-w-0 overflow-x-hidden"], ["ad-slot", "cookie-banner fixed inset-x-0", "newsletter-box", "comments mt-8"]),
+    "grid": (["col-md-8 blog-main", "container-fluid p-3 no-ads", "row content-row nav-fixed"], ["alert alert-info", "sidebar col-md-4", "comment-list", "ads-right"]),
+    "publishing": (["entry-content comments-open", "post type-post category-promo tag-menu", "hentry site-main has-sidebar"], ["widget-area sidebar", "comments-area", "subscribe-form", "cookie-notice"]),
+    "blocks": (["article__body article__body--ad-free", "page-content page-content--menu-closed", "story__text is-sticky"], ["promo-box", "comment-list__item", "newsletter__signup", "cookie-bar__inner"]),
+}
+
+
+@pytest.mark.parametrize("framework", FRAMEWORKS)
+def test_pages_of_frameworks(framework):
+    """Sixty pages a framework; names of article and noise are drawn for each."""
+    rng = random.Random(framework)
+    content, noisy = FRAMEWORKS[framework]
+    for _ in range(60):
+        parts = [_paragraph(rng.randint(0, 999)) for _ in range(rng.randint(3, 9))]
+        noise = lambda: f"<div class='{rng.choice(noisy)}'>" + "".join(f"<p>{_paragraph(rng.randint(1000, 2000))}</p>" for _ in range(rng.randint(1, 2))) + "</div>"
+        body = "<h1>Title</h1>" + "".join(f"<p>{x}</p>" for x in parts)
+        inside = f"{body}{noise()}" if rng.random() < 0.5 else body
+        wrapped = f"<div class='{rng.choice(content)}'>{inside}</div>"
+        if rng.random() < 0.5:
+            wrapped = f"<div class='{rng.choice(content)}'>{wrapped}</div>"
+        page = f"<html><body><nav><a href=x>Home</a></nav>{noise()}{wrapped}{noise()}<footer><p>{_paragraph(3)}</p></footer></body></html>"
+        assert extraction.main_text(page) == " ".join(["Title", *parts]), page
+
+
 def test_depth_costs_no_more_than_size():
     page = "<div><b>" * 60_000 + _marked(0, 3)
     began = time.process_time()
