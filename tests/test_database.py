@@ -124,6 +124,16 @@ def test_empty_source(spark, url):
     assert database.read_tiles(spark, url, "t", "k", 4, **DRIVER).count() == 0
 
 
+def test_identity_goes_on_behind_the_greatest_value(spark, url):
+    with spec.JdbcSession(spark, url) as s:
+        s.run('create table t ("id" bigint generated by default as identity, "v" int)')
+        assert database.restart_identity(s, "t", "id") == 2
+        s.run("insert into t values (41, 1)")
+        assert database.restart_identity(s, "t", "id") == 42
+        s.run('insert into t ("v") values (2)')
+        assert s.rows('select max("id") from t') == [(42,)]
+
+
 # descriptions and the full run
 
 
@@ -177,8 +187,10 @@ def test_full_run_fails_recovers_and_starts_anew(spark, shop, store):
     assert sorted(r.id for r in store.read("customers").collect()) == list(range(1, 2001)) and store.read("customers").columns == ["id", "full_name", "age"]
     assert [tuple(r) for r in store.read(run.SEQUENCES).collect()] == [("customers", "id", 2001)]
     assert "Status: PASSED" in second.report and second.ddl[0].startswith("CREATE SCHEMA")
-    third = make(Settings(partition_threshold=10**9, parallel_readers=3, default_chunk_size=100)).run("r3")
+    third = make(Settings(partition_threshold=10**9, parallel_readers=3, default_chunk_size=900)).run("r3")
     assert third.mode == "FRESH" and third.status == "success" and store.read("customers").count() == 2000
+    assert store.notes("customers")["done"] and store.notes("customers")["chunk"] == 2  # three chunks, each with its checkpoint
+    assert state.SyncState.load(store).rows["full", "customers", "APP", "public"]["checkpoint_batch_num"] == 2
 
 
 def test_a_configured_run_and_from_database_to_database(spark, shop, store):
@@ -321,6 +333,30 @@ def test_sketch_bounds_are_near_tiles(spark, tmp_path):
     assert partition.range_edges(df.selectExpr("concat('t', cast(k as bigint)) k").limit(100), "k", 4) != [] and partition.range_edges(df.limit(0), "k", 3) == []
 
 
+@pytest.mark.parametrize("n", [1, 7, 30])
+def test_exact_tiles_by_an_index(spark, n):
+    shapes = {"unique": "id * 7919 % 104729", "ties": "id div 40", "negative": "500 - id", "float": "double(id) / 3", "nulls": "if(id < 30, null, id)", "one": "5L", "date": "date_add(date'2020-01-01', cast(id as int))"}
+    for name, x in shapes.items():
+        df = spark.range(3000).selectExpr(f"{x} k").repartition(5)
+        got = {tuple(r) for r in partition.ntile_bounds(df, "k", n).collect()}
+        want = df.selectExpr("k", f"ntile({n}) over (order by k) tile").groupBy("tile").agg(F.min("k"), F.max("k"), F.count("*"))
+        assert got == {tuple(r) for r in want.collect()}, name
+    assert partition.ntile_bounds(spark.range(0).selectExpr("id k"), "k", n).count() == 0
+
+
+def test_temporary_tables_go(spark):
+    import os
+
+    with pytest.raises(ZeroDivisionError):
+        with shared.temporary_tables(spark):
+            path = shared.written(spark.range(3)).inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+            with shared.temporary_tables(spark):
+                inner = shared.written(spark.range(3)).inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+            assert os.path.exists(path) and not os.path.exists(inner)
+            1 / 0  # noqa: B018
+    assert not os.path.exists(path)
+
+
 def test_footers_answer_counts(spark, tmp_path):
     spark.range(1000).selectExpr("id k", "id * 2 v").write.parquet(str(tmp_path / "t"))
     assert partition.footer_bounds(spark, str(tmp_path / "t"), "k") == (1000, 0, 999)

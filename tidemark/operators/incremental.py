@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import merge
 from tidemark.operators.load import Store, range_of
-from tidemark.sources.shared import written
+from tidemark.sources.shared import temporary_tables, written
 
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -59,9 +59,10 @@ def staged_rows(source: DataFrame, column: str | None, since: dt.datetime | str
 def sync(store: Store, table: str, source: DataFrame, key: list[str], column: str | None, since: dt.datetime | None, now: dt.datetime, inside: Column | None = None) -> Sync:
     """Merge and publish. The returned watermark is the clock before the first read; store it after success.
 
-    The source is read once, into a staging table.
+    The source is read once, into a staging table that goes when the merge is published.
     """
-    return merge_staged(store, table, written(staged_rows(source, column, since, inside)), key, now)
+    with temporary_tables(store.spark):
+        return merge_staged(store, table, written(staged_rows(source, column, since, inside)), key, now)
 
 
 def merge_staged(store: Store, table: str, staged: DataFrame, key: list[str], now: dt.datetime, order: str | None = None) -> Sync:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.values import normalized
+from tidemark.operators.ranges import range_of
 from tidemark.operators.scan import in_range
 
 MANIFEST = "_V-"
@@ -223,27 +224,6 @@ class Store:
         self._fs().delete(self._path(table), True)
 
 
-_SEPARATOR = "\u0001"
-
-
-def range_of(key: Column, edges: list, kind: T.DataType) -> Column:
-    """The number of the range that a key falls in: how many edges it reaches; nulls are in the first.
-
-    Beyond a few edges a binary search in one array literal: a chain of conditions would grow with the ranges.
-    """
-    if len(edges) <= 8:
-        return sum(((F.coalesce(key >= F.lit(e).cast(kind), F.lit(False))).cast("int") for e in edges), F.lit(0))
-    listed = F.split(F.lit(_SEPARATOR.join(str(e) for e in edges)), _SEPARATOR).cast(T.ArrayType(kind))
-    n, steps = len(edges), [1 << k for k in reversed(range(len(edges).bit_length()))]
-
-    def further(at: Column, step: Column) -> Column:
-        to = at + step
-        reached = (to <= n) & (F.get(listed, F.least(to, F.lit(n)) - 1) <= key)
-        return F.when(reached, to).otherwise(at)
-
-    return F.aggregate(F.array(*(F.lit(x) for x in steps)), F.lit(0), further)
-
-
 def met_ranges(made: dict[str, Any], key: str, low: Any = None, high: Any = None) -> list[int]:
     """The ranges of a stored table that keys from low to high can fall in; an end that is None is open."""
     edges = made["edges"]

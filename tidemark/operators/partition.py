@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from itertools import accumulate
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import quote_double
 from tidemark.functions.sizing import key_ranges
-from tidemark.operators.load import range_of
-from tidemark.operators.scan import with_row_number
+from tidemark.operators.ranges import range_of, sketch_edges, sketchable
+from tidemark.operators.scan import INDEX_RANGES, key_index, with_row_number
 from tidemark.sources.spec import literal
 
 
@@ -32,24 +34,50 @@ def tile_sizes(total: int, n: int) -> list[int]:
 
 
 def ntile_bounds(df: DataFrame, key: str, n: int) -> DataFrame:
-    """(tile, min_pk, max_pk, row_count), exactly as NTILE(n) cuts, without sorting in one task."""
+    """(tile, min_pk, max_pk, row_count), exactly as NTILE(n) cuts, without sorting in one task.
+
+    A tile's first and last row lie in known ranges of an index of the key; only these ranges are numbered. Keys that have no
+    index (texts, or a value in very many rows) are numbered as a whole.
+    """
+    index = key_index(df, key, max(INDEX_RANGES, 16 * n))
+    if index is None or not index.even:
+        return _ntile_of_all(df, key, n)
+    sizes = tile_sizes(sum(index.counts), n)
+    ends = list(accumulate(sizes))
+    tiles = [(t + 1, end - size + 1, end, size) for t, (end, size) in enumerate(zip(ends, sizes))]
+    wanted = sorted({x for _, a, b, _ in tiles for x in (a, b)})
+    held = sorted({index.holding(x) for x in wanted})
+    if not wanted:
+        return _ntile_of_all(df, key, n)
+    before = F.element_at(F.create_map(*(F.lit(x) for r in held for x in (r, index.before(r)))), F.col("__r"))
+    spans = [index.rows(df.select(key), key, a, b) for a, b in _spans(held)]
+    read = reduce(DataFrame.unionByName, spans).withColumn("__r", range_of(F.col(key), index.edges, df.schema[key].dataType))
+    number = F.row_number().over(Window.partitionBy("__r").orderBy(F.col(key).asc_nulls_first())) + before
+    at = dict(read.select(number.alias("n"), key).where(F.col("n").isin(wanted)).collect())  # two keys a tile
+    schema = T.StructType([T.StructField("tile", T.IntegerType()), T.StructField("min_pk", df.schema[key].dataType), T.StructField("max_pk", df.schema[key].dataType), T.StructField("row_count", T.LongType())])
+    if any(at[a] is None and at[b] is not None for _, a, b, _ in tiles):  # MIN is the first key behind the nulls: not at hand
+        return _ntile_of_all(df, key, n)
+    return df.sparkSession.createDataFrame([(t, at[a], at[b], size) for t, a, b, size in tiles], schema)
+
+
+def _spans(ranges: list[int]) -> list[tuple[int, int]]:
+    """Runs of neighbouring ranges."""
+    out: list[tuple[int, int]] = []
+    for r in ranges:
+        if out and out[-1][1] == r - 1:
+            out[-1] = (out[-1][0], r)
+        else:
+            out.append((r, r))
+    return out
+
+
+def _ntile_of_all(df: DataFrame, key: str, n: int) -> DataFrame:
     ranked = with_row_number(df.select(key), [key], "__rank")
     total = ranked.agg(F.max("__rank")).first()[0] or 0
     tiles = ranked.withColumn("tile", tile_of(F.col("__rank"), total, n))
     return tiles.groupBy("tile").agg(F.min(key).alias("min_pk"), F.max(key).alias("max_pk"), F.count("*").alias("row_count"))
 
 
-def _sketchable(df: DataFrame, key: str) -> bool:
-    return isinstance(df.schema[key].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
-
-
-def sketch_edges(df: DataFrame, key: str, n: int, error: float = 0.01) -> list:
-    """The lows of all of n balanced ranges but the first, from a quantile sketch of one pass; each is off by ``error`` of a range at most."""
-    cuts = [i / n for i in range(1, n)]
-    found = df.agg(F.percentile_approx(key, cuts, int(2 * n / error))).first()[0] if cuts else []
-    return sorted(set(found or []))
-
-
 def sketch_bounds(df: DataFrame, key: str, n: int, error: float = 0.01) -> DataFrame:
     """(tile, min_pk, max_pk, row_count) of ranges as NTILE would cut them, within ``error``; two passes, no sort, nothing written.
 
@@ -64,7 +92,7 @@ def range_edges(df: DataFrame, key: str, n: int) -> list:
     """The lows of n ranges but the first: by a sketch, or of keys without one (texts) by exact tiles."""
     if n < 2:
         return []
-    if _sketchable(df, key):
+    if sketchable(df.schema[key].dataType):
         return sketch_edges(df, key, n)
     lows = sorted(r.min_pk for r in ntile_bounds(df.where(F.col(key).isNotNull()), key, n).collect())
     return sorted(set(lows[1:]))

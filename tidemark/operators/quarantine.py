@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.predicates import condition
 from tidemark.operators.load import Store
-from tidemark.sources.shared import written
+from tidemark.sources.shared import temporary_tables, written
 
 BROKEN = "broken_constraints"
 
@@ -41,7 +41,8 @@ def load_checked(store: Store, table: str, source: DataFrame, checks: list[dict[
     The source is read once. The table of rejected rows is published first, so that none is missing from both; if a constraint
     can't be understood nothing is.
     """
-    rows = written(checked(source, checks))
-    bad = F.size(BROKEN) > 0
-    rejected = store.publish(quarantine or f"{table}__rejected", rows.where(bad))["rows"]
-    return CheckedLoad(store.publish(table, rows.where(~bad).drop(BROKEN))["rows"], rejected)
+    with temporary_tables(store.spark):
+        rows = written(checked(source, checks))
+        bad = F.size(BROKEN) > 0
+        rejected = store.publish(quarantine or f"{table}__rejected", rows.where(bad))["rows"]
+        return CheckedLoad(store.publish(table, rows.where(~bad).drop(BROKEN))["rows"], rejected)

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import sanitize_all
+from tidemark.operators.ranges import range_of, sketch_edges, sketchable
 from tidemark.sources.shared import written
 
+#: ranges of a key index, and rows that one task may number
+INDEX_RANGES = 256
+MOST_IN_ONE_TASK = 500_000
+
 
 def project(df: DataFrame, columns: list[str] | None = None, renamed: bool = False) -> DataFrame:
     """Columns in source order or as given; optionally under their sanitised names. Names match exactly."""
@@ -57,12 +65,62 @@ def keyset_page(df: DataFrame, key: str, after: Any = None, limit: int | None =
     return df if limit is None else df.limit(limit)
 
 
-def row_number_page(df: DataFrame, order: list[str], first: int, last: int) -> DataFrame:
+@dataclass(frozen=True)
+class KeyIndex:
+    """How many rows each range of the first order column holds: row numbers lead to ranges, and ranges to files."""
+
+    edges: list
+    counts: list[int]
+
+    @property
+    def even(self) -> bool:
+        """Whether no range is so crowded that one task should not number it."""
+        return max(self.counts) <= max(4 * sum(self.counts) / len(self.counts), 100_000)
+
+    def before(self, r: int) -> int:
+        return sum(self.counts[:r])
+
+    def holding(self, number: int) -> int:
+        """The range that holds the row of a number from 1; the last one beyond the end."""
+        return min(bisect_left(list(accumulate(self.counts)), number), len(self.counts) - 1)
+
+    def rows(self, df: DataFrame, column: str, first: int, last: int) -> DataFrame:
+        """The rows of ranges first..last; of the first range those with null keys too."""
+        low = (self.edges[first - 1],) if first else None
+        high = (self.edges[last],) if last < len(self.edges) else None
+        inside = in_range(df, [column], low, high, open_high=True)
+        return df.where(inside if first else inside | F.col(column).isNull())
+
+
+def key_index(df: DataFrame, column: str, ranges: int = INDEX_RANGES) -> KeyIndex | None:
+    """Two passes over one column, nothing sorted or written; None for a kind of key that has no quantile sketch."""
+    if not sketchable(df.schema[column].dataType):
+        return None
+    edges = sketch_edges(df, column, ranges, 0.1)
+    counts = dict(df.groupBy(range_of(F.col(column), edges, df.schema[column].dataType).alias("r")).count().collect())
+    return KeyIndex(edges, [counts.get(i, 0) for i in range(len(edges) + 1)])
+
+
+def _nulls_first(order: list[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in order]
+
+
+def row_number_page(df: DataFrame, order: list[str], first: int, last: int, index: KeyIndex | None = None) -> DataFrame:
     """Rows first..last, from 1, in the order of ``order``, with their number as ``rn``.
 
-    Only keys are numbered; the page's first and last key then cut the rows out of the table, so that other
-    columns are read for the page alone. ``order`` must be total (a key) for a stable result.
+    An ``index`` of the first column (made here if none is given; pages of one table share it) says in which ranges of it the page
+    lies; only these are read and numbered. Where the index is of no use (texts, or one value in very many rows), the keys are
+    numbered as a whole, and the page's first and last key cut the rows out. ``order`` must be total (a key) for a stable result.
     """
+    index = index or key_index(df, order[0])
+    if index and index.even:
+        if first > sum(index.counts) or last < first:
+            return df.withColumn("rn", F.lit(0).cast("long")).limit(0)
+        a, b = index.holding(first), index.holding(last)
+        if sum(index.counts[a : b + 1]) <= max(4 * (last - first + 1), MOST_IN_ONE_TASK):
+            page = index.rows(df, order[0], a, b)
+            numbered = page.withColumn("rn", (F.row_number().over(Window.orderBy(*_nulls_first(order))) + F.lit(index.before(a))).cast("long"))
+            return numbered.where(F.col("rn").between(first, last))
     numbered = with_row_number(df.select(*order), order, "rn").where(F.col("rn").between(first, last))
     edge = numbered.agg(F.min("rn").alias("first"), F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high")).first()
     if edge["first"] is None:
@@ -71,7 +129,7 @@ def row_number_page(df: DataFrame, order: list[str], first: int, last: int) -> D
     if any(v is None for v in (*low, *high)):  # a null has no place in a comparison
         return with_row_number(df, order, "rn").where(F.col("rn").between(first, last))
     page = df.where(in_range(df, order, low, high))
-    by = Window.orderBy(*(F.col(c).asc_nulls_first() for c in order))  # over no more rows than the page has
+    by = Window.orderBy(*_nulls_first(order))  # over no more rows than the page has
     return page.withColumn("rn", (F.row_number().over(by) + F.lit(edge["first"] - 1)).cast("long"))
 
 
@@ -82,8 +140,8 @@ def with_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
     place, so that no task gets the whole table as it would under an unpartitioned window.
     """
     # written once: both branches below must see the same ranges
-    ranged = written(df.repartitionByRange(*(F.col(c).asc_nulls_first() for c in order)).withColumn("__part", F.spark_partition_id()))
-    local = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*(F.col(c).asc_nulls_first() for c in order))))
+    ranged = written(df.repartitionByRange(*_nulls_first(order)).withColumn("__part", F.spark_partition_id()))
+    local = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*_nulls_first(order))))
     counts = ranged.groupBy("__part").count()
     base = counts.select("__part", (F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))).alias("__base"))
     out = local.join(F.broadcast(base), "__part")  # a row for each partition

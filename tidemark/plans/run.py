@@ -19,6 +19,7 @@ from tidemark.functions.names import quote_double, sanitize, sanitize_all
 from tidemark.functions.sizing import page_size, partition_count
 from tidemark.functions.values import normalized
 from tidemark.operators import validate
+from tidemark.operators.chunked import load_in_chunks
 from tidemark.operators.load import Store, full_refresh, next_values
 from tidemark.operators.partition import jdbc_predicates, parallel
 from tidemark.operators.quarantine import load_checked
@@ -166,6 +167,13 @@ class FullRun:
         if self.check_constraints and table["check_constraints"]:
             done = load_checked(self.store, task.table, normalized(source), table["check_constraints"])
             return done.good + done.rejected
+        chunks = -(-(table["row_count"] or 0) // self.settings.default_chunk_size)
+        if chunks > 1 and transfer.page_mode(key) == "keyset":
+            shown = lambda last, chunk, n: SyncState.update(self.store, lambda s: s.checkpoint(task.key, self.clock(), last, chunk))
+            done = load_in_chunks(self.store, task.table, source, sanitize(key[0]), chunks, f"{self.schema}.{task.table}", shown)
+            if not done.success:
+                raise RuntimeError("; ".join(done.errors))
+            return done.rows_read
         loaded = full_refresh(self.store, source, task.table)
         if not loaded.success:
             raise RuntimeError("; ".join(loaded.errors) or f"{loaded.rows} rows written, {loaded.target_rows} read")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tidemark.functions.names import quote_double
 from tidemark.operators.merge import DuplicateKeys
 from tidemark.operators.partition import half_open, jdbc_predicates, tile_sizes
-from tidemark.sources.shared import written
+from tidemark.sources.shared import temporary_tables, written
 from tidemark.sources.spec import JdbcSession, read_jdbc, write_jdbc
 
 # An empty copy of some columns of a table, and the end of a MERGE statement.
@@ -27,6 +27,14 @@ TEXTS = {
 }
 
 
+# Statements that set what an identity column gives next.
+RESTARTS = {
+    "sqlserver": "DBCC CHECKIDENT ({name}, RESEED, {last})",
+    "postgresql": "DO $$ BEGIN PERFORM setval(pg_get_serial_sequence({name}, {text}), {last}); END $$",
+    "": "ALTER TABLE {table} ALTER COLUMN {column} RESTART WITH {value}",
+}
+
+
 def vendor(url: str) -> str:
     return url.split(":")[1]
 
@@ -125,32 +133,33 @@ def upsert(df: DataFrame, url: str, table: str, key: list[str], detect_changes:
         for c in marked.values():
             session.run(f"ALTER TABLE {staging} ADD COLUMN {quote_double(c)} SMALLINT")
     try:
-        # fixed in the shared folder first: counted there, and the same if a task that stages them is tried again
-        seen = Observation()
-        rows = written(df.observe(seen, F.count(F.lit(1)).alias("rows"))).withColumns({m: F.col(f"`{c}`").isNull().cast("smallint") for c, m in marked.items()})
-        rows = rows.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in marked})
-        write_jdbc(rows, url, staging, batch=batch, connections=connections, **properties)
-        with JdbcSession(spark, url) as session:
-            for c, m in marked.items():
-                session.run(f"UPDATE {staging} SET {quote_double(c)} = NULL WHERE {quote_double(m)} = 1")
-            one = lambda sql: session.rows(sql)[0][0]
-            listed = ", ".join(map(quote_double, key))
-            if one(f"SELECT COUNT(*) FROM {staging} WHERE {' OR '.join(f'{quote_double(k)} IS NULL' for k in key)}"):
-                raise DuplicateKeys(f"staged rows have a null in {key}")
-            if one(f"SELECT COUNT(*) FROM (SELECT {listed} FROM {staging} GROUP BY {listed} HAVING COUNT(*) > 1) d"):
-                raise DuplicateKeys(f"staged rows repeat a key of {key}")
-            staged = one(f"SELECT COUNT(*) FROM {staging}")
-            if staged != seen.get["rows"]:
-                raise RuntimeError(f"{seen.get['rows']} rows read, {staged} staged")
-            values = [c for c in columns if c not in key]
-            matched = one(f"SELECT COUNT(*) FROM {staging} s JOIN {table} t ON {match}")
-            changed = 0
-            if values:
-                changed = one(f"SELECT COUNT(*) FROM {staging} s JOIN {table} t ON {match} WHERE {' OR '.join(map(_differs, values))}") if detect_changes else matched
-            done = session.run(merge_statement(table, staging, columns, key, detect_changes, end))
-            if done != staged - matched + changed:
-                raise RuntimeError(f"the merge changed {done} rows, not {staged - matched} new and {changed} others")
-        return Upsert(staged - matched, changed, matched - changed)
+        with temporary_tables(spark):
+            # fixed in the shared folder first: counted there, and the same if a task that stages them is tried again
+            seen = Observation()
+            rows = written(df.observe(seen, F.count(F.lit(1)).alias("rows"))).withColumns({m: F.col(f"`{c}`").isNull().cast("smallint") for c, m in marked.items()})
+            rows = rows.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in marked})
+            write_jdbc(rows, url, staging, batch=batch, connections=connections, **properties)
+            with JdbcSession(spark, url) as session:
+                for c, m in marked.items():
+                    session.run(f"UPDATE {staging} SET {quote_double(c)} = NULL WHERE {quote_double(m)} = 1")
+                one = lambda sql: session.rows(sql)[0][0]
+                listed = ", ".join(map(quote_double, key))
+                if one(f"SELECT COUNT(*) FROM {staging} WHERE {' OR '.join(f'{quote_double(k)} IS NULL' for k in key)}"):
+                    raise DuplicateKeys(f"staged rows have a null in {key}")
+                if one(f"SELECT COUNT(*) FROM (SELECT {listed} FROM {staging} GROUP BY {listed} HAVING COUNT(*) > 1) d"):
+                    raise DuplicateKeys(f"staged rows repeat a key of {key}")
+                staged = one(f"SELECT COUNT(*) FROM {staging}")
+                if staged != seen.get["rows"]:
+                    raise RuntimeError(f"{seen.get['rows']} rows read, {staged} staged")
+                values = [c for c in columns if c not in key]
+                matched = one(f"SELECT COUNT(*) FROM {staging} s JOIN {table} t ON {match}")
+                changed = 0
+                if values:
+                    changed = one(f"SELECT COUNT(*) FROM {staging} s JOIN {table} t ON {match} WHERE {' OR '.join(map(_differs, values))}") if detect_changes else matched
+                done = session.run(merge_statement(table, staging, columns, key, detect_changes, end))
+                if done != staged - matched + changed:
+                    raise RuntimeError(f"the merge changed {done} rows, not {staged - matched} new and {changed} others")
+            return Upsert(staged - matched, changed, matched - changed)
     finally:
         with JdbcSession(spark, url) as session:
             session.run(f"DROP TABLE {staging}")
@@ -221,3 +230,12 @@ CHECKS = {
 def _checks(session: JdbcSession, schema: str, table: str) -> list[dict[str, Any]]:
     sql = CHECKS.get(vendor(session.url))
     return [{"constraint_name": n, "definition": d, "is_disabled": False} for n, d in session.rows(sql, (schema, table))] if sql else []
+
+
+def restart_identity(session: JdbcSession, table: str, column: str) -> int:
+    """Let an identity column go on behind its greatest value, 1 if there is none; the next value."""
+    top = session.rows(f"SELECT MAX({quote_double(column)}) FROM {table}")[0][0]
+    value = (top if top is not None else 1) + 1
+    form = RESTARTS.get(vendor(session.url), RESTARTS[""])
+    session.run(form.format(table=table, column=quote_double(column), text=f"'{column}'", name=f"'{table}'", value=value, last=value - 1))
+    return value

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +28,27 @@ def shared_folder(spark: SparkSession) -> str:
     return spark._tidemark_folder
 
 
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, compressed, and there if executors are lost."""
     path = f"{shared_folder(df.sparkSession)}/tidemark-{uuid.uuid4().hex}"
+    for paths in _scopes.get()[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`written` makes inside, in this thread, are deleted at the end, also after a failure."""
+    paths: list[str] = []
+    token = _scopes.set((*_scopes.get(), paths))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for x in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(x)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

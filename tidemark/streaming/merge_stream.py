@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import incremental
 from tidemark.operators.load import Store
-from tidemark.sources.shared import written
+from tidemark.sources.shared import temporary_tables, written
 
 
 def newest(batch: DataFrame, key: list[str], order: str) -> DataFrame:
@@ -24,8 +24,9 @@ def merge_batch(store: Store, table: str, batch: DataFrame, key: list[str], orde
     """Merge a batch; a null in the key is an error, since it would be inserted again with each replay. Rows that come late, older by ``order`` than the target's, change nothing."""
     if not batch.where(reduce(lambda a, b: a | b, (F.col(k).isNull() for k in key))).isEmpty():
         raise ValueError(f"rows for {table} have a null in {key}")
-    staged = written(newest(batch, key, order))
-    return incremental.merge_staged(store, table, staged, key, dt.datetime.now(dt.UTC).replace(tzinfo=None), order)
+    with temporary_tables(store.spark):
+        staged = written(newest(batch, key, order))
+        return incremental.merge_staged(store, table, staged, key, dt.datetime.now(dt.UTC).replace(tzinfo=None), order)
 
 
 def start(source: DataFrame, store: Store, table: str, key: list[str], order: str, checkpoint: str, once: bool = True):
