@@ -85,3 +85,23 @@ def test_long_runs_of_punctuation():
     began = time.process_time()
     doc, h = toxicity.word_features(t)
     assert len(doc) == 5 and licenses.Scanner().scan(t)[1] and time.process_time() - began < 2
+
+
+def test_a_megabyte_of_stock_words():
+    """Bigrams that templates hold, in numbers that none has: no beginning is worth a look."""
+    scanner = licenses.Scanner()
+    texts = ["of the " * 150_000, "to the extent of the software " * 33_000, " ".join(["in the", "of this", "the software", "and the", "or the"] * 40_000)]
+    for text in texts:
+        t = tk.read_texts(pa.array([text]))
+        began = time.process_time()
+        scanner.scan(t)
+        assert time.process_time() - began < 4
+
+
+def test_many_repeats_in_every_window():
+    rng = random.Random(43)
+    for _ in range(100):
+        template = " ".join(rng.choices("the of a b".split(), k=rng.randint(2, 12)))
+        text = " ".join(rng.choices("the of a b".split(), k=rng.randint(5, 40)))
+        want = brute_best(text, template)
+        assert scanned(text, templates=[("t", template)])[0] == ({"t": round(want, 6)} if want >= licenses.MIN_DICE else {})

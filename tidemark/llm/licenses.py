@@ -208,14 +208,13 @@ class Scanner:
     def _best(self, k: int, at: np.ndarray, entry: np.ndarray) -> tuple[float, int, int] | None:
         """The best coefficient of a passage that begins and ends at one of the shared bigrams, and its first and last place.
 
-        From one beginning to the next a bigram that was one too many begins to count.
+        An occurrence counts for the beginnings within reach that have fewer than its bigram's times before it: an interval of
+        beginnings, so one sum of interval ends gives how many each could share at most. Only beginnings are looked at that could
+        then be better than what was found. From one to the next a bigram that was one too many begins to count.
         """
         m, least, most = int(self.sizes[k]), int(self.least[k]), int(self.most[k])
         if not least:
             return None
-        begins = np.flatnonzero(at[least - 1 :] - at[: len(at) - least + 1] < most)  # others have fewer shared bigrams than any passage needs
-        if not len(begins):
-            return None
         order = np.argsort(entry, kind="stable")
         new = np.diff(entry[order], prepend=-1) != 0
         rank = np.empty(len(at), np.int64)  # of an occurrence among those of its bigram
@@ -224,11 +223,22 @@ class Scanner:
         times = self.times[entry]
         place = np.empty(len(at), np.int64)
         place[order] = np.arange(len(at))
+        earlier = np.where(rank >= times, order[np.maximum(place - times, 0)], -1)
+        ends = np.zeros(len(at) + 1, np.int64)
+        np.add.at(ends, np.maximum(earlier + 1, np.searchsorted(at, at - most, side="right")), 1)
+        ends[1:] -= 1
+        could = np.cumsum(ends)[:-1]
+        begins = np.flatnonzero(could >= least)
+        if not len(begins):
+            return None
+        bound = 2 * could / (could + m)
         later = place + times  # where in `order` the occurrence stands that begins to count when this one goes
         same = (later < len(at)) & (entry[order[np.minimum(later, len(at) - 1)]] == entry)
         counted = rank < times
         best, where, done = 0.0, (0, 0), 0
         for i in begins.tolist():
+            if bound[i] <= best:
+                continue
             gone = np.arange(done, i)
             counted[order[later[gone[same[gone]]]]] = True
             done = i
