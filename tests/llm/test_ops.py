@@ -392,18 +392,49 @@ def test_crossover_keeps_every_piece():
     for _ in range(10):
         a = packing.crossover(a, b, sizes, 100, rng)
         assert sorted(p for x in a for p in x) == list(range(300)) and all(sum(sizes[p] for p in x) <= 100 for x in a)
-    best, crossed = packing.evolve(sizes, 100, 1, [])
-    assert crossed and len(best) <= len(packing.best_fit(sizes, 100, sorted(range(300), key=lambda p: -sizes[p])))
+    best, _ = packing.evolve(sizes, 100, 1, [])
+    assert len(best) <= len(packing.best_fit(sizes, 100, sorted(range(300), key=lambda p: -sizes[p])))
     assert packing._decode(packing._encode(best, 300)) == [sorted(x) for x in best]
 
 
 @pytest.mark.parametrize("size, most", [("sf0.001", 88), ("sf0.01", 442)])
-def test_crossovers_make_the_packing(spark, size, most):
-    """Every island crosses over, and what comes of it is the least number of sequences (tokens / 2048, rounded up)."""
+def test_tables_are_packed_at_the_bound(spark, size, most):
+    """The least number of sequences (tokens / 2048, rounded up)."""
     docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
     dealt = packing._dealt(packing.tokenized_pieces(docs, packing.tokenizer_path()), packing.BLOCK)
-    found = packing.evolved(dealt).collect()
-    assert all(r.crossovers > 0 for r in found) and min(r.bins for r in found) == most
+    assert min(r.bins for r in packing.evolved(dealt).collect()) == most
+
+
+def _cut_bins(rng, bins, capacity, pieces, least):
+    """Sizes of ``bins`` full bins of so many pieces each, in random order: no piece or pair is known to fill another bin."""
+    out = []
+    while len(out) < bins * pieces:
+        own = [rng.randint(least, 2 * capacity // pieces - least) for _ in range(pieces - 1)]
+        if least <= capacity - sum(own) <= 2 * capacity // pieces - least:
+            out += [*own, capacity - sum(own)]
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("bins, capacity, pieces, least, gain", [(60, 1000, 4, 180, 3), (1000, 2048, 4, 380, 60), (60, 1000, 3, 250, 0)])
+def test_crossovers_beat_the_greedy_parent(bins, capacity, pieces, least, gain):
+    for seed in range(3):
+        sizes = _cut_bins(random.Random(seed), bins, capacity, pieces, least)
+        first = packing.greedy(sizes, capacity)
+        best, crossed = packing.evolve(sizes, capacity, seed, [])
+        assert crossed and len(first) > bins and len(best) <= len(first) - max(gain, len(first) > bins + 1)
+        assert sorted(p for x in best for p in x) == list(range(len(sizes))) and all(sum(sizes[p] for p in x) <= capacity for x in best)
+        again, _ = packing.evolve(sizes, capacity, seed + 9, [best])
+        assert len(again) <= len(best)
+
+
+def test_islands_carry_on_what_crossovers_found(spark):
+    sizes = _cut_bins(random.Random(5), 300, 2048, 4, 380)
+    items = spark.createDataFrame([(i, 0, 0, x, i, i) for i, x in enumerate(sizes)], packing._ITEMS)
+    found = packing.evolved(packing._dealt(items, 4096)).collect()
+    assert len(packing.greedy(sizes, 2048)) > 315 and min(r.bins for r in found) < 306 and all(r.crossovers == 2 * packing.GENERATIONS for r in found)
+    placed = packing.pack(items).collect()
+    assert len(placed) == 1200 and len({r.sequence_id for r in placed}) == min(r.bins for r in found)
 
 
 def test_filling_takes_what_is_there():

@@ -2,12 +2,14 @@
 
 Documents become token ids plus a closing id 0; longer ones are cut into full pieces of ``CAPACITY``
 and a rest. Pieces are dealt at random into blocks of about ``BLOCK`` pieces. Each block is evolved by
-``ISLANDS`` islands, each a task with a population of packings of its own, at first best fits in random
-orders. Crossover injects well-filled bins of one parent into the other, drops the bins that would hold
-a piece twice, and best-fits the displaced pieces, largest first, after a local step that fills bins whole
-where one or two displaced pieces do it. After each epoch every island's elite migrates to the next island
+``ISLANDS`` islands, each a task with a population of packings of its own: at first a greedy one, which fills
+bins whole by up to three pieces, best fit decreasing, and best fits in orders near to that. Crossover injects
+well-filled bins of one parent into the other, keeps that one's bins but those that would hold a piece twice and a few of the
+worst filled, and best-fits the displaced pieces, largest first, after a local step that exchanges them with one or
+two smaller pieces of a bin which they fill whole. After each epoch every island's elite migrates to the next island
 of the block; in the end the best packing of each block wins. A block is done at the lower bound,
-ceil(tokens / capacity).
+ceil(tokens / capacity), which of many short pieces the first parent often has; where it hasn't, crossovers find
+packings with fewer bins.
 
 Ids are those of the plain call ``encode(text, add_special_tokens=False)``: where a text holds the string of
 one of the tokenizer's special tokens, that token's id.
@@ -28,7 +30,7 @@ import random
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -43,8 +45,10 @@ CAPACITY = 2048
 BLOCK = 4096
 ISLANDS = 2
 EPOCHS = 2
-POPULATION = 4
-GENERATIONS = 24
+POPULATION = 6
+GENERATIONS = 60
+#: pieces of a bin of which two may be exchanged
+EXCHANGED = 24
 VOCABULARY = "word_bpe_49k.json"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -243,6 +247,13 @@ class Loose:
             self.mirror ^= 1 << (self.capacity - size)
         return piece
 
+    def put(self, piece: int, size: int) -> None:
+        if size not in self.by_size:
+            self.by_size[size] = []
+            self.bits |= 1 << size
+            self.mirror |= 1 << (self.capacity - size)
+        self.by_size[size].append(piece)
+
     def filling(self, free: int) -> list[int]:
         """One or two pieces of together ``free``, taken out; none if there are no such."""
         if self.bits >> free & 1:
@@ -278,36 +289,72 @@ def quality(bins: list[list[int]], sizes: list[int], capacity: int) -> tuple[int
     return len(bins), -sum((sum(sizes[p] for p in b) / capacity) ** 2 for b in bins)
 
 
+def greedy(sizes: list[int], capacity: int) -> list[list[int]]:
+    """Bins filled whole by one to three pieces, the rest best fit, largest first."""
+    done, rest = filled_whole(sizes, capacity, list(range(len(sizes))), [])
+    return best_fit(sizes, capacity, _largest_first(sizes, (p for x in rest for p in x)), done)
+
+
+def _largest_first(sizes: list[int], pieces) -> list[int]:
+    return sorted(pieces, key=lambda p: (-sizes[p], p))
+
+
+def exchanged(sizes: list[int], capacity: int, bins: list[list[int]], displaced: list[int]) -> tuple[list[list[int]], list[int]]:
+    """Displaced pieces take the place of one or two smaller ones of a bin where that fills it whole; what is displaced then."""
+    loose, out = Loose(sizes, capacity, displaced), []
+    for x in bins:
+        free = capacity - sum(sizes[p] for p in x)
+        if not free:
+            out.append(x)
+            continue
+        done = None
+        for going in ((), *combinations(x, 1), *(combinations(x, 2) if len(x) <= EXCHANGED else ())):
+            leaves = sum(sizes[p] for p in going)
+            found = loose.filling(free + leaves) if loose.bits else []
+            if found:
+                for p in going:
+                    loose.put(p, sizes[p])
+                done = [p for p in x if p not in going] + found
+                break
+        out.append(done or x)
+    return out, [p for own in loose.by_size.values() for p in own]
+
+
 def crossover(a: list[list[int]], b: list[list[int]], sizes: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
     """Inject well-filled bins of ``b`` into ``a``, drop the bins that would hold a piece twice, and best-fit the displaced pieces.
 
-    Of the other bins of ``a`` the full ones stay and the rest are opened, else displaced pieces find no gaps.
+    All other bins of ``a`` stay, but for a few of the worst filled: their pieces are displaced too, else nothing would be at hand for the
+    gaps. Before they are best-fitted, largest first, displaced pieces are exchanged with smaller ones of bins that they fill.
     """
     fill = sorted(((sum(sizes[p] for p in x), i) for i, x in enumerate(b)), reverse=True)
     well = [i for _, i in fill[: max(1, len(fill) // 2)]]
-    injected = [b[i] for i in rng.sample(well, max(1, len(well) // 2))]
+    injected = [b[i] for i in rng.sample(well, max(1, len(well) // rng.choice((2, 4, 8))))]
     inside = {p for x in injected for p in x}
-    kept, displaced = [], []
-    for x in a:
-        if inside.isdisjoint(x) and sum(sizes[p] for p in x) == capacity:
-            kept.append(x)
-        else:
-            displaced += [p for p in x if p not in inside]
-    done, rest = filled_whole(sizes, capacity, displaced, injected + kept)
-    return best_fit(sizes, capacity, sorted((p for x in rest for p in x), key=lambda p: -sizes[p]), done)
+    kept = [x for x in a if inside.isdisjoint(x)]
+    displaced = [p for x in a if not inside.isdisjoint(x) for p in x if p not in inside]
+    kept.sort(key=lambda x: sum(sizes[p] for p in x))
+    worst = sum(sum(sizes[p] for p in x) < capacity for x in kept)
+    opened = min(worst, rng.randint(1, 2 + len(kept) // 20))
+    displaced += [p for x in kept[:opened] for p in x]
+    bins = injected + kept[opened:]
+    rng.shuffle(bins)
+    bins, displaced = exchanged(sizes, capacity, bins, displaced)
+    return best_fit(sizes, capacity, _largest_first(sizes, displaced), bins)
 
 
 def evolve(sizes: list[int], capacity: int, seed: int, elites: list[list[list[int]]], generations: int = GENERATIONS, population: int = POPULATION) -> tuple[list[list[int]], int]:
     """The best packing and the number of crossovers that were made.
 
-    Parents begin as best fits in random orders, all worse than what a crossover makes of them. It ends
-    at the lower bound of the number of bins, or after ``generations``.
+    The first parents are the greedy packing and best fit decreasing, the others best fits in orders near to that.
+    It ends at the lower bound of the number of bins, which the first parents may have, or after ``generations``.
     """
     rng = random.Random(seed)
     bound = lower_bound(sizes, capacity)
-    pool = [*elites]
-    while len(pool) < population:
-        pool.append(best_fit(sizes, capacity, rng.sample(range(len(sizes)), len(sizes))))
+    pool = [*elites] or [greedy(sizes, capacity)]
+    if len(pool[0]) > bound:
+        pool.append(best_fit(sizes, capacity, _largest_first(sizes, range(len(sizes)))))
+        while len(pool) < population:
+            pool.append(best_fit(sizes, capacity, sorted(range(len(sizes)), key=lambda p: -sizes[p] * rng.uniform(0.8, 1.2))))
     scored = sorted(((quality(x, sizes, capacity), k, x) for k, x in enumerate(pool)), key=lambda s: s[:2])
     crossed = 0
     while scored[0][0][0] > bound and crossed < generations:
@@ -316,7 +363,7 @@ def evolve(sizes: list[int], capacity: int, seed: int, elites: list[list[list[in
         child = crossover(scored[one][2], scored[two][2], sizes, capacity, rng)
         crossed += 1
         score = quality(child, sizes, capacity)
-        if score < scored[-1][0]:
+        if score < scored[-1][0] and score not in [x[0] for x in scored]:
             scored[-1] = (score, len(pool) + crossed, child)
             scored.sort(key=lambda s: s[:2])
     return scored[0][2], crossed
