@@ -32,14 +32,19 @@ def leaf_digests(df: DataFrame, key: list[str], edges: list, columns: list[str]
     """(range, bucket, n, high, low): of each leaf its rows and the sums of two 64-bit hashes of the rows. One pass, ranges x fan rows."""
     kind = df.schema[key[0]].dataType
     others = [c for c in columns or sorted(df.columns) if c not in key]
-    text = encoded([*key, *others])
-    leaf = df.select(range_of(F.col(key[0]), edges, kind).alias("range"), bucket_of(key, fan).alias("bucket"), F.xxhash64(text).alias("h"), F.xxhash64(text, F.lit(1)).alias("g"))
+    values = _hashable([*key, *others])
+    leaf = df.select(range_of(F.col(key[0]), edges, kind).alias("range"), bucket_of(key, fan).alias("bucket"), F.xxhash64(*values).alias("h"), F.xxhash64(F.lit(1), *values).alias("g"))
     whole = lambda c: F.sum(F.col(c).cast("decimal(20,0)")).cast("decimal(38,0)")
     return leaf.groupBy("range", "bucket").agg(F.count("*").alias("n"), whole("h").alias("high"), whole("g").alias("low"))
 
 
+def _hashable(columns: list[str]) -> list[Column]:
+    """The columns, each with whether it is null: a hash alone passes nulls over. Columns of other types have other hashes, and are compared then."""
+    return [x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+
+
 def bucket_of(key: list[str], fan: int) -> Column:
-    return F.pmod(F.xxhash64(encoded(key)), F.lit(fan)).cast("int")
+    return F.pmod(F.xxhash64(*_hashable(key)), F.lit(fan)).cast("int")
 
 
 def upper(leaves: DataFrame) -> DataFrame:
