@@ -20,6 +20,8 @@ from tidemark.operators.scan import in_range
 from tidemark.sources.shared import written
 
 FAN = 64
+#: leaves that are told apart inside their ranges; of more, whole ranges are compared
+MOST_LISTED = 5_000
 
 
 def encoded(columns: list[str]) -> Column:
@@ -84,9 +86,11 @@ class Leaves:
         high = lambda r: None if r == len(self.edges) else (self.edges[r],)
         first = [key[0]]
         inside = [in_range(df, first, low(a), high(b), open_high=True) | (F.col(key[0]).isNull() if a == 0 else F.lit(False)) for a, b in spans]
-        leaf = df.sparkSession.createDataFrame(self.found, "__range int, __bucket int")
-        marked = df.where(reduce(lambda x, y: x | y, inside)).withColumns({"__range": range_of(F.col(key[0]), self.edges, df.schema[key[0]].dataType), "__bucket": bucket_of(key, self.fan)})
-        return marked.join(F.broadcast(leaf), ["__range", "__bucket"], "left_semi").drop("__range", "__bucket")
+        rows = df.where(reduce(lambda x, y: x | y, inside))
+        if len(self.found) > MOST_LISTED:  # most of these ranges differ: all of their rows are compared
+            return rows
+        leaf = range_of(F.col(key[0]), self.edges, df.schema[key[0]].dataType) * self.fan + bucket_of(key, self.fan)
+        return rows.where(leaf.isin([r * self.fan + b for r, b in self.found]))
 
 
 def differing_leaves(a: DataFrame, b: DataFrame, edges: list, fan: int = FAN) -> Leaves:
