@@ -75,6 +75,56 @@ def test_order_follows_references(spark):
     assert [("depends on itself" in got[50, c].errors) for c in ("p", "q", "own", "r")] == [True, True, False, False]
 
 
+EDGES = "conv_id long, call_id string, turn long, ref string, ref_turn long"
+
+
+def places_of(spark, graphs):
+    """By :func:`chat.moves` and by brute force, of {conversation: (turn of each call, its references)}."""
+    rows = [(conv, f"c{i}", turns[i], f"c{j}", turns[j]) for conv, (turns, refs) in graphs.items() for i in refs for j in refs[i]]
+    got = {(r.conv_id, r.call_id): (r.place.t, r.place.s) for r in chat.moves(spark.createDataFrame(rows, EDGES)).collect()}
+    want = {}
+    for conv, (turns, refs) in graphs.items():
+        place = [(t, 0) for t in turns]
+        for _ in range(2 * len(turns) ** 2):
+            place = [max([(turns[i], 0), *((place[j][0], place[j][1] + 1) for j in refs.get(i, []))]) for i in range(len(turns))]
+        endless = lambda p: (p[0], chat.ENDLESS if p[1] > len(turns) else p[1])
+        want |= {(conv, f"c{i}"): endless(place[i]) for i in refs if refs[i]}
+    return got, want
+
+
+def test_places_are_the_longest_ways(spark):
+    """Random references: none, few or many cycles, ties of turns, many ways between the same calls."""
+    rng = random.Random(12)
+    graphs = {}
+    for conv in range(60):
+        n = rng.randint(3, 14)
+        turns = [rng.randrange(n) for _ in range(n)]
+        acyclic = rng.random() < 0.5
+        refs = {i: rng.sample([j for j in range(i if acyclic else n) if j != i], min(rng.randint(0, 3), i if acyclic else n - 1)) for i in range(n)}
+        if any(turns[j] >= turns[i] for i in refs for j in refs[i]):
+            graphs[conv] = turns, refs
+    got, want = places_of(spark, graphs)
+    assert len(graphs) > 40 and got == want and 20 < sum(s == chat.ENDLESS for _, s in want.values()) < len(want) - 100
+
+
+def test_a_chain_of_a_thousand_takes_few_rounds(spark, monkeypatch):
+    """One conversation: each call refers to the next one, to the next but one and to the first of a cycle at its end, or not."""
+    wrote = []
+    monkeypatch.setattr(chat, "materialize", lambda df, do=chat.materialize: (wrote.append(1), do(df))[1])
+    n = 1000
+    rows = [(1, f"c{i:04}", i, f"c{j:04}", j) for i in range(n - 1) for j in {i + 1, min(i + 2, n - 1)}]
+    rows += [(2, f"c{i:04}", i, f"c{(i + 1) % n:04}", (i + 1) % n) for i in range(n)] + [(3, f"c{i:04}", i, f"c{i - 1:04}", i - 1) for i in range(1, n)]
+    got = {(r.conv_id, r.call_id): (r.place.t, r.place.s) for r in chat.moves(spark.createDataFrame(rows, EDGES)).collect()}
+    want = {(1, f"c{i:04}"): (n - 1, n - 1 - i) for i in range(n - 1)} | {(2, f"c{i:04}"): (n - 1, chat.ENDLESS) for i in range(n)}
+    assert got == want and len(wrote) < 60
+
+
+def test_repeated_calls_stand_at_their_own_turn(spark):
+    """A later call of the same identifier isn't set before its turn, because the first one had to move."""
+    rows = [(1, 0, "assistant", say(call("a", "add", x="b"))), (1, 3, "assistant", say(call("b", "add", x=1))), (1, 9, "assistant", say(call("a", "add", x=2)))]
+    assert sorted((r.call_id, r.status, r.at_turn, r.step) for r in linked(spark, rows)) == [("a", "no_result", 3, 1), ("a", "repeated_call", 9, 0), ("b", "no_result", 3, 0)]
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], MESSAGES)
     assert chat.link(chat.calls_of_turns(none), chat.results_of_turns(none), chat.REPLY, chat.other_turns(none)).count() == 0

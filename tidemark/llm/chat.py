@@ -14,8 +14,8 @@ one that would have to move behind it, stays at its turn and says ``depends on i
 Scale: joins and aggregates are all on (conversation, identifier), so a conversation with a third of all
 rows is spread over its identifiers; no conversation is ever gathered. Equal rows are counted before they
 are shuffled, a hot identifier is one row of the side that Spark hashes, and rows without identifier are
-not shuffled at all. References to earlier turns, the usual ones, need no rounds; others take as many as the
-longest chain of them. Schemas are a parameter of the caller's code, not a table.
+not shuffled at all. References to earlier turns, the usual ones, need no rounds; where others are, chains are
+followed by doubling, in rounds that grow with the logarithm of the longest. Schemas are a parameter of the caller's code, not a table.
 
 Edge cases: a null conversation or identifier never links; equal calls or results of one identifier are
 one row, counted in ``n_calls`` / ``n_results``; of different ones the first by turn (then by content) is linked
@@ -39,6 +39,7 @@ REPLY: Schemas = {"reply": {"after": ("string", False), "prompt": ("string", Tru
 _TYPES = {"string": r"STRING", "integer": r"(TINYINT|SMALLINT|INT|BIGINT)", "number": r"(TINYINT|SMALLINT|INT|BIGINT|DOUBLE|FLOAT|DECIMAL.*)", "boolean": "BOOLEAN", "array": r"ARRAY<.*", "object": r"OBJECT<.*"}
 _STRINGS = r'"((?:[^"\\]|\\.)*)"'
 _KEYS = ["conv_id", "call_id"]
+ENDLESS = 1 << 30  # steps
 _COLUMNS = ["conv_id", "call_id", "status", "at_turn", "step", "n_calls", "n_results", "errors", "json"]
 
 
@@ -74,48 +75,59 @@ def references(calls: DataFrame, ids: DataFrame) -> DataFrame:
     return held.where("ref <> call_id").join(known.hint("shuffle_hash"), ["conv_id", "ref"])
 
 
+def _later(place: Column, steps: Column | int) -> Column:
+    """So many steps behind a place; what has no end keeps none."""
+    return F.struct(place["t"].alias("t"), F.least(place["s"] + steps, F.lit(ENDLESS)).cast("int").alias("s"))
+
+
+def _start(turn: str) -> Column:
+    return F.struct(F.col(turn).alias("t"), F.lit(0).alias("s"))
+
+
 def moves(edges: DataFrame) -> DataFrame | None:
-    """(conv_id, call_id, to_turn, to_step, loops) of the calls that have to stand later than their turn; None if all is in order.
+    """(conv_id, call_id, place: (t, s)) of the calls with references in conversations where one refers to a later turn; None if none does.
 
-    A call's place is (turn, 0) or behind the last place of what it refers to, whichever is later.
+    A call's place is (turn, 0) or behind the last place of what it refers to, whichever is later: the longest way along
+    references. Each call follows one reference, what all ways so chosen reach is found by doubling, and calls
+    that another reference sets later change to it, until none does. ``s`` is ENDLESS on a cycle or behind one.
     """
-    if edges.where("ref_turn >= turn").isEmpty():
+    forward = edges.where("ref_turn >= turn").select("conv_id").distinct()
+    if forward.isEmpty():
         return None
-    edges = materialize(edges)
-    places = None
-    while True:
-        at = edges
-        if places is None:
-            there = F.struct(F.col("ref_turn").alias("t"), F.lit(0).alias("s"))
-        else:
-            moved = places.select("conv_id", F.col("call_id").alias("ref"), F.col("place").alias("moved_to"))
-            at = edges.join(moved.hint("shuffle_hash"), ["conv_id", "ref"], "left")
-            there = F.coalesce("moved_to", F.struct(F.col("ref_turn").alias("t"), F.lit(0).alias("s")))
-        behind = F.struct(there["t"].alias("t"), (there["s"] + 1).cast("int").alias("s"))
-        later = at.withColumn("behind", behind).where(F.col("behind") > F.struct(F.col("turn").alias("t"), F.lit(0).alias("s")))
-        now = materialize(later.groupBy(*_KEYS).agg(F.max("behind").alias("place")))
-        changed = now if places is None else now.join(places.withColumnRenamed("place", "before").hint("shuffle_hash"), _KEYS, "left").where("before is null or place <> before")
-        places = now
-        # more steps than the conversation has moved calls: on a cycle, or behind one
-        open_ = changed.join(now.groupBy("conv_id").agg(F.count("*").alias("n")).hint("shuffle_hash"), "conv_id").where("place.s <= n")
-        if open_.isEmpty():
-            break
-    looping = _looping(edges, places) if not changed.isEmpty() else places.select(*_KEYS).limit(0)
-    out = places.select(*_KEYS, F.col("place.t").alias("to_turn"), F.col("place.s").alias("to_step"))
-    return out.join(looping.withColumn("loops", F.lit(True)).hint("shuffle_hash"), _KEYS, "left")
-
-
-def _looping(edges: DataFrame, places: DataFrame) -> DataFrame:
-    """Moved calls on a cycle or behind one: what is left when calls that refer to none that is left are taken away."""
-    left = places.select(*_KEYS)
-    before = left.count()
+    edges = materialize(edges.join(forward, "conv_id", "left_semi"))
+    places = materialize(edges.groupBy(*_KEYS).agg(F.min(_start("turn")).alias("place")).withColumn("follows", F.lit(None).cast("string")))
+    most = places.groupBy("conv_id").count().agg(F.max("count")).first()[0] + 1
     while True:
-        as_ref = left.select("conv_id", F.col("call_id").alias("ref"))
-        left = materialize(edges.join(as_ref.hint("shuffle_hash"), ["conv_id", "ref"], "left_semi").select(*_KEYS).distinct().join(left.hint("shuffle_hash"), _KEYS, "left_semi"))
-        now = left.count()
-        if now == before:
-            return left
-        before = now
+        known = places.select("conv_id", F.col("call_id").alias("ref"), F.col("place").alias("ref_place"))
+        behind = _later(F.coalesce("ref_place", _start("ref_turn")), 1)
+        best = edges.join(known.hint("shuffle_hash"), ["conv_id", "ref"], "left").groupBy(*_KEYS).agg(F.max(F.struct(behind.alias("place"), "ref")).alias("best"))
+        later = F.col("best.place") > F.col("place")
+        chosen = places.join(best.hint("shuffle_hash"), _KEYS).select(
+            *_KEYS, later.alias("later"), F.greatest("place", "best.place").alias("place"), F.when(later | F.col("follows").isNull(), F.col("best.ref")).otherwise(F.col("follows")).alias("follows")
+        )
+        chosen = materialize(chosen)
+        if chosen.where("later").isEmpty():
+            return places.select(*_KEYS, "place")
+        places = _reached(chosen.drop("later"), most)
+
+
+def _reached(chosen: DataFrame, most: int) -> DataFrame:
+    """``chosen`` with the last place on or behind the way that starts at each call, in as many rounds as its length has bits.
+
+    A way of more than ``most`` steps to a place meets some call twice.
+    """
+    ways = chosen.select(*_KEYS, F.col("follows").alias("to"), F.lit(1).alias("steps"), "place")
+    length = 1
+    while length < 2 * most + 2 and not ways.where("to is not null").isEmpty():
+        ahead = ways.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("on"), F.col("steps").alias("more"), F.col("place").alias("there"))
+        # a null place would be the least, yet it is one: of a call without a turn
+        further = F.when(F.col("there").isNotNull(), F.greatest("place", _later(F.col("there"), F.col("steps")))).otherwise(F.col("place"))
+        ways = ways.join(ahead.hint("shuffle_hash"), ["conv_id", "to"], "left").select(*_KEYS, F.col("on").alias("to"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), further.alias("place"))
+        ways = materialize(ways)
+        length *= 2
+    endless = F.struct(F.col("place.t").alias("t"), F.lit(ENDLESS).alias("s"))
+    at = ways.select(*_KEYS, F.when(F.col("place.s") > most, endless).otherwise(F.col("place")).alias("place"))
+    return materialize(at.join(chosen.select(*_KEYS, "follows").hint("shuffle_hash"), _KEYS))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas, others: DataFrame | None = None) -> DataFrame:
@@ -135,9 +147,10 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas, others: DataFra
     later = moves(references(calls.where(keyed), ids))
     if later is not None:
         called = called.join(later.hint("shuffle_hash"), _KEYS, "left")
-        loops = F.coalesce("loops", F.lit(False))
-        free = ~loops & F.col("to_turn").isNotNull()
-        at_turn, step = F.when(free, F.col("to_turn")).otherwise(F.col("turn")), F.when(free, F.col("to_step")).otherwise(F.lit(0))
+        behind = F.coalesce(F.col("place") > _start("turn"), F.lit(False))
+        loops = behind & (F.col("place.s") == ENDLESS)
+        free = behind & ~loops
+        at_turn, step = F.when(free, F.col("place.t")).otherwise(F.col("turn")), F.when(free, F.col("place.s")).otherwise(F.lit(0))
         extra = F.when(loops, F.lit("depends on itself"))
     else:
         at_turn, step, extra = F.col("turn"), F.lit(0), F.lit(None).cast("string")
