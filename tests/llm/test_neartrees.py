@@ -72,6 +72,42 @@ def test_pairs_of_a_shard():
     assert found([r | {"x": 0, "y": 0, "side": nearcopies.BOTH} for r in rows], 2) < want
 
 
+def test_tree_finds_all_within_the_radius(monkeypatch):
+    """Leaves of every size, split and whole, and radii from none to all."""
+    rng = random.Random(6)
+    base = rng.getrandbits(256)
+    values = {rng.getrandbits(256) for _ in range(400)} | {base ^ sum(1 << i for i in rng.sample(range(256), rng.randint(0, 90))) for _ in range(300)}
+    for leaf in (3, 64, 1024):
+        monkeypatch.setattr(nearcopies, "LEAF", leaf)
+        tree = nearcopies.FingerprintTree()
+        for k, v in enumerate(sorted(values, key=lambda v: v % 1009)):
+            if k in (0, 1, 5, 40):
+                assert len(tree.near(base, 256)) == k
+            tree.add(v)
+        for radius in (-1, 0, 7, 60, 89, 256):
+            for q in [base, *rng.sample(sorted(values), 10), rng.getrandbits(256)]:
+                assert sorted(tree.near(q, radius)) == sorted(((q ^ v).bit_count(), v) for v in values if (q ^ v).bit_count() <= radius)
+
+
+def test_size_classes_hold_every_compatible_size():
+    for similarity in ("0.5", "0.8", "0.95", "1"):
+        shards = nearcopies._Shards(Fraction(similarity), 0, None)
+        share = Fraction(similarity)
+        for n in [*range(1, 400), 4096, 15625, 65536, 78125, 10**6]:
+            sizes = {int(nearcopies._least(share, np.int64(n))), n, int(n / share)} | (set(range(int(nearcopies._least(share, np.int64(n))), int(n / share) + 1)) if n < 400 else set())
+            assert all(shards._class(m) in shards._classes(n) for m in sizes) and len(shards._classes(n)) <= 3
+
+
+def test_slots_grow_with_the_corpus():
+    assert [nearcopies.slot_bits(x) for x in (0, 10**9, 2 * 10**9, 5 * 10**9, 10**14)] == [20, 20, 20, 22, 22]
+
+
+def test_any_number_of_slots_gives_the_same_groups(spark, monkeypatch):
+    monkeypatch.setattr(nearcopies, "slot_bits", lambda size: 5)
+    rows = edited_copies()
+    assert sorted(r.doc_id for r in nearcopies.keep_one(frame(spark, rows)).collect()) == brute_kept(rows, 5, 0.8)
+
+
 def test_rows_come_through_the_trees(spark, monkeypatch):
     """A search of no radius finds no edited copy: nothing beside the trees does."""
     rows = edited_copies()

@@ -8,8 +8,9 @@ Search: equal sets collapse first. A set's fingerprint is its SimHash, ``FP_WORD
 go to shards, and a shard's BK-tree is built in the task that owns it; pairs within :func:`wide_radius`, which
 a pair that reaches the similarity exceeds with a chance of ``MISSED`` at most, are checked. Shards are keyed by rare
 shingles: of two sets that reach the coefficient, the first n - ceil(similarity * n) + 1 shingles of each, in any one
-order of all shingles, share one. Order: by the number of texts (counted in ``SLOTS`` slots), rare ones first.
-Blocks of bits, as in simhash.py, don't split fingerprints at so wide a radius.
+order of all shingles, share one. Order: by the number of texts (counted in :func:`slot_bits` slots), rare ones first.
+Blocks of bits, as in simhash.py, don't split fingerprints at so wide a radius; nor does it spare branches of a tree, so that a
+shard has trees by classes of set sizes, of which at most three are walked, and leaves are compared as arrays.
 
 Scale: shingles travel as binary blocks, one for each map slice and bucket, and only those that sets of compatible
 sizes share leave a bucket. A shard's tree first holds a few hubs only (stars, so a group of m near copies costs
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 from dataclasses import replace
 from fractions import Fraction
 from functools import lru_cache, reduce
-from math import acos, comb, pi
+from math import acos, comb, log, pi
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +43,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import slotcounts
 from tidemark.llm import textkernel as tk
-from tidemark.llm.simhash import _LOWER, BKTree, add_votes, components, over_half, small, take_one
-from tidemark.llm.substring import MOST_PARTITIONS, _blocks, bucket_count
+from tidemark.llm.simhash import _LOWER, add_votes, components, over_half, small, take_one
+from tidemark.llm.substring import BUCKET_BYTES, MOST_PARTITIONS, _blocks, bucket_count
 from tidemark.llm.workspace import bound_batches, by_bucket, materialize
 
 WIDTH = 5
 SIMILARITY = 0.8
-SLOTS = 20  # bits
+SLOT_BITS = 20, 22  # of corpora up to SLOT_BYTES a slot, and at most
+SLOT_BYTES = 2048
+LEAF, ONE_BY_ONE = 1024, 12  # fingerprints of a tree's leaf, and up to how many are compared one by one
 FP_WORDS = 4  # of 64 bits, in a fingerprint
 MISSED = 1e-9
 STARS, HUBS = 6, 3
@@ -115,15 +118,21 @@ def most_shared(x: np.ndarray, y: np.ndarray) -> int:
 _MARKED = "key long, th long, rh long, sid long, part int, seen binary"
 
 
-def _marked(width: int):
+def slot_bits(size: int) -> int:
+    """Bits of the number of slots in which the shingles of texts of so many bytes are counted: a task's counts are 16 MB at most."""
+    least, most = SLOT_BITS
+    return min(max(least, (size // SLOT_BYTES).bit_length()), most)
+
+
+def _marked(width: int, bits: int):
     """Of each row its identity and set, and at the end of a task how many texts have shingles of each slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << SLOTS, dtype=np.int32)
+        seen = np.zeros(1 << bits, dtype=np.int32)
         names = [x.split()[0] for x in _MARKED.split(", ")]
         for batch in tk.gathered(batches):
             h, first = shingle_sets(tk.read_texts(batch.column("text")), width)
-            seen += np.bincount((h >> np.uint64(64 - SLOTS)).astype(np.int64), minlength=1 << SLOTS).astype(np.int32)
+            np.add.at(seen, (h >> np.uint64(64 - bits)).astype(np.int64), np.int32(1))
             m = batch.num_rows
             own = [batch.column(c) for c in ("key", "th", "rh")]
             yield pa.RecordBatch.from_arrays([*own, pa.array(set_ids(h, first)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
@@ -135,13 +144,14 @@ def _marked(width: int):
 
 def _prefix_blocks(width: int, similarity: Fraction, common: np.ndarray, buckets: int):
     """Of each slice and bucket the prefix shingles with set id, set size and place, in four columns of bytes."""
+    shift = np.uint64(64 - (len(common).bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tk.gathered(batches):
             h, first = shingle_sets(tk.read_texts(batch.column("text")), width)
             n, sid = np.diff(first), set_ids(h, first)
             doc = np.repeat(np.arange(len(n)), n)
-            h = h[np.lexsort((h, common[h >> np.uint64(64 - SLOTS)], doc))]
+            h = h[np.lexsort((h, common[h >> shift], doc))]
             place = np.arange(len(h)) - first[doc]
             once = np.zeros(len(n), dtype=bool)
             once[np.unique(sid, return_index=True)[1]] = True
@@ -248,30 +258,90 @@ def wide_radius(similarity: Fraction) -> int:
     return r
 
 
+class FingerprintTree:
+    """A BK-tree: children by their distance to the parent. Up to LEAF fingerprints stay in one leaf, whose distances are taken at once."""
+
+    def __init__(self) -> None:
+        self.values: list[int] = []
+        self.words = np.empty((4, FP_WORDS), np.uint64)
+        self.children: dict[int, FingerprintTree] | None = None
+
+    def add(self, value: int) -> None:
+        node = self
+        while node.children is not None:
+            node = node.children.setdefault((node.values[0] ^ value).bit_count(), FingerprintTree())
+        m = len(node.values)
+        if m == len(node.words):
+            node.words = np.concatenate([node.words, np.empty_like(node.words)])
+        node.words[m] = _words(value)
+        node.values.append(value)
+        if m + 1 == LEAF:
+            first, *others = node.values
+            node.values, node.words, node.children = [first], node.words[:1].copy(), {}
+            for v in others:
+                node.children.setdefault((first ^ v).bit_count(), FingerprintTree()).add(v)
+
+    def near(self, value: int, radius: int) -> list[tuple[int, int]]:
+        """(distance, fingerprint) of all within the radius."""
+        found, todo, own = [], [self], _words(value)
+        while todo:
+            node = todo.pop()
+            m = len(node.values)
+            if m <= ONE_BY_ONE:
+                found += [(d, v) for v in node.values if (d := (v ^ value).bit_count()) <= radius]
+            else:
+                d = np.bitwise_count(node.words[:m] ^ own).sum(axis=1)
+                found += [(int(d[i]), node.values[i]) for i in np.flatnonzero(d <= radius).tolist()]
+            if node.children:
+                at = (node.values[0] ^ value).bit_count()
+                todo += [child for edge, child in node.children.items() if abs(edge - at) <= radius]
+        return found
+
+
+def _words(value: int) -> np.ndarray:
+    return np.frombuffer(value.to_bytes(8 * FP_WORDS, "little"), np.uint64)
+
+
 class _Shards:
-    """A BK-tree for each shard of rows that come by shard and, in it, in an order in which each seeks among those before it
-    that are planted: ``most`` at most, None for all. Those of one group in a row are planted after the last of them."""
+    """The BK-trees of each shard of rows that come by shard and, in it, in an order in which each seeks among those before it
+    that are planted: ``most`` at most, None for all. Those of one group in a row are planted after the last of them.
 
-    def __init__(self, radius: int, most: int | None) -> None:
-        self.radius, self.most, self.now = radius, most, None
+    A shard has a tree for each class of set sizes, in steps of the similarity: a pair that reaches it is of one class or of
+    neighbouring ones, so that no other tree of the shard is walked."""
 
-    def near(self, shard: tuple, side: int, group: int, fp: bytes, own: tuple) -> list[tuple]:
-        """What is planted within the radius of this row, nearest first; then the row is planted, if it is of that side."""
+    def __init__(self, similarity: Fraction, radius: int, most: int | None) -> None:
+        self.similarity, self.radius, self.most, self.now = similarity, radius, most, None
+
+    def _class(self, n: int) -> int:
+        return int(log(n) / -log(self.similarity)) if 0 < self.similarity < 1 else 0
+
+    def _classes(self, n: int) -> range:
+        """The classes of all sizes with which a set of n shingles can reach the similarity."""
+        up, down = self.similarity.numerator, self.similarity.denominator
+        return range(self._class(-(-up * n // down)), self._class(down * n // up) + 1) if up else range(1)
+
+    def near(self, shard: tuple, side: int, group: int, fp: bytes, n: int, own: tuple) -> list[tuple]:
+        """What is planted of sizes that reach the similarity, within the radius of this row, nearest first; then the row is planted, if it is of that side."""
         if shard != self.now:
-            self.now, self.tree, self.nodes, self.waiting, self.planted = shard, BKTree(), {}, [], 0
+            self.now, self.trees, self.waiting, self.planted = shard, {}, [], 0
         elif group != self.group and self.waiting:
-            for value, one in self.waiting:
-                if value not in self.nodes:
-                    self.tree.add(value)
-                self.nodes.setdefault(value, []).append(one)
+            for size, value, one in self.waiting:
+                tree, nodes = self.trees.setdefault(size, (FingerprintTree(), {}))
+                if value not in nodes:
+                    tree.add(value)
+                nodes.setdefault(value, []).append(one)
             self.waiting = []
         self.group = group
         value = int.from_bytes(fp, "little")
         found = []
         if side != PLANT:
-            found = [one for x in sorted(self.tree.near(value, self.radius), key=lambda x: (x ^ value).bit_count()) for one in self.nodes[x]]
+            for size in self._classes(n):
+                if size in self.trees:
+                    tree, nodes = self.trees[size]
+                    found += [(d, one) for d, v in tree.near(value, self.radius) for one in nodes[v]]
+            found = [one for _, one in sorted(found, key=lambda x: x[0])]
         if side != SEEK and (self.most is None or self.planted < self.most):
-            self.waiting.append((value, own))
+            self.waiting.append((self._class(n), value, own))
             self.planted += 1
         return found
 
@@ -290,12 +360,12 @@ def _tree_pairs(similarity: Fraction, radius: int, most: int | None):
     """Pairs of sets of one shard and different groups whose fingerprints lie within the radius, found in a BK-tree of the shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards = _Shards(radius, most)
+        shards = _Shards(similarity, radius, most)
         for batch in batches:
             found: set[tuple[int, int]] = set()
             names = ("token", "x", "y", "side", "sid", "n", "pos", "group", "fp")
             for token, x, y, side, sid, n, pos, group, fp in zip(*(batch.column(c).to_pylist() for c in names)):
-                for sid_, n_, pos_, group_ in shards.near((token, x, y), side, group, fp, (sid, n, pos, group)):
+                for sid_, n_, pos_, group_ in shards.near((token, x, y), side, group, fp, n, (sid, n, pos, group)):
                     if group_ != group and _room(similarity, n, pos, n_, pos_):
                         found.add((sid, sid_) if sid > sid_ else (sid_, sid))
             yield _pairs_batch(list(found))
@@ -316,7 +386,7 @@ def _tree_links(similarity: Fraction, radius: int):
     up, down = similarity.numerator, similarity.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards, now = _Shards(radius, None), None
+        shards, now = _Shards(similarity, radius, None), None
         parent: dict[int, int] = {}
 
         def root(g: int) -> int:
@@ -332,7 +402,7 @@ def _tree_links(similarity: Fraction, radius: int):
                 if (family, x, y) != now:
                     now, parent = (family, x, y), {}
                 own = np.frombuffer(shingles, np.uint32)
-                near = [r for r in shards.near(now, side, group, fp, (sid, n, pos, group, own)) if r[3] != group and _room(similarity, n, pos, r[1], r[2])]
+                near = [r for r in shards.near(now, side, group, fp, n, (sid, n, pos, group, own)) if r[3] != group and _room(similarity, n, pos, r[1], r[2])]
                 for a in range(0, len(near), CHECKED):
                     to = root(group)
                     some = [r for r in near[a : a + CHECKED] if root(r[3]) != to]
@@ -380,13 +450,14 @@ def groups(rows: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY)
     """(key, th, rh, group) for each of ``rows`` (key, th, rh, text); group: the least set id."""
     share = Fraction(str(similarity))
     spark = rows.sparkSession
-    both = materialize(bound_batches(rows).mapInArrow(_marked(width), _MARKED))
+    slim = rows.select("text")
+    buckets = bucket_count(slim)
+    bits = slot_bits(buckets * BUCKET_BYTES)
+    both = materialize(bound_batches(rows).mapInArrow(_marked(width, bits), _MARKED))
     marked = both.where("part is null").select("key", "th", "rh", "sid")
-    counts = slotcounts.total_counts(both.where("part is not null"), SLOTS)
+    counts = slotcounts.total_counts(both.where("part is not null"), bits)
     common = (4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
 
-    slim = rows.select("text")
-    buckets = bucket_count(slim)
     blocks = slim.mapInArrow(_prefix_blocks(width, share, common, buckets), "bucket int, c0 binary, c1 binary, c2 binary, c3 binary")
     blocks = by_bucket(blocks, min(buckets, MOST_PARTITIONS), F.col("bucket"), "bucket")
     entries = materialize(blocks.mapInArrow(_shared(share), "token long, sid long, n int, pos int"))
