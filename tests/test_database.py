@@ -51,6 +51,22 @@ def test_parameters_reach_the_database_as_values(spark, url):
             spec.literal(bad)
 
 
+def test_values_reach_an_embedded_database_by_files_and_come_back(spark, url):
+    with spec.JdbcSession(spark, url) as s:
+        s.run('create table "a ""b" ("k" bigint, "Text" varchar(60), "d" double, "n" decimal(20,4), "at" timestamp, "on" date, "ok" boolean, "raw" varchar(9) for bit data)')
+        s.run('create table one ("v" varchar(9))')
+    texts = ["", None, 'say "x"', '"', "a,b", "line\nand\r\nanother\r", " \t ", "\\", "~", "\u00e9\u4e2d\U0001f600", "1,\"\n"]
+    wanted = [(i, t, i / 3 if i else None, decimal.Decimal("-12345.6780"), dt.datetime(2024, 1, 2, 3, 4, 5, 600000 + i), dt.date(1960, 2, 29), i % 2 == 0, bytearray([0, i, 255])) for i, t in enumerate(texts)] + [(None,) * 8]
+    df = spark.createDataFrame(wanted, "k long, text string, d double, n decimal(20,4), at timestamp_ntz, on date, ok boolean, raw binary")
+    spec.write_jdbc(df.repartition(3), url, '"a ""b"', **DRIVER)
+    back = spec.read_jdbc(spark, url, '"a ""b"', ['"k" < 4', '"k" >= 4 OR "k" IS NULL'], **DRIVER)
+    assert back.columns[1] == "Text" and back.count() == 12 and back.rdd.getNumPartitions() == 2
+    assert sorted((tuple(r) for r in back.withColumn("at", F.col("at").cast("timestamp_ntz")).collect()), key=str) == sorted(wanted, key=str)
+    spec.write_jdbc(spark.createDataFrame([(None,), ("",), ("x",), (None,)], "v string"), url, "ONE", **DRIVER)
+    one = spec.read_jdbc(spark, url, "one", **DRIVER)
+    assert one.count() == 4 and sorted((r.v for r in one.collect()), key=str) == ["", None, None, "x"]
+
+
 # upsert
 
 

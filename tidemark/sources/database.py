@@ -18,7 +18,7 @@ from tidemark.functions.names import quote_double
 from tidemark.operators.merge import DuplicateKeys
 from tidemark.operators.partition import half_open, jdbc_predicates, tile_sizes
 from tidemark.sources.shared import temporary_tables, written
-from tidemark.sources.spec import JdbcSession, read_jdbc, write_jdbc
+from tidemark.sources.spec import JdbcSession, embedded, read_jdbc, write_jdbc
 
 # An empty copy of some columns of a table, and the end of a MERGE statement.
 TEXTS = {
@@ -108,8 +108,8 @@ def merge_statement(table: str, staging: str, columns: list[str], key: list[str]
 
 
 def _unnullable(df: DataFrame, url: str) -> dict[str, str]:
-    """Text columns whose nulls need a mark of their own, with its name: to Derby Spark binds them as CLOB, which a VARCHAR refuses."""
-    if vendor(url) != "derby":
+    """Text columns whose nulls need a mark of their own, with its name: to a Derby server Spark binds them as CLOB, which a VARCHAR refuses."""
+    if vendor(url) != "derby" or embedded(url):
         return {}
     return {f.name: f"null_{i}_{uuid.uuid4().hex[:6]}" for i, f in enumerate(df.schema.fields) if isinstance(f.dataType, T.StringType)}
 

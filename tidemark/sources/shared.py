@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,11 +32,30 @@ def shared_folder(spark: SparkSession) -> str:
 _scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, compressed, and there if executors are lost."""
-    path = f"{shared_folder(df.sparkSession)}/tidemark-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession) -> str:
+    """A path in the shared folder where nothing is yet; what is put there goes with :func:`temporary_tables`."""
+    path = f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
     for paths in _scopes.get()[-1:]:
         paths.append(path)
+    return path
+
+
+def mounted(path: str) -> str:
+    """A path of the shared folder as processes on this machine open it."""
+    place = urlparse(path)
+    if place.scheme not in ("", "file"):
+        raise RuntimeError(f"a database in the driver's JVM needs a shared folder that is mounted, not {path}")
+    return place.path
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, compressed, and there if executors are lost."""
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -50,5 +70,4 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         _scopes.reset(token)
         for x in paths:
-            path = spark._jvm.org.apache.hadoop.fs.Path(x)
-            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+            deleted(spark, x)

@@ -85,14 +85,27 @@ def jdbc_url(host: str, database: str, port: int | None = None, vendor: str = "s
     return f"jdbc:{vendor}://{host}" + (f":{port}" if port else "") + f"/{database}"
 
 
+def embedded(url: str) -> bool:
+    """Whether the database is in the driver's JVM, where executors can't reach it; its rows move by files (module ``embedded``)."""
+    return url.startswith("jdbc:derby:") and not url.startswith("jdbc:derby://")
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, predicates: list[str] | None = None, fetch: int = 10_000, **properties: str) -> DataFrame:
     """One partition per predicate; the number of predicates bounds the connections."""
+    if embedded(url):
+        from tidemark.sources.embedded import unload
+
+        return unload(spark, url, table, predicates, **properties)
     properties = {"fetchsize": str(fetch)} | properties
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties) if predicates else spark.read.jdbc(url, table, properties=properties)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batch: int = 10_000, connections: int = 8, **properties: str) -> None:
     """mode overwrite truncates in place and keeps the table's definition."""
+    if embedded(url):
+        from tidemark.sources.embedded import load
+
+        return load(df, url, table, mode, **properties)
     options = {"batchsize": str(batch), "numPartitions": str(connections), "truncate": "true"} | properties
     df.write.jdbc(url, table, mode=mode, properties=options)
 
