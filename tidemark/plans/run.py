@@ -160,10 +160,12 @@ class FullRun:
         return self.store.publish_ranges(task.table, normalized(self.source(table, predicate)), [task.index])["rows"]
 
     def _regular(self, task: transfer.Task, table: dict[str, Any]) -> int:
-        source, key = self.source(table), self._key(table)
+        key = self._key(table)
         if transfer.page_mode(key) != "whole" and parallel(self.settings.parallel_readers, table["row_count"], self.settings.default_chunk_size):
             read = database.read_tiles(self.spark, self.url, self._name(table), key[0], self.settings.parallel_readers, **self.properties)
             source = read.toDF(*sanitize_all(read.columns))
+        else:
+            source = self.source(table)
         if self.check_constraints and table["check_constraints"]:
             done = load_checked(self.store, task.table, normalized(source), table["check_constraints"])
             return done.good + done.rejected
