@@ -67,6 +67,30 @@ def test_values_reach_an_embedded_database_by_files_and_come_back(spark, url):
     assert one.count() == 4 and sorted((r.v for r in one.collect()), key=str) == ["", None, None, "x"]
 
 
+def test_a_load_that_fails_leaves_no_row_of_any_file(spark, url):
+    with spec.JdbcSession(spark, url) as s:
+        s.run('create table t ("k" bigint, "v" varchar(9))')
+    good = rows(spark, [(k, "a") for k in range(90)])
+    with pytest.raises(Exception, match="truncation"):
+        spec.write_jdbc(good.unionAll(rows(spark, [(99, "much too long")])).coalesce(3), url, "t", **DRIVER)
+    assert target_rows(spark, url) == {}
+    for n in (90, 180):  # into an empty table and behind its rows
+        spec.write_jdbc(good.repartition(3), url, "t", **DRIVER)
+        assert spec.read_jdbc(spark, url, "t", **DRIVER).count() == n
+
+
+def test_results_outlive_the_files_of_the_database(spark):
+    from pathlib import Path
+
+    from tidemark.plans import catalogue
+
+    for name in ("jdbc_ntile_read",):
+        there = set(Path(shared.shared_folder(spark)).rglob("*.csv"))
+        found = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert set(Path(shared.shared_folder(spark)).rglob("*.csv")) <= there and not found.isEmpty(), name
+        assert all(".parquet" in x for x in found.inputFiles()), name
+
+
 # upsert
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+import shutil
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -40,7 +41,10 @@ def _field(f: T.StructField) -> Column:
 
 
 def load(df: DataFrame, url: str, table: str, mode: str = "append", **properties: str) -> None:
-    """Rows into a table, which is made or emptied as Spark's own JDBC writer does it for the mode. Each file is a transaction."""
+    """Rows into a table, which is made or emptied as Spark's own JDBC writer does it for the mode; all of them or none.
+
+    One import of one file, as only an empty table is filled in bulk, without a log entry and a walk through its index for each row.
+    """
     spark = df.sparkSession
     df.limit(0).write.jdbc(url, table, mode=mode, properties={"truncate": "true"} | properties)  # without rows no task connects
     schema, name = parts_of(table)
@@ -54,9 +58,15 @@ def load(df: DataFrame, url: str, table: str, mode: str = "append", **properties
         # a constant is the first field, so that no row is an empty line
         df.select(F.concat_ws(",", F.lit("1"), *map(_field, df.schema.fields)).alias("line")).write.text(path)
         folder, at = mounted(path), ",".join(str(i + 2) for i in range(len(columns)))
-        with JdbcSession(spark, url) as session:
-            for file in sorted(x for x in os.listdir(folder) if x.startswith("part-") and os.path.getsize(f"{folder}/{x}")):
-                session.run("CALL SYSCS_UTIL.SYSCS_IMPORT_DATA(?, ?, ?, ?, ?, NULL, NULL, 'UTF-8', 0)", (schema, name, ",".join(columns), at, f"{folder}/{file}"))
+        whole = f"{folder}/whole"
+        with open(whole, "wb") as out:
+            for file in sorted(f"{folder}/{x}" for x in os.listdir(folder) if x.startswith("part-")):
+                with open(file, "rb") as part:
+                    shutil.copyfileobj(part, out, 1 << 20)
+                os.remove(file)
+        if os.path.getsize(whole):
+            with JdbcSession(spark, url) as session:
+                session.run("CALL SYSCS_UTIL.SYSCS_IMPORT_DATA(?, ?, ?, ?, ?, NULL, NULL, 'UTF-8', 0)", (schema, name, ",".join(columns), at, whole))
 
 
 def unload(spark: SparkSession, url: str, table: str, predicates: list[str] | None = None, **properties: str) -> DataFrame:

@@ -53,9 +53,9 @@ def deleted(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, compressed, and there if executors are lost."""
-    path = new_path(df.sparkSession)
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, compressed, and there if executors are lost. A ``path`` of an outer scope outlives the inner."""
+    path = path or new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
