@@ -84,13 +84,22 @@ def test_results_outlive_the_files_of_the_database(spark):
 
     from tidemark.plans import catalogue
 
-    for name in ("jdbc_ntile_read",):
+    for name in ("jdbc_ntile_read", "jdbc_upsert"):
         there = set(Path(shared.shared_folder(spark)).rglob("*.csv"))
         found = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
         assert set(Path(shared.shared_folder(spark)).rglob("*.csv")) <= there and not found.isEmpty(), name
         assert all(".parquet" in x for x in found.inputFiles()), name
 
 
+@pytest.mark.parametrize("keys", ["o_orderkey % 1000 <> 1", "false"])
+def test_upsert_query_without_the_keys_it_breaks(spark, tmp_path, keys):
+    from tidemark.plans import catalogue
+
+    spark.read.parquet("/root/testdata/sf0.001/orders.parquet").where(keys).write.parquet(f"{tmp_path}/orders.parquet")
+    got, want = (catalogue.QUERIES[q](spark, str(tmp_path)) for q in ("jdbc_upsert", "upsert_apply"))
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 # upsert
 
 

@@ -152,10 +152,8 @@ def upsert(df: DataFrame, url: str, table: str, key: list[str], detect_changes:
                 if staged != seen.get["rows"]:
                     raise RuntimeError(f"{seen.get['rows']} rows read, {staged} staged")
                 values = [c for c in columns if c not in key]
-                matched = one(f"SELECT COUNT(*) FROM {staging} s JOIN {table} t ON {match}")
-                changed = 0
-                if values:
-                    changed = one(f"SELECT COUNT(*) FROM {staging} s JOIN {table} t ON {match} WHERE {' OR '.join(map(_differs, values))}") if detect_changes else matched
+                differs = f"COUNT(CASE WHEN {' OR '.join(map(_differs, values))} THEN 1 END)" if values and detect_changes else "COUNT(*)" if values else "0"
+                matched, changed = session.rows(f"SELECT COUNT(*), {differs} FROM {staging} s JOIN {table} t ON {match}")[0]
                 done = session.run(merge_statement(table, staging, columns, key, detect_changes, end))
                 if done != staged - matched + changed:
                     raise RuntimeError(f"the merge changed {done} rows, not {staged - matched} new and {changed} others")
